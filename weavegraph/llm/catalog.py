@@ -4,13 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weavegraph.llm import decontaminate, mixing
+from weavegraph.llm import decontaminate, mixing, token_files
+
+#: The tokenizer of the contract; any file of the tokenizers library will do.
+TOKENIZER = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_digest(table(spark, sf_dir, "documents"), tokenizer=tokenizer_path())
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
@@ -22,6 +35,7 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_token_files,
         op3_benchmark_decontamination,
         op8_source_mixing,
     )
