@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weavegraph.llm import decontaminate, mixing, token_files
+from weavegraph.llm import decontaminate, langid, mixing, token_files
 
 #: The tokenizer of the contract; any file of the tokenizers library will do.
 TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +28,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ QUERIES = {
     for f in (
         op2_token_files,
         op3_benchmark_decontamination,
+        op4_language_identification,
         op8_source_mixing,
     )
 }
