@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weavegraph.llm import decontaminate, langid, mixing, token_files
+from weavegraph.llm import decontaminate, langid, minhash, mixing, token_files
 
 #: The tokenizer of the contract; any file of the tokenizers library will do.
 TOKENIZER = "word_bpe_49k.json"
@@ -36,6 +36,10 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -43,9 +47,11 @@ QUERIES = {
         op3_benchmark_decontamination,
         op4_language_identification,
         op8_source_mixing,
+        op9_minhash_near_duplicates,
     )
 }
 
 ORACLE_SQL = {
     "op8_source_mixing": mixing.MIX_SQL,
+    "op9_minhash_near_duplicates": minhash.NEAR_SQL,
 }
