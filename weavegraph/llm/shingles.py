@@ -21,7 +21,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     size = 1 << max(16, (n - 1).bit_length())
     if size not in _powers:
         out = []
@@ -49,7 +49,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     inside = code != 32
     edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     begin, end = edge[::2], edge[1::2]
-    power, inverse = _power_tables(len(code) + 1)
+    power, inverse = power_tables(len(code) + 1)
     running = np.zeros(len(code) + 1, dtype=np.uint64)
     np.cumsum((code.astype(np.uint64) + np.uint64(1)) * power[: len(code)], out=running[1:])
     hashes = mix((running[end] - running[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
