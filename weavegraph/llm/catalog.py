@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weavegraph.llm import decontaminate, langid, line_dedup, minhash, mixing, token_files
+from weavegraph.llm import decontaminate, langid, line_dedup, minhash, mixing, ppm, token_files
 
 #: The tokenizer of the contract; any file of the tokenizers library will do.
 TOKENIZER = "word_bpe_49k.json"
@@ -36,6 +36,10 @@ def op4_language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"))
 
 
+def op6_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_report(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ QUERIES = {
         op2_token_files,
         op3_benchmark_decontamination,
         op4_language_identification,
+        op6_ppm_scores,
         op8_source_mixing,
         op9_minhash_near_duplicates,
     )
