@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weavegraph.llm import decontaminate, langid, line_dedup, minhash, mixing, ppm, token_files
+from weavegraph.llm import decontaminate, langid, line_dedup, minhash, mixing, ppm, quality, token_files
 
 #: The tokenizer of the contract; any file of the tokenizers library will do.
 TOKENIZER = "word_bpe_49k.json"
@@ -48,6 +48,10 @@ def op9_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
 
+def op10_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -58,6 +62,7 @@ QUERIES = {
         op6_ppm_scores,
         op8_source_mixing,
         op9_minhash_near_duplicates,
+        op10_quality_grades,
     )
 }
 

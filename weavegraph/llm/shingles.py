@@ -42,10 +42,16 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
     Words are runs of bytes other than space and \\t to \\r; A-Z are lower-cased.
     """
+    hashes, _, counts = word_and_start_hashes(texts, 0)
+    return hashes, counts
+
+
+def word_and_start_hashes(texts: list[bytes], start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """word_hashes(), and between them the hashes of the words' first `start` bytes (0: none)."""
     joined = (b" ".join(texts) + b" ").translate(FOLD) if texts else b""
     code = np.frombuffer(joined, dtype=np.uint8)
     if not len(code):
-        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
     inside = code != 32
     edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     begin, end = edge[::2], edge[1::2]
@@ -54,7 +60,11 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     np.cumsum((code.astype(np.uint64) + np.uint64(1)) * power[: len(code)], out=running[1:])
     hashes = mix((running[end] - running[begin]) * inverse[begin] + (end - begin).astype(np.uint64))
     upto = np.cumsum(np.array([len(t) + 1 for t in texts], dtype=np.int64))
-    return hashes, np.diff(np.searchsorted(begin, upto, side="left"), prepend=0)
+    counts = np.diff(np.searchsorted(begin, upto, side="left"), prepend=0)
+    if not start:
+        return hashes, hashes[:0], counts
+    cut = np.minimum(end, begin + start)
+    return hashes, mix((running[cut] - running[begin]) * inverse[begin] + (cut - begin).astype(np.uint64)), counts
 
 
 def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
