@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weavegraph.llm import decontaminate, langid, line_dedup, minhash, mixing, ppm, quality, token_files
+from weavegraph.llm import decontaminate, forest, langid, licenses, line_dedup, minhash, mixing, ppm, quality, token_files
 
 #: The tokenizer of the contract; any file of the tokenizers library will do.
 TOKENIZER = "word_bpe_49k.json"
@@ -36,10 +37,18 @@ def op4_language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_report(table(spark, sf_dir, "documents"))
 
 
+def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 20 == 0)
+
+
 def op6_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_report(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -59,7 +68,9 @@ QUERIES = {
         op2_token_files,
         op3_benchmark_decontamination,
         op4_language_identification,
+        op5_prefix_forest,
         op6_ppm_scores,
+        op7_license_scan,
         op8_source_mixing,
         op9_minhash_near_duplicates,
         op10_quality_grades,
