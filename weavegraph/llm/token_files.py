@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weavegraph.llm import simple8b
-from weavegraph.llm.common import scratch
+from weavegraph.llm.common import scratch, slices
 
 MAGIC = b"S8B1"
 BLOCK = 1024
@@ -42,6 +42,15 @@ WORDWISE = {
 }
 
 
+class Memo(dict):
+    """What is known for good, and behind it what these texts add."""
+
+    fresh: dict = {}
+
+    def __missing__(self, key):
+        return self.fresh[key]
+
+
 class Encoder:
     """Texts to the ids of the tokenizers library, each distinct word once.
 
@@ -50,7 +59,7 @@ class Encoder:
     then the punctuation's; the letters go to the library's model directly. All else goes through its whole encoding.
     """
 
-    def __init__(self, path: str, most_words: int = 500_000):
+    def __init__(self, path: str, most_words: int = 400_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -60,7 +69,9 @@ class Encoder:
         self.wordwise = all(described[k] == v for k, v in WORDWISE.items())
         alphabet = ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: alphabet.pre_tokenize_str(chr(c))[0][0] for c in range(256) if chr(c).isalpha()}
-        self.model, self.cores, self.most_words = self.tokenizer.model, {}, most_words
+        self.model, self.most_words = self.tokenizer.model, most_words
+        self.cores: dict[str, bytes] = {}
+        self.known = Memo({"": b""})
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -96,8 +107,11 @@ class Encoder:
         if not self.wordwise:
             return self.whole(texts)
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.chunks(list({c for s in split for c in s} - {""}))
-        known[""] = b""
+        known, met = self.known, set().union(*split)
+        fresh = [c for c in met if c not in known]
+        known.fresh = self.chunks(fresh)
+        if len(known) < self.most_words:
+            known.update(known.fresh)
         return [b"".join(map(known.__getitem__, s)) for s in split]
 
 
@@ -176,8 +190,7 @@ def write_tokens(docs: DataFrame, folder: str, *, tokenizer: str, end_id: int =
             )
 
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                piece = batch.slice(start, 512)
+            for piece in slices(batch, 1, 6 << 20):
                 for key, made in zip(piece.column(0).to_pylist(), encode(piece.column(1).to_pylist()), strict=True):
                     keys.append(key)
                     ids.append(made + end)
