@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from weavegraph.plans import text_plans
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
-FLAGSHIP = "reference_edges"
+FLAGSHIP = "f13_percent"
+for _m in (text_plans,):
+    QUERIES.update(_m.plan.queries)
+    ORACLE_SQL.update(_m.plan.sql)
