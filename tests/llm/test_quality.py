@@ -12,7 +12,7 @@ def tables(spark):
 
 def test_held_out_grades(tables):
     docs, labels = tables
-    rated = quality.graded(docs, labels)
+    rated = quality.graded(docs, quality.ratings(labels))
     held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     model = quality.fit(rated.filter(~held))
     got = quality.judge_quality(rated.filter(held), model, carry=["doc_id", "grade"], into="q").select("doc_id", F.col("grade").alias("truth"), "q.*").collect()

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weavegraph.llm.common import annotate, slices, struct_array
+from weavegraph.llm.common import annotate, slices, stored, struct_array
 from weavegraph.llm.shingles import mix, word_and_start_hashes, word_hashes
 
 GRADES = 3
@@ -124,18 +124,27 @@ def cumulative_link(rows: np.ndarray, columns: np.ndarray, n_columns: int, grade
     return value[:n_columns], np.array([value[-2], value[-2] + np.exp(value[-1])])
 
 
-def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and grade of the rated documents; rows without a rating or a text teach nothing."""
+def ratings(labels: DataFrame, most_rows: int = 20_000) -> DataFrame:
+    """rated_id and grade: about most_rows of the ratings at most, picked by a hash; a document's lowest grade counts.
+
+    Toxic documents are of grade 0, others of their quality; ratings that are null or neither 0 nor 1 teach nothing.
+    """
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
     rated = labels.select(F.col("doc_id").alias("rated_id"), grade.alias("grade")).filter("grade is not null").groupBy("rated_id").agg(F.min("grade").alias("grade"))
-    return docs.select("doc_id", "text").join(rated, F.col("doc_id") == F.col("rated_id")).filter("text is not null").select("doc_id", "text", "grade")
+    pick = (F.pmod(F.xxhash64("rated_id"), F.lit(1 << 30)) + 0.5) / (1 << 30)
+    return rated.filter(pick < min(1.0, most_rows / max(1, rated.count())))
+
+
+def graded(docs: DataFrame, rated: DataFrame) -> DataFrame:
+    """doc_id, text and grade of the rated documents that have a text. rated is bounded by ratings(), so it is broadcast and
+    the texts stay where they are; the sample itself is written once."""
+    joined = docs.select("doc_id", "text").join(F.broadcast(rated), F.col("doc_id") == F.col("rated_id"))
+    return stored(joined.filter("text is not null").select("doc_id", "text", "grade"), "rated")
 
 
-def fit(rated: DataFrame, *, most_rows: int = 20_000, most_features: int = 4096, least_z: float = 3.3, least_docs: int = 3) -> Model:
-    """A model of the rated rows (doc_id, text, grade)."""
-    n = rated.count()
-    pick = (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) + 0.5) / (1 << 30)
-    sample = rated.filter(pick < min(1.0, most_rows / max(1, n))).select("grade", "text")
+def fit(sample: DataFrame, *, most_features: int = 4096, least_z: float = 3.3, least_docs: int = 3) -> Model:
+    """A model of the rated sample (text, grade)."""
+    sample = sample.select("grade", "text")
     totals = np.zeros(GRADES)
     for r in sample.groupBy("grade").count().collect():
         totals[r["grade"]] = r["count"]
@@ -163,7 +172,7 @@ def fit(rated: DataFrame, *, most_rows: int = 20_000, most_features: int = 4096,
     if not len(keys) or (totals > 0).sum() < 2:
         share = np.cumsum(totals + 1)[: GRADES - 1] / (totals.sum() + GRADES)
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.log(share / (1 - share)))
-    sent = rated.sparkSession.sparkContext.broadcast(keys)
+    sent = sample.sparkSession.sparkContext.broadcast(keys)
 
     def design(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = sent.value
@@ -209,5 +218,5 @@ def judge_quality(docs: DataFrame, model: Model, *, carry: list[str], into: str
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """All documents under a model of the rated ones: doc_id and the fields of judge_quality()."""
-    found = judge_quality(docs, fit(graded(docs, labels)), carry=["doc_id"], into="q")
+    found = judge_quality(docs, fit(graded(docs, ratings(labels))), carry=["doc_id"], into="q")
     return found.select("doc_id", "q.*")
