@@ -14,7 +14,7 @@ def walk(df: DataFrame, payload: str, keep: list[str], depth: int, blocked: tupl
     """Every node of the payload down to `depth` levels: keep, path, key, pos, value (VARIANT), kind.
 
     payload is JSON text or VARIANT; what isn't JSON has no nodes. Blocked keys are dropped before they are opened. Each
-    level is a generator over the one above, so a payload is opened once and stays in its row's task. kind is OBJECT,
+    level is a generator over the one above, in the row's own task, without a shuffle. kind is OBJECT,
     ARRAY or the leaf's type; deeper nodes stay inside the deepest level's values.
     """
     spark = df.sparkSession
@@ -28,8 +28,7 @@ def walk(df: DataFrame, payload: str, keep: list[str], depth: int, blocked: tupl
         if blocked:
             opened = opened.filter(F.col("key").isNull() | ~F.col("key").isin(*blocked))
         levels.append(opened)
-        shape = F.schema_of_variant("value")
-        level = opened.filter(shape.startswith(OBJECT) | shape.startswith(ARRAY)).select(*keep, F.col("value").alias("v__"), F.col("path").alias("path__"))
+        level = opened.select(*keep, F.col("value").alias("v__"), F.col("path").alias("path__"))  # leaves open to nothing
     out = reduce(DataFrame.unionByName, levels)
     shape = F.schema_of_variant("value")
     return out.withColumn("kind", F.when(shape.startswith(OBJECT), OBJECT).when(shape.startswith(ARRAY), ARRAY).otherwise(shape))
@@ -46,20 +45,20 @@ def _field(name: str, kind: str) -> Column:
 
 def pointers(nodes: DataFrame, null_slots: bool = False) -> DataFrame:
     """Nodes of exactly {m_FileID, m_PathID}; those of (0, 0) point nowhere and are left out unless asked for."""
-    found = nodes.filter("kind = 'OBJECT'").withColumn("file_id", _field("m_FileID", "int")).withColumn("path_id", _field("m_PathID", "bigint"))
+    found = nodes.withColumn("file_id", _field("m_FileID", "int")).withColumn("path_id", _field("m_PathID", "bigint"))
     found = found.filter(F.col("file_id").isNotNull() & F.col("path_id").isNotNull() & (F.size(F.json_object_keys(F.to_json("value"))) == 2))
     return (found if null_slots else found.filter("file_id <> 0 or path_id <> 0")).drop("value")
 
 
 def localised(nodes: DataFrame) -> DataFrame:
     """Nodes with _termID and at most three keys: term_id and dev text."""
-    found = nodes.filter("kind = 'OBJECT'").withColumn("term_id", _field("_termID", "bigint")).withColumn("dev", _field("_dev", "string"))
+    found = nodes.withColumn("term_id", _field("_termID", "bigint")).withColumn("dev", _field("_dev", "string"))
     return found.filter(F.col("term_id").isNotNull() & (F.size(F.json_object_keys(F.to_json("value"))) <= 3)).drop("value")
 
 
 def guid_refs(nodes: DataFrame, bare: bool = True) -> DataFrame:
     """Asset references by m_AssetGUID and, if bare, also 32-hex texts under keys that contain guid."""
-    dicts = nodes.filter("kind = 'OBJECT'").withColumn("guid", _field("m_AssetGUID", "string")).filter(F.col("guid").rlike("^[0-9a-f]{32}$")).withColumn("form", F.lit("dict"))
+    dicts = nodes.withColumn("guid", _field("m_AssetGUID", "string")).filter(F.col("guid").rlike("^[0-9a-f]{32}$")).withColumn("form", F.lit("dict"))
     if bare:
         texts = nodes.filter(F.contains(F.lower("key"), F.lit("guid")) & (F.col("key") != "m_AssetGUID")).withColumn("guid", F.try_variant_get("value", "$", "string")).filter(F.col("guid").rlike("^[0-9a-f]{32}$")).withColumn("form", F.lit("bare"))
         dicts = dicts.unionByName(texts)
@@ -76,7 +75,7 @@ def typed_blocks(df: DataFrame, payload: str, keep: list[str], at: str = "$.refe
 
 def list_carriers(nodes: DataFrame, keep: list[str]) -> DataFrame:
     """Which lists hold {id: N}, by the hex block key that N spells."""
-    found = nodes.filter("kind = 'OBJECT' and pos is not null").withColumn("ref", _field("id", "bigint")).filter("ref is not null")
+    found = nodes.filter("pos is not null").withColumn("ref", _field("id", "bigint")).filter("ref is not null")
     carrier = F.regexp_replace("path", r"\[\d+\]$", "")
     return found.groupBy(*keep, F.lower(F.hex("ref")).alias("block")).agg(F.array_join(F.array_sort(F.collect_set(carrier)), ",").alias("carriers"))
 

@@ -57,12 +57,12 @@ def scan_optional(spark: SparkSession, path: str, schema: str, fmt: str = "parqu
         return spark.createDataFrame([], schema), False
 
 
-def scan_curated(df: DataFrame, key: str, required: list[str], targets: DataFrame, target: str) -> DataFrame:
-    """A curated table, or an error if a key repeats, a required column is null, or a target dangles."""
+def scan_curated(df: DataFrame, key: str, required: list[str], column: str, targets: DataFrame, target: str) -> DataFrame:
+    """A curated table, or an error if a key repeats, a required column is null, or a value of column dangles."""
     broken = {
         "repeated keys": df.groupBy(key).count().filter("count > 1"),
         "missing values": df.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required])),
-        "dangling targets": df.join(targets.select(F.col(target).alias("t__")), F.col(target) == F.col("t__"), "left_anti"),
+        "dangling targets": df.join(targets.select(F.col(target).alias("t__")), F.col(column) == F.col("t__"), "left_anti"),
     }
     for what, rows in broken.items():
         if not rows.isEmpty():
