@@ -78,6 +78,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op3_benchmark_decontamination": decontaminate.CONTAMINATION_SQL,
     "op8_source_mixing": mixing.MIX_SQL,
     "op9_minhash_near_duplicates": minhash.NEAR_SQL,
 }

@@ -281,3 +281,19 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> Dat
 def items_digest(items: list[int]) -> str:
     """items_sha256 in Python, for tests."""
     return hashlib.sha256(",".join(sorted(map(str, items))).encode()).hexdigest()
+
+
+#: DuckDB SQL for decontamination_report() over `documents` and `benchmark`.
+CONTAMINATION_SQL = r"""
+with d as (select doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w from documents),
+b as (select item_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w from benchmark),
+windows as (select distinct item_id, least(len(w), 13) as n, unnest(case when len(w) >= 13 then list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i : i + 12], ' ')) else [array_to_string(w, ' ')] end) as win from b where len(w) > 0),
+sizes as (select distinct n from windows),
+places as (select doc_id, n, unnest(range(1, len(w) - n + 2)) as i, w from d, sizes where len(w) >= n),
+hits as (select doc_id, i, p.n, item_id from (select doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') as win from places) p join windows on windows.win = p.win and windows.n = p.n),
+items as (select doc_id, count(distinct item_id) as n_items, string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as ids from hits group by 1),
+spots as (select distinct doc_id, unnest(range(i, i + n)) as spot from hits),
+covered as (select doc_id, count(*) as n_hit, count(*) filter (spot - 1 is distinct from before) as n_spans from (select doc_id, spot, lag(spot) over (partition by doc_id order by spot) as before from spots) group by 1)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256,
+coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated, coalesce(n_spans, 0)::int as n_spans from d left join items using (doc_id) left join covered using (doc_id)
+"""
