@@ -1,0 +1 @@
+"""Queries on the driver's tables."""

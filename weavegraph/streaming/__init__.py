@@ -1,0 +1 @@
+"""Streams: the library has none; every input is a finite table."""
