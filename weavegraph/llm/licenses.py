@@ -191,9 +191,10 @@ class Classifier:
 
 
 def train(docs: DataFrame, *, text: str = "text", most_docs: int = 400, per_doc: int = 10) -> Classifier:
-    """A classifier; the corpus gives its other text: lines without licence words of at most most_docs documents."""
+    """A classifier; the corpus gives its other text: lines without licence words of about most_docs documents."""
     rows = docs.filter((F.length(f"`{text}`") > 0)).select("doc_id", F.col(f"`{text}`").alias("text"))
-    lines = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_docs).select(F.explode(F.slice(F.filter(F.split("text", "\n"), lambda x: ~x.rlike(LICENCE_WORDS) & (F.length(x) < 2000)), 1, per_doc)).alias("line"))
+    pick = (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) + 0.5) / (1 << 30)
+    lines = rows.filter(pick < min(1.0, most_docs / max(1, docs.count()))).select(F.explode(F.slice(F.filter(F.split("text", "\n"), lambda x: ~x.rlike(LICENCE_WORDS) & (F.length(x) < 2000)), 1, per_doc)).alias("line"))
     others = sorted({r.line.encode() for r in lines.filter(count_words("line") > 0).collect()})
     return Classifier().fit(others)
 
