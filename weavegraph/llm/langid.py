@@ -156,8 +156,8 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", pick: Column
             texts = batch.column(1).to_pylist()
             for name in sorted(set(names)):
                 mine = [texts[i] for i in np.flatnonzero(names == name)]
-                for start in range(0, len(mine), 500):
-                    grams = ngrams(mine[start : start + 500])[0]
+                for start in range(0, len(mine), 200):
+                    grams = ngrams(mine[start : start + 200])[0]
                     total[name] = total.get(name, 0) + np.bincount(grams, minlength=BUCKETS)
         # Sixteen pieces of the table, so that adding them up is spread.
         for name, counts in total.items():
@@ -198,7 +198,7 @@ def identify(docs: DataFrame, model: Model, *, carry: list[str], into: str = "la
         return call
 
     _fields = [("lang_pred", pa.string()), ("score", pa.float64()), ("n_words", pa.int64()), ("languages", pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))]
-    return annotate(docs, text, carry, into, RESULT, judge, 2 << 20)
+    return annotate(docs, text, carry, into, RESULT, judge, 1 << 20)
 
 
 def fold(doc_id: str = "doc_id", folds: int = 5) -> Column:

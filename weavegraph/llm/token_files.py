@@ -125,6 +125,11 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def forget_words() -> None:
+    """Let go of what this worker process knows of words: reading needs none, and the next stage needs the memory."""
+    _encoders.clear()
+
+
 def pack(doc_ids: list[int | None], ids: list[bytes]) -> bytes:
     """A file of the documents' ids."""
     lengths = np.array([len(x) // 4 for x in ids], dtype="<i8")
@@ -212,6 +217,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
         return spark.createDataFrame([], "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 keys, lengths, ids = unpack(content.as_buffer().to_pybytes())
