@@ -59,7 +59,7 @@ class Encoder:
     then the punctuation's; the letters go to the library's model directly. All else goes through its whole encoding.
     """
 
-    def __init__(self, path: str, most_words: int = 400_000):
+    def __init__(self, path: str, most_words: int = 150_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -195,7 +195,7 @@ def write_tokens(docs: DataFrame, folder: str, *, tokenizer: str, end_id: int =
             )
 
         for batch in batches:
-            for piece in slices(batch, 1, 6 << 20):
+            for piece in slices(batch, 1, 3 << 20):
                 for key, made in zip(piece.column(0).to_pylist(), encode(piece.column(1).to_pylist()), strict=True):
                     keys.append(key)
                     ids.append(made + end)
