@@ -99,3 +99,21 @@ def test_held_out_text_and_edges(spark):
     small = ppm.score_report(docs, most_grams=2000).filter("held_out").collect()
     assert sum(r.score for r in small) < sum(r.score for r in got) < 0
     assert ppm.score_report(docs.limit(0)).count() == 0
+
+
+def test_whole_model_on_a_larger_table(spark):
+    """All grams count, above the 800,000 a level that once were the most."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id % 4 = 0")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    plain = [b" ".join(re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode()))) for _, t in rows]
+    held = [zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in rows]
+    trie = trie_of([t for t, h in zip(plain, held, strict=True) if not h])
+    want = dict(zip([d for d, _ in rows], trie.score(plain), strict=True))
+    got = ppm.score_report(docs).collect()
+    assert len(trie.levels[ppm.ORDER][0]) > 800_000 and len(got) == len(want)
+    assert all(abs(r.score - want[r.doc_id]) < 1e-6 * abs(want[r.doc_id]) for r in got)
+
+
+def test_ahead_on_a_thousand_documents(spark):
+    got = ppm.score_report(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out").collect()
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)

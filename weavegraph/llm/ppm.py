@@ -6,9 +6,11 @@ never seen there, an escape (method D: half a count of each distinct byte of the
 the bytes of the longer context are excluded, and so on down to all 256 bytes and the end of text. Contexts are nested,
 so what a level has to exclude is known per context of the level above, and whole texts are scored as arrays.
 
-The trie comes from all training texts: tasks count their (ORDER+1)-grams, Spark adds them up, and shorter contexts are
-sums over longer ones. Of each level it holds the grams of at least the count at which these are `most_grams` or fewer,
-and of at least the shorter level's (its documented capacity; that is what is broadcast). For the baseline, every training word is counted; the most frequent
+The trie comes from all training texts and is held in written tables, whole: tasks count their (ORDER+1)-grams, Spark
+adds them up, and shorter contexts are sums over longer ones. No part of it is broadcast. Scoring cuts the texts into
+chunks; a chunk asks for each of its distinct grams once. Grams that training has get their probability in a join; for
+the others the escapes are followed by joins with a level after the other, once per distinct gram. The answers go back to
+their chunk, where whole texts are summed as arrays. For the baseline, every training word is counted; the most frequent
 `frequent` words (their hashes and counts) are sent to the tasks, and all others meet their counts in a join.
 """
 
@@ -18,14 +20,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weavegraph.llm.common import slices, stored
 from weavegraph.llm.langid import fold
 from weavegraph.llm.shingles import FOLD, word_hashes
 
-ORDER = 5
+ORDER = 6
+#: Bytes of text in a chunk, about.
+CHUNK = 16 << 20
 #: Bytes that no UTF-8 text has: before the text, and its end.
 START, END = 0xFE, 0xFF
 SYMBOLS = 257
@@ -87,7 +91,7 @@ class Lookup:
 
 
 class Trie:
-    """levels[k]: sorted grams of k context bytes and a symbol, and their counts."""
+    """The model in memory. levels[k]: sorted grams of k context bytes and a symbol, and their counts."""
 
     def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]):
         self.levels = levels
@@ -175,15 +179,20 @@ def count_all(train: DataFrame) -> tuple[DataFrame, DataFrame]:
     return summed.filter("kind = 0").select(F.col("key").alias("hash"), "n"), summed.filter("kind = 1").select(F.col("key").alias("gram"), "n")
 
 
-def train_trie(gram_counts: DataFrame, most_grams: int = 800_000) -> Trie:
-    """The largest trie whose levels have at most most_grams grams each; what a gram ends with is always in it too."""
+def gram_levels(gram_counts: DataFrame, most_grams: int | None = None) -> list[DataFrame]:
+    """levels[k]: gram of k context bytes and a symbol, n. All of them, or, if most_grams is given, as many a level at most.
+
+    A bounded level holds the grams of at least the count at which these fit, and of at least the shorter level's.
+    """
     levels = [gram_counts]
     for k in range(ORDER, 0, -1):
         shorter = F.col("gram").bitwiseAND((1 << 8 * k) - 1)
-        levels.append(levels[-1].groupBy(shorter.alias("gram")).agg(F.sum("n").alias("n")))
-    levels = [stored(df, "grams") for df in levels]
+        levels.append(stored(levels[-1].groupBy(shorter.alias("gram")).agg(F.sum("n").alias("n")), "grams"))
+    levels.reverse()
+    if most_grams is None:
+        return levels
     out, least = [], 1
-    for df in reversed(levels):
+    for df in levels:
         if df.count() > most_grams:
             # The first count that is too many: one more is the least that fits.
             held = 0
@@ -192,42 +201,81 @@ def train_trie(gram_counts: DataFrame, most_grams: int = 800_000) -> Trie:
                 if held > most_grams:
                     least = max(least, r.n + 1)
                     break
-        rows = df.filter(F.col("n") >= least).toArrow().combine_chunks()
-        keys = rows.column("gram").to_numpy().astype(np.int64).view(np.uint64)
-        order = np.argsort(keys)
-        out.append((keys[order], rows.column("n").to_numpy()[order]))
-    return Trie(out)
-
-
-ROW = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double, rare array<bigint>"
-
-
-def score_documents(docs: DataFrame, train: DataFrame, *, most_grams: int = 800_000, frequent: int = 400_000) -> DataFrame:
+        out.append(stored(df.filter(F.col("n") >= least), "grams"))
+    return out
+
+
+def escaped(asked: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """gram, log: the log10 probability of distinct grams that the longest level doesn't have, along their escapes."""
+    zero = F.lit(0.0)
+    now = asked.select("gram", zero.alias("log"), F.lit(False).alias("done"), F.lit(0).cast("bigint").alias("off_total"), F.lit(0).cast("bigint").alias("off_distinct"))
+    for k in range(ORDER, -1, -1):
+        now = now.withColumn("key", F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1)).withColumn("context", F.shiftright("key", 8))
+        mine = levels[k].withColumn("context", F.shiftright("gram", 8))
+        open_ = now.filter(~F.col("done")).select("context").distinct()
+        # Only the contexts that are asked for, with what each excludes from the next shorter one.
+        its = mine.join(open_, "context", "left_semi")
+        if k:
+            suffix = levels[k - 1].select(F.col("gram").alias("suffix"), F.col("n").alias("below"))
+            its = its.withColumn("suffix", F.col("gram").bitwiseAND((1 << 8 * k) - 1)).join(suffix, "suffix", "left")
+        else:
+            its = its.withColumn("below", F.lit(0).cast("bigint"))
+        stats = its.groupBy("context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"), F.sum("below").alias("taken"))
+        if k < 3:  # 65,793 contexts at most, and hot ones among them
+            stats = F.broadcast(stats)
+        now = now.join(stats, "context", "left").drop("context")
+        if k < ORDER:
+            exact = levels[k].select(F.col("gram").alias("key"), "n")
+            now = now.join(F.broadcast(exact) if k < 2 else exact, "key", "left")
+        else:
+            now = now.withColumn("n", F.lit(None).cast("bigint"))
+        total, distinct = F.col("total") - F.col("off_total"), F.col("distinct") - F.col("off_distinct")
+        live, known, hit = ~F.col("done"), F.col("total").isNotNull(), F.col("n").isNotNull()
+        step = F.when(live & hit, F.log10((F.col("n") - 0.5) / total)).when(live & known & (distinct > 0), F.log10(0.5 * distinct / total)).otherwise(zero)
+        now = now.select("gram", (F.col("log") + step).alias("log"), (F.col("done") | hit).alias("done"), F.coalesce("taken", F.lit(0)).alias("off_total"), F.coalesce("distinct", F.lit(0)).alias("off_distinct"))
+        now = stored(now, "escapes")
+    rest = float(np.log10(SYMBOLS - levels[0].count()))
+    return now.select("gram", F.when(F.col("done"), F.col("log")).otherwise(F.col("log") - rest).alias("log"))
+
+
+ROW = "row bigint, chunk bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, rare array<bigint>, text binary, grams array<bigint>"
+
+
+def score_documents(docs: DataFrame, train: DataFrame, *, most_grams: int | None = None, frequent: int = 400_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of docs (doc_id, held_out, text).
 
     score is the log10 probability of the text and its end under the trie, base_score that of its words and the end by
     smoothed counts. Null and empty texts have the end alone. Repeated rows are each scored; without training texts the
     trie is empty, every byte costs log10 257, and base_score follows its formula with counts of 0. Words meet by 64-bit
-    hashes. An empty table stays empty.
+    hashes. An empty table stays empty. The trie is whole unless most_grams bounds its levels.
     """
     spark = docs.sparkSession
     word_counts, gram_counts = count_all(train)
     n_train = train.count()
-    trie = train_trie(gram_counts, most_grams)
+    levels = gram_levels(gram_counts, most_grams)
     whole = word_counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     train_tokens, distinct = (whole.n or 0) + n_train, whole.v + (n_train > 0)
     log_all = float(np.log10(train_tokens + 0.1 * (distinct + 1)))
     top = word_counts.orderBy(F.col("n").desc(), "hash").limit(frequent).toArrow().combine_chunks()
     keys = top.column("hash").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    sent = spark.sparkContext.broadcast((trie, keys[order], np.log10(top.column("n").to_numpy()[order] + 0.1)))
+    sent = spark.sparkContext.broadcast((keys[order], np.log10(top.column("n").to_numpy()[order] + 0.1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        trie, keys, logs = sent.value
-        trie.prepare()
+        keys, logs = sent.value
         find, row = Lookup(keys), TaskContext.get().partitionId() << 33
+        chunk, held, size = row, [], 0
+
+        def asked() -> pa.RecordBatch:
+            """A row for each 65,536 distinct grams of the chunk."""
+            its = np.unique(np.concatenate(held)).view(np.int64)
+            offsets = np.append(np.arange(0, len(its), 1 << 16), len(its)).astype(np.int32)
+            n = len(offsets) - 1
+            nothing = [pa.nulls(n, t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.binary())]
+            return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(np.full(n, chunk)), *nothing, pa.ListArray.from_arrays(offsets, pa.array(its))], names=NAMES)
+
         for batch in batches:
             for part in slices(batch, 2, 1 << 20):
                 texts = normal(part.column(2))
@@ -239,18 +287,45 @@ def score_documents(docs: DataFrame, train: DataFrame, *, most_grams: int = 800_
                 n_known = np.bincount(text[known], minlength=len(texts)).astype(np.int64)
                 rare, offsets = hashes[~known].view(np.int64), np.concatenate(([0], np.cumsum(counts - n_known))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + len(texts))), *part.columns[:2], pa.array(counts + 1), pa.array(n_known), pa.array(base), pa.array(trie.score(texts)), pa.ListArray.from_arrays(offsets, pa.array(rare))],
-                    names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare"],
+                    [pa.array(np.arange(row, row + len(texts))), pa.array(np.full(len(texts), chunk)), *part.columns[:2], pa.array(counts + 1), pa.array(n_known), pa.array(base), pa.ListArray.from_arrays(offsets, pa.array(rare)), pa.array(texts, pa.binary()), pa.nulls(len(texts), pa.list_(pa.int64()))],
+                    names=NAMES,
                 )
                 row += len(texts)
-
-    rows = stored(docs.select("doc_id", "held_out", "text").mapInArrow(run, ROW), "scores")
+                held.append(np.unique(grams(texts)[0]))
+                size += sum(map(len, texts)) + len(texts)
+                if size > CHUNK:
+                    yield asked()
+                    chunk, held, size = row, [], 0
+        if held:
+            yield asked()
+
+    def total(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        """Each text's sum over its grams' answers."""
+        keys = answers.column("gram").to_numpy().view(np.uint64)
+        find, logs = Lookup(keys), answers.column("log").to_numpy()
+        scores = []
+        for start in range(0, texts.num_rows, 256):
+            packed, size = grams(texts.column("text")[start : start + 256].to_pylist())
+            scores.append(np.add.reduceat(logs[find(packed)], np.cumsum(size) - size))
+        return pa.table({"row": texts.column("row"), "score": np.concatenate(scores)})
+
+    NAMES = [f.split()[0] for f in ROW.split(", ")]
+    rows = stored(docs.select("doc_id", "held_out", "text").mapInArrow(run, ROW), "rows")
+    asked = rows.filter("grams is not null").select("chunk", F.explode("grams").alias("gram"))
+    longest = levels[ORDER].withColumn("total", F.sum("n").over(Window.partitionBy(F.shiftright("gram", 8))))
+    seen = longest.select("gram", F.log10((F.col("n") - 0.5) / F.col("total")).alias("log"))
+    met = stored(asked.join(seen, "gram", "left"), "met")
+    unseen = met.filter("log is null").select("chunk", "gram")
+    found = escaped(stored(unseen.select("gram").distinct(), "unseen"), levels)
+    answers = met.filter("log is not null").select("chunk", "gram", "log").unionByName(unseen.join(found, "gram").select("chunk", "gram", "log"))
+    rows = rows.filter("grams is null")
+    scores = rows.select("chunk", "row", "text").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(total, "row bigint, score double")
     # Words that aren't among the frequent ones: to their counts, and back to their rows.
-    asked = rows.select("row", F.explode("rare").alias("hash")).groupBy("row", "hash").agg(F.count(F.lit(1)).alias("times"))
-    met = asked.join(word_counts, "hash", "left").groupBy("row").agg(
+    wanted = rows.select("row", F.explode("rare").alias("hash")).groupBy("row", "hash").agg(F.count(F.lit(1)).alias("times"))
+    met_words = wanted.join(word_counts, "hash", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("more_known")
     )
-    joined = rows.drop("rare").join(met, "row", "left")
+    joined = rows.drop("rare", "text", "grams", "chunk").join(scores, "row").join(met_words, "row", "left")
     end = float(np.log10(n_train + 0.1))
     return joined.select(
         "doc_id",
