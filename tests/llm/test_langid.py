@@ -48,3 +48,13 @@ def test_edges(spark, docs):
     assert langid.language_report(odd.filter("lang is null")).first().lang_pred == "und"
     kept = langid.keep_known_languages(docs)
     assert kept.columns == docs.columns and kept.count() > 950
+
+
+def test_nul_inside_a_text(docs):
+    _, _, text_of = langid.ngrams(["a\0b", "İx \0", "", "c\0\0d"])
+    assert text_of.tolist() == [0, 0, 1, 1, 3, 3]  # lower-cased, the dotted I gets a mark that is no letter
+    model = langid.fit_on_training_fold(docs)
+    text = {r.lang: r.text for r in docs.groupBy("lang").agg(F.max("text").alias("text")).collect()}
+    want = [model.judge([t])[0] for t in (text["de"].replace(" ", "\0"), text["es"], "a\0b")]
+    got = model.judge([text["de"].replace(" ", "\0"), text["es"], "a\0b"])
+    assert [x[0] for x in got] == [x[0] for x in want] and [x[2] for x in got] == [x[2] for x in want] and got[1][0] == "es"

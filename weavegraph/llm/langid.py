@@ -28,12 +28,14 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     Words are runs of letters; n-grams are taken from the lower-cased word with a space at both ends.
     """
-    joined = "\x00".join(texts).lower()
+    lowered = [t.lower() for t in texts]
+    joined = "\x00".join(lowered)
     code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     if not len(code):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     letter = _letters(code)
-    text = np.cumsum(code == 0)
+    # By lengths, as a text may hold the separator.
+    text = np.repeat(np.arange(len(lowered)), np.fromiter((len(t) + 1 for t in lowered), dtype=np.int64, count=len(lowered)))[:-1]
     begins = letter & ~np.concatenate(([False], letter[:-1]))
     word_of_text = text[begins]
     n_words = len(word_of_text)
