@@ -28,11 +28,32 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     Words are runs of letters; n-grams are taken from the lower-cased word with a space at both ends.
     """
+    chars, own, word_of_text = _characters(texts)
+    one, two, three = _keys(chars)
+    same2, same3 = own[:-1] == own[1:], own[:-2] == own[2:]
+    inner = chars != 32
+    grams = np.concatenate((one[inner], two[same2], three[same3]))
+    words = np.concatenate((own[inner], own[:-1][same2], own[:-2][same3]))
+    return grams, words, word_of_text
+
+
+def _keys(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of the one, two and three characters from each place on."""
+    mix = np.uint64(0x9E3779B97F4A7C15)
+    one = (chars + np.uint64(1)) * mix
+    two = (one[:-1] ^ (chars[1:] + np.uint64(7))) * mix
+    three = (two[:-1] ^ (chars[2:] + np.uint64(13))) * mix
+    return tuple((x >> np.uint64(47)).astype(np.int64) for x in (one, two, three))
+
+
+def _characters(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words one behind the other, each with a space at both ends; the word of each character; the text of each word."""
+    nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     lowered = [t.lower() for t in texts]
     joined = "\x00".join(lowered)
     code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     if not len(code):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return nothing
     letter = _letters(code)
     # By lengths, as a text may hold the separator.
     text = np.repeat(np.arange(len(lowered)), np.fromiter((len(t) + 1 for t in lowered), dtype=np.int64, count=len(lowered)))[:-1]
@@ -40,23 +61,14 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     word_of_text = text[begins]
     n_words = len(word_of_text)
     if not n_words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    # Words one behind the other, each with a space before and one behind.
+        return nothing
     word = np.cumsum(begins)[letter] - 1
     size = np.bincount(word, minlength=n_words) + 2
     chars = np.full(int(size.sum()), 32, dtype=np.uint64)
     own = np.repeat(np.arange(n_words), size)
     at = np.arange(len(word)) + 2 * word + 1
     chars[at] = code[letter]
-    mix = np.uint64(0x9E3779B97F4A7C15)
-    one = (chars + np.uint64(1)) * mix
-    two = (one[:-1] ^ (chars[1:] + np.uint64(7))) * mix
-    three = (two[:-1] ^ (chars[2:] + np.uint64(13))) * mix
-    same2, same3 = own[:-1] == own[1:], own[:-2] == own[2:]
-    inner = chars != 32
-    grams = np.concatenate((one[inner], two[same2], three[same3]))
-    words = np.concatenate((own[inner], own[:-1][same2], own[:-2][same3]))
-    return (grams >> np.uint64(47)).astype(np.int64), words, word_of_text
+    return chars, own, word_of_text
 
 
 _letter_table = np.zeros(0, dtype=bool)
@@ -82,6 +94,34 @@ class Model:
         self.languages = languages
         share = (counts + smoothing) / (counts.sum(axis=0) + smoothing * len(counts))
         self.log = np.log(share).astype(np.float32)
+        # A third of all n-grams are single letters.
+        self.letter = np.log(3 * (counts.sum(axis=1) + smoothing) / (counts.sum() + smoothing * len(counts))).astype(np.float32)
+
+    def background(self, texts: list[str]) -> np.ndarray:
+        """Log-likelihood of each word under no language: n-grams of letters in any order, or else any bucket."""
+        chars, own, word_of_text = _characters(texts)
+        letter = np.where(chars != 32, self.letter[_keys(chars)[0]], np.log(0.2))  # every fifth place, about, is a space
+        same2, same3 = own[:-1] == own[1:], own[:-2] == own[2:]
+        inner = chars != 32
+        free = np.concatenate((letter[inner], (letter[:-1] + letter[1:])[same2], (letter[:-2] + letter[1:-1] + letter[2:])[same3])) - np.log(3)
+        words = np.concatenate((own[inner], own[:-1][same2], own[:-2][same3]))
+        return np.bincount(words, weights=np.logaddexp(free, -np.log(BUCKETS)) - np.log(2), minlength=len(word_of_text))
+
+    def learned(self, texts: list[str | None], rounds: int = 12, temper: float = 1 / 3) -> np.ndarray:
+        """For each text, the share of its words that all learned languages together explain beside the background."""
+        texts = [t or "" for t in texts]
+        out = np.zeros(len(texts))
+        grams, words, text_of = ngrams(texts)
+        if not len(text_of) or not self.languages:
+            return out
+        n = len(text_of)
+        like = [np.bincount(words, weights=self.log[grams, j], minlength=n) for j in range(len(self.languages))]
+        like = np.stack([*like, self.background(texts)], axis=1) * temper
+        docs, first, inverse = np.unique(text_of, return_index=True, return_inverse=True)
+        top = like.max(axis=1, keepdims=True)
+        shares, _ = self._fit(np.exp(like - top), top[:, 0], inverse, first, np.bincount(inverse).astype(np.float64), np.ones((len(docs), like.shape[1]), dtype=bool), rounds)
+        out[docs] = shares[:, :-1].sum(axis=1)
+        return out
 
     def judge(self, texts: list[str | None], rounds: int = 12, temper: float = 1 / 3) -> list[tuple[str, float, int, list[tuple[str, float]]]]:
         """For each text: language or und, score, words, and the chosen languages with their shares."""
@@ -221,7 +261,15 @@ def language_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_known_languages(docs: DataFrame, least_share: float = 0.5) -> DataFrame:
-    """Documents in one of the learned languages: those of no language, or of none for half of their words, go."""
+    """Documents in learned languages, one or several: those without letters, or with most words in none of them, go."""
     into = free_name(docs, "language")
-    found = identify(docs, fit_on_training_fold(docs), carry=docs.columns, into=into)
-    return found.filter((F.col(f"{into}.lang_pred") != "und") & (F.col(f"{into}.score") >= least_share)).drop(into)
+    sent = docs.sparkSession.sparkContext.broadcast(fit_on_training_fold(docs))
+
+    def judge():
+        def call(texts: pa.Array) -> pa.Array:
+            return pa.StructArray.from_arrays([pa.array(sent.value.learned(texts.to_pylist()))], names=["learned"])
+
+        return call
+
+    found = annotate(docs, "text", docs.columns, into, "learned double", judge, 1 << 20)
+    return found.filter((F.col(f"{into}.learned") > 0) & (F.col(f"{into}.learned") >= least_share)).drop(into)
