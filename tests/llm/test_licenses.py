@@ -43,3 +43,15 @@ def test_edges(spark, docs, classifier):
     assert sorted((str(r.doc_id), r.f) for r in got) == [("1", []), ("2", []), ("3", []), ("4", ["MIT"]), ("4", ["MIT"]), ("None", [])]
     assert all(p.line == 0 and p.template > 0.9 for r in got for p in r.paragraphs)
     assert licenses.license_report(odd.limit(0)).count() == 0
+
+
+def test_wrapped_notices(spark, classifier):
+    import textwrap
+
+    mit, gpl, bsd = licenses.TEMPLATES["MIT"][1], licenses.TEMPLATES["GPL"][1], licenses.TEMPLATES["BSD"][1]
+    wrap = lambda t, width=72, sign="": "\n".join(sign + x for x in textwrap.wrap(t, width))
+    prose = "Haanth reoush hewh and onon hahehe."
+    rows = [(1, wrap(mit)), (2, wrap(bsd, 40)), (3, f"{prose}\n{wrap(gpl, sign='# ')}\n{prose}\n\n{prose}"), (4, wrap(mit, 30) + "\n\n" + wrap(gpl, 50)), (5, f"{prose}\n{prose}"), (6, mit)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.families, r.unknown) for r in licenses.scan(table, classifier, carry=["doc_id"], into="l").select("doc_id", "l.*").collect()}
+    assert got == {1: (["MIT"], 0), 2: (["BSD"], 0), 3: (["GPL"], 0), 4: (["GPL", "MIT"], 0), 5: ([], 0), 6: (["MIT"], 0)}

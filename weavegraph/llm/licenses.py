@@ -1,10 +1,11 @@
 """License scans: a trained paragraph classifier, with template comparison confirming what it says.
 
-Paragraphs are lines. The classifier is a multinomial logistic regression on sparse word n-grams (one to three words)
+Paragraphs are single lines, and runs of lines up to a blank one, as notices are often wrapped: where a whole run holds
+enough of a template, its windows of lines are judged as one paragraph each. The classifier is a multinomial logistic regression on sparse word n-grams (one to three words)
 over the licence families, a class of unknown licences and one for all other text. It learns from the families'
 templates, each cut, joined with words of its surroundings and thinned out in many ways; from the same with the words
 that only one family has replaced, as unknown licences; and from paragraphs of the corpus itself without licence words
-(a bounded sample by a hash of doc_id). Only n-grams of the templates carry weights; any other is a zero.
+(a bounded sample by a hash of doc_id and line). Only n-grams of the templates carry weights; any other is a zero.
 
 Half of the made paragraphs calibrate: the temperature that makes held-out probabilities true, and the probability below
 which a paragraph that looks like a licence is of an unknown family. A prediction counts as confirmed if the paragraph
@@ -189,12 +190,63 @@ class Classifier:
                 out.append((int(some[start + row]), self.classes[c] if sure >= self.threshold and agrees >= confirm else UNKNOWN, self.classes[c], sure, agrees))
         return out
 
+    def wrapped(self, lines: list[bytes], owner: list[int], confirm: float = 0.5) -> list[tuple[int, int, str, str, float, float]]:
+        """(first line, line behind the last, then as judge()) of families' notices that go over several lines of one text.
+
+        What a window of lines confirms, its whole run of lines holds too, so only such runs are cut into windows. They
+        grow from each line until they hold twice the words of the longest template; the best ones stay, without overlap.
+        """
+        blank = [not x.translate(WORDS).strip() for x in lines]
+        runs, start = [], 0
+        for i in range(1, len(lines) + 1):
+            if i == len(lines) or blank[i] or blank[i - 1] or owner[i] != owner[i - 1]:
+                if i - start > 1:
+                    runs.append((start, i))
+                start = i
+        if not runs:
+            return []
+        some, x, _ = self.design([b" ".join(lines[a:b]) for a, b in runs])
+        weighed = self.template * self.rarity
+        holds = ((x @ weighed.T) / weighed.sum(axis=1)).max(axis=1, initial=0) >= confirm
+        most = 2 * max(len(t.encode().translate(WORDS).split()) for its in TEMPLATES.values() for t in its)
+        spans = []
+        for r in some[holds].tolist():
+            a, b = runs[r]
+            n = [len(x.translate(WORDS).split()) for x in lines[a:b]]
+            for i in range(b - a):
+                held = n[i]
+                for j in range(i + 1, b - a):
+                    held += n[j]
+                    spans.append((a + i, a + j + 1))
+                    if held > most:
+                        break
+        found = [(*spans[k], *rest) for k, *rest in self.judge([b" ".join(lines[a:b]) for a, b in spans], confirm) if rest[0] != UNKNOWN]
+        out, taken = [], set()
+        for hit in sorted(found, key=lambda h: (-round(h[5], 6), h[1] - h[0], h[0])):
+            if taken.isdisjoint(range(hit[0], hit[1])):
+                taken.update(range(hit[0], hit[1]))
+                out.append(hit)
+        return sorted(out)
+
+    def scan(self, lines: list[bytes], owner: list[int]) -> list[tuple[int, str, str, float, float]]:
+        """judge() of single lines and of wrapped notices, each at its first line; lines within a notice aren't told again.
+
+        A line that is a confirmed notice by itself stays, and takes the place of a window that adds nothing to it.
+        """
+        single = self.judge(lines)
+        alone = {line: family for line, family, *_ in single if family != UNKNOWN}
+        windows = [h for h in self.wrapped(lines, owner) if h[2] not in {alone.get(i) for i in range(h[0], h[1])}]
+        inside = {i for a, b, *_ in windows for i in range(a, b)}
+        return sorted([x for x in single if x[1] != UNKNOWN or x[0] not in inside] + [(a, *rest) for a, _, *rest in windows])
+
 
 def train(docs: DataFrame, *, text: str = "text", most_docs: int = 400, per_doc: int = 10) -> Classifier:
     """A classifier; the corpus gives its other text: lines without licence words of about most_docs documents."""
     rows = docs.filter((F.length(f"`{text}`") > 0)).select("doc_id", F.col(f"`{text}`").alias("text"))
     pick = (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) + 0.5) / (1 << 30)
-    lines = rows.filter(pick < min(1.0, most_docs / max(1, docs.count()))).select(F.explode(F.slice(F.filter(F.split("text", "\n"), lambda x: ~x.rlike(LICENCE_WORDS) & (F.length(x) < 2000)), 1, per_doc)).alias("line"))
+    fit = F.filter(F.split("text", "\n"), lambda x: ~x.rlike(LICENCE_WORDS) & (F.length(x) < 2000))
+    hashed = F.transform(fit, lambda x: F.struct(F.xxhash64(F.col("doc_id"), x).alias("hash"), x.alias("line")))
+    lines = rows.filter(pick < min(1.0, most_docs / max(1, docs.count()))).select(F.explode(F.slice(F.array_sort(hashed), 1, per_doc)).alias("its")).select("its.line")
     others = sorted({r.line.encode() for r in lines.filter(count_words("line") > 0).collect()})
     return Classifier().fit(others)
 
@@ -216,7 +268,7 @@ def scan(docs: DataFrame, classifier: Classifier, *, carry: list[str], into: str
                 lines += its
                 owner += [i] * len(its)
             out = [{"families": set(), "unknown": 0, "paragraphs": []} for _ in range(len(texts))]
-            for line, family, predicted, probability, template in sent.value.judge(lines):
+            for line, family, predicted, probability, template in sent.value.scan(lines, owner):
                 row = out[owner[line]]
                 row["paragraphs"].append({"line": line - first[owner[line]], "family": family, "predicted": predicted, "probability": probability, "template": template})
                 if family == UNKNOWN:
