@@ -74,8 +74,8 @@ def test_lookup():
     assert (find(keys) == np.arange(len(keys))).all() and (find(keys + np.uint64(2**50)) == -1).all()
 
 
-@pytest.mark.parametrize("frequent", [400_000, 7])
-def test_against_brute_force(spark, frequent):
+@pytest.mark.parametrize(("chunk_bytes", "buckets"), [(32 << 20, None), (3000, 5)])
+def test_against_brute_force(spark, chunk_bytes, buckets):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(60)
     rows = [tuple(r) for r in docs.collect()] + [(5000, None), (5001, ""), (5002, "Zq zq\tzQ  unseenword"), (5002, "Zq zq\tzQ  unseenword"), (None, "a b")]
     table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
@@ -86,7 +86,7 @@ def test_against_brute_force(spark, frequent):
     plain = [b" ".join(its[:-1]) for its in words]
     counts = brute_trie([t for t, h in zip(plain, held, strict=True) if not h])
     want = sorted((str(d), h, len(its), sum(w in seen for w in its), n, sum(math.log10((seen[w] + 0.1) / (n + 0.1 * (v + 1))) for w in its), brute_score(counts, t)) for (d, _), t, h, its in zip(rows, plain, held, words, strict=True))
-    got = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in ppm.score_report(table, frequent=frequent).collect())
+    got = sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in ppm.score_report(table, chunk_bytes=chunk_bytes, buckets=buckets).collect())
     assert len(got) == len(want)
     for a, b in zip(got, want, strict=True):
         assert a[:5] == b[:5] and abs(a[5] - b[5]) < 1e-6 and abs(a[6] - b[6]) < 1e-6
@@ -96,8 +96,7 @@ def test_held_out_text_and_edges(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id % 2 = 0")
     got = ppm.score_report(docs).filter("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
-    small = ppm.score_report(docs, most_grams=2000).filter("held_out").collect()
-    assert sum(r.score for r in small) < sum(r.score for r in got) < 0
+    assert sum(r.score for r in got) < 0
     assert ppm.score_report(docs.limit(0)).count() == 0
 
 
@@ -117,3 +116,21 @@ def test_whole_model_on_a_larger_table(spark):
 def test_ahead_on_a_thousand_documents(spark):
     got = ppm.score_report(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def test_blocks_of_long_texts():
+    rng = random.Random(4)
+    texts = [bytes(rng.choice(b"abc ") for _ in range(n)) for n in (0, 1, 900, 3, 0, 250)]
+    want, size = ppm.grams(texts)
+    for most in (1, 7, 64, 1 << 20):
+        blocks = list(ppm.gram_blocks(texts, most))
+        assert (np.concatenate([b[0] for b in blocks]) == want).all()
+        assert (np.concatenate([b[1] for b in blocks]) == np.repeat(np.arange(len(texts)), size)).all()
+
+
+def test_other_columns_and_nothing_to_learn(spark):
+    rows = [(6, "a b", 1, "x"), (6, "a b", 2, "y")]  # crc32("6") % 10 == 0, so both are held out
+    assert zlib.crc32(b"6") % 10 == 0
+    got = ppm.score_report(spark.createDataFrame(rows, "doc_id bigint, text string, chunk int, score string")).collect()
+    assert [(r.n_tokens, r.n_known, r.train_tokens) for r in got] == [(3, 0, 0)] * 2
+    assert all(abs(r.score + 4 * math.log10(257)) < 1e-9 and abs(r.base_score) < 1e-9 for r in got)

@@ -6,12 +6,12 @@ never seen there, an escape (method D: half a count of each distinct byte of the
 the bytes of the longer context are excluded, and so on down to all 256 bytes and the end of text. Contexts are nested,
 so what a level has to exclude is known per context of the level above, and whole texts are scored as arrays.
 
-The trie comes from all training texts and is held in written tables, whole: tasks count their (ORDER+1)-grams, Spark
-adds them up, and shorter contexts are sums over longer ones. No part of it is broadcast. Scoring cuts the texts into
-chunks; a chunk asks for each of its distinct grams once. Grams that training has get their probability in a join; for
-the others the escapes are followed by joins with a level after the other, once per distinct gram. The answers go back to
-their chunk, where whole texts are summed as arrays. For the baseline, every training word is counted; the most frequent
-`frequent` words (their hashes and counts) are sent to the tasks, and all others meet their counts in a join.
+The trie comes from all training texts and is whole. Documents are cut into chunks, and a chunk's distinct grams, with their
+counts in training texts, are dealt to buckets by the last NEAR bytes of their contexts. So a bucket holds all chunks'
+counts of its part of the trie, for all contexts of NEAR bytes and more, and answers for every gram of every chunk in one
+task; contexts of fewer bytes are a table that bytes bound, which is broadcast. The answers go back to their chunks, where
+whole texts are summed as arrays. A gram goes through the shuffle once per chunk, however often it occurs; sorted grams
+and counts travel as compressed columns. Words for the baseline are dealt, counted and answered in the same way.
 """
 
 from __future__ import annotations
@@ -20,16 +20,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from weavegraph.llm.common import slices, stored
 from weavegraph.llm.langid import fold
-from weavegraph.llm.shingles import FOLD, word_hashes
+from weavegraph.llm.shingles import FOLD, mix, word_hashes
 
 ORDER = 6
+#: Grams are dealt by so many bytes of their contexts, the last ones.
+NEAR = 3
 #: Bytes of text in a chunk, about.
-CHUNK = 16 << 20
+CHUNK = 32 << 20
 #: Bytes that no UTF-8 text has: before the text, and its end.
 START, END = 0xFE, 0xFF
 SYMBOLS = 257
@@ -147,198 +152,284 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return key, np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)
 
 
-def count_all(train: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of all training texts: words (hash, n) and grams (gram, n). Column text; null texts are empty."""
+def gram_blocks(texts: list[bytes], most: int = 4 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """grams() in blocks of at most `most` places, however long a text is: the grams, and the number of the text of each."""
+    pad = bytes([START]) * ORDER
+    code = np.frombuffer(pad + (bytes([END]) + pad).join(texts) + bytes([END]), dtype=np.uint8)
+    size = np.array([len(t) + 1 for t in texts], dtype=np.int64)
+    begin = np.cumsum(size + ORDER) - size - ORDER  # of each text's places in code, less the padding before it
+    for start in range(0, len(code) - ORDER, most):
+        held = code[start : start + most + ORDER].astype(np.uint64)
+        packed = np.zeros(len(held) - ORDER, dtype=np.uint64)
+        for i in range(ORDER + 1):
+            packed = (packed << np.uint64(8)) | held[i : len(held) - ORDER + i]
+        place = np.arange(start, start + len(packed))
+        text = np.searchsorted(begin, place, side="right") - 1
+        keep = place - begin[text] < size[text]  # others end in the padding of the next text
+        yield packed[keep], text[keep]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[list, list, int]] = [([], [], 0), ([], [], 0)]
 
-        def row(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)], names=["kind", "key", "n"])
+def squeezed(values: np.ndarray) -> bytes:
+    """64-bit numbers as bytes, all first bytes before all second ones, and compressed."""
+    return pa.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
 
-        for batch in batches:
-            for part in slices(batch, 0, 2 << 20):
-                texts = normal(part.column(0))
-                for kind, keys in enumerate((word_hashes(texts)[0], grams(texts)[0])):
-                    unique, counts = np.unique(keys, return_counts=True)
-                    all_keys, all_counts, n = held[kind]
-                    held[kind] = ([*all_keys, unique], [*all_counts, counts], n + len(unique))
-                    if held[kind][2] > 1_500_000:
-                        merged = _summed(*held[kind][:2])
-                        if len(merged[0]) > 750_000:
-                            yield row(kind, *merged)
-                            held[kind] = ([], [], 0)
-                        else:
-                            held[kind] = ([merged[0]], [merged[1]], len(merged[0]))
-        for kind, (keys, counts, n) in enumerate(held):
-            if n:
-                yield row(kind, *_summed(keys, counts))
-
-    made = train.select("text").mapInArrow(run, "kind int, key bigint, n bigint")
-    summed = stored(made.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    return summed.filter("kind = 0").select(F.col("key").alias("hash"), "n"), summed.filter("kind = 1").select(F.col("key").alias("gram"), "n")
-
-
-def gram_levels(gram_counts: DataFrame, most_grams: int | None = None) -> list[DataFrame]:
-    """levels[k]: gram of k context bytes and a symbol, n. All of them, or, if most_grams is given, as many a level at most.
-
-    A bounded level holds the grams of at least the count at which these fit, and of at least the shorter level's.
+
+def unsqueezed(blob: bytes, n: int, kind: type) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(blob, decompressed_size=8 * n, codec="zstd"), dtype=np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def dealt(kind: int, keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys in order of their buckets, the buckets that have any, and where each begins (one more for the end).
+
+    Grams go by the last NEAR bytes of their context, so all longer contexts of a gram are in its bucket; words by their hash.
     """
-    levels = [gram_counts]
-    for k in range(ORDER, 0, -1):
-        shorter = F.col("gram").bitwiseAND((1 << 8 * k) - 1)
-        levels.append(stored(levels[-1].groupBy(shorter.alias("gram")).agg(F.sum("n").alias("n")), "grams"))
-    levels.reverse()
-    if most_grams is None:
-        return levels
-    out, least = [], 1
-    for df in levels:
-        if df.count() > most_grams:
-            # The first count that is too many: one more is the least that fits.
-            held = 0
-            for r in df.groupBy("n").agg(F.count(F.lit(1)).alias("grams")).orderBy(F.col("n").desc()).toLocalIterator():
-                held += r.grams
-                if held > most_grams:
-                    least = max(least, r.n + 1)
-                    break
-        out.append(stored(df.filter(F.col("n") >= least), "grams"))
-    return out
-
-
-def escaped(asked: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """gram, log: the log10 probability of distinct grams that the longest level doesn't have, along their escapes."""
-    zero = F.lit(0.0)
-    now = asked.select("gram", zero.alias("log"), F.lit(False).alias("done"), F.lit(0).cast("bigint").alias("off_total"), F.lit(0).cast("bigint").alias("off_distinct"))
-    for k in range(ORDER, -1, -1):
-        now = now.withColumn("key", F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1)).withColumn("context", F.shiftright("key", 8))
-        mine = levels[k].withColumn("context", F.shiftright("gram", 8))
-        open_ = now.filter(~F.col("done")).select("context").distinct()
-        # Only the contexts that are asked for, with what each excludes from the next shorter one.
-        its = mine.join(open_, "context", "left_semi")
-        if k:
-            suffix = levels[k - 1].select(F.col("gram").alias("suffix"), F.col("n").alias("below"))
-            its = its.withColumn("suffix", F.col("gram").bitwiseAND((1 << 8 * k) - 1)).join(suffix, "suffix", "left")
-        else:
-            its = its.withColumn("below", F.lit(0).cast("bigint"))
-        stats = its.groupBy("context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"), F.sum("below").alias("taken"))
-        if k < 3:  # 65,793 contexts at most, and hot ones among them
-            stats = F.broadcast(stats)
-        now = now.join(stats, "context", "left").drop("context")
-        if k < ORDER:
-            exact = levels[k].select(F.col("gram").alias("key"), "n")
-            now = now.join(F.broadcast(exact) if k < 2 else exact, "key", "left")
-        else:
-            now = now.withColumn("n", F.lit(None).cast("bigint"))
-        total, distinct = F.col("total") - F.col("off_total"), F.col("distinct") - F.col("off_distinct")
-        live, known, hit = ~F.col("done"), F.col("total").isNotNull(), F.col("n").isNotNull()
-        step = F.when(live & hit, F.log10((F.col("n") - 0.5) / total)).when(live & known & (distinct > 0), F.log10(0.5 * distinct / total)).otherwise(zero)
-        now = now.select("gram", (F.col("log") + step).alias("log"), (F.col("done") | hit).alias("done"), F.coalesce("taken", F.lit(0)).alias("off_total"), F.coalesce("distinct", F.lit(0)).alias("off_distinct"))
-        now = stored(now, "escapes")
-    rest = float(np.log10(SYMBOLS - levels[0].count()))
-    return now.select("gram", F.when(F.col("done"), F.col("log")).otherwise(F.col("log") - rest).alias("log"))
+    its = mix((keys >> np.uint64(8)) & np.uint64((1 << 8 * NEAR) - 1)) if kind == GRAMS else keys
+    bucket = ((its >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    some, first = np.unique(bucket[order], return_index=True)
+    return order, some.astype(np.int64), np.append(first, len(keys))
 
 
-ROW = "row bigint, chunk bigint, doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, rare array<bigint>, text binary, grams array<bigint>"
+class Tally:
+    """The distinct keys of some texts, with their counts in those to learn from."""
 
+    def __init__(self) -> None:
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.held = 0
+
+    def add(self, keys: np.ndarray, learn: np.ndarray) -> None:
+        for its, weight in ((keys[learn], 1), (keys[~learn], 0)):
+            if len(its):
+                unique, counts = np.unique(its, return_counts=True)
+                self.keys.append(unique)
+                self.counts.append(counts * weight)
+                self.held += len(unique)
+        if self.held > 6_000_000:
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys and their counts."""
+        if len(self.keys) != 1:
+            keys, counts = _summed(self.keys, self.counts) if self.keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            self.keys, self.counts, self.held = [keys], [counts], 0
+        return self.keys[0], self.counts[0]
+
+
+GRAMS, WORDS, LOW, TEXTS = range(4)
+CUT = "chunk bigint, bucket int, n bigint, keys binary, counts binary, doc_ids array<bigint>, held_out array<boolean>, sizes array<bigint>, kind int"
+ANSWER = "chunk bigint, kind int, bucket int, n bigint, seen binary, total binary, rest binary, whole bigint"
 
-def score_documents(docs: DataFrame, train: DataFrame, *, most_grams: int | None = None, frequent: int = 400_000) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of docs (doc_id, held_out, text).
 
-    score is the log10 probability of the text and its end under the trie, base_score that of its words and the end by
-    smoothed counts. Null and empty texts have the end alone. Repeated rows are each scored; without training texts the
-    trie is empty, every byte costs log10 257, and base_score follows its formula with counts of 0. Words meet by 64-bit
-    hashes. An empty table stays empty. The trie is whole unless most_grams bounds its levels.
+def cut(docs: DataFrame, buckets: int, chunk_bytes: int) -> DataFrame:
+    """The documents (doc_id, held_out, text) in chunks of about chunk_bytes, each with its distinct grams and words.
+
+    Of kind TEXTS: a row for some documents, n of them to learn from, keys their compressed texts. GRAMS and WORDS: a row
+    per chunk and bucket with n keys, sorted, and their counts. LOW: a row per chunk, the grams of two context bytes.
     """
-    spark = docs.sparkSession
-    word_counts, gram_counts = count_all(train)
-    n_train = train.count()
-    levels = gram_levels(gram_counts, most_grams)
-    whole = word_counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    train_tokens, distinct = (whole.n or 0) + n_train, whole.v + (n_train > 0)
-    log_all = float(np.log10(train_tokens + 0.1 * (distinct + 1)))
-    top = word_counts.orderBy(F.col("n").desc(), "hash").limit(frequent).toArrow().combine_chunks()
-    keys = top.column("hash").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    sent = spark.sparkContext.broadcast((keys[order], np.log10(top.column("n").to_numpy()[order] + 0.1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        keys, logs = sent.value
-        find, row = Lookup(keys), TaskContext.get().partitionId() << 33
-        chunk, held, size = row, [], 0
+        chunk, held, tallies = TaskContext.get().partitionId() << 32, 0, (Tally(), Tally())
+
+        def row(kind: int, bucket: int | None, n: int, keys: bytes, counts: bytes | None, of: tuple = (None, None, None)) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((chunk, bucket, n, keys, counts, *of, kind), fields, strict=True)], schema=fields)
 
-        def asked() -> pa.RecordBatch:
-            """A row for each 65,536 distinct grams of the chunk."""
-            its = np.unique(np.concatenate(held)).view(np.int64)
-            offsets = np.append(np.arange(0, len(its), 1 << 16), len(its)).astype(np.int32)
-            n = len(offsets) - 1
-            nothing = [pa.nulls(n, t) for t in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.binary())]
-            return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array(np.full(n, chunk)), *nothing, pa.ListArray.from_arrays(offsets, pa.array(its))], names=NAMES)
+        def asked() -> Iterator[pa.RecordBatch]:
+            for kind, tally in enumerate(tallies):
+                keys, counts = tally.merge()
+                order, some, first = dealt(kind, keys, buckets)
+                sorted_keys, sorted_counts = keys[order], counts[order]
+                for b, i, j in zip(some.tolist(), first[:-1].tolist(), first[1:].tolist(), strict=True):
+                    yield row(kind, b, j - i, squeezed(sorted_keys[i:j]), squeezed(sorted_counts[i:j]))
+            keys, counts = tallies[GRAMS].merge()
+            some = counts > 0
+            if some.any():
+                keys, counts = _summed([keys[some] & np.uint64((1 << 8 * NEAR) - 1)], [counts[some]])
+                yield row(LOW, None, len(keys), squeezed(keys), squeezed(counts))
 
         for batch in batches:
-            for part in slices(batch, 2, 1 << 20):
-                texts = normal(part.column(2))
+            for part in slices(batch, 2, 4 << 20):
+                texts, out = normal(part.column(2)), part.column(1).to_numpy(zero_copy_only=False).astype(bool)
+                blob = b"".join(texts)
+                held += len(blob) + len(texts)
+                of = (part.column(0).to_pylist(), out.tolist(), [len(t) for t in texts])
+                yield row(TEXTS, None, int((~out).sum()), pa.compress(blob, codec="zstd", asbytes=True), None, of)
+                for packed, text in gram_blocks(texts):
+                    tallies[GRAMS].add(packed, ~out[text])
                 hashes, counts = word_hashes(texts)
-                place = find(hashes)
-                text = np.repeat(np.arange(len(texts)), counts)
-                known = place >= 0
-                base = np.bincount(text[known], weights=logs[place[known]], minlength=len(texts)) if len(logs) else np.zeros(len(texts))
-                n_known = np.bincount(text[known], minlength=len(texts)).astype(np.int64)
-                rare, offsets = hashes[~known].view(np.int64), np.concatenate(([0], np.cumsum(counts - n_known))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(row, row + len(texts))), pa.array(np.full(len(texts), chunk)), *part.columns[:2], pa.array(counts + 1), pa.array(n_known), pa.array(base), pa.ListArray.from_arrays(offsets, pa.array(rare)), pa.array(texts, pa.binary()), pa.nulls(len(texts), pa.list_(pa.int64()))],
-                    names=NAMES,
-                )
-                row += len(texts)
-                held.append(np.unique(grams(texts)[0]))
-                size += sum(map(len, texts)) + len(texts)
-                if size > CHUNK:
-                    yield asked()
-                    chunk, held, size = row, [], 0
+                tallies[WORDS].add(hashes, np.repeat(~out, counts))
+                if held > chunk_bytes:
+                    yield from asked()
+                    chunk, held, tallies = chunk + 1, 0, (Tally(), Tally())
         if held:
-            yield asked()
-
-    def total(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        """Each text's sum over its grams' answers."""
-        keys = answers.column("gram").to_numpy().view(np.uint64)
-        find, logs = Lookup(keys), answers.column("log").to_numpy()
-        scores = []
-        for start in range(0, texts.num_rows, 256):
-            packed, size = grams(texts.column("text")[start : start + 256].to_pylist())
-            scores.append(np.add.reduceat(logs[find(packed)], np.cumsum(size) - size))
-        return pa.table({"row": texts.column("row"), "score": np.concatenate(scores)})
-
-    NAMES = [f.split()[0] for f in ROW.split(", ")]
-    rows = stored(docs.select("doc_id", "held_out", "text").mapInArrow(run, ROW), "rows")
-    asked = rows.filter("grams is not null").select("chunk", F.explode("grams").alias("gram"))
-    longest = levels[ORDER].withColumn("total", F.sum("n").over(Window.partitionBy(F.shiftright("gram", 8))))
-    seen = longest.select("gram", F.log10((F.col("n") - 0.5) / F.col("total")).alias("log"))
-    met = stored(asked.join(seen, "gram", "left"), "met")
-    unseen = met.filter("log is null").select("chunk", "gram")
-    found = escaped(stored(unseen.select("gram").distinct(), "unseen"), levels)
-    answers = met.filter("log is not null").select("chunk", "gram", "log").unionByName(unseen.join(found, "gram").select("chunk", "gram", "log"))
-    rows = rows.filter("grams is null")
-    scores = rows.select("chunk", "row", "text").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(total, "row bigint, score double")
-    # Words that aren't among the frequent ones: to their counts, and back to their rows.
-    wanted = rows.select("row", F.explode("rare").alias("hash")).groupBy("row", "hash").agg(F.count(F.lit(1)).alias("times"))
-    met_words = wanted.join(word_counts, "hash", "left").groupBy("row").agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.1)).alias("more"), F.sum(F.when(F.col("n").isNotNull(), F.col("times"))).alias("more_known")
-    )
-    joined = rows.drop("rare", "text", "grams", "chunk").join(scores, "row").join(met_words, "row", "left")
-    end = float(np.log10(n_train + 0.1))
-    return joined.select(
+            yield from asked()
+
+    fields = to_arrow_schema(T.StructType.fromDDL(CUT))
+    return docs.select("doc_id", "held_out", "text").mapInArrow(run, CUT)
+
+
+def low_levels(cut_rows: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The trie's levels of up to two context bytes: 257 * 65,536 grams at most, so they may go through the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts = [], []
+        for batch in batches:
+            for n, k, c in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                keys.append(unsqueezed(k, n, np.uint64))
+                counts.append(unsqueezed(c, n, np.int64))
+            if len(keys) > 256:
+                keys, counts = map(lambda x: [x], _summed(keys, counts))
+        if keys:
+            gram, n = _summed(keys, counts)
+            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n)], names=["gram", "n"])
+
+    rows = cut_rows.filter(F.col("kind") == LOW).select("n", "keys", "counts").mapInArrow(run, "gram bigint, n bigint")
+    table = rows.groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    longest = _summed([table.column("gram").to_numpy().view(np.uint64)], [table.column("n").to_numpy()])
+    return shorter_levels(longest, NEAR - 1, 0)
+
+
+def shorter_levels(longest: tuple[np.ndarray, np.ndarray], order: int, least: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Levels least to order, out of the grams of `order` context bytes."""
+    levels = [longest]
+    for k in range(order, least, -1):
+        keys, counts = levels[-1]
+        levels.append(_summed([keys & np.uint64((1 << 8 * k) - 1)], [counts]))
+    return levels[::-1]
+
+
+def answers(cut_rows: DataFrame, low: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """For each row of GRAMS and WORDS, what the model says of its keys; and, as chunk -1, a row per bucket of words: n distinct ones, whole all.
+
+    A bucket's task merges the chunks' counts into its part of the trie, whole for all contexts of NEAR bytes and more;
+    shorter contexts come with `low`. seen and total: count of a key, and of all that follow its context (grams); rest:
+    the log10 probability of grams that were never seen, along their escapes.
+    """
+    sent = cut_rows.sparkSession.sparkContext.broadcast(low)
+
+    def run(group: pa.Table) -> pa.Table:
+        kind, bucket = group.column("kind")[0].as_py(), group.column("bucket")[0].as_py()
+        size = group.column("n").to_pylist()
+        ends = np.cumsum(size)
+        keys = np.concatenate([unsqueezed(k, n, np.uint64) for k, n in zip(group.column("keys").to_pylist(), size, strict=True)])
+        counts = np.concatenate([unsqueezed(c, n, np.int64) for c, n in zip(group.column("counts").to_pylist(), size, strict=True)])
+        learnt = counts > 0
+        model = _summed([keys[learnt]], [counts[learnt]])
+        seen, total, rest = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64), np.zeros(0)
+        if kind == WORDS:
+            place = Lookup(model[0])(keys)
+            seen[place >= 0] = model[1][place[place >= 0]]
+        else:
+            trie = Trie([*sent.value, *shorter_levels(model, ORDER, NEAR)])
+            trie.prepare()
+            place = trie.find_gram[ORDER](keys)
+            known = place >= 0
+            seen[known] = model[1][place[known]]
+            total[known] = trie.total[ORDER][trie.find_context[ORDER](keys[known] >> np.uint64(8))]
+            rest = trie.log10(keys[~known])
+        before = np.concatenate(([0], np.cumsum(seen == 0)))
+        rows = {"chunk": group.column("chunk").to_pylist(), "seen": [], "total": [], "rest": [], "whole": [None] * len(size)}
+        for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            rows["seen"].append(squeezed(seen[i:j]))
+            rows["total"].append(squeezed(total[i:j]) if kind == GRAMS else None)
+            rows["rest"].append(rest[before[i] : before[j]].tobytes() if kind == GRAMS else None)
+        if kind == WORDS:
+            for c, v in (("chunk", -1), ("seen", None), ("total", None), ("rest", None), ("whole", int(model[1].sum()))):
+                rows[c].append(v)
+            size = [*size, len(model[0])]
+        rows |= {"kind": [kind] * len(size), "bucket": [bucket] * len(size), "n": size}
+        return pa.table([pa.array(rows[f.name], f.type) for f in fields], schema=fields)
+
+    fields = to_arrow_schema(T.StructType.fromDDL(ANSWER))
+    asked = cut_rows.filter(F.col("kind").isin(GRAMS, WORDS)).select("kind", "bucket", "chunk", "n", "keys", "counts")
+    return asked.groupBy("kind", "bucket").applyInArrow(run, ANSWER)
+
+
+SCORE = "doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double"
+
+
+def add_up(cut_rows: DataFrame, answered: DataFrame, buckets: int) -> DataFrame:
+    """Each document's sums over the answers to its chunk."""
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        tallies, all_texts = (Tally(), Tally()), []
+        for blob, sizes in zip(texts.column("keys").to_pylist(), texts.column("sizes").to_pylist(), strict=True):
+            joined, upto = pa.decompress(blob, decompressed_size=sum(sizes), codec="zstd", asbytes=True), np.cumsum(sizes).tolist()
+            its = [joined[b - n : b] for b, n in zip(upto, sizes, strict=True)]
+            all_texts.append(its)
+            for packed, _ in gram_blocks(its):
+                tallies[GRAMS].add(packed, np.ones(len(packed), bool))
+            hashes, _ = word_hashes(its)
+            tallies[WORDS].add(hashes, np.ones(len(hashes), bool))
+        answers = answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
+        find, values = [], []
+        for kind, tally in enumerate(tallies):
+            keys = tally.merge()[0]
+            its = answers.filter(pc.equal(answers.column("kind"), kind))
+            seen = [unsqueezed(x, n, np.int64) for x, n in zip(its.column("seen").to_pylist(), its.column("n").to_pylist(), strict=True)]
+            seen = np.concatenate(seen) if seen else np.zeros(0, np.int64)
+            find.append(Lookup(keys[dealt(kind, keys, buckets)[0]]))
+            if kind == GRAMS:
+                total = np.concatenate([unsqueezed(x, n, np.int64) for x, n in zip(its.column("total").to_pylist(), its.column("n").to_pylist(), strict=True)])
+                logs = np.log10((np.maximum(seen, 1) - 0.5) / np.maximum(total, 1))
+                logs[seen == 0] = np.concatenate([np.frombuffer(x) for x in its.column("rest").to_pylist()])
+                values.append(logs)
+            else:
+                values.append(seen)
+        n_tokens, known, base, score = [], [], [], []
+        for its in all_texts:
+            hashes, counts = word_hashes(its)
+            owner, c = np.repeat(np.arange(len(its)), counts), values[WORDS][find[WORDS](hashes)] if len(hashes) else np.zeros(0, np.int64)
+            n_tokens.append(counts + 1)
+            known.append(np.bincount(owner, weights=c > 0, minlength=len(its)).astype(np.int64))
+            base.append(np.bincount(owner, weights=np.log10(c + 0.1), minlength=len(its)))
+            sums = np.zeros(len(its))
+            for packed, text in gram_blocks(its):
+                sums += np.bincount(text, weights=values[GRAMS][find[GRAMS](packed)], minlength=len(its))
+            score.append(sums)
+        flat = lambda c: [x for its in texts.column(c).to_pylist() for x in its]
+        columns = [flat("doc_ids"), flat("held_out"), *(np.concatenate(x) for x in (n_tokens, known, base, score))]
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields)
+
+    fields = to_arrow_schema(T.StructType.fromDDL(SCORE))
+    texts = cut_rows.filter(F.col("kind") == TEXTS).select("chunk", "keys", "doc_ids", "held_out", "sizes")
+    its = answered.filter("chunk >= 0").select("chunk", "kind", "bucket", "n", "seen", "total", "rest")
+    return texts.groupBy("chunk").cogroup(its.groupBy("chunk")).applyInArrow(run, SCORE)
+
+
+def score_documents(docs: DataFrame, *, chunk_bytes: int = CHUNK, buckets: int | None = None) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of docs (doc_id, held_out, text).
+
+    The model learns from all rows that aren't held out. score is the log10 probability of the text and its end under the
+    trie, base_score that of its words and the end by smoothed counts. Null and empty texts have the end alone; texts of
+    any length are scored whole, in blocks. Repeated rows each teach and are each scored, ties play no part; without rows
+    to learn from every byte costs log10 257, and base_score follows its formula with counts of 0. Words meet by 64-bit
+    hashes. Other columns play no part, whatever they are called. An empty table stays empty.
+    """
+    if buckets is None:
+        # As many buckets as chunks, about, so that neither a bucket's rows nor a chunk's grow fast.
+        held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = int(min(50_000, max(64, (held >> 14) ** 0.5)))
+    rows = stored(cut(docs, buckets, chunk_bytes), "ppm-cut", "kind")
+    answered = stored(answers(rows, low_levels(rows)), "ppm-answers")
+    n_train = rows.filter(F.col("kind") == TEXTS).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    words = answered.filter("chunk < 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("v"), F.coalesce(F.sum("whole"), F.lit(0)).alias("n")).first()
+    train_tokens, distinct = words.n + n_train, words.v + (n_train > 0)
+    log_all, end = float(np.log10(train_tokens + 0.1 * (distinct + 1))), float(np.log10(n_train + 0.1))
+    return add_up(rows, answered, buckets).select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("known") + F.coalesce("more_known", F.lit(0)) + int(n_train > 0)).cast("bigint").alias("n_known"),
+        (F.col("known") + int(n_train > 0)).alias("n_known"),
         F.lit(train_tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("more", F.lit(0.0)) + end - F.col("n_tokens") * log_all).alias("base_score"),
+        (F.col("base") + end - F.col("n_tokens") * log_all).alias("base_score"),
         "score",
     )
 
 
 def score_report(docs: DataFrame, **options) -> DataFrame:
     """All documents, learned from those whose fold of ten isn't 0."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), (fold("doc_id", 10) == 0).alias("held_out"), "text")
-    return score_documents(rows, rows.filter(~F.col("held_out")), **options)
+    return score_documents(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), (fold("doc_id", 10) == 0).alias("held_out"), "text"), **options)
