@@ -148,11 +148,15 @@ class Trie:
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    return key, np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)
+    """Sorted distinct keys and the sums of their counts; sorted parts are merged rather than sorted anew."""
+    key, n = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(n, first) if len(key) else n
 
 
-def gram_blocks(texts: list[bytes], most: int = 4 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def gram_blocks(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """grams() in blocks of at most `most` places, however long a text is: the grams, and the number of the text of each."""
     pad = bytes([START]) * ORDER
     code = np.frombuffer(pad + (bytes([END]) + pad).join(texts) + bytes([END]), dtype=np.uint8)
@@ -206,7 +210,7 @@ class Tally:
                 self.keys.append(unique)
                 self.counts.append(counts * weight)
                 self.held += len(unique)
-        if self.held > 6_000_000:
+        if self.held > 2_500_000:
             self.merge()
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
@@ -219,7 +223,7 @@ class Tally:
 
 GRAMS, WORDS, LOW, TEXTS = range(4)
 CUT = "chunk bigint, bucket int, n bigint, keys binary, counts binary, doc_ids array<bigint>, held_out array<boolean>, sizes array<bigint>, kind int"
-ANSWER = "chunk bigint, kind int, bucket int, n bigint, seen binary, total binary, rest binary, whole bigint"
+ANSWER = "chunk bigint, kind int, bucket int, n bigint, keys binary, seen binary, total binary, rest binary, whole bigint"
 
 
 def cut(docs: DataFrame, buckets: int, chunk_bytes: int) -> DataFrame:
@@ -251,7 +255,7 @@ def cut(docs: DataFrame, buckets: int, chunk_bytes: int) -> DataFrame:
                 yield row(LOW, None, len(keys), squeezed(keys), squeezed(counts))
 
         for batch in batches:
-            for part in slices(batch, 2, 4 << 20):
+            for part in slices(batch, 2, 1 << 20):
                 texts, out = normal(part.column(2)), part.column(1).to_numpy(zero_copy_only=False).astype(bool)
                 blob = b"".join(texts)
                 held += len(blob) + len(texts)
@@ -331,13 +335,13 @@ def answers(cut_rows: DataFrame, low: list[tuple[np.ndarray, np.ndarray]]) -> Da
             total[known] = trie.total[ORDER][trie.find_context[ORDER](keys[known] >> np.uint64(8))]
             rest = trie.log10(keys[~known])
         before = np.concatenate(([0], np.cumsum(seen == 0)))
-        rows = {"chunk": group.column("chunk").to_pylist(), "seen": [], "total": [], "rest": [], "whole": [None] * len(size)}
+        rows = {"chunk": group.column("chunk").to_pylist(), "keys": group.column("keys").to_pylist(), "seen": [], "total": [], "rest": [], "whole": [None] * len(size)}
         for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
             rows["seen"].append(squeezed(seen[i:j]))
             rows["total"].append(squeezed(total[i:j]) if kind == GRAMS else None)
             rows["rest"].append(rest[before[i] : before[j]].tobytes() if kind == GRAMS else None)
         if kind == WORDS:
-            for c, v in (("chunk", -1), ("seen", None), ("total", None), ("rest", None), ("whole", int(model[1].sum()))):
+            for c, v in (("chunk", -1), ("keys", None), ("seen", None), ("total", None), ("rest", None), ("whole", int(model[1].sum()))):
                 rows[c].append(v)
             size = [*size, len(model[0])]
         rows |= {"kind": [kind] * len(size), "bucket": [bucket] * len(size), "n": size}
@@ -351,29 +355,26 @@ def answers(cut_rows: DataFrame, low: list[tuple[np.ndarray, np.ndarray]]) -> Da
 SCORE = "doc_id bigint, held_out boolean, n_tokens bigint, known bigint, base double, score double"
 
 
-def add_up(cut_rows: DataFrame, answered: DataFrame, buckets: int) -> DataFrame:
-    """Each document's sums over the answers to its chunk."""
+def add_up(cut_rows: DataFrame, answered: DataFrame) -> DataFrame:
+    """Each document's sums over the answers to its chunk, which come with their keys."""
 
     def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        tallies, all_texts = (Tally(), Tally()), []
+        all_texts = []
         for blob, sizes in zip(texts.column("keys").to_pylist(), texts.column("sizes").to_pylist(), strict=True):
             joined, upto = pa.decompress(blob, decompressed_size=sum(sizes), codec="zstd", asbytes=True), np.cumsum(sizes).tolist()
-            its = [joined[b - n : b] for b, n in zip(upto, sizes, strict=True)]
-            all_texts.append(its)
-            for packed, _ in gram_blocks(its):
-                tallies[GRAMS].add(packed, np.ones(len(packed), bool))
-            hashes, _ = word_hashes(its)
-            tallies[WORDS].add(hashes, np.ones(len(hashes), bool))
-        answers = answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
+            all_texts.append([joined[b - n : b] for b, n in zip(upto, sizes, strict=True)])
         find, values = [], []
-        for kind, tally in enumerate(tallies):
-            keys = tally.merge()[0]
+        for kind in (GRAMS, WORDS):
             its = answers.filter(pc.equal(answers.column("kind"), kind))
-            seen = [unsqueezed(x, n, np.int64) for x, n in zip(its.column("seen").to_pylist(), its.column("n").to_pylist(), strict=True)]
-            seen = np.concatenate(seen) if seen else np.zeros(0, np.int64)
-            find.append(Lookup(keys[dealt(kind, keys, buckets)[0]]))
+
+            def whole(column: str, like: type, its: pa.Table = its) -> np.ndarray:
+                parts = [unsqueezed(x, n, like) for x, n in zip(its.column(column).to_pylist(), its.column("n").to_pylist(), strict=True)]
+                return np.concatenate(parts) if parts else np.zeros(0, like)
+
+            seen = whole("seen", np.int64)
+            find.append(Lookup(whole("keys", np.uint64)))
             if kind == GRAMS:
-                total = np.concatenate([unsqueezed(x, n, np.int64) for x, n in zip(its.column("total").to_pylist(), its.column("n").to_pylist(), strict=True)])
+                total = whole("total", np.int64)
                 logs = np.log10((np.maximum(seen, 1) - 0.5) / np.maximum(total, 1))
                 logs[seen == 0] = np.concatenate([np.frombuffer(x) for x in its.column("rest").to_pylist()])
                 values.append(logs)
@@ -396,7 +397,7 @@ def add_up(cut_rows: DataFrame, answered: DataFrame, buckets: int) -> DataFrame:
 
     fields = to_arrow_schema(T.StructType.fromDDL(SCORE))
     texts = cut_rows.filter(F.col("kind") == TEXTS).select("chunk", "keys", "doc_ids", "held_out", "sizes")
-    its = answered.filter("chunk >= 0").select("chunk", "kind", "bucket", "n", "seen", "total", "rest")
+    its = answered.filter("chunk >= 0").select("chunk", "kind", "n", "keys", "seen", "total", "rest")
     return texts.groupBy("chunk").cogroup(its.groupBy("chunk")).applyInArrow(run, SCORE)
 
 
@@ -419,7 +420,7 @@ def score_documents(docs: DataFrame, *, chunk_bytes: int = CHUNK, buckets: int |
     words = answered.filter("chunk < 0").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("v"), F.coalesce(F.sum("whole"), F.lit(0)).alias("n")).first()
     train_tokens, distinct = words.n + n_train, words.v + (n_train > 0)
     log_all, end = float(np.log10(train_tokens + 0.1 * (distinct + 1))), float(np.log10(n_train + 0.1))
-    return add_up(rows, answered, buckets).select(
+    return add_up(rows, answered).select(
         "doc_id",
         "held_out",
         "n_tokens",
