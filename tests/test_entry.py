@@ -1,4 +1,4 @@
-import importlib.util
+import sys
 
 import __spark_entry__
 
@@ -9,8 +9,18 @@ def test_entry(spark):
 
 
 def test_without_the_text_operators(monkeypatch):
-    found = importlib.util.find_spec
-    monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if name.startswith("weavegraph.llm") else found(name, *a))
+    for name in [m for m in sys.modules if m.startswith("weavegraph.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "weavegraph.llm", None)
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
     queries = __spark_entry__.queries()
-    assert len(queries) > 150 and not any(q.startswith("op") or q == "pipeline" for q in queries)
+    assert len(queries) > 190 and not any(q.startswith("op") or q == "pipeline" for q in queries)
     assert set(__spark_entry__.oracle_sql()) <= set(queries)
+
+
+def test_with_a_text_operator_that_lacks_a_dependency(monkeypatch):
+    """A missing package takes the text operators with it, and no query of the library."""
+    for name in [m for m in sys.modules if m.startswith("weavegraph.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "pyarrow.compute", None)
+    assert len(__spark_entry__.queries()) > 190

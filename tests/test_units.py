@@ -1,6 +1,7 @@
 """Operators on small rows: nulls, ties, twins, empty tables, broken rows."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,15 +79,77 @@ def test_results_hold_under_any_partitioning(spark):
 def test_walker(spark):
     text = '{"a":[{"m_FileID":1,"m_PathID":-5},{"m_FileID":0,"m_PathID":0},{"m_FileID":1,"m_PathID":2,"x":1}],"t":{"_termID":0,"_dev":""},"big":{"deep":{"er":1}},"s":null}'
     df = spark.createDataFrame([(1, text), (2, "not json"), (3, None), (4, "[]")], "id int, p string")
-    nodes = walk.walk(df, "p", ["id"], 3, blocked=("big",))
-    assert {r.path for r in nodes.collect()} >= {"a", "a[0]", "a[0].m_PathID", "t._termID", "s"} and not any("big" in r.path for r in nodes.collect())
-    assert [(r.path, r.file_id, r.path_id) for r in walk.pointers(nodes).collect()] == [("a[0]", 1, -5)]
-    assert len(walk.pointers(nodes, null_slots=True).collect()) == 2
-    assert [(r.path, r.term_id, r.dev) for r in walk.localised(nodes).collect()] == [("t", 0, "")]
-    assert [r.capable for r in walk.text_key_census(nodes).collect()] == [0]
+    leaves = walk.leaves(df, "p", ["id"], blocked=("big",)).collect()
+    assert {(r.path, r.kind, r.text) for r in leaves} >= {("a[0].m_PathID", "BIGINT", "-5"), ("t._termID", "BIGINT", "0"), ("s", "VOID", None)} and not any("big" in r.path for r in leaves)
+    assert [(r.path, r.key, r.pos, r.file_id, r.path_id) for r in walk.pointers(df, "p", ["id"]).collect()] == [("a[0]", "a", 0, 1, -5)]
+    assert len(walk.pointers(df, "p", ["id"], null_slots=True).collect()) == 2
+    assert [(r.path, r.term_id, r.dev) for r in walk.localised(df, "p", ["id"]).collect()] == [("t", 0, "")]
+    assert [r.capable for r in walk.text_key_census(df, "p").collect()] == [0]
     assert {r[0] for r in spark.createDataFrame([(".a[0].b[12]",)], "p string").select(walk.normalize_field_path("p")).collect()} == {"a[].b[]"}
 
 
+def test_pointers_of_any_depth(spark):
+    """Repeats stay, signed ids pass, script and object leaves and null targets don't, and no pointer is opened."""
+    deep = '{"x":[' * 40 + '{"Leaf":{"m_FileID":0,"m_PathID":3001}}' + "]}" * 40
+    text = (
+        '{"Items":[{"DefaultItem":{"m_FileID":0,"m_PathID":3001}},{"DefaultItem":{"m_FileID":0,"m_PathID":3001}}],"m_Script":{"m_FileID":1,"m_PathID":-9000000000000000001},'
+        '"m_GameObject":{"m_FileID":0,"m_PathID":5},"DeadRef":{"m_FileID":3,"m_PathID":7999},"Null":{"m_FileID":0,"m_PathID":0},"Refs":[{"m_FileID":2,"m_PathID":-7001}],'
+        '"True":{"m_FileID":true,"m_PathID":1},"Text":{"m_FileID":"1","m_PathID":1},"Large":{"m_FileID":1,"m_PathID":9223372036854775808}}'
+    )
+    df = spark.createDataFrame([(1, text), (2, deep)], "id int, p string")
+    got = sorted((r.id, r.key, r.file_id, r.path_id) for r in walk.pointers(df, "p", ["id"]).collect())
+    assert got == [(1, "DeadRef", 3, 7999), (1, "DefaultItem", 0, 3001), (1, "DefaultItem", 0, 3001), (1, "Refs", 2, -7001), (2, "Leaf", 0, 3001)]
+    slots = walk.pointers(df, "p", ["id"], null_slots=True)
+    assert slots.count() == 8 and walk.pointers(df.limit(0), "p", ["id"]).count() == 0
+    variant = df.select("id", F.parse_json("p").alias("p"))
+    assert walk.pointers(variant, "p", ["id"]).count() == 5
+
+
+def test_residue_of_pointers(spark):
+    rows = ['{"Icon":{"m_FileID":1,"m_PathID":2},"IconReference":{"m_AssetGUID":"ab"}}', '{"Icon":{"m_FileID":1,"m_PathID":2},"IconReference":{"m_AssetGUID":" "}}', '{"bigICON":[{"m_FileID":0,"m_PathID":2}]}', '{"Icon":{"m_FileID":0,"m_PathID":0}}', '{"other":{"m_FileID":1,"m_PathID":2}}']
+    df = spark.createDataFrame(list(enumerate(rows)), "id int, p string")
+    assert sorted(r.id for r in walk.pointer_residue(df, "p", ["id"]).collect()) == [1, 2]
+    assert tuple(walk.residue_counters(walk.pointers(df, "p", ["id"], null_slots=True)).first()) == (5, 1, 2, 1, 1)
+
+
+def test_closest_candidates(spark):
+    rng = random.Random(3)
+    words = ["red", "blue", "ring", "bolt", "gear", "old", "new", "hot", "cold", "big"]
+    say = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    names = sorted({(rng.choice("kl"), say(rng.randrange(1, 11))) for _ in range(60)})
+    targets = sorted({(rng.choice("kl"), say(rng.randrange(1, 12))) for _ in range(80)})
+    want = {}
+    for kind, name in names:
+        scored = sorted((-len(set(name.split()) & set(t.split())), len(t), t) for k, t in targets if k == kind and set(name.split()) & set(t.split()))
+        want.update({(kind, name, i + 1): (t, -n) for i, (n, _, t) in enumerate(scored[:3])})
+    for most in (2, 8):
+        got = graph.closest_candidates(spark.createDataFrame(names, "kind string, name string"), spark.createDataFrame(targets, "kind string, target string"), "kind", "name", "target", most_tokens=most)
+        assert {(r.kind, r.name, r["rank"]): (r.target, r.overlap) for r in got.collect()} == want
+
+
+def test_repeats_with_nulls_and_manifests(spark):
+    rows = spark.createDataFrame([("k", "a", None), ("k", None, "a")], "k string, x string, y string")
+    assert one(quality.identical_repeats(rows, ["k"], "d")) == ("FAIL", 1)
+    from weavegraph.sources import io
+
+    of = lambda *v: io.content_manifest(spark.createDataFrame([("g", x) for x in v], "g string, x string"), ["g"]).first().content
+    assert of("x", "x") != of("y", "y") and of("x", "y") == of("y", "x") and of("x") != of("x", "x")
+
+
+def test_ladder_with_repeated_lookup_keys(spark):
+    refs, table = spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(1, "b"), (1, "a")], "k int, v string")
+    assert sorted((r.k, r.v, r.status) for r in resolve.resolve_ladder(refs, [("miss", table, ["k"])]).collect()) == [(1, "a", "resolved"), (2, None, "miss")]
+    assert sorted((r.k, r.v, r.route) for r in resolve.coalesce_lookups(refs, [("t", table)], ["k"], "v").collect()) == [(1, "a", "t"), (2, None, "none")]
+
+
+def test_census_with_a_gap(spark):
+    make = lambda rows, ddl="c string, n int": spark.createDataFrame(rows, ddl)
+    census, errors, manifest, catalogue = make([("e", 2), ("m", 3), ("x", 4)]), make([("e", 1)]), [("e",)], [("m",)] * 3
+    run = lambda m, c: {r.dataset: r.status for r in quality.census_reconcile(census, errors, make(m, "c string"), make(c, "c string"), "c", ["e"], ["m"]).collect()}
+    assert run(manifest, catalogue) == {"objects": "PASS", "m": "PASS"}
+    assert run([], catalogue) == {"objects": "FAIL", "m": "PASS"} and run(manifest, catalogue[:2]) == {"objects": "FAIL", "m": "FAIL"}
+
+
 def test_canonical_payload(spark):
     df = spark.createDataFrame([('{"b":1,"a":{"z":1,"y":[2,1]},"_x":3}',), ('{"a":{"y":[2,1],"z":1},"b":1}',), ("nope",), (None,)], "p string")
     got = [r.payload_hash for r in identity.payload_hash(df, "p").collect()]

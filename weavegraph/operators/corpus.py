@@ -42,7 +42,8 @@ def analyzer_census(docs: DataFrame, locale: str, text: str) -> DataFrame:
         F.count_if(F.col("text").rlike("<[^>]+>")).alias("tag_rows"),
         F.count_if(F.col("text").rlike(r"\{[^{}]+\}")).alias("placeholder_rows"),
     )
-    words = d.select("locale", F.explode("tokens").alias("w")).select("locale", F.lower("w").alias("w")).distinct().groupBy("locale").agg(F.count("*").alias("vocabulary"))
+    own = F.array_distinct(F.transform("tokens", F.lower))  # of a row, before rows meet
+    words = d.select("locale", F.explode(own).alias("w")).distinct().groupBy("locale").agg(F.count("*").alias("vocabulary"))
     return rows.join(words, "locale", "left").fillna(0, ["vocabulary"])
 
 
@@ -94,6 +95,21 @@ def metrics(report: str, df: DataFrame, snapshot: int, units: dict[str, str]) ->
     return df.select(F.lit(report).alias("report"), F.explode(rows).alias("m"), F.lit(snapshot).cast("bigint").alias("snapshot_id")).select("report", "m.metric", "m.value", "m.unit", "snapshot_id")
 
 
+def corpus_manifest(docs: DataFrame, locale: str, kind: str, title: str, key: str, snapshot: int) -> DataFrame:
+    """All counters of a corpus as rows (report, metric, value, unit, snapshot_id): per locale its documents and bytes,
+    over all its documents, locales, kinds, keys, repeated titles and the bytes of all shards."""
+    census = byte_census(docs, locale, title, key)
+    names = {"documents": "documents", "title_bytes": "bytes", "key_bytes": "bytes", "shard_bytes": "bytes"}
+    each = F.array(*[F.struct(F.concat(F.lit(f"{m}."), F.col("locale")).alias("metric"), F.col(m).cast("double").alias("value"), F.lit(u).alias("unit")) for m, u in names.items()])
+    by_locale = census.select(F.explode(each).alias("m")).select(F.lit("corpus").alias("report"), "m.*", F.lit(snapshot).cast("bigint").alias("snapshot_id"))
+    whole = docs.agg(F.count("*").alias("documents"), F.countDistinct(locale).alias("locales"), F.countDistinct(kind).alias("kinds"), F.countDistinct(key).alias("keys"))
+    repeats = collision_totals(docs, kind, title).select("repeated_titles", "titles_of_kinds", F.col("documents").alias("documents_in_repeats"))
+    size = census.agg(F.sum("shard_bytes").alias("shard_bytes"))
+    units = {"documents": "documents", "locales": "locales", "kinds": "kinds", "keys": "keys", "repeated_titles": "titles", "titles_of_kinds": "titles", "documents_in_repeats": "documents", "shard_bytes": "bytes"}
+    one = whole.crossJoin(F.broadcast(repeats)).crossJoin(F.broadcast(size))  # a row each
+    return by_locale.unionByName(metrics("corpus", one, snapshot, units))
+
+
 def open_items(parts: dict[str, DataFrame], item: str) -> DataFrame:
     """One row per open item, with the reason that its part stands for."""
     out = None

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weavegraph.functions.text import norm_name
-from weavegraph.operators.resolve import first_by_priority, top_k
+from weavegraph.operators.resolve import first_by_priority, one_each, top_k
 
 
 def edge_dedup(refs: DataFrame, keys: list[str], location: list[str]) -> DataFrame:
@@ -21,7 +21,9 @@ def pair_matrix(kinds: DataFrame, edges: DataFrame, unresolved: DataFrame) -> Da
     edges: src_kind, src_id, dst_kind, method; unresolved: src_kind, dst_kind, n. Status is missing, partial or modeled.
     """
     pairs = kinds.select(F.col("kind").alias("src_kind")).crossJoin(kinds.select(F.col("kind").alias("dst_kind")))
-    measured = edges.groupBy("src_kind", "dst_kind").agg(F.count("*").alias("edges"), F.countDistinct("src_id").alias("sources"), F.array_join(F.array_sort(F.collect_set("method")), ",").alias("methods"))
+    by_source = edges.groupBy("src_kind", "dst_kind", "src_id").agg(F.count("*").alias("n"), F.collect_set("method").alias("m"))  # methods are few
+    methods = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("m")))), ",")
+    measured = by_source.groupBy("src_kind", "dst_kind").agg(F.sum("n").alias("edges"), F.count("*").alias("sources"), methods.alias("methods"))
     open_ = unresolved.groupBy("src_kind", "dst_kind").agg(F.sum("n").alias("unresolved"))
     out = pairs.join(measured, ["src_kind", "dst_kind"], "left").join(open_, ["src_kind", "dst_kind"], "left").fillna(0, ["edges", "sources", "unresolved"]).fillna("", ["methods"])
     status = F.when((F.col("edges") > 0) & (F.col("unresolved") == 0), "modeled").when(F.col("edges") > 0, "partial").otherwise("missing")
@@ -69,20 +71,39 @@ def first_match_ladder(forms: DataFrame, tails: DataFrame, entity: str) -> DataF
     return first_by_priority(hits, [entity], [F.col("family_rank"), F.col("form_rank"), F.col("key")])
 
 
-def resolve_names(names: DataFrame, targets: DataFrame, name: str, target: str) -> DataFrame:
-    """The target of the same name (exact), else of the same normalised name (normalised, inferred), else none."""
-    exact = targets.groupBy(F.col(target).alias("e__")).agg(F.min(target).alias("exact__"))
-    loose = targets.groupBy(norm_name(target).alias("l__")).agg(F.min(target).alias("loose__"))
-    joined = names.join(exact, F.col(name) == F.col("e__"), "left").join(loose, norm_name(name) == F.col("l__"), "left")
+def resolve_names(names: DataFrame, targets: DataFrame, kind: str, name: str, target: str) -> DataFrame:
+    """The target of the same kind and name (exact), else of the same normalised name (normalised, inferred), else none."""
+    exact = targets.select(kind, F.col(target).alias(name), F.col(target).alias("exact__")).distinct()
+    loose = targets.groupBy(kind, norm_name(target).alias("l__")).agg(F.min(target).alias("loose__"))
+    joined = names.withColumn("l__", norm_name(name)).join(exact, [kind, name], "left").join(loose, [kind, "l__"], "left")
     how = F.when(F.col("exact__").isNotNull(), "exact").when(F.col("loose__").isNotNull(), "normalised").otherwise("none")
-    return joined.withColumn("match", how).withColumn("target", F.coalesce("exact__", "loose__")).drop("e__", "l__", "exact__", "loose__")
+    return joined.withColumn("match", how).withColumn("target", F.coalesce("exact__", "loose__")).withColumn("inferred", F.col("match") == "normalised").drop("l__", "exact__", "loose__")
 
 
-def token_candidates(names: DataFrame, targets: DataFrame, name: str, target: str, k: int = 3) -> DataFrame:
-    """For names without a match, the k targets that share the most tokens (then the shorter, then the smaller)."""
-    tokens = lambda df, c: df.select(c).distinct().select(c, F.explode(F.array_distinct(F.split(F.lower(c), "[^a-z0-9]+"))).alias("token")).filter("token <> ''")
-    shared = tokens(names, name).join(tokens(targets, target), "token").groupBy(name, target).agg(F.count("*").alias("overlap"))
-    return top_k(shared, [name], [F.col("overlap").desc(), F.length(target), F.col(target)], k, "rank")
+def closest_candidates(misses: DataFrame, targets: DataFrame, kind: str, name: str, target: str, k: int = 3, most_tokens: int = 8) -> DataFrame:
+    """For names without a match, the k targets of their kind that share the most tokens (then the shorter, then the smaller).
+
+    No token joins all its names with all its targets: a target is indexed under every set of its tokens, an index entry
+    keeps the k best of its targets, and a name asks for every set of its own tokens. The k best by shared tokens are
+    among those answers. Names or targets of more than most_tokens tokens would have too many sets; such pairs meet by
+    single tokens instead, so nothing is left out.
+    """
+    tokens = lambda c: F.array_sort(F.array_distinct(F.filter(F.split(norm_name(c), "_"), lambda t: t != "")))
+    left = misses.select(kind, name).distinct().withColumn("a__", tokens(name))
+    right = targets.select(kind, target).distinct().withColumn("b__", tokens(target))
+    sets = lambda c: F.expr(
+        f"transform(sequence(1, cast(shiftleft(1, size({c})) - 1 as int)), m -> array_join(filter({c}, (t, i) -> (shiftright(m, i) & 1) = 1), '_'))"
+    )
+    best = [F.length(target), F.col(target)]
+    few = lambda df, c: df.filter(F.size(c).between(1, most_tokens))
+    index = top_k(few(right, "b__").select(kind, target, "b__", F.explode(sets("b__")).alias("set__")), [kind, "set__"], best, k)
+    short = few(left, "a__").select(kind, name, "a__", F.explode(sets("a__")).alias("set__")).join(index, [kind, "set__"])
+    one = lambda df, c: df.filter(F.size(c) > 0).withColumn("token__", F.explode(c))
+    long_left, long_right = left.filter(F.size("a__") > most_tokens), right.filter(F.size("b__") > most_tokens)
+    met = one(long_left, "a__").join(one(right, "b__"), [kind, "token__"]).unionByName(one(few(left, "a__"), "a__").join(one(long_right, "b__"), [kind, "token__"]))
+    pairs = short.select(kind, name, target, "a__", "b__").unionByName(met.select(kind, name, target, "a__", "b__")).distinct()
+    shared = pairs.select(kind, name, target, F.size(F.array_intersect("a__", "b__")).alias("overlap"))
+    return top_k(shared, [kind, name], [F.col("overlap").desc(), *best], k, "rank")
 
 
 def claim_overlay(claims: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
@@ -93,12 +114,75 @@ def claim_overlay(claims: DataFrame, edges: DataFrame, keys: list[str]) -> DataF
 
 def class_accounting(left: DataFrame, right: DataFrame, keys: list[str], reasons: DataFrame, by: str) -> DataFrame:
     """Rows of one side only, with the reason that their class has, or none (to be ledgered)."""
-    l, r = left.select(*keys).distinct().withColumn("l__", F.lit(True)), right.select(*keys).distinct().withColumn("r__", F.lit(True))
-    both = l.join(r, keys, "full")
+    flags = left.select(*keys, F.lit(True).alias("l__"), F.lit(False).alias("r__")).unionByName(right.select(*keys, F.lit(False).alias("l__"), F.lit(True).alias("r__")))
+    both = flags.groupBy(*keys).agg(F.bool_or("l__").alias("l__"), F.bool_or("r__").alias("r__"))
     side = F.when(F.col("l__") & F.col("r__"), "both").when(F.col("l__"), "left").otherwise("right")
     return both.withColumn("side", side).drop("l__", "r__").join(reasons, by, "left")
 
 
+def reverse_index(refs: DataFrame, key: str, usage: str, source: str) -> DataFrame:
+    """A4: per key its usages, the smallest of them, and how many sources use it. Nothing is gathered per key."""
+    by = refs.groupBy(key, source).agg(F.count("*").alias("n"), F.min(usage).alias("first"))
+    return by.groupBy(key).agg(F.sum("n").alias("usages"), F.min("first").alias("first_usage"), F.count("*").alias("sources"))
+
+
+def join_report(refs: DataFrame, group: str, conditions: dict[str, Column], everything: str = "all") -> DataFrame:
+    """Counts of named conditions per group and over all, in one pass."""
+    sums = refs.rollup(group).agg(F.count("*").alias("refs"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in conditions.items()], F.grouping(group).alias("g__"))
+    return sums.withColumn(group, F.when(F.col("g__") == 1, everything).otherwise(F.col(group))).drop("g__")
+
+
+def id_space_sweep(ids: DataFrame, cls: str, number: str, reference: DataFrame, ref: str) -> DataFrame:
+    """Per class its distinct ids, how many are in the reference set, and whether the two spaces agree, overlap or diverge."""
+    own, known = ids.select(cls, number).distinct(), reference.select(F.col(ref).alias(number)).distinct().withColumn("k__", F.lit(True))
+    by = own.join(known, number, "left").groupBy(cls).agg(F.count("*").alias("ids"), F.count("k__").alias("overlap"))
+    return by.withColumn("verdict", F.when(F.col("overlap") == F.col("ids"), "agreed").when(F.col("overlap") > 0, "overlapping").otherwise("divergent"))
+
+
+def surface_coverage(rows: DataFrame, cls: str, prefixes: list[str]) -> DataFrame:
+    """Classes with their number of rows: mapped by the first prefix that fits, or a gap."""
+    counts = rows.groupBy(F.col(cls).alias("class_name")).agg(F.count("*").alias("n"))
+    rule = F.coalesce(*[F.when(F.col("class_name").startswith(p), F.lit(p)) for p in prefixes], F.lit(None).cast("string"))
+    return counts.withColumn("rule", rule).withColumn("coverage", F.when(F.col("rule").isNotNull(), "mapped").otherwise("gap"))
+
+
+#: Reasons of references that don't resolve; fixed values.
+STALE_NAME, EMPTY_NAME, ABSENT = "stale-name", "empty-sub-name", "dlc-content-absent"
+
+
+def join_by_name(refs: DataFrame, catalogue: DataFrame, sub_name: str, chain: str, name: str) -> DataFrame:
+    """A reference is resolved iff its sub-name is one of the catalogue's. The first broken step of its chain (none if
+    whole) is evidence for the reason only."""
+    names = catalogue.select(F.col(name).alias(sub_name)).distinct().withColumn("n__", F.lit(True))
+    named, whole = F.coalesce(F.col(sub_name), F.lit("")) != "", F.col(chain) == "none"
+    out = refs.join(names, sub_name, "left").withColumn("resolved", F.coalesce("n__", F.lit(False)) & named).drop("n__")
+    return out.withColumn("reason", F.when(F.col("resolved"), F.lit(None).cast("string")).when(~whole, ABSENT).when(named, STALE_NAME).otherwise(EMPTY_NAME))
+
+
+def route_counts(joined: DataFrame, sub_name: str) -> DataFrame:
+    """Of join_by_name(), references and distinct names by outcome."""
+    by = joined.groupBy("resolved", "reason", sub_name).agg(F.count("*").alias("n"))
+    return by.groupBy("resolved", "reason").agg(F.sum("n").alias("n"), F.count(F.nullif(F.col(sub_name), F.lit(""))).alias("names"))
+
+
+def manifest_indexes(manifest: DataFrame, path: str, place: list[str], cls: str, definitions: list[str]) -> dict[str, DataFrame]:
+    """A manifest as keyed frames, one row per key: by_path, by_place (class and path), and definitions, of the
+    definition classes only; and class_counts."""
+    by_place = one_each(manifest.select(*place, cls, path), place)
+    return {
+        "by_path": one_each(manifest.select(path, *place, cls), [path]),
+        "by_place": by_place,
+        "definitions": by_place.filter(F.col(cls).isin(*definitions)).drop(cls),
+        "class_counts": manifest.groupBy(cls).agg(F.count("*").alias("n")),
+    }
+
+
+def status_distribution(rows: DataFrame, registry: DataFrame, on: str, status: str, by: str) -> DataFrame:
+    """Rows per group by their registry status; those that the registry lacks are unregistered."""
+    known = one_each(registry.select(on, F.col(status).cast("string").alias("status")), [on])
+    return rows.select(on, by).join(known, on, "left").groupBy(by, F.coalesce("status", F.lit("unregistered")).alias("status")).agg(F.count("*").alias("n"))
+
+
 def condition_counts(df: DataFrame, by: list[str], conditions: dict[str, Column]) -> DataFrame:
     """Counts of named conditions per group in one pass."""
     return df.groupBy(*by).agg(F.count("*").alias("n"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in conditions.items()])

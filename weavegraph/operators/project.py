@@ -74,6 +74,12 @@ def text_capable(term_id: Column, dev: Column) -> Column:
     return (F.coalesce(term_id, F.lit(0)) != 0) | (F.length(F.coalesce(dev, F.lit(""))) > 0)
 
 
+def name_projection(df: DataFrame, name: str, part: str) -> tuple[DataFrame, DataFrame]:
+    """P25: the rows whose name holds the part, and their distinct names with the number of rows."""
+    rows = df.filter(F.contains(F.col(name), F.lit(part)))
+    return rows, rows.groupBy(name).agg(F.count("*").alias("n"))
+
+
 def verbatim(df: DataFrame, payload: str, fields: dict[str, str], keep: list[str]) -> DataFrame:
     """Payload fields (name to JSON path) as they are; missing ones stay null. A payload that isn't JSON gives nulls."""
     v = F.try_parse_json(payload)

@@ -67,9 +67,9 @@ def unique(df: DataFrame, keys: list[str], dataset: str) -> DataFrame:
 
 
 def identical_repeats(df: DataFrame, keys: list[str], dataset: str) -> DataFrame:
-    """Q6: repeated keys whose rows differ."""
+    """Q6: repeated keys whose rows differ; nulls count as values."""
     rest = [c for c in df.columns if c not in keys]
-    return none_of(df.groupBy(*keys).agg(F.countDistinct(F.xxhash64(*rest)).alias("n")).filter("n > 1"), "identical-repeats", dataset)
+    return none_of(df.groupBy(*keys).agg(F.countDistinct(F.struct(*rest)).alias("n")).filter("n > 1"), "identical-repeats", dataset)
 
 
 def foreign_key(df: DataFrame, column: str, target: DataFrame, key: str, dataset: str) -> DataFrame:
@@ -83,6 +83,22 @@ def reconcile(left: DataFrame, right: DataFrame, dataset: str) -> DataFrame:
     return finding(both, "reconcile", dataset, F.col("a"), F.col("b"))
 
 
+def census_reconcile(census: DataFrame, errors: DataFrame, manifest: DataFrame, catalogue: DataFrame, cls: str, exported: list[str], carved: list[str]) -> DataFrame:
+    """Objects counted per class (class, n) against what accounts for them, and each carved-out class against its catalogue rows.
+
+    accounted: manifest rows, catalogue rows, errors (n), and the residual, which is the objects of classes neither
+    exported nor carved out.
+    """
+    per = census.groupBy(cls).agg(F.sum("n").alias("n"))
+    count = lambda df, v: df.agg(F.coalesce(v, F.lit(0)).cast("bigint").alias("v"))
+    parts = [count(manifest, F.count("*")), count(catalogue, F.count("*")), count(errors, F.sum("n")), count(per.filter(~F.col(cls).isin(*exported, *carved)), F.sum("n"))]
+    whole = reconcile(count(per, F.sum("n")), reduce(DataFrame.unionByName, parts).agg(F.sum("v").alias("v")), "objects")
+    want, got = per.filter(F.col(cls).isin(*carved)).select(cls, "n"), catalogue.groupBy(cls).agg(F.count("*").alias("m")).filter(F.col(cls).isin(*carved))
+    each = want.join(got, cls, "full").select(F.col(cls).alias("c"), F.coalesce("n", F.lit(0)).alias("a"), F.coalesce("m", F.lit(0)).alias("b"))
+    status = F.when(F.col("a") == F.col("b"), "PASS").otherwise("FAIL")
+    return whole.unionByName(each.select(F.lit("carve-out").alias("check_id"), F.col("c").alias("dataset"), status.alias("status"), F.col("a").cast("bigint").alias("expected"), F.col("b").cast("bigint").alias("measured")))
+
+
 def same_rows(left: DataFrame, right: DataFrame, dataset: str, check: str = "same-rows") -> DataFrame:
     """Q9, Q10: rows of one side only, either way, repeats counted."""
     return none_of(left.exceptAll(right).unionByName(right.exceptAll(left)), check, dataset)

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weavegraph.functions.text import normalize_ref, strip_hash_suffix
+
 
 def first_by_priority(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in a total order."""
@@ -20,16 +22,29 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str
     return ranked if rank else ranked.drop(name)
 
 
+def one_each(table: DataFrame, on: list[str]) -> DataFrame:
+    """A lookup table with one row per key: of several the smallest. Spark joins it on the same partitioning."""
+    rest = [c for c in table.columns if c not in on]
+    if not rest:
+        return table.select(*on).distinct()
+    return table.groupBy(*on).agg(F.min(F.struct(*rest)).alias("one__")).select(*on, *[F.col(f"one__.`{c}`").alias(c) for c in rest])
+
+
+def locate(refs: DataFrame, entities: DataFrame, on: list[str]) -> DataFrame:
+    """The entity at each reference's place; a place without one stays, as missing."""
+    return resolve_ladder(refs, [("missing", entities, on)], resolved="located")
+
+
 def resolve_ladder(refs: DataFrame, steps: list[tuple[str, DataFrame, list[str]]], status: str = "status", resolved: str = "resolved") -> DataFrame:
     """Refs against lookup tables in order. A step is (reason if missing, table, join columns); each table adds
     its other columns. status is the reason of the first step that misses, or resolved; later steps aren't tried then.
 
-    Tables have one row per join key (see first_by_priority), so rows are neither lost nor multiplied. A null key is a miss.
+    Of a table's rows with one key the smallest counts, so references are neither lost nor multiplied. A null key is a miss.
     """
     out, found = refs, []
     for i, (_, table, on) in enumerate(steps):
         mark = f"hit_{i}__"
-        out = out.join(table.withColumn(mark, F.lit(True)), on, "left")
+        out = out.join(one_each(table, on).withColumn(mark, F.lit(True)), on, "left")
         found.append(mark)
     case = reduce(lambda c, s: c.when(F.col(s[1]).isNull(), s[0][0]), list(zip(steps, found, strict=True))[1:], F.when(F.col(found[0]).isNull(), steps[0][0]))
     return out.withColumn(status, case.otherwise(resolved)).drop(*found)
@@ -47,7 +62,7 @@ def coalesce_lookups(refs: DataFrame, tables: list[tuple[str, DataFrame]], on: l
     """The first table that has the key gives the value; route names it, or none."""
     out = refs
     for i, (_, table) in enumerate(tables):
-        out = out.join(table.select(*on, F.col(value).alias(f"v{i}__")), on, "left")
+        out = out.join(one_each(table.select(*on, value), on).select(*on, F.col(value).alias(f"v{i}__")), on, "left")
     route = F.coalesce(*[F.when(F.col(f"v{i}__").isNotNull(), F.lit(n)) for i, (n, _) in enumerate(tables)], F.lit("none"))
     return out.withColumn(value, F.coalesce(*[F.col(f"v{i}__") for i in range(len(tables))])).withColumn("route", route).drop(*[f"v{i}__" for i in range(len(tables))])
 
@@ -64,12 +79,62 @@ def widen_for_residue(refs: DataFrame, narrow: DataFrame, wide: DataFrame, on: l
 
     Rows keep a column pass: 1, 2 or null. group is a column of refs and wide.
     """
-    first = refs.join(narrow.select(*on, F.lit(1).alias("p1")), on, "left")
+    first = refs.join(narrow.select(*on).distinct().select(*on, F.lit(1).alias("p1")), on, "left")
     needed = first.filter("p1 is null").select(group).distinct()
     more = wide.join(needed, group, "left_semi").select(*on, F.lit(2).alias("p2")).distinct()
     return first.join(more, on, "left").withColumn("pass", F.coalesce("p1", "p2")).drop("p1", "p2")
 
 
+def match_file_ref(refs: DataFrame, keys: DataFrame, ref: str, key: str) -> DataFrame:
+    """The key that a reference's normalised name is (direct), else what stays of it without its hash (hash-suffix)."""
+    named = refs.withColumn("d__", normalize_ref(ref)).withColumn("s__", strip_hash_suffix("d__"))
+    known = keys.select(F.col(key).alias("k__")).distinct()
+    out = named.join(known.select(F.col("k__").alias("d__"), F.col("k__").alias("direct__")), "d__", "left").join(known.select(F.col("k__").alias("s__"), F.col("k__").alias("suffix__")), "s__", "left")
+    how = F.when(F.col("direct__").isNotNull(), "direct").when(F.col("suffix__").isNotNull(), "hash-suffix")
+    return out.withColumn("match", how).withColumn("key", F.coalesce("direct__", "suffix__")).drop("d__", "s__", "direct__", "suffix__")
+
+
+def reverse_lookup(refs: DataFrame, containers: DataFrame, on: list[str], address: str) -> DataFrame:
+    """For each place the addresses that lead to it: how many, and the smallest; none is zero."""
+    by = containers.groupBy(*on).agg(F.countDistinct(address).alias("addresses"), F.min(address).alias("first_address"))
+    return refs.join(by, on, "left").fillna(0, ["addresses"])
+
+
+def anti_missing(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Keys that one side has and the other lacks, both ways."""
+    flags = left.select(*on, F.lit(True).alias("l__"), F.lit(False).alias("r__")).unionByName(right.select(*on, F.lit(False).alias("l__"), F.lit(True).alias("r__")))
+    by = flags.groupBy(*on).agg(F.bool_or("l__").alias("l__"), F.bool_or("r__").alias("r__"))
+    return by.filter(F.col("l__") != F.col("r__")).select(*on, F.when(F.col("l__"), "left").otherwise("right").alias("side"))
+
+
+def two_hop_census(refs: DataFrame, objects: DataFrame, on: list[str], classes: DataFrame, class_on: list[str], source: str, cls: str, home: str) -> DataFrame:
+    """References to objects to the objects' own classes: distinct sources per class, and its smallest home. What
+    misses on the way is of the class unresolved."""
+    j = resolve_ladder(refs, [("unresolved", objects, on), ("unresolved", classes, class_on)])
+    name = F.when(F.col("status") == "resolved", F.col(cls)).otherwise("unresolved")
+    by = j.groupBy(name.alias("class"), source).agg(F.count("*").alias("n"), F.min(home).alias("home"))
+    return by.groupBy("class").agg(F.count("*").alias("sources"), F.sum("n").alias("refs"), F.min("home").alias("first_home"))
+
+
+def presence_status(expected: DataFrame, present: DataFrame, on: list[str]) -> DataFrame:
+    """Every expected row, and whether it is there."""
+    there = present.select(*on).distinct().withColumn("p__", F.lit(True))
+    return expected.join(there, on, "left").withColumn("presence", F.when(F.col("p__"), "present").otherwise("absent")).drop("p__")
+
+
+def text_coincidence(rows: DataFrame, text: str, pivot: DataFrame, pivot_text: str) -> DataFrame:
+    """Rows whose text is one of the pivot's. Texts meet by a hash, and then by themselves."""
+    p = pivot.select(F.xxhash64(pivot_text).alias("h__"), F.col(pivot_text).alias("p__")).distinct()
+    return rows.withColumn("h__", F.xxhash64(text)).join(p, "h__").filter(F.col(text) == F.col("p__")).drop("h__", "p__")
+
+
+def inherit_pool(pools: DataFrame, twins: DataFrame, key: str, name: str, twin: str) -> DataFrame:
+    """(key, name) that a twin has and its own pool lacks. pools: key, name; twins: key, twin."""
+    own = pools.select(key, name).distinct()
+    theirs = twins.join(own.select(F.col(key).alias(twin), name), twin).select(key, name).distinct()
+    return theirs.join(own, [key, name], "left_anti")
+
+
 def in_bounds(points: DataFrame, bounds: DataFrame, on: list[str], axes: list[str]) -> DataFrame:
     """Points within any box of their key: |p - c| <= extent on each axis. bounds has c_<axis> and e_<axis>. An
     equi-join on the key with a range condition; points in several boxes stay one row."""

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weavegraph.operators.graph import condition_counts
+from weavegraph.sources.shared import stored
 
 
 def differing_fields(df: DataFrame, base: DataFrame, on: list[str], fields: list[str]) -> DataFrame:
@@ -73,7 +74,7 @@ def definition_gate(types: DataFrame, terminal: str, rounds: int = 32) -> DataFr
     for _ in range(rounds):
         step = chain.select(F.col("name").alias("n__"), F.col("at").alias("next__"))
         jumped = chain.join(step, chain["at"] == step["n__"], "left").select("name", "at", F.coalesce("next__", "at").alias("next__"))
-        jumped = jumped.checkpoint() if jumped.sparkSession.sparkContext.getCheckpointDir() else jumped
+        jumped = stored(jumped, "chains")  # else the plan would double in each round
         moved = not jumped.filter("at <> next__").isEmpty()
         chain = jumped.select("name", F.col("next__").alias("at"))
         if not moved:

@@ -1,68 +1,160 @@
-"""Walks over nested payloads (N1-N15): one generic walker, and what filters make of its rows."""
+"""Walks over nested payloads (N1-N15): one walker that opens each payload once, and what it is asked to find."""
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 OBJECT, ARRAY = "OBJECT", "ARRAY"
+HEX32 = re.compile(r"[0-9a-f]{32}")
 
 
-def walk(df: DataFrame, payload: str, keep: list[str], depth: int, blocked: tuple[str, ...] = ()) -> DataFrame:
-    """Every node of the payload down to `depth` levels: keep, path, key, pos, value (VARIANT), kind.
+class _Literal(str):
+    """A fraction as it stands in the payload."""
 
-    payload is JSON text or VARIANT; what isn't JSON has no nodes. Blocked keys are dropped before they are opened. Each
-    level is a generator over the one above, in the row's own task, without a shuffle. kind is OBJECT,
-    ARRAY or the leaf's type; deeper nodes stay inside the deepest level's values.
+
+def _whole(value, bits: int = 64) -> bool:
+    """A whole number of so many bits; true and false are none."""
+    return type(value) is int and -(1 << bits - 1) <= value < 1 << bits - 1
+
+
+#: (key, position in a list, node, the object that holds it) to what is found there, if anything, and whether to look inside.
+Find = Callable[[str | None, int | None, object, dict | None], tuple[tuple | None, bool]]
+
+
+def walk(df: DataFrame, payload: str, keep: list[str], columns: str, find: Find, blocked: tuple[str, ...] = ()) -> DataFrame:
+    """What find() finds in each payload, to any depth: keep, path, key, pos and the columns of find (as DDL).
+
+    Spark can't follow a payload to a depth that isn't known beforehand in one pass, so this is a generator over Arrow
+    batches: a payload is parsed once and walked with a stack, and only what is found leaves it. payload is JSON text or
+    VARIANT; what isn't JSON has no nodes. An element of a list has the key of its list. Blocked keys aren't opened.
+    """
+    is_text = dict(df.dtypes)[payload] == "string"
+    given = df.select(*keep, (F.col(payload) if is_text else F.to_json(payload)).alias("payload__"))
+    schema = T.StructType([*given.schema.fields[:-1], *T.StructType.fromDDL(f"path string, key string, pos int, {columns}").fields])
+    arrow, at = to_arrow_schema(schema), len(keep)
+
+    def nodes(root) -> Iterator[tuple]:
+        stack = [("", None, None, root, None)]
+        while stack:
+            path, key, pos, node, owner = stack.pop()
+            found, opens = find(key, pos, node, owner)
+            if found is not None:
+                yield (path, key, pos, *found)
+            if opens and type(node) is dict:
+                dot = f"{path}." if path else ""
+                stack += [(dot + k, k, None, v, node) for k, v in reversed(node.items()) if k not in blocked]
+            elif opens and type(node) is list:
+                stack += [(f"{path}[{n}]", key, n, node[n], owner) for n in range(len(node) - 1, -1, -1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, out = [], []
+            for row, text in enumerate(batch.column(at).to_pylist()):
+                try:
+                    root = None if text is None else json.loads(text, parse_float=_Literal)
+                except ValueError:
+                    continue
+                made = list(nodes(root)) if text is not None else []
+                rows += [row] * len(made)
+                out += made
+            kept = [batch.column(c).take(pa.array(rows, pa.int64())).cast(arrow.field(c).type) for c in range(at)]
+            values = list(zip(*out, strict=True)) if out else [()] * (len(arrow) - at)
+            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(v, f.type) for v, f in zip(values, list(arrow)[at:], strict=True))], schema=arrow)
+
+    return given.mapInArrow(run, schema)
+
+
+def _leaf(key, pos, node, owner):
+    if type(node) in (dict, list):
+        return None, True
+    if node is None:
+        return ("VOID", None), False
+    if type(node) is bool:
+        return ("BOOLEAN", "true" if node else "false"), False
+    return ("STRING" if type(node) is str else "DOUBLE" if type(node) is _Literal else "BIGINT", str(node)), False
+
+
+def leaves(df: DataFrame, payload: str, keep: list[str], blocked: tuple[str, ...] = ()) -> DataFrame:
+    """The scalar nodes: kind and value as text."""
+    return walk(df, payload, keep, "kind string, text string", _leaf, blocked)
+
+
+def _is_pointer(node) -> bool:
+    return type(node) is dict and len(node) == 2 and _whole(node.get("m_FileID"), 32) and _whole(node.get("m_PathID"))
+
+
+def pointers(df: DataFrame, payload: str, keep: list[str], null_slots: bool = False, skipped: tuple[str, ...] = ("m_GameObject", "m_Script")) -> DataFrame:
+    """Objects of exactly {m_FileID, m_PathID}: file_id, path_id, and paired, whether the key's own reference beside
+    it (<key>Reference) has an asset. A pointer isn't opened. Those of (0, 0) point nowhere and are left out unless asked
+    for, with those under a skipped key.
     """
-    spark = df.sparkSession
-    v = F.try_parse_json(F.col(payload)) if dict(df.dtypes)[payload] == "string" else F.col(payload)
-    level = df.select(*keep, v.alias("v__"), F.lit("").alias("path__")).filter("v__ is not null")
-    levels = []
-    for _ in range(depth):
-        opened = level.lateralJoin(spark.tvf.variant_explode(F.col("v__").outer()))
-        path = F.when(F.col("key").isNotNull(), F.concat_ws(".", F.nullif(F.col("path__"), F.lit("")), F.col("key"))).otherwise(F.concat(F.col("path__"), F.lit("["), F.col("pos").cast("string"), F.lit("]")))
-        opened = opened.select(*keep, path.alias("path"), "key", "pos", "value")
-        if blocked:
-            opened = opened.filter(F.col("key").isNull() | ~F.col("key").isin(*blocked))
-        levels.append(opened)
-        level = opened.select(*keep, F.col("value").alias("v__"), F.col("path").alias("path__"))  # leaves open to nothing
-    out = reduce(DataFrame.unionByName, levels)
-    shape = F.schema_of_variant("value")
-    return out.withColumn("kind", F.when(shape.startswith(OBJECT), OBJECT).when(shape.startswith(ARRAY), ARRAY).otherwise(shape))
 
+    def find(key, pos, node, owner):
+        if not _is_pointer(node):
+            return None, True
+        file_id, path_id = node["m_FileID"], node["m_PathID"]
+        if not null_slots and (key in skipped or file_id == path_id == 0):
+            return None, False
+        beside = owner.get(f"{key}Reference") if owner else None
+        guid = beside.get("m_AssetGUID") if type(beside) is dict else None
+        return (file_id, path_id, type(guid) is str and bool(guid.strip())), False
 
-def leaves(nodes: DataFrame) -> DataFrame:
-    """The scalar nodes, with their value as text."""
-    return nodes.filter(~F.col("kind").isin(OBJECT, ARRAY)).withColumn("text", F.col("value").cast("string")).drop("value")
+    return walk(df, payload, keep, "file_id int, path_id bigint, paired boolean", find)
 
 
-def _field(name: str, kind: str) -> Column:
-    return F.try_variant_get("value", f"$.{name}", kind)
+def _localised(key, pos, node, owner):
+    if type(node) is dict and "_dev" in node and len(node) <= 3 and _whole(node.get("_termID")):
+        return (node["_termID"], str(node["_dev"] or "")), False
+    return None, True
 
 
-def pointers(nodes: DataFrame, null_slots: bool = False) -> DataFrame:
-    """Nodes of exactly {m_FileID, m_PathID}; those of (0, 0) point nowhere and are left out unless asked for."""
-    found = nodes.withColumn("file_id", _field("m_FileID", "int")).withColumn("path_id", _field("m_PathID", "bigint"))
-    found = found.filter(F.col("file_id").isNotNull() & F.col("path_id").isNotNull() & (F.size(F.json_object_keys(F.to_json("value"))) == 2))
-    return (found if null_slots else found.filter("file_id <> 0 or path_id <> 0")).drop("value")
+def localised(df: DataFrame, payload: str, keep: list[str]) -> DataFrame:
+    """Objects with _dev and _termID and at most three keys: term_id and dev text; they aren't opened."""
+    return walk(df, payload, keep, "term_id bigint, dev string", _localised)
 
 
-def localised(nodes: DataFrame) -> DataFrame:
-    """Nodes with _termID and at most three keys: term_id and dev text."""
-    found = nodes.withColumn("term_id", _field("_termID", "bigint")).withColumn("dev", _field("_dev", "string"))
-    return found.filter(F.col("term_id").isNotNull() & (F.size(F.json_object_keys(F.to_json("value"))) <= 3)).drop("value")
+def guid_refs(df: DataFrame, payload: str, keep: list[str], bare: bool = True) -> DataFrame:
+    """Asset references by m_AssetGUID (guid, form dict, sub_name; not opened) and, if bare, also 32-hex texts that are
+    members under keys that contain guid."""
 
+    def find(key, pos, node, owner):
+        if type(node) is dict:
+            guid, sub = node.get("m_AssetGUID"), node.get("m_SubObjectName")
+            if type(guid) is str and HEX32.fullmatch(guid):
+                return (guid, "dict", sub if type(sub) is str else ""), False
+        elif bare and type(node) is str and pos is None and key and "guid" in key.lower() and key != "m_AssetGUID" and HEX32.fullmatch(node):
+            return (node, "bare", ""), False
+        return None, True
 
-def guid_refs(nodes: DataFrame, bare: bool = True) -> DataFrame:
-    """Asset references by m_AssetGUID and, if bare, also 32-hex texts under keys that contain guid."""
-    dicts = nodes.withColumn("guid", _field("m_AssetGUID", "string")).filter(F.col("guid").rlike("^[0-9a-f]{32}$")).withColumn("form", F.lit("dict"))
-    if bare:
-        texts = nodes.filter(F.contains(F.lower("key"), F.lit("guid")) & (F.col("key") != "m_AssetGUID")).withColumn("guid", F.try_variant_get("value", "$", "string")).filter(F.col("guid").rlike("^[0-9a-f]{32}$")).withColumn("form", F.lit("bare"))
-        dicts = dicts.unionByName(texts)
-    return dicts.drop("value")
+    return walk(df, payload, keep, "guid string, form string, sub_name string", find)
+
+
+def pointer_residue(df: DataFrame, payload: str, keep: list[str], named: str = "icon") -> DataFrame:
+    """Pointers whose key holds a word, in any case, that do point somewhere though the reference beside them is empty."""
+    slots = pointers(df, payload, keep, null_slots=True)
+    return slots.filter(F.lower("key").contains(named) & ~F.col("paired") & ((F.col("file_id") != 0) | (F.col("path_id") != 0)))
+
+
+def residue_counters(slots: DataFrame, named: str = "icon") -> DataFrame:
+    """One row of counts over all pointer slots: scanned, of null ones under such a key, residue, and of it same-file and external."""
+    mine, null = F.lower("key").contains(named), (F.col("file_id") == 0) & (F.col("path_id") == 0)
+    residue = mine & ~null & ~F.col("paired")
+    return slots.agg(
+        F.count("*").alias("scanned"),
+        F.count_if(mine & null).alias("null_skipped"),
+        F.count_if(residue).alias("residue"),
+        F.count_if(residue & (F.col("file_id") == 0)).alias("same_file"),
+        F.count_if(residue & (F.col("file_id") != 0)).alias("external"),
+    )
 
 
 def typed_blocks(df: DataFrame, payload: str, keep: list[str], at: str = "$.references") -> DataFrame:
@@ -70,19 +162,25 @@ def typed_blocks(df: DataFrame, payload: str, keep: list[str], at: str = "$.refe
     v = F.try_variant_get(F.try_parse_json(payload), at, "variant")
     blocks = df.select(*keep, v.alias("v__")).filter("v__ is not null")
     opened = blocks.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v__").outer())).filter("key is not null and key <> 'version'")
-    return opened.select(*keep, F.col("key").alias("block"), _field("type.class", "string").alias("class"), F.try_variant_get("value", "$.data", "variant").alias("data"))
+    return opened.select(*keep, F.col("key").alias("block"), F.try_variant_get("value", "$.type.class", "string").alias("class"), F.try_variant_get("value", "$.data", "variant").alias("data"))
 
 
-def list_carriers(nodes: DataFrame, keep: list[str]) -> DataFrame:
+def list_carriers(df: DataFrame, payload: str, keep: list[str]) -> DataFrame:
     """Which lists hold {id: N}, by the hex block key that N spells."""
-    found = nodes.filter("pos is not null").withColumn("ref", _field("id", "bigint")).filter("ref is not null")
+
+    def find(key, pos, node, owner):
+        if pos is not None and type(node) is dict and _whole(node.get("id")):
+            return (node["id"],), True
+        return None, True
+
+    found = walk(df, payload, keep, "ref bigint", find)
     carrier = F.regexp_replace("path", r"\[\d+\]$", "")
     return found.groupBy(*keep, F.lower(F.hex("ref")).alias("block")).agg(F.array_join(F.array_sort(F.collect_set(carrier)), ",").alias("carriers"))
 
 
-def text_key_census(nodes: DataFrame) -> DataFrame:
+def text_key_census(df: DataFrame, payload: str) -> DataFrame:
     """Localised structs per key: present, and able to give text."""
-    return localised(nodes).groupBy("key").agg(F.count("*").alias("present"), F.count_if((F.col("term_id") != 0) | (F.length(F.coalesce("dev", F.lit(""))) > 0)).alias("capable"))
+    return localised(df, payload, []).groupBy("key").agg(F.count("*").alias("present"), F.count_if((F.col("term_id") != 0) | (F.length("dev") > 0)).alias("capable"))
 
 
 def normalize_field_path(path: str | Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weavegraph.operators import graph as G
+from weavegraph.operators import quality as Q
 from weavegraph.operators import resolve as R
 from weavegraph.plans.registry import Plans, Tables
 
@@ -27,12 +28,13 @@ def reference_edges(t: Tables) -> DataFrame:
     """Flagship: line items as references to known parts, deduplicated into edges, counted by resolution."""
     r = R.resolve_ladder(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), [("unknown part", _parts(t), ["l_partkey"])])
     e = G.edge_dedup(r, ["l_orderkey", "l_partkey", "status"], ["l_suppkey", "l_linenumber"])
-    return e.groupBy("status").agg(F.count("*").alias("edges"), F.sum("ref_count").alias("refs"), F.countDistinct("l_orderkey").alias("sources"))
+    by_source = e.groupBy("status", "l_orderkey").agg(F.count("*").alias("edges"), F.sum("ref_count").alias("refs"))
+    return by_source.groupBy("status").agg(F.sum("edges").alias("edges"), F.sum("refs").alias("refs"), F.count("*").alias("sources"))
 
 
-@plan("select l_orderkey, l_linenumber, l_partkey, p_brand from lineitem left join part on p_partkey = l_partkey and p_size <= 25")
+@plan("select l_orderkey, l_linenumber, l_partkey, p_brand, case when p_partkey is null then 'missing' else 'located' end as status from lineitem left join part on p_partkey = l_partkey and p_size <= 25")
 def j1_locate(t: Tables) -> DataFrame:
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(_parts(t), "l_partkey", "left")
+    return R.locate(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), _parts(t), ["l_partkey"])
 
 
 @plan(
@@ -72,9 +74,9 @@ def j4_guid_bridge(t: Tables) -> DataFrame:
     from lineitem left join part on p_partkey = l_partkey and p_size <= 25 group by 1"""
 )
 def j5_term_join(t: Tables) -> DataFrame:
-    j = t.lineitem.select("l_returnflag", "l_linenumber", "l_partkey").join(_parts(t), "l_partkey", "left")
-    live, hit = F.col("l_linenumber") != 1, F.col("p_brand").isNotNull()
-    return j.groupBy("l_returnflag").agg(F.count_if(live & hit).alias("hits"), F.count_if(live & ~hit).alias("misses"), F.count_if(~live).alias("zeros"))
+    j = R.resolve_ladder(t.lineitem.select("l_returnflag", "l_linenumber", "l_partkey"), [("miss", _parts(t), ["l_partkey"])], resolved="hit")
+    live = F.col("l_linenumber") != 1
+    return j.groupBy("l_returnflag").agg(F.count_if(live & (F.col("status") == "hit")).alias("hits"), F.count_if(live & (F.col("status") == "miss")).alias("misses"), F.count_if(~live).alias("zeros"))
 
 
 @plan(
@@ -88,34 +90,41 @@ def j6_first_match_ladder(t: Tables) -> DataFrame:
     return G.first_match_ladder(forms, brands.unionByName(types), "p_partkey").select("p_partkey", "key", "family_rank")
 
 
-@plan(
-    r"""with n as (select distinct case p_partkey % 3 when 0 then p_name when 1 then upper(p_name) else p_name || ' x' end as nm from part), tg as (select distinct p_name from part where p_size <= 25),
-    e as (select p_name from tg), l as (select lower(regexp_replace(trim(p_name), '[\s-]+', '_', 'g')) as k, min(p_name) as p_name from tg group by 1)
-    select nm, coalesce(e.p_name, l.p_name) as target, case when e.p_name is not null then 'exact' when l.p_name is not null then 'normalised' else 'none' end as match from n left join e on e.p_name = nm left join l on l.k = lower(regexp_replace(trim(nm), '[\s-]+', '_', 'g'))"""
-)
+NAMES_SQL = r"""nm as (select distinct p_type as kind, case p_partkey % 4 when 0 then p_name when 1 then upper(p_name) when 2 then p_name || ' x' else p_name || ' ' || p_brand end as name from part), tg as (select distinct p_type as kind, p_name as target from part where p_size <= 20),
+    l as (select kind, lower(regexp_replace(trim(target), '[\s-]+', '_', 'g')) as k, min(target) as loose from tg group by 1, 2),
+    rs as (select nm.kind, nm.name, coalesce(tg.target, l.loose) as target, case when tg.target is not null then 'exact' when l.loose is not null then 'normalised' else 'none' end as match from nm left join tg on tg.kind = nm.kind and tg.target = nm.name left join l on l.kind = nm.kind and l.k = lower(regexp_replace(trim(nm.name), '[\s-]+', '_', 'g')))"""
+
+
+def _names(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Names of parts in several spellings, and the names known of each kind."""
+    k = F.col("p_partkey") % 4
+    name = F.when(k == 0, F.col("p_name")).when(k == 1, F.upper("p_name")).when(k == 2, F.concat("p_name", F.lit(" x"))).otherwise(F.concat("p_name", F.lit(" "), "p_brand"))
+    return t.part.select(F.col("p_type").alias("kind"), name.alias("name")).distinct(), t.part.filter("p_size <= 20").select(F.col("p_type").alias("kind"), F.col("p_name").alias("target"))
+
+
+@plan(f"with {NAMES_SQL} select kind, name, target, match, match = 'normalised' as inferred from rs")
 def j7_name_resolver(t: Tables) -> DataFrame:
-    nm = F.when(F.col("p_partkey") % 3 == 0, F.col("p_name")).when(F.col("p_partkey") % 3 == 1, F.upper("p_name")).otherwise(F.concat("p_name", F.lit(" x")))
-    return G.resolve_names(t.part.select(nm.alias("nm")).distinct(), t.part.filter(KNOWN_PARTS).select("p_name"), "nm", "p_name").select("nm", "target", "match")
+    names, targets = _names(t)
+    return G.resolve_names(names, targets, "kind", "name", "target").select("kind", "name", "target", "match", "inferred")
 
 
 @plan(
-    """with a as (select p_type, unnest(list_distinct(regexp_split_to_array(lower(p_type), '[^a-z0-9]+'))) as tok from (select distinct p_type from part)), b as (select p_name, unnest(list_distinct(regexp_split_to_array(lower(p_name || ' ' || p_type), '[^a-z0-9]+'))) as tok from (select distinct p_name, p_type from part where p_size <= 2)),
-    b2 as (select distinct p_name, tok from b), s as (select p_type, p_name, count(*) as overlap from a join b2 using (tok) where tok <> '' group by 1, 2), r as (select *, row_number() over (partition by p_type order by overlap desc, length(p_name), p_name) as rank from s) select p_type, p_name, overlap, rank::int as rank from r where rank <= 3"""
+    rf"""with {NAMES_SQL}, a as (select kind, name, unnest(list_distinct(string_split(lower(regexp_replace(trim(name), '[\s-]+', '_', 'g')), '_'))) as tok from rs where match = 'none'), b as (select kind, target, unnest(list_distinct(string_split(lower(regexp_replace(trim(target), '[\s-]+', '_', 'g')), '_'))) as tok from tg),
+    s as (select kind, name, target, count(*)::int as overlap from a join b using (kind, tok) where tok <> '' group by 1, 2, 3), r as (select *, row_number() over (partition by kind, name order by overlap desc, length(target), target)::int as rank from s) select kind, name, target, overlap, rank from r where rank <= 3"""
 )
 def j7_token_candidates(t: Tables) -> DataFrame:
-    b = t.part.filter("p_size <= 2").select("p_name", F.concat_ws(" ", "p_name", "p_type").alias("words"))
-    tokens = lambda df, key, text: df.select(key, F.explode(F.split(F.lower(text), "[^a-z0-9]+")).alias("token")).filter("token <> ''").distinct()
-    shared = tokens(t.part, "p_type", "p_type").join(tokens(b, "p_name", "words"), "token").groupBy("p_type", "p_name").agg(F.count("*").alias("overlap"))
-    return R.top_k(shared, ["p_type"], [F.col("overlap").desc(), F.length("p_name"), F.col("p_name")], 3, "rank")
+    names, targets = _names(t)
+    misses = G.resolve_names(names, targets, "kind", "name", "target").filter("match = 'none'")
+    return G.closest_candidates(misses, targets, "kind", "name", "target")
 
 
 @plan(
-    """with e as (select distinct l_orderkey, l_suppkey from lineitem where l_quantity > 10), c as (select distinct l_orderkey, l_suppkey, l_orderkey % 2 = 0 as ends_known from lineitem where l_orderkey % 10 = 1 or l_orderkey % 10 = 4)
+    """with e as (select distinct l_orderkey, l_suppkey from lineitem where l_quantity > 10), c as (select distinct l_orderkey, l_suppkey, l_orderkey % 2 = 0 as ends_known from lineitem)
     select case when e.l_orderkey is not null then 'confirms-hard' when ends_known then 'adds-derived' else 'flags-missing' end as effect, count(*) as n from c left join e using (l_orderkey, l_suppkey) group by 1"""
 )
 def j8_claim_overlay(t: Tables) -> DataFrame:
     keys = ["l_orderkey", "l_suppkey"]
-    claims = t.lineitem.filter("l_orderkey % 10 in (1, 4)").select(*keys, (F.col("l_orderkey") % 2 == 0).alias("ends_known")).distinct()
+    claims = t.lineitem.select(*keys, (F.col("l_orderkey") % 2 == 0).alias("ends_known")).distinct()
     return G.claim_overlay(claims, t.lineitem.filter("l_quantity > 10"), keys).groupBy("effect").agg(F.count("*").alias("n"))
 
 
@@ -126,12 +135,11 @@ def j8_claim_overlay(t: Tables) -> DataFrame:
 )
 def j9_placement_resolve(t: Tables) -> DataFrame:
     refs = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
-    narrow = t.part.filter("p_size <= 10").select(F.col("p_partkey").alias("l_partkey"))
-    wide = t.part.filter("p_size <= 30").select(F.col("p_partkey").alias("l_partkey"), F.when(F.col("p_size") % 2 == 0, "R").otherwise("N").alias("l_returnflag"))
-    first = refs.join(narrow.select("l_partkey", F.lit(1).alias("p1")), "l_partkey", "left")
-    more = wide.join(first.filter("p1 is null").select("l_returnflag").distinct(), "l_returnflag", "left_semi").select("l_partkey", "l_returnflag", F.lit(2).alias("p2")).distinct()
-    done = first.join(more, ["l_partkey", "l_returnflag"], "left").withColumn("pass", F.coalesce("p1", "p2"))
-    return done.groupBy("pass").agg(F.count("*").alias("n"))
+    by_flag = lambda cond: t.part.filter(cond).select(F.col("p_partkey").alias("l_partkey"), "p_size")
+    flags = t.lineitem.select("l_returnflag").distinct()
+    narrow = by_flag("p_size <= 10").crossJoin(F.broadcast(flags))  # three flags: a part is known under any
+    wide = by_flag("p_size <= 30").select("l_partkey", F.when(F.col("p_size") % 2 == 0, "R").otherwise("N").alias("l_returnflag"))
+    return R.widen_for_residue(refs, narrow, wide, ["l_partkey", "l_returnflag"], "l_returnflag").groupBy("pass").agg(F.count("*").alias("n"))
 
 
 @plan(
@@ -157,7 +165,7 @@ def j11_identity_layered_join(t: Tables) -> DataFrame:
 @plan("select c_custkey, c_nationkey, n_name as label from customer left join nation on n_nationkey = c_nationkey and n_nationkey < 15")
 def j12_enum_label(t: Tables) -> DataFrame:
     n = t.nation.filter("n_nationkey < 15").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("label"))
-    return t.customer.select("c_custkey", "c_nationkey").join(n, "c_nationkey", "left")
+    return R.coalesce_lookups(t.customer.select("c_custkey", "c_nationkey"), [("enum", n)], ["c_nationkey"], "label").drop("route")
 
 
 @plan(
@@ -165,29 +173,25 @@ def j12_enum_label(t: Tables) -> DataFrame:
     select doc_id, case when a.key is not null then 'direct' when b.key is not null then 'hash-suffix' end as match from r left join k a on a.key = ref left join k b on b.key = nullif(regexp_extract(ref, '^(.+)_[0-9a-f]{32}$', 1), '')"""
 )
 def j13_file_ref_match(t: Tables) -> DataFrame:
-    from weavegraph.functions.text import normalize_ref, strip_hash_suffix
-
-    keys = t.documents.filter("source < 'src3'").select("source").distinct()
-    r = t.documents.select("doc_id", normalize_ref(F.when(F.col("doc_id") % 2 == 0, F.col("source")).otherwise(F.concat_ws("_", "source", F.md5("text")))).alias("key"))
-    a, b = keys.select(F.col("source").alias("a")), keys.select(F.col("source").alias("b"))
-    j = r.join(a, F.col("key") == F.col("a"), "left").join(b, strip_hash_suffix("key") == F.col("b"), "left")
-    return j.select("doc_id", F.when(F.col("a").isNotNull(), "direct").when(F.col("b").isNotNull(), "hash-suffix").alias("match"))
+    refs = t.documents.select("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("source")).otherwise(F.concat_ws("_", "source", F.md5("text"))).alias("ref"))
+    return R.match_file_ref(refs, t.documents.filter("source < 'src3'"), "ref", "source").select("doc_id", "match")
 
 
 @plan(
-    """with own as (select l_suppkey as s, list_sort(list(distinct l_returnflag || l_linenumber::varchar)) as names from lineitem where l_quantity > 48 group by 1), lite as (select s as p, names from own)
-    select own.s as supp, array_to_string(list_sort(list_filter(coalesce(lite.names, []), lambda x: not list_contains(own.names, x))), ',') as inherited from own left join lite on lite.p = own.s - 1"""
+    """with own as (select distinct l_suppkey as s, l_partkey as p from lineitem), th as (select b.s, a.p from own a join (select distinct l_suppkey as s from lineitem) b on a.s = b.s - 1)
+    select th.s as supp, count(*) as inherited, min(th.p) as first_name, max(th.p) as last_name from th left join own on own.s = th.s and own.p = th.p where own.s is null group by 1"""
 )
 def j14_inherit_pool(t: Tables) -> DataFrame:
-    own = t.lineitem.filter("l_quantity > 48").groupBy(F.col("l_suppkey").alias("supp")).agg(F.collect_set(F.concat("l_returnflag", F.col("l_linenumber").cast("string"))).alias("names"))
-    twin = own.select((F.col("supp") + 1).alias("supp"), F.col("names").alias("twin_names"))
-    more = F.array_sort(F.array_except(F.coalesce("twin_names", F.array().cast("array<string>")), "names"))
-    return own.join(twin, "supp", "left").select("supp", F.array_join(more, ",").alias("inherited"))
+    pools = t.lineitem.select(F.col("l_suppkey").alias("supp"), F.col("l_partkey").alias("name"))
+    twins = pools.select("supp").distinct().withColumn("twin", F.col("supp") - 1)
+    more = R.inherit_pool(pools, twins, "supp", "name", "twin")
+    return more.groupBy("supp").agg(F.count("*").alias("inherited"), F.min("name").alias("first_name"), F.max("name").alias("last_name"))
 
 
-@plan("select l_suppkey, l_partkey, count(*) as n, min(l_orderkey) as first_order from lineitem group by 1, 2")
+@plan("select o_orderkey, o_custkey, coalesce(a, 0) as addresses, f as first_address from orders left join (select l_orderkey, count(distinct l_partkey) as a, min(l_partkey) as f from lineitem where l_returnflag = 'R' group by 1) on l_orderkey = o_orderkey")
 def j15_reverse_lookup(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_suppkey", "l_partkey").agg(F.count("*").alias("n"), F.min("l_orderkey").alias("first_order"))
+    containers = t.lineitem.filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    return R.reverse_lookup(t.orders.select("o_orderkey", "o_custkey"), containers, ["o_orderkey"], "l_partkey")
 
 
 @plan(
@@ -200,33 +204,30 @@ def j16_effective_name_edge(t: Tables) -> DataFrame:
     return e.unionByName(a)
 
 
-@plan("select doc_id from documents d where lang = 'en' and exists (select 1 from documents e where e.text = d.text and e.doc_id <> d.doc_id)")
+@plan("select doc_id from documents d where source <> 'src0' and exists (select 1 from documents e where e.source = 'src0' and e.text = d.text)")
 def j17_text_coincidence(t: Tables) -> DataFrame:
-    d = t.documents.select("doc_id", F.xxhash64("text").alias("h"), "text", "lang")
-    many = d.groupBy("text").agg(F.count("*").alias("n")).filter("n > 1").select("text")
-    return d.filter("lang = 'en'").join(many, "text", "left_semi").select("doc_id")
+    d = t.documents.select("doc_id", "text", "source")
+    return R.text_coincidence(d.filter("source <> 'src0'"), "text", d.filter("source = 'src0'"), "text").select("doc_id")
 
 
-@plan("select 'order' as side, count(*) as n from orders where o_orderkey not in (select l_orderkey from lineitem where l_quantity > 30) union all select 'customer', count(*) from customer where c_custkey not in (select o_custkey from orders)")
+@plan("with a as (select distinct o_custkey as k from orders where o_orderstatus = 'F'), b as (select c_custkey as k from customer where c_acctbal > 0) select coalesce(a.k, b.k) as k, case when b.k is null then 'left' else 'right' end as side from a full join b on a.k = b.k where a.k is null or b.k is null")
 def j18_anti_missing(t: Tables) -> DataFrame:
-    a = t.orders.join(t.lineitem.filter("l_quantity > 30"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").agg(F.count("*").alias("n")).select(F.lit("order").alias("side"), "n")
-    b = t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti").agg(F.count("*").alias("n")).select(F.lit("customer").alias("side"), "n")
-    return a.unionByName(b)
+    return R.anti_missing(t.orders.filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("k")), t.customer.filter("c_acctbal > 0").select(F.col("c_custkey").alias("k")), ["k"])
 
 
 @plan(
-    """select p_type, count(distinct l_orderkey) as orders, coalesce(min(case when s_nationkey < 5 then s_name end), '') as first_home from lineitem join part on p_partkey = l_partkey join supplier on s_suppkey = l_suppkey where l_quantity > 45 group by 1"""
+    """select case when p_type is null or s_name is null then 'unresolved' else p_type end as class, count(distinct l_orderkey) as sources, count(*) as refs, min(s_name) as first_home from lineitem
+    left join part on p_partkey = l_partkey and p_size <= 40 left join (select s_suppkey, s_name from supplier where s_nationkey < 20) on s_suppkey = l_suppkey group by 1"""
 )
 def j20_two_hop_class_census(t: Tables) -> DataFrame:
-    j = t.lineitem.filter("l_quantity > 45").select("l_orderkey", "l_partkey", "l_suppkey").join(t.part.select("p_partkey", "p_type"), F.col("p_partkey") == F.col("l_partkey"))
-    j = j.join(t.supplier.select("s_suppkey", "s_name", "s_nationkey"), F.col("s_suppkey") == F.col("l_suppkey"))
-    return j.groupBy("p_type").agg(F.countDistinct("l_orderkey").alias("orders"), F.coalesce(F.min(F.when(F.col("s_nationkey") < 5, F.col("s_name"))), F.lit("")).alias("first_home"))
+    objects = t.part.filter("p_size <= 40").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    homes = t.supplier.filter("s_nationkey < 20").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
+    return R.two_hop_census(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey"), objects, ["l_partkey"], homes, ["l_suppkey"], "l_orderkey", "p_type", "s_name")
 
 
 @plan("select r_name, case when n is null then 'absent' else 'present' end as presence from region left join (select distinct n_regionkey as n from nation where n_nationkey < 3) on n = r_regionkey")
 def j21_presence_status(t: Tables) -> DataFrame:
-    n = t.nation.filter("n_nationkey < 3").select(F.col("n_regionkey").alias("r_regionkey"), F.lit(True).alias("there")).distinct()
-    return t.region.join(n, "r_regionkey", "left").select("r_name", F.when(F.col("there"), "present").otherwise("absent").alias("presence"))
+    return R.presence_status(t.region, t.nation.filter("n_nationkey < 3").select(F.col("n_regionkey").alias("r_regionkey")), ["r_regionkey"]).select("r_name", "presence")
 
 
 @plan(
@@ -264,9 +265,9 @@ def a3_residue_attribution(t: Tables) -> DataFrame:
     return G.residue_attribution(r, ["promo", "economy"], "landing", "leaf").groupBy("basis", "charged_kind").agg(F.count("*").alias("n"))
 
 
-@plan("select l_partkey, count(*) as usages, min(l_orderkey) as first_order, count(distinct l_suppkey) as suppliers from lineitem group by 1")
+@plan("select l_partkey, count(*) as usages, min(l_orderkey) as first_usage, count(distinct l_suppkey) as sources from lineitem group by 1")
 def a4_reverse_index(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_partkey").agg(F.count("*").alias("usages"), F.min("l_orderkey").alias("first_order"), F.countDistinct("l_suppkey").alias("suppliers"))
+    return G.reverse_index(t.lineitem, "l_partkey", "l_orderkey", "l_suppkey")
 
 
 @plan(
@@ -283,39 +284,45 @@ def a18_catalog_report(t: Tables) -> DataFrame:
     return G.catalog_report(t.part, "p_name", "p_brand")
 
 
-@plan("select r_name, count(*) as n, count(*) = 5 as whole from nation join region on r_regionkey = n_regionkey group by 1")
+CENSUS_SQL = """m as (select * from part where p_type in ('ECONOMY', 'SMALL')), g as (select * from part where p_type in ('PROMO', 'LARGE') and p_size <= 49)"""
+
+
+@plan(
+    f"""with {CENSUS_SQL} select 'reconcile' as check_id, 'objects' as dataset, case when a = b then 'PASS' else 'FAIL' end as status, a as expected, b as measured from (select count(*) as a from part), (select (select count(*) from m) + (select count(*) from g) + (select count(*) from part where p_size = 50 and p_type = 'PROMO') + (select count(*) from part where p_type in ('MEDIUM', 'STANDARD')) as b)
+    union all select 'carve-out', p_type, case when count(*) = count(*) filter (p_size <= 49) then 'PASS' else 'FAIL' end, count(*), count(*) filter (p_size <= 49) from part where p_type in ('PROMO', 'LARGE') group by 2"""
+)
 def a19_census_reconcile(t: Tables) -> DataFrame:
-    return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.count("*").alias("n")).withColumn("whole", F.col("n") == 5)
+    """Parts by type as the census; the catalogue lacks large ones, of which those of one type are known as errors."""
+    census = t.part.groupBy("p_type").agg(F.count("*").alias("n"))
+    errors = t.part.filter("p_size = 50 and p_type = 'PROMO'").groupBy("p_type").agg(F.count("*").alias("n"))
+    carved = t.part.filter("p_type in ('PROMO', 'LARGE') and p_size <= 49")
+    return Q.census_reconcile(census, errors, t.part.filter("p_type in ('ECONOMY', 'SMALL')"), carved, "p_type", ["ECONOMY", "SMALL"], ["PROMO", "LARGE"])
 
 
 @plan(
-    """with p as (select l_returnflag, l_linestatus, l_orderkey from lineitem where l_quantity > 49), s as (select distinct l_returnflag, l_linestatus, l_orderkey from p), r as (select *, row_number() over (partition by l_returnflag, l_linestatus order by l_orderkey) as rn from s)
-    select l_returnflag, l_linestatus, (select count(*) from p where p.l_returnflag = r.l_returnflag and p.l_linestatus = r.l_linestatus) as n, string_agg(l_orderkey::varchar, ',' order by l_orderkey) as samples from r where rn <= 5 group by 1, 2"""
+    """with p as (select l_returnflag, l_linestatus, l_suppkey, l_orderkey from lineitem), s as (select distinct l_returnflag, l_linestatus, l_suppkey, l_orderkey from p), r as (select *, row_number() over (partition by l_returnflag, l_linestatus, l_suppkey order by l_orderkey) as rn from s),
+    c as (select l_returnflag, l_linestatus, l_suppkey, count(*) as n from p group by 1, 2, 3), f as (select l_returnflag, l_linestatus, l_suppkey, string_agg(l_orderkey::varchar, ',' order by l_orderkey) as samples from r where rn <= 5 group by 1, 2, 3) select * from c join f using (l_returnflag, l_linestatus, l_suppkey)"""
 )
 def a20_ledger_samples(t: Tables) -> DataFrame:
-    p = t.lineitem.filter("l_quantity > 49").select("l_returnflag", "l_linestatus", "l_orderkey")
-    return G.ledger(p, ["l_returnflag", "l_linestatus"], "l_orderkey")
+    return G.ledger(t.lineitem, ["l_returnflag", "l_linestatus", "l_suppkey"], "l_orderkey")
 
 
 @plan(
-    """select case when grouping(l_shipmode) = 1 then 'all' else l_shipmode end as grp, count(*) as refs, count(*) filter (p_partkey is not null) as resolved, count(*) filter (p_partkey is null) as residue from (select l_returnflag as l_shipmode, l_partkey from lineitem) left join part on p_partkey = l_partkey and p_size <= 25 group by grouping sets ((), (l_shipmode))"""
+    """select case when grouping(grp) = 1 then 'all' else grp end as grp, count(*) as refs, count(*) filter (p_partkey is not null) as resolved, count(*) filter (p_partkey is null) as residue from (select l_returnflag as grp, l_partkey from lineitem) left join part on p_partkey = l_partkey and p_size <= 25 group by grouping sets ((), (grp))"""
 )
 def a26_join_report(t: Tables) -> DataFrame:
-    j = t.lineitem.select(F.col("l_returnflag").alias("grp"), "l_partkey").join(_parts(t), "l_partkey", "left")
-    hit = F.col("p_brand").isNotNull()
-    return j.rollup("grp").agg(F.count("*").alias("refs"), F.count_if(hit).alias("resolved"), F.count_if(~hit).alias("residue")).fillna("all", ["grp"])
+    j = R.locate(t.lineitem.select(F.col("l_returnflag").alias("grp"), "l_partkey"), _parts(t), ["l_partkey"])
+    return G.join_report(j, "grp", {"resolved": F.col("status") == "located", "residue": F.col("status") == "missing"}).select("grp", "refs", "resolved", "residue")
 
 
-@plan("select p_brand, count(distinct p_partkey) as ids, count(distinct l_partkey) as overlap from part left join (select distinct l_partkey from lineitem where l_quantity > 40) on l_partkey = p_partkey group by 1")
+@plan("with x as (select p_brand, count(distinct p_partkey) as ids, count(distinct s_suppkey) as overlap from part left join supplier on s_suppkey = p_partkey group by 1) select *, case when ids = overlap then 'agreed' when overlap > 0 then 'overlapping' else 'divergent' end as verdict from x")
 def a27_id_space_sweep(t: Tables) -> DataFrame:
-    refs = t.lineitem.filter("l_quantity > 40").select("l_partkey").distinct()
-    return t.part.join(refs, F.col("p_partkey") == F.col("l_partkey"), "left").groupBy("p_brand").agg(F.countDistinct("p_partkey").alias("ids"), F.countDistinct("l_partkey").alias("overlap"))
+    return G.id_space_sweep(t.part, "p_brand", "p_partkey", t.supplier, "s_suppkey")
 
 
-@plan("select p_type as class_name, case when starts_with(p_type, 'PROMO') or starts_with(p_type, 'ECONOMY') then 'mapped' else 'gap' end as coverage, count(*) as n from part group by 1, 2")
+@plan("select p_type as class_name, count(*) as n, case when starts_with(p_type, 'PROMO') then 'PROMO' when starts_with(p_type, 'ECO') then 'ECO' end as rule, case when starts_with(p_type, 'PROMO') or starts_with(p_type, 'ECO') then 'mapped' else 'gap' end as coverage from part group by 1")
 def a28_surface_coverage(t: Tables) -> DataFrame:
-    mapped = F.col("p_type").startswith("PROMO") | F.col("p_type").startswith("ECONOMY")
-    return t.part.groupBy(F.col("p_type").alias("class_name"), F.when(mapped, "mapped").otherwise("gap").alias("coverage")).agg(F.count("*").alias("n"))
+    return G.surface_coverage(t.part, "p_type", ["PROMO", "ECO"])
 
 
 @plan("select o_orderstatus, count(*) as n, count(*) filter (o_totalprice > 100000) as large, count(*) filter (o_orderpriority = '1-URGENT') as urgent from orders group by 1")
@@ -334,6 +341,29 @@ def a30_route_counts(t: Tables) -> DataFrame:
     return j.groupBy(route.alias("route")).agg(F.count("*").alias("n"), F.countDistinct("l_partkey").alias("names"))
 
 
+ICON_SQL = """r as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, case when l_linenumber = 7 then '' else p_name end as sub, case when s_suppkey is null then 'guid' else 'none' end as chain from lineitem join part on p_partkey = l_partkey left join supplier on s_suppkey = l_suppkey and s_acctbal > 0),
+j as (select r.*, c.n is not null and sub <> '' as resolved from r left join (select distinct p_name as n from part where p_size <= 2) c on c.n = sub), k as (select *, case when resolved then null when chain <> 'none' then 'dlc-content-absent' when sub <> '' then 'stale-name' else 'empty-sub-name' end as reason from j)"""
+
+
+def _icons(t: Tables) -> DataFrame:
+    """Line items as references by the name of their part, with the state of their chain, against a catalogue of names."""
+    names = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    whole = t.supplier.filter("s_acctbal > 0").select(F.col("s_suppkey").alias("l_suppkey"), F.lit("none").alias("chain"))
+    refs = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").join(names, "l_partkey").join(whole, "l_suppkey", "left").fillna("guid", ["chain"])
+    refs = refs.withColumn("sub", F.when(F.col("l_linenumber") == 7, "").otherwise(F.col("p_name")))
+    return G.join_by_name(refs, t.part.filter("p_size <= 2"), "sub", "chain", "p_name")
+
+
+@plan(f"with {ICON_SQL} select l_orderkey, l_linenumber, l_partkey, l_suppkey, resolved, reason from k")
+def a30_icon_join(t: Tables) -> DataFrame:
+    return _icons(t).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "resolved", "reason")
+
+
+@plan(f"with {ICON_SQL} select resolved, reason, count(*) as n, count(distinct nullif(sub, '')) as names from k group by 1, 2")
+def a30_icon_routes(t: Tables) -> DataFrame:
+    return G.route_counts(_icons(t), "sub")
+
+
 @plan(
     """with a as (select distinct l_orderkey, l_suppkey, l_returnflag from lineitem where l_quantity < 40), b as (select distinct l_orderkey, l_suppkey, l_returnflag from lineitem where l_quantity > 10)
     select case when a.l_orderkey is not null and b.l_orderkey is not null then 'both' when a.l_orderkey is not null then 'left' else 'right' end as side, case l_returnflag when 'A' then 'returned early' when 'R' then 'returned' end as reason, count(*) as n from a full join b using (l_orderkey, l_suppkey, l_returnflag) group by 1, 2"""
@@ -351,13 +381,30 @@ def a33_object_index(t: Tables) -> DataFrame:
 
 @plan("select p_type, count(*) as n from part group by 1")
 def a34_class_census(t: Tables) -> DataFrame:
-    return t.part.groupBy("p_type").agg(F.count("*").alias("n"))
+    return _manifest(t)["class_counts"]
+
+
+def _manifest(t: Tables) -> dict[str, DataFrame]:
+    m = t.part.select(F.concat("p_type", F.lit("/"), "p_name", F.lit("_"), (F.col("p_size") % 10).cast("string")).alias("path"), "p_brand", (F.col("p_size") % 10).alias("path_id"), "p_type")
+    return G.manifest_indexes(m, "path", ["p_brand", "path_id"], "p_type", ["PROMO", "LARGE"])
+
+
+MANIFEST_SQL = "m as (select p_type || '/' || p_name || '_' || (p_size % 10) as path, p_brand, p_size % 10 as path_id, p_type from part)"
+
+
+@plan(f"with {MANIFEST_SQL}, r as (select *, row_number() over (partition by path order by p_brand, path_id, p_type) as rn from m) select path, p_brand, path_id, p_type from r where rn = 1")
+def a34_by_path(t: Tables) -> DataFrame:
+    return _manifest(t)["by_path"]
+
+
+@plan(f"with {MANIFEST_SQL}, r as (select *, row_number() over (partition by p_brand, path_id order by p_type, path) as rn from m) select p_brand, path_id, path from r where rn = 1 and p_type in ('PROMO', 'LARGE')")
+def a34_definitions(t: Tables) -> DataFrame:
+    return _manifest(t)["definitions"]
 
 
 @plan("select lang, coalesce(quality::varchar, 'unregistered') as status, count(*) as n from documents left join (select doc_id, min(quality) as quality from labels group by 1) using (doc_id) group by 1, 2")
 def a35_status_distribution(t: Tables) -> DataFrame:
-    q = t.labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    return t.documents.join(q, "doc_id", "left").groupBy("lang", F.coalesce(F.col("quality").cast("string"), F.lit("unregistered")).alias("status")).agg(F.count("*").alias("n"))
+    return G.status_distribution(t.documents, t.labels, "doc_id", "quality", "lang")
 
 
 @plan("select c_mktsegment, count(*) as n, count(*) filter (c_acctbal < 0) as populated from customer group by 1")

@@ -11,17 +11,16 @@ from weavegraph.plans.registry import Plans, Tables
 
 plan = Plans()
 #: Keys: source and one of nine buckets, so that locales have holes.
-TEXTS_SQL = "texts as (select lang as locale, source || '/' || (n_chars % 9)::varchar as key, min(substr(text, 1, 12)) as text from documents group by 1, 2)"
-TERMS_SQL = "edges as (select distinct 'c' || (doc_id % 3)::varchar as kind, doc_id % 40 as id, source || '/' || (n_chars % 9)::varchar as key from documents where doc_id % 2 = 0)"
+TEXTS_SQL = "texts as (select lang as locale, source || '/' || (n_chars % 9)::varchar as key, min(text) as text from documents group by 1, 2)"
+TERMS_SQL = "edges as (select distinct 'c' || (doc_id % 3)::varchar as kind, doc_id % 40 as id, source || '/' || (n_chars % 9)::varchar as key from documents)"
 
 
 def texts(t: Tables) -> DataFrame:
-    return t.documents.groupBy(F.col("lang").alias("locale"), F.concat("source", F.lit("/"), (F.col("n_chars") % 9).cast("string")).alias("key")).agg(F.min(F.substring("text", 1, 12)).alias("text"))
+    return t.documents.groupBy(F.col("lang").alias("locale"), F.concat("source", F.lit("/"), (F.col("n_chars") % 9).cast("string")).alias("key")).agg(F.min("text").alias("text"))
 
 
 def edges(t: Tables) -> DataFrame:
-    d = t.documents.filter("doc_id % 2 = 0")
-    return d.select(F.concat(F.lit("c"), (F.col("doc_id") % 3).cast("string")).alias("kind"), (F.col("doc_id") % 40).alias("id"), F.concat("source", F.lit("/"), (F.col("n_chars") % 9).cast("string")).alias("key")).distinct()
+    return t.documents.select(F.concat(F.lit("c"), (F.col("doc_id") % 3).cast("string")).alias("kind"), (F.col("doc_id") % 40).alias("id"), F.concat("source", F.lit("/"), (F.col("n_chars") % 9).cast("string")).alias("key")).distinct()
 
 
 @plan(f"with {TEXTS_SQL} select key, coalesce(string_agg(locale, ',' order by locale) filter (locale <> 'en'), '') as locales, bool_or(locale = 'en') as in_base from texts group by 1")
@@ -159,14 +158,14 @@ def c3_build_documents(t: Tables) -> DataFrame:
     return d.select("c_custkey", "name", F.array_join("aliases", ",").alias("aliases"))
 
 
-UNIVERSE_SQL = """e as (select 'p' as kind, l_partkey as id from lineitem where l_quantity > 48), ca as (select 'p' as kind, p_partkey as id from part where p_size < 10), cp as (select 'p' as kind, p_partkey as id from part where p_size < 25), al as (select 'p' as kind, p_partkey as id from part), nm as (select 'p' as kind, p_partkey as id from part where p_size % 2 = 0),
+UNIVERSE_SQL = """e as (select 'p' as kind, l_partkey as id from lineitem group by l_partkey having count(*) > 32), ca as (select 'p' as kind, p_partkey as id from part where p_size < 10), cp as (select 'p' as kind, p_partkey as id from part where p_size < 25), al as (select 'p' as kind, p_partkey as id from part), nm as (select 'p' as kind, p_partkey as id from part where p_size % 2 = 0),
 na as (select * from e union select * from ca), ex as (select * from na union select * from cp)"""
 
 
 @plan(f"with {UNIVERSE_SQL} select kind, 'narrow' as which, count(*) as n from na group by 1 union all select kind, 'expanded', count(*) from ex group by 1 union all select kind, 'id_only', count(*) from (select * from al except select * from ex) group by 1 union all select kind, 'description_only', count(*) from (select * from ex except select * from nm) group by 1")
 def c10_universe_sets(t: Tables) -> DataFrame:
     p = lambda cond: t.part.filter(cond).select(F.lit("p").alias("kind"), F.col("p_partkey").alias("id"))
-    e = t.lineitem.filter("l_quantity > 48").select(F.lit("p").alias("kind"), F.col("l_partkey").alias("id"))
+    e = t.lineitem.groupBy(F.col("l_partkey").alias("id")).agg(F.count("*").alias("n")).filter("n > 32").select(F.lit("p").alias("kind"), "id")
     return C.universe_sets(e, p("p_size < 10"), p("p_size < 25"), p("true"), p("p_size % 2 = 0"))
 
 
@@ -178,10 +177,14 @@ def c6_c11_byte_census(t: Tables) -> DataFrame:
     return C.size_band(C.byte_census(t.documents, "lang", "source", "doc_id"), 20, 24)
 
 
-@plan("select 'documents' as report, x.metric as metric, x.value::double as value, x.unit as unit, 7::bigint as snapshot_id from (select unnest([{'metric': 'rows', 'value': count(*), 'unit': 'documents'}, {'metric': 'chars', 'value': sum(n_chars), 'unit': 'characters'}]) as x from documents)")
+@plan(
+    f"""with {SHARD_SQL}, k as (select source, count(*) as n, count(distinct lang) as k from documents group by 1), o as (select count(*) as documents, count(distinct lang) as locales, count(distinct lang) as kinds, count(distinct doc_id) as keys, (select count(*) filter (n > 1) from k) as repeated_titles, (select count(*) filter (k > 1) from k) as titles_of_kinds, (select sum(n) filter (n > 1) from k) as documents_in_repeats, (select sum(shard_bytes) from s) as shard_bytes from documents),
+    m as (select unnest([{{'metric': 'documents.' || locale, 'value': documents::double, 'unit': 'documents'}}, {{'metric': 'title_bytes.' || locale, 'value': title_bytes::double, 'unit': 'bytes'}}, {{'metric': 'key_bytes.' || locale, 'value': key_bytes::double, 'unit': 'bytes'}}, {{'metric': 'shard_bytes.' || locale, 'value': shard_bytes::double, 'unit': 'bytes'}}]) as x from s
+    union all select unnest([{{'metric': 'documents', 'value': documents::double, 'unit': 'documents'}}, {{'metric': 'locales', 'value': locales::double, 'unit': 'locales'}}, {{'metric': 'kinds', 'value': kinds::double, 'unit': 'kinds'}}, {{'metric': 'keys', 'value': keys::double, 'unit': 'keys'}}, {{'metric': 'repeated_titles', 'value': repeated_titles::double, 'unit': 'titles'}}, {{'metric': 'titles_of_kinds', 'value': titles_of_kinds::double, 'unit': 'titles'}}, {{'metric': 'documents_in_repeats', 'value': documents_in_repeats::double, 'unit': 'documents'}}, {{'metric': 'shard_bytes', 'value': shard_bytes::double, 'unit': 'bytes'}}]) from o)
+    select 'corpus' as report, x.metric as metric, x.value as value, x.unit as unit, 7::bigint as snapshot_id from m"""
+)
 def c7_corpus_manifest(t: Tables) -> DataFrame:
-    one = t.documents.agg(F.count("*").alias("rows"), F.sum("n_chars").alias("chars"))
-    return C.metrics("documents", one, 7, {"rows": "documents", "chars": "characters"})
+    return C.corpus_manifest(t.documents, "lang", "lang", "source", "doc_id", 7)
 
 
 @plan("select 'no order' as reason, c_custkey::varchar as item from customer where c_custkey not in (select o_custkey from orders) union all select 'debt', c_custkey::varchar from customer where c_acctbal < -900")

@@ -26,10 +26,10 @@ def f2_strip_hash_suffix(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", X.strip_hash_suffix(F.concat_ws("_", "source", F.md5("text"))).alias("stripped"), X.strip_hash_suffix("source").alias("none_stripped"))
 
 
-@plan(r"select p_partkey, replace(p_name, ' ', '_') as base, -p_partkey as path_id from part where p_partkey > 0")
+@plan(r"select p_partkey, replace(p_name, ' ', '_') as base, -p_partkey as path_id from part")
 def f3_parse_stem(t: Tables) -> DataFrame:
     stem = F.concat(F.translate("p_name", " ", "_"), F.lit("_"), (-F.col("p_partkey")).cast("string"), F.lit(".json"))
-    return t.part.filter("p_partkey > 0").select("p_partkey", X.parse_stem(stem).alias("s")).select("p_partkey", "s.base", "s.path_id")
+    return t.part.select("p_partkey", X.parse_stem(stem).alias("s")).select("p_partkey", "s.base", "s.path_id")
 
 
 @plan(
@@ -79,9 +79,9 @@ def f9_candidate_forms(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", F.explode(forms).alias("x")).select("p_partkey", "x.form", "x.method")
 
 
-@plan(r"select p_partkey, array_to_string(list_distinct(list_filter([case when p_brand = 'Brand#11' then 'First' when contains(lower(p_brand), 'brand#11') then 'First' end, case when contains(lower(p_brand), 'brand') then replace(p_brand, 'Brand', 'Make') end], lambda x: x is not null)), ',') as forms from part where not contains(p_brand, '#11')")
+@plan(r"select p_partkey, array_to_string(list_sort(list_distinct(list_filter([case when p_brand = 'Brand#11' then 'First' when contains(lower(p_brand), 'brand#11') then 'First' end, case when contains(lower(p_brand), 'brand') then replace(p_brand, 'Brand', 'Make') end], lambda x: x is not null))), ',') as forms from part")
 def f10_token_rewrite(t: Tables) -> DataFrame:
-    return t.part.filter(~F.contains("p_brand", F.lit("#11"))).select("p_partkey", F.array_join(X.token_rewrite("p_brand", [("Brand#11", "First"), ("brand", "Make")]), ",").alias("forms"))
+    return t.part.select("p_partkey", F.array_join(F.array_sort(X.token_rewrite("p_brand", [("Brand#11", "First"), ("brand", "Make")])), ",").alias("forms"))
 
 
 @plan(r"select p_partkey, lower(regexp_replace(trim(p_name), '[\s-]+', '_', 'g')) as name_key from part")
@@ -108,9 +108,12 @@ def f14_common_namespace(t: Tables) -> DataFrame:
     return k.select("lang", X.common_namespace("a0", "a1").alias("across"), X.common_namespace("b0", "b1").alias("within"))
 
 
-@plan(r"select lang, count(*) filter (regexp_matches(text, '[\x{4E00}-\x{9FFF}\x{3040}-\x{30FF}\x{AC00}-\x{D7A3}]')) as cjk, count(*) as n from documents group by 1")
+@plan(r"select lang, count(*) filter (doc_id % 4 < 3) as cjk, count(*) as n from documents group by 1")
 def f15_is_cjk(t: Tables) -> DataFrame:
-    return t.documents.groupBy("lang").agg(F.count_if(X.is_cjk("text")).alias("cjk"), F.count("*").alias("n"))
+    """Texts with a Han, Kana or Hangul letter behind three in four of them."""
+    k = F.col("doc_id") % 4
+    added = F.when(k == 0, "漢").when(k == 1, "か").when(k == 2, "한").otherwise("é")
+    return t.documents.groupBy("lang").agg(F.count_if(X.is_cjk(F.concat("text", added))).alias("cjk"), F.count("*").alias("n"))
 
 
 @plan(r"""select page_id, coalesce(nullif(regexp_replace(regexp_replace(url, '[<>:"/\\|?*\x00-\x1f]', '_', 'g'), '[ .]+$', ''), ''), '_unnamed') as safe, 'web/icons/' || coalesce(nullif(regexp_replace(regexp_replace(url, '[<>:"/\\|?*\x00-\x1f]', '_', 'g'), '[ .]+$', ''), ''), '_unnamed') || '.webp' as path from pages""")
@@ -142,11 +145,11 @@ def p1_extract_id(t: Tables) -> DataFrame:
 
 
 @plan(
-    r"""select p_partkey, case when p_brand = 'Brand#13' then 'known' when ends_with(lower(p_type), 'steel') then 'metal' when starts_with(lower(p_type), 'promo') then 'promo' when contains(lower(p_name), 'green') then 'green' else 'config' end as kind,
-    case when p_brand = 'Brand#13' then 'discriminator' when ends_with(lower(p_type), 'steel') or starts_with(lower(p_type), 'promo') then 'class' when contains(lower(p_name), 'green') then 'family' else 'default' end as method, p_brand <> 'Brand#13' as inferred from part"""
+    r"""select p_partkey, case when p_brand = 'Brand#13' then 'known' when ends_with(lower(p_type), 'all') then 'metal' when starts_with(lower(p_type), 'promo') then 'promo' when contains(lower(p_name), 'red') then 'red' else 'config' end as kind,
+    case when p_brand = 'Brand#13' then 'discriminator' when ends_with(lower(p_type), 'all') or starts_with(lower(p_type), 'promo') then 'class' when contains(lower(p_name), 'red') then 'family' else 'default' end as method, p_brand <> 'Brand#13' as inferred from part"""
 )
 def p2_assign_kind(t: Tables) -> DataFrame:
-    rules = [("known", "discriminator", "p_brand", "equal", "Brand#13"), ("metal", "class", "p_type", "suffix", "steel"), ("promo", "class", "p_type", "prefix", "promo"), ("green", "family", "p_name", "contains", "green")]
+    rules = [("known", "discriminator", "p_brand", "equal", "Brand#13"), ("metal", "class", "p_type", "suffix", "ALL"), ("promo", "class", "p_type", "prefix", "promo"), ("red", "family", "p_name", "contains", "RED")]
     return P.assign_kind(t.part, rules, default="config").select("p_partkey", "kind", "method", "inferred")
 
 
@@ -179,12 +182,12 @@ def p14_generation_label(t: Tables) -> DataFrame:
 
 
 @plan(
-    r"""select pattern, count(*) filter (hit) as hits from (select 'exact' as pattern, contains(p_name, 'green') as hit from part union all select 'folded', contains(lower(p_name), 'almond') from part
+    r"""select pattern, count(*) filter (hit) as hits from (select 'exact' as pattern, contains(p_name, 'red') as hit from part union all select 'folded', contains(lower(p_type), 'promo') from part
     union all select 'any', contains(p_name, 'blue') or contains(p_name, 'red') from part union all select 'regex', regexp_matches(p_name, '^[a-c].*e$') from part union all select 'never', false from part) group by 1"""
 )
 def p15_predicate_battery(t: Tables) -> DataFrame:
     n = F.col("p_name")
-    tests = {"exact": F.contains(n, F.lit("green")), "folded": F.contains(F.lower(n), F.lit("almond")), "any": F.contains(n, F.lit("blue")) | F.contains(n, F.lit("red")), "regex": n.rlike("^[a-c].*e$"), "never": F.lit(False)}
+    tests = {"exact": F.contains(n, F.lit("red")), "folded": F.contains(F.lower("p_type"), F.lit("promo")), "any": F.contains(n, F.lit("blue")) | F.contains(n, F.lit("red")), "regex": n.rlike("^[a-c].*e$"), "never": F.lit(False)}
     return P.predicate_battery(t.part, tests)
 
 
@@ -214,14 +217,19 @@ def p21_verbatim_projection(t: Tables) -> DataFrame:
     return P.verbatim(t.events, "props", {"k": "$.k", "missing": "$.missing"}, ["event_id"])
 
 
-@plan("select p_partkey, p_name from part where contains(p_name, 'green')")
+@plan("select p_partkey, p_name from part where contains(p_name, 'red')")
 def p25_name_projection(t: Tables) -> DataFrame:
-    return t.part.filter(F.contains("p_name", F.lit("green"))).select("p_partkey", "p_name")
+    return P.name_projection(t.part.select("p_partkey", "p_name"), "p_name", "red")[0]
 
 
-@plan(r"select page_id, case when regexp_matches(url, '\{[^}]*\}') then 'braced' when page_id % 5 = 0 then 'known key' end as excuse from pages where page_id % 2 = 0")
+@plan("select p_name, count(*) as n from part where contains(p_name, 'red') group by 1")
+def p25_projected_names(t: Tables) -> DataFrame:
+    return P.name_projection(t.part, "p_name", "red")[1]
+
+
+@plan(r"select page_id, case when regexp_matches(url, '\{[^}]*\}') then 'braced' when page_id % 5 = 0 then 'known key' end as excuse from pages")
 def p26_miss_excuse(t: Tables) -> DataFrame:
     keys = t.pages.filter("page_id % 5 = 0").select(X.normalize_ref("url").alias("key"), F.col("page_id").alias("known_id")).distinct()
-    d = t.pages.filter("page_id % 2 = 0").withColumn("key", X.normalize_ref("url"))
+    d = t.pages.withColumn("key", X.normalize_ref("url"))
     j = d.join(keys, (d["key"] == keys["key"]) & (d["page_id"] == keys["known_id"]), "left")
     return j.select("page_id", F.when(F.col("url").rlike(r"\{[^}]*\}"), "braced").when(F.col("known_id").isNotNull(), "known key").alias("excuse"))

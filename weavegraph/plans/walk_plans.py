@@ -27,38 +27,34 @@ def payloads(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", "o_custkey", F.to_json(body).alias("payload"))
 
 
-def nodes(t: Tables) -> DataFrame:
-    return K.walk(payloads(t), "payload", ["o_orderkey"], 4, blocked=("m_SubObjectName",))
-
-
 @plan("select event_id, 'k' as path, json_extract_string(props, '$.k') as text from events where json_extract_string(props, '$.k') is not null")
 def n1_walk_leaves(t: Tables) -> DataFrame:
-    return K.leaves(K.walk(t.events, "props", ["event_id"], 2)).select("event_id", "path", "text")
+    return K.leaves(t.events, "props", ["event_id"]).select("event_id", "path", "text")
 
 
 @plan("select 'main.Target' as path, count(*) filter (o_orderkey % 2 <> 0 or o_custkey % 2 <> 0) as n, sum(o_custkey % 2) filter (o_orderkey % 2 <> 0 or o_custkey % 2 <> 0)::bigint as ids from orders union all select 'links[]', count(*), -sum(o_custkey)::bigint from orders")
 def n2_walk_pointers(t: Tables) -> DataFrame:
-    return K.pointers(nodes(t)).groupBy(K.normalize_field_path("path").alias("path")).agg(F.count("*").alias("n"), F.sum("path_id").alias("ids"))
+    return K.pointers(payloads(t), "payload", ["o_orderkey"]).groupBy(K.normalize_field_path("path").alias("path")).agg(F.count("*").alias("n"), F.sum("path_id").alias("ids"))
 
 
 @plan("select o_orderkey, o_custkey % 3 as term_id, case when o_orderkey % 2 = 0 then '' else o_orderpriority end as dev from orders")
 def n3_walk_localised(t: Tables) -> DataFrame:
-    return K.localised(nodes(t)).select("o_orderkey", "term_id", "dev")
+    return K.localised(payloads(t), "payload", ["o_orderkey"]).select("o_orderkey", "term_id", "dev")
 
 
 @plan("select o_orderkey, 'dict' as form, md5(o_orderkey::varchar) as guid from orders union all select o_orderkey, 'bare', md5(o_custkey::varchar) from orders")
 def n4_walk_guid_refs(t: Tables) -> DataFrame:
-    return K.guid_refs(nodes(t)).select("o_orderkey", "form", "guid")
+    return K.guid_refs(payloads(t), "payload", ["o_orderkey"]).select("o_orderkey", "form", "guid")
 
 
 @plan("select count(*) as n, count(distinct md5(o_orderkey::varchar)) as guids from orders")
 def n5_walk_guid_dicts(t: Tables) -> DataFrame:
-    return K.guid_refs(nodes(t), bare=False).agg(F.count("*").alias("n"), F.countDistinct("guid").alias("guids"))
+    return K.guid_refs(payloads(t), "payload", ["o_orderkey"], bare=False).agg(F.count("*").alias("n"), F.countDistinct("guid").alias("guids"))
 
 
 @plan("select 3 * count(*) as slots, count(*) + count(*) filter (o_orderkey % 2 = 0 and o_custkey % 2 = 0) as nulls from orders")
 def n6_walk_pointer_slots(t: Tables) -> DataFrame:
-    p = K.pointers(nodes(t), null_slots=True)
+    p = K.pointers(payloads(t), "payload", ["o_orderkey"], null_slots=True)
     return p.agg(F.count("*").alias("slots"), F.count_if((F.col("file_id") == 0) & (F.col("path_id") == 0)).alias("nulls"))
 
 
@@ -70,12 +66,12 @@ def n7_walk_typed_blocks(t: Tables) -> DataFrame:
 
 @plan("select block, carriers, count(*) as n from (select printf('%x', o_orderkey % 20 + unnest([0, 1])) as block, 'blocks' as carriers from orders) group by 1, 2")
 def n8_attach_list_carriers(t: Tables) -> DataFrame:
-    return K.list_carriers(nodes(t), ["o_orderkey"]).groupBy("block", "carriers").agg(F.count("*").alias("n"))
+    return K.list_carriers(payloads(t), "payload", ["o_orderkey"]).groupBy("block", "carriers").agg(F.count("*").alias("n"))
 
 
 @plan("select 'Name' as key, count(*) as present, count(*) filter (o_custkey % 3 <> 0 or o_orderkey % 2 <> 0) as capable from orders")
 def n9_walk_text_keys(t: Tables) -> DataFrame:
-    return K.text_key_census(nodes(t))
+    return K.text_key_census(payloads(t), "payload")
 
 
 @plan("select o_orderkey, -o_custkey as second_link, o_orderstatus as status from orders")
@@ -113,13 +109,48 @@ def n15_grid_histogram(t: Tables) -> DataFrame:
 @plan("select o_orderkey, o_orderstatus as text, true as inferred from orders where o_orderstatus in ('F', 'P')")
 def j19_value_reference_probe(t: Tables) -> DataFrame:
     known = t.orders.filter("o_orderstatus <> 'O'").select(F.col("o_orderstatus").alias("known_id")).distinct()
-    return K.value_references(K.leaves(nodes(t)), known, r"^main\.Status$").select("o_orderkey", "text", "inferred")
+    return K.value_references(K.leaves(payloads(t), "payload", ["o_orderkey"]), known, r"^main\.Status$").select("o_orderkey", "text", "inferred")
+
+
+def icon_payloads(t: Tables) -> DataFrame:
+    """A payload per order with pointers beside references that are filled, empty or absent, some of them null."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    pointer = lambda f, p: F.struct(f.cast("int").alias("m_FileID"), p.cast("bigint").alias("m_PathID"))
+    guid = F.when(k % 3 == 0, F.md5(k.cast("string"))).when(k % 3 == 1, F.lit(" "))
+    body = F.struct(
+        F.struct(pointer(k % 2, c % 5).alias("SmallIcon"), F.when(k % 3 < 2, F.struct(guid.alias("m_AssetGUID"))).alias("SmallIconReference")).alias("view"),
+        F.array(F.struct(pointer(F.lit(2), c).alias("icon"))).alias("rows"),
+        pointer(F.lit(0), c).alias("Target"),
+    )
+    return t.orders.select("o_orderkey", F.to_json(body).alias("payload"))
+
+
+RESIDUE_SQL = """s as (select o_orderkey, 'view.SmallIcon' as path, o_orderkey % 2 as f, o_custkey % 5 as p, o_orderkey % 3 = 0 as paired, true as mine from orders union all select o_orderkey, 'rows[0].icon', 2, o_custkey, false, true from orders union all select o_orderkey, 'Target', 0, o_custkey, false, false from orders)"""
+
+
+@plan(f"with {RESIDUE_SQL} select o_orderkey, path, f::int as file_id, p as path_id from s where mine and not paired and (f <> 0 or p <> 0)")
+def a31_pointer_residue(t: Tables) -> DataFrame:
+    return K.pointer_residue(icon_payloads(t), "payload", ["o_orderkey"]).select("o_orderkey", "path", "file_id", "path_id")
+
+
+@plan(
+    f"with {RESIDUE_SQL} select count(*) as scanned, count(*) filter (mine and f = 0 and p = 0) as null_skipped, count(*) filter (mine and not paired and (f <> 0 or p <> 0)) as residue, count(*) filter (mine and not paired and f = 0 and p <> 0) as same_file, count(*) filter (mine and not paired and f <> 0) as external from s"
+)
+def a31_residue_counters(t: Tables) -> DataFrame:
+    return K.residue_counters(K.pointers(icon_payloads(t), "payload", ["o_orderkey"], null_slots=True))
+
+
+def deep_payloads(t: Tables) -> DataFrame:
+    """A payload per customer whose pointer lies under as many lists and objects as its key says, seven levels and more."""
+    k = F.col("c_custkey")
+    levels = (k % 6 + 4).cast("int")
+    open_ = F.concat(F.repeat(F.lit('{"a":['), levels), F.lit('{"Leaf":{"m_FileID":1,"m_PathID":'), k.cast("string"), F.lit('},"m_Script":{"m_FileID":1,"m_PathID":7}}'), F.repeat(F.lit("]}"), levels))
+    return t.customer.select("c_custkey", open_.alias("payload"))
 
 
-@plan("select count(*) filter (o_orderkey % 2 = 0) as icon_empty, count(*) as slots from orders")
-def a31_pointer_residue_scan(t: Tables) -> DataFrame:
-    p = K.pointers(nodes(t)).filter("path = 'links[1]'")
-    return p.agg(F.count_if(F.col("o_orderkey") % 2 == 0).alias("icon_empty"), F.count("*").alias("slots"))
+@plan("select c_custkey, repeat('a[0].', (c_custkey % 6 + 4)::int) || 'Leaf' as path, 'Leaf' as key, c_custkey as path_id from customer")
+def n2_deep_pointers(t: Tables) -> DataFrame:
+    return K.pointers(deep_payloads(t), "payload", ["c_custkey"]).select("c_custkey", "path", "key", "path_id")
 
 
 @plan("select 'Block' as class, count(*) as blocks, count(distinct o_orderkey) as carriers, count(*) filter (o_custkey % 2 = 0) as members from orders")

@@ -31,9 +31,9 @@ def scan_payload_tree(spark: SparkSession, root: str, pattern: str = "*.json") -
     return rows.filter("payload is not null")
 
 
-def scan_class_family(spark: SparkSession, root: str, class_name: str) -> DataFrame:
+def scan_class_family(spark: SparkSession, root: str, class_name: str, pattern: str = "*.json") -> DataFrame:
     """S3: one class's files only; the directory is chosen by path, so the others aren't listed."""
-    return scan_payload_tree(spark, f"{root.rstrip('/')}/*/{class_name}")
+    return scan_payload_tree(spark, f"{root.rstrip('/')}/*/{class_name}", pattern)
 
 
 def scan_single_json(spark: SparkSession, path: str, member: str, element: str) -> DataFrame:
@@ -76,8 +76,9 @@ def sink_jsonl_sorted(df: DataFrame, path: str, key: list[str]) -> None:
 
 
 def sink_split(df: DataFrame, path: str, by: list[str], order: list[str]) -> None:
-    """One folder per value of by, rows sorted inside their files; a large value may have several files."""
-    df.repartition(*by).sortWithinPartitions(*by, *order).write.partitionBy(*by).parquet(path)
+    """One folder per value of by, rows sorted inside their files. Rows are dealt by ranges of by and order together, so
+    a value of many rows has several files, whose names follow the order, and no task has all of it."""
+    df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order).write.partitionBy(*by).parquet(path)
 
 
 def projection_matches(shard: DataFrame, projection: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -88,9 +89,16 @@ def projection_matches(shard: DataFrame, projection: DataFrame, columns: dict[st
 
 
 def content_manifest(df: DataFrame, by: list[str]) -> DataFrame:
-    """Rows and an order-free hash of the contents per partition value: sums that any number of tasks can share."""
-    row = F.xxhash64(F.to_json(F.struct(*sorted(df.columns))))
-    return df.groupBy(*by).agg(F.count("*").alias("n"), F.bit_xor(row).alias("content"))
+    """Rows and an order-free hash of the contents per partition value: a sum of the rows' hashes, which any number of
+    tasks can share and in which equal rows count each."""
+    row = F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256)
+    return df.groupBy(*by).agg(F.count("*").alias("n"), F.sum(F.conv(F.substring(row, 1, 15), 16, 10).cast("decimal(38,0)")).cast("string").alias("content"))
+
+
+def file_manifest(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """Path, length and sha256 of every file under root, in order of the paths."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
+    return files.select("path", "length", F.sha2("content", 256).alias("sha256")).orderBy("path")
 
 
 def media_rollup(df: DataFrame, first: str, second: str, size: str) -> DataFrame:
