@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,42 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weavegraph.sources.shared import forget, scratch, shared_folder, stored  # noqa: F401
+
 #: Lower-cases A-Z only, as the word rules ask for.
 ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Only where the session names none (tests) is a local one set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="weavegraph-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage in a way that outlives lost executors."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget(spark: SparkSession, df: DataFrame) -> None:
-    """Delete a table that stored() wrote and nothing reads any more."""
-    files = df.inputFiles()
-    if files:
-        path = spark._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
-        if path.toString().startswith(shared_folder(spark).split("://")[0]):
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def free_name(df: DataFrame, base: str) -> str:
     """base, or base with as many underscores as it takes to clash with no column of df."""
     taken = {c.lower() for c in df.columns}

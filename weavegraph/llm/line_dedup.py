@@ -118,7 +118,7 @@ def longest_earlier_runs(levels: list[DataFrame]) -> DataFrame:
         later = F.struct((F.col("length") + (1 << k)).alias("length"), F.col("first").alias("node"), F.col("asks"))
         step = F.when(~moves, F.array(stays)).when(F.col("pos") == F.col("first"), F.array(stays, longer)).otherwise(F.array(later))
         fresh = stored(joined.select("pos", F.explode(step).alias("s")).select("pos", "s.length", "s.node", "s.asks"), "state")
-        forget(fresh.sparkSession, named)
+        forget(named)
         state = fresh
     return state.filter("asks and length > 0").select("pos", "length", F.col("node").alias("source"))
 
