@@ -30,17 +30,18 @@ def _whole(value, bits: int = 64) -> bool:
 Find = Callable[[str | None, int | None, object, dict | None], tuple[tuple | None, bool]]
 
 
-def walk(df: DataFrame, payload: str, keep: list[str], columns: str, find: Find, blocked: tuple[str, ...] = ()) -> DataFrame:
+def walk(df: DataFrame, payload: str, keep: list[str], columns: str, find: Find, blocked: tuple[str, ...] = (), scalars: bool = True) -> DataFrame:
     """What find() finds in each payload, to any depth: keep, path, key, pos and the columns of find (as DDL).
 
     Spark can't follow a payload to a depth that isn't known beforehand in one pass, so this is a generator over Arrow
     batches: a payload is parsed once and walked with a stack, and only what is found leaves it. payload is JSON text or
-    VARIANT; what isn't JSON has no nodes. An element of a list has the key of its list. Blocked keys aren't opened.
+    VARIANT; what isn't JSON has no nodes. An element of a list has the key of its list. Blocked keys aren't opened; without scalars, find()
+    sees objects and lists alone.
     """
     is_text = dict(df.dtypes)[payload] == "string"
     given = df.select(*keep, (F.col(payload) if is_text else F.to_json(payload)).alias("payload__"))
     schema = T.StructType([*given.schema.fields[:-1], *T.StructType.fromDDL(f"path string, key string, pos int, {columns}").fields])
-    arrow, at = to_arrow_schema(schema), len(keep)
+    arrow, at, nested = to_arrow_schema(schema), len(keep), (dict, list)
 
     def nodes(root) -> Iterator[tuple]:
         stack = [("", None, None, root, None)]
@@ -51,16 +52,17 @@ def walk(df: DataFrame, payload: str, keep: list[str], columns: str, find: Find,
                 yield (path, key, pos, *found)
             if opens and type(node) is dict:
                 dot = f"{path}." if path else ""
-                stack += [(dot + k, k, None, v, node) for k, v in reversed(node.items()) if k not in blocked]
+                stack += [(dot + k, k, None, v, node) for k, v in node.items() if (scalars or type(v) in nested) and k not in blocked]
             elif opens and type(node) is list:
-                stack += [(f"{path}[{n}]", key, n, node[n], owner) for n in range(len(node) - 1, -1, -1)]
+                stack += [(f"{path}[{n}]", key, n, v, owner) for n, v in enumerate(node) if scalars or type(v) in nested]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parse = json.JSONDecoder(parse_float=_Literal).decode
         for batch in batches:
             rows, out = [], []
             for row, text in enumerate(batch.column(at).to_pylist()):
                 try:
-                    root = None if text is None else json.loads(text, parse_float=_Literal)
+                    root = None if text is None else parse(text)
                 except ValueError:
                     continue
                 made = list(nodes(root)) if text is not None else []
@@ -108,7 +110,7 @@ def pointers(df: DataFrame, payload: str, keep: list[str], null_slots: bool = Fa
         guid = beside.get("m_AssetGUID") if type(beside) is dict else None
         return (file_id, path_id, type(guid) is str and bool(guid.strip())), False
 
-    return walk(df, payload, keep, "file_id int, path_id bigint, paired boolean", find)
+    return walk(df, payload, keep, "file_id int, path_id bigint, paired boolean", find, scalars=False)
 
 
 def _localised(key, pos, node, owner):
@@ -119,7 +121,7 @@ def _localised(key, pos, node, owner):
 
 def localised(df: DataFrame, payload: str, keep: list[str]) -> DataFrame:
     """Objects with _dev and _termID and at most three keys: term_id and dev text; they aren't opened."""
-    return walk(df, payload, keep, "term_id bigint, dev string", _localised)
+    return walk(df, payload, keep, "term_id bigint, dev string", _localised, scalars=False)
 
 
 def guid_refs(df: DataFrame, payload: str, keep: list[str], bare: bool = True) -> DataFrame:
@@ -135,7 +137,7 @@ def guid_refs(df: DataFrame, payload: str, keep: list[str], bare: bool = True) -
             return (node, "bare", ""), False
         return None, True
 
-    return walk(df, payload, keep, "guid string, form string, sub_name string", find)
+    return walk(df, payload, keep, "guid string, form string, sub_name string", find, scalars=bare)
 
 
 def pointer_residue(df: DataFrame, payload: str, keep: list[str], named: str = "icon") -> DataFrame:
@@ -173,7 +175,7 @@ def list_carriers(df: DataFrame, payload: str, keep: list[str]) -> DataFrame:
             return (node["id"],), True
         return None, True
 
-    found = walk(df, payload, keep, "ref bigint", find)
+    found = walk(df, payload, keep, "ref bigint", find, scalars=False)
     carrier = F.regexp_replace("path", r"\[\d+\]$", "")
     return found.groupBy(*keep, F.lower(F.hex("ref")).alias("block")).agg(F.array_join(F.array_sort(F.collect_set(carrier)), ",").alias("carriers"))
 
