@@ -32,8 +32,22 @@ def test_words_give_the_ids_of_whole_texts():
     t, encode = Tokenizer.from_file(PATH), token_files.Encoder(PATH)
     texts = ["", " a  b\n\n", "Don't STOP, we'll go!! 12345 o'clock's", "Straße ÀÉÎ ΣΊΣΥΦΟΣ İstanbul éá", "x y z\x1c\x85w", "<|endoftext|> a<|startoftext|>b", "日本語 テスト한국어 ª º µ ß", "a.b,c ... ?! (d) e-f", "'s 's't x's", "́a ﬁ Ǆ"]
     assert encode.wordwise
-    want = [np.array(t.encode(x, add_special_tokens=False).ids, dtype="<u4").tobytes() for x in texts]
-    assert encode(texts) == want == encode(texts)
+    texts += ["a\x01b c\x01", "re%%% a$$$. (b)x_y _a_ 1.5e3*", "e\u0301, n\u0303. ²! Ⅷ; ÿ?"]
+    want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    for most in (250_000, 3):
+        encode = token_files.Encoder(PATH, most)
+        for _ in range(2):
+            ids, lengths = encode(texts)
+            assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])] == want
+    assert [len(x) for x in encode([])] == [0, 0]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n\x01.,'aB1é\u0301日*<_"), st.characters(exclude_categories=("Cs",)))), max_size=8))
+def test_any_text_gives_the_ids_of_the_library(texts):
+    t = Tokenizer.from_file(PATH)
+    ids, lengths = token_files.encoder(PATH)(texts)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(lengths)[:-1])][: len(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
 def digest(rows, t):
@@ -54,3 +68,11 @@ def test_files(spark, sf_dir):
         got = token_files.token_digest(table, tokenizer=PATH, file_ids=size).collect()
         assert sorted(map(tuple, got), key=lambda r: r[1]) == digest(rows, t)
     assert token_files.token_digest(table.limit(0), tokenizer=PATH).count() == 0
+
+
+def test_clashing_columns_and_one_id_for_all(spark):
+    t = Tokenizer.from_file(PATH)
+    rows = [(None, f"text {i % 7} " * 3, i, "x") for i in range(200)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, tie int, head string").repartition(4)
+    got = sorted(map(tuple, token_files.token_digest(table, tokenizer=PATH, file_ids=50).collect()), key=lambda r: r[1])
+    assert got == digest([r[:2] for r in rows], t)

@@ -34,7 +34,7 @@ ORDER = 6
 #: Grams are dealt by so many bytes of their contexts, the last ones.
 NEAR = 3
 #: Bytes of text in a chunk, about.
-CHUNK = 24 << 20
+CHUNK = 32 << 20
 #: Bytes that no UTF-8 text has: before the text, and its end.
 START, END = 0xFE, 0xFF
 SYMBOLS = 257

@@ -1,8 +1,9 @@
 """Token-ID / binary output: documents as Simple-8b files of token ids, in ascending order of their ids.
 
-Spark deals the documents out by ranges of doc_id and sorts them inside the ranges; each task tokenizes its documents,
-and writes a file whenever it has `file_ids` ids. A file is written under a hidden name and then renamed, so a task that
-runs again leaves the same files. Reading takes whole files, decodes all their blocks and slices the documents out.
+Spark deals the documents out by ranges of doc_id and the texts' beginnings, and sorts them inside the ranges; each task
+tokenizes its documents, and writes a file whenever it has `file_ids` ids. Every file has a name of its own, and the
+manifest, which Spark commits, names those of the tasks that succeeded: what a lost task has left is never read. Reading
+takes whole files, decodes all their blocks and slices the documents out.
 
 File layout, little-endian: b"S8B1"; uint32 ids per block; int64 documents, ids, words; then int64 doc_id and uint8
 is-null flag per document, int64 ids per document, int64 first word per block and for the end, uint64 words.
@@ -14,6 +15,7 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,77 +44,104 @@ WORDWISE = {
 }
 
 
-class Memo(dict):
-    """What is known for good, and behind it what these texts add."""
+#: Between an ASCII letter or digit and an ASCII mark other than an apostrophe these tokenizers always cut.
+PLAIN = np.array([chr(c).isalnum() and c < 128 for c in range(256)])
+MARK = np.array([33 <= c < 127 and not chr(c).isalnum() and c != 39 for c in range(256)])
 
-    fresh: dict = {}
+
+class Numbers(dict):
+    """Words to numbers, in the order in which they are first asked for."""
 
     def __missing__(self, key):
-        return self.fresh[key]
+        n = self[key] = len(self)
+        return n
+
+
+def gathered(pool: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the words numbered `at`, one after the other, and each word's number of them; pool has word after word."""
+    own = size[at]
+    upto = np.cumsum(own)
+    return pool[np.repeat((np.cumsum(size) - size)[at] - upto + own, own) + np.arange(upto[-1] if len(upto) else 0)], own
 
 
 class Encoder:
     """Texts to the ids of the tokenizers library, each distinct word once.
 
-    Where the tokenizer drops white space, no token spans a space or line break, so a text's ids are those of its chunks
-    between them. A chunk of Latin-1 letters with ASCII punctuation behind it is the lower-cased letters' tokens and
-    then the punctuation's; the letters go to the library's model directly. All else goes through its whole encoding.
+    Where the tokenizer drops white space and cuts between letters and marks, a text's ids are those of its pieces. Pieces
+    of Latin-1 letters go to the library's model directly, lower-cased and in its byte alphabet; all others through its
+    whole encoding. The first `most_words` pieces stay known. All ids of some texts are gathered as one array.
     """
 
-    def __init__(self, path: str, most_words: int = 150_000):
+    def __init__(self, path: str, most_words: int = 250_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         described = json.loads(self.tokenizer.to_str())
+        self.added = [t["content"] for t in described.get("added_tokens") or []]
         self.wordwise = all(described[k] == v for k, v in WORDWISE.items())
         alphabet = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {c: alphabet.pre_tokenize_str(chr(c))[0][0] for c in range(256) if chr(c).isalpha()}
+        self.letters = {c: alphabet.pre_tokenize_str(chr(c))[0][0] for c in range(128, 256) if chr(c).isalpha()}
         self.model, self.most_words = self.tokenizer.model, most_words
-        self.cores: dict[str, bytes] = {}
-        self.known = Memo({"": b""})
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def core(self, letters: str) -> bytes:
-        known = self.cores.get(letters)
-        if known is None:
-            known = np.array([t.id for t in self.model.tokenize(letters.translate(self.letters))], dtype="<u4").tobytes()
-            if len(self.cores) < self.most_words:
-                self.cores[letters] = known
-        return known
-
-    def chunks(self, chunks: list[str]) -> dict[str, bytes]:
-        made, rest = {}, []
-        for chunk in chunks:
-            head = chunk.rstrip(".,;:!?")
-            try:
-                plain = head.isalpha() and head.encode("latin-1") is not None
-            except UnicodeEncodeError:
-                plain = False
-            if plain:
-                tail = chunk[len(head) :]
-                if tail and tail not in self.cores:
-                    self.cores[tail] = self.whole([tail])[0]
-                made[chunk] = self.core(head.lower()) + (self.cores[tail] if tail else b"")
-            else:
-                rest.append(chunk)
-        made.update(zip(rest, self.whole(rest), strict=True))
-        return made
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
+        self.known = Numbers()
+        self.ids, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one after the other, and each piece's number of them."""
+        made: list = [None] * len(pieces)
+        rest, tokenize, letters = [], self.model.tokenize, self.letters
+        for i, piece in enumerate(pieces):
+            if piece.isalpha():
+                if piece.isascii():
+                    made[i] = [t.id for t in tokenize(piece.lower())]
+                    continue
+                if max(piece) < "\u0100":
+                    made[i] = [t.id for t in tokenize(piece.lower().translate(letters))]
+                    continue
+            rest.append(i)
+        for i, ids in zip(rest, self.whole([pieces[i] for i in rest]), strict=True):
+            made[i] = ids
+        sizes = np.fromiter(map(len, made), np.int64, len(made))
+        return np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum())), sizes
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and each text's number of them."""
         if not self.wordwise:
-            return self.whole(texts)
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known, met = self.known, set().union(*split)
-        fresh = [c for c in met if c not in known]
-        known.fresh = self.chunks(fresh)
-        if len(known) < self.most_words:
-            known.update(known.fresh)
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+            made = self.whole(texts)
+            return np.fromiter(chain.from_iterable(made), np.uint32), np.array([len(x) for x in made], dtype=np.int64)
+        if any(a in t for t in texts for a in self.added):
+            # A text with an added token in it is a piece as it stands.
+            split = [[t] if any(a in t for a in self.added) else t.replace("\n", " ").split(" ") for t in texts]
+            pieces, counts = list(chain.from_iterable(split)), np.fromiter(map(len, split), np.int64, len(split))
+        else:
+            pieces, counts = self.cut(texts)
+        before = len(self.known)
+        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        ids, sizes = self.encode(list(islice(self.known, before, None)))
+        pool, size = np.concatenate((self.ids, ids)), np.concatenate((self.sizes, sizes))
+        while len(self.known) > max(before, self.most_words):
+            self.known.popitem()
+        self.sizes = size[: len(self.known)]
+        self.ids = pool[: int(self.sizes.sum())]
+        out, own = gathered(pool, size, at)
+        upto = np.concatenate(([0], np.cumsum(own)))
+        return out, np.diff(upto[np.cumsum(counts)], prepend=0)
+
+    @staticmethod
+    def cut(texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """The pieces of all texts between spaces, line breaks and cuts, and each text's number of them."""
+        raw = [t.encode() for t in texts]
+        code = np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)
+        cuts = np.flatnonzero(PLAIN[code[:-1]] & MARK[code[1:]]) + 1
+        wide = np.insert(code, cuts, 32)
+        wide[wide == 10] = 32
+        end = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1) - 1
+        spaces = np.cumsum(wide == 32)[end + np.searchsorted(cuts, end, side="right")]
+        return wide[:-1].tobytes().decode().split(" "), np.diff(spaces, prepend=0)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -130,14 +159,21 @@ def forget_words() -> None:
     _encoders.clear()
 
 
-def pack(doc_ids: list[int | None], ids: list[bytes]) -> bytes:
-    """A file of the documents' ids."""
-    lengths = np.array([len(x) // 4 for x in ids], dtype="<i8")
-    values = np.frombuffer(b"".join(ids), dtype="<u4")
+def ended(ids: np.ndarray, lengths: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with end_id behind each text's, and the lengths with it."""
+    out = np.empty(len(ids) + len(lengths), dtype=np.uint32)
+    mine = np.ones(len(out), dtype=bool)
+    mine[np.cumsum(lengths + 1) - 1] = False
+    out[mine], out[~mine] = ids, end_id
+    return out, lengths + 1
+
+
+def pack(doc_ids: list[int | None], lengths: np.ndarray, values: np.ndarray) -> bytes:
+    """A file of the documents' ids, each document's `lengths` many."""
     words, first = simple8b.encode(values, BLOCK)
-    head = MAGIC + np.array([BLOCK], dtype="<u4").tobytes() + np.array([len(ids), len(values), len(words)], dtype="<i8").tobytes()
+    head = MAGIC + np.array([BLOCK], dtype="<u4").tobytes() + np.array([len(doc_ids), len(values), len(words)], dtype="<i8").tobytes()
     keys = np.array([d or 0 for d in doc_ids], dtype="<i8").tobytes() + np.array([d is None for d in doc_ids], dtype="u1").tobytes()
-    return head + keys + lengths.tobytes() + first.astype("<i8").tobytes() + words.astype("<u8").tobytes()
+    return head + keys + lengths.astype("<i8").tobytes() + first.astype("<i8").tobytes() + words.astype("<u8").tobytes()
 
 
 def unpack(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
@@ -160,49 +196,60 @@ def unpack(content: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 def _put(folder: str, name: str, content: bytes) -> None:
     from pyarrow import fs
 
+    for ours, theirs in (("s3a://", "s3://"), ("s3n://", "s3://")):  # Spark's names for stores that pyarrow calls otherwise
+        if folder.startswith(ours):
+            folder = theirs + folder[len(ours) :]
     files, path = fs.FileSystem.from_uri(folder)
     files.create_dir(path, recursive=True)
-    hidden = f"{path}/_{name}.{os.getpid()}.{os.urandom(4).hex()}"
-    with files.open_output_stream(hidden) as out:
+    with files.open_output_stream(f"{path}/{name}") as out:
         out.write(content)
-    if files.type_name != "local" and files.get_file_info(f"{path}/{name}").type != fs.FileType.NotFound:
-        files.delete_file(f"{path}/{name}")
-    files.move(hidden, f"{path}/{name}")
+
+
+#: Characters of a text by which rows of one doc_id are dealt.
+HEAD = 64
 
 
 def write_tokens(docs: DataFrame, folder: str, *, tokenizer: str, end_id: int = 1, doc_id: str = "doc_id", text: str = "text", file_ids: int = 4 << 20) -> DataFrame:
     """Write the files and the manifest under folder, a path of the shared file system; the manifest is returned.
 
-    Null and empty texts are documents of the end id alone; rows of one doc_id follow each other in order of their
-    texts; null doc_ids come first; repeated rows each count; no documents, no files.
+    Null and empty texts are documents of the end id alone, long ones are encoded whole; rows of one doc_id follow each
+    other in order of their texts' first HEAD characters, so even all rows of one id, or without one, are shared out;
+    null doc_ids come first; repeated rows each count; other columns play no part; no documents, no files.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    end = np.array([end_id], dtype="<u4").tobytes()
+    rows = rows.select("doc_id", "text", F.substring("text", 1, HEAD).alias("head"), F.monotonically_increasing_id().alias("tie"))
+    order = ["doc_id", "head", "tie"]
+    rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         encode, part, seq = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        keys, ids, held = [], [], 0
+        keys, sizes, ids, held = [], [], [], 0
 
         def flush():
-            name = f"part-{part:06d}-{seq:06d}.s8b"
-            _put(f"{folder}/files", name, pack(keys, ids))
+            name = f"part-{part:06d}-{seq:06d}-{os.urandom(8).hex()}.s8b"
+            _put(f"{folder}/files", name, pack(keys, np.concatenate(sizes), np.concatenate(ids)))
             return pa.RecordBatch.from_arrays(
                 [pa.array([name]), pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(keys)], pa.int64()), pa.array([held], pa.int64())], names=["file", "part", "seq", "n_docs", "n_ids"]
             )
 
         for batch in batches:
-            for piece in slices(batch, 1, 3 << 20):
-                for key, made in zip(piece.column(0).to_pylist(), encode(piece.column(1).to_pylist()), strict=True):
-                    keys.append(key)
-                    ids.append(made + end)
-                    held += len(ids[-1]) // 4
+            for piece in slices(batch, 1, 2 << 20):
+                values, lengths = ended(*encode(piece.column(1).to_pylist()), end_id)
+                its, upto, start = piece.column(0).to_pylist(), np.cumsum(lengths), 0
+                while start < len(its):
+                    # As many documents as the file still takes, the one that fills it included.
+                    before = int(upto[start - 1]) if start else 0
+                    stop = min(len(its), int(np.searchsorted(upto, before + file_ids - held)) + 1)
+                    keys += its[start:stop]
+                    sizes.append(lengths[start:stop])
+                    ids.append(values[before : int(upto[stop - 1])])
+                    held, start = held + len(ids[-1]), stop
                     if held >= file_ids:
                         yield flush()
-                        keys, ids, held, seq = [], [], 0, seq + 1
+                        keys, sizes, ids, held, seq = [], [], [], 0, seq + 1
         if keys:
             yield flush()
 
