@@ -68,3 +68,12 @@ def test_line_hashes():
     (e, ew), (x, xw), (n, nw) = d.line_hashes(texts)
     assert ew.tolist() == [0] and xw.tolist() == [2, 0, 2] and nw.tolist() == [0, 0]
     assert x[0] == x[2] != x[1] == e[0] == n[0] == n[1]
+
+
+def test_very_long_texts(spark):
+    """Tens of thousands of lines in one document, a copy of it, and one line over and over."""
+    long = "\n".join(f"line {i} of many" for i in range(30_000))
+    rows = [(1, long), (2, "first\n" + long), (3, "\n".join(["again and again"] * 20_000))]
+    got = {r.doc_id: r for r in d.line_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert [(s.start, s.end) for s in got[2].removed] == [(1, 30_001)] and not got[1].removed
+    assert [(s.start, s.end) for s in got[3].removed] == [(1, 20_000)]

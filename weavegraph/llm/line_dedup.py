@@ -14,6 +14,7 @@ All lines of all documents, in order of doc_id, form one sequence of line ids; a
 
 A repeated run lies inside a stretch of repeated lines of its document, so stretches of fewer words leave at the start.
 Groupings are minima and counts, taken before the shuffle; no list of places is ever gathered, however often a line occurs.
+What a grouping finds is written before it meets the places, so Spark can split the places of a very frequent line.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from weavegraph.llm.common import forget, free_name, slices, stored
 from weavegraph.llm.shingles import mix, power_tables
 
-#: A place is a document's number times 2**SHIFT plus the line's.
+#: A place is a document's number times 2**SHIFT plus the line's. Numbers are dense, so 2**37 documents of 2**26 lines have places.
 SHIFT = 26
 LINES = "doc_id bigint, text_key bigint, lines array<bigint>, words array<int>"
 
@@ -74,13 +75,19 @@ def numbered_lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     narrow = stored(docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, LINES), "lines")
     ordered = narrow.repartitionByRange("doc_id", "text_key").sortWithinPartitions("doc_id", "text_key")
     row = F.monotonically_increasing_id()
-    seq = F.shiftleft(F.shiftright(row, 33), 24) + row.bitwiseAND((1 << 33) - 1)
-    return stored(ordered.withColumn("seq", seq), "numbered")
+    fits = F.size("lines") <= 1 << SHIFT
+    ordered = ordered.withColumn("lines", F.when(fits, F.col("lines")).otherwise(F.raise_error(F.lit(f"a document has more than {1 << SHIFT} lines"))))
+    ordered = stored(ordered.withColumn("part", F.shiftright(row, 33)).withColumn("row", row.bitwiseAND((1 << 33) - 1)), "numbered")
+    forget(narrow)
+    # A row for each partition: what comes before it.
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", before.alias("before"))
+    return ordered.join(F.broadcast(parts), "part").select("doc_id", "text_key", "lines", "words", (F.col("before") + F.col("row")).alias("seq"))
 
 
 def _grouped(rows: DataFrame, *keys: str) -> DataFrame:
     """The rows whose keys occur more than once: pos, and run, the first pos with those keys."""
-    many = rows.groupBy(*keys).agg(F.min("pos").alias("run"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    many = stored(rows.groupBy(*keys).agg(F.min("pos").alias("run"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "repeated")
     return rows.join(many, list(keys)).select("pos", "run")
 
 
@@ -93,6 +100,7 @@ def repeated_run_levels(numbered: DataFrame, least_words: int) -> list[DataFrame
     stretch = F.col("pos") - F.row_number().over(Window.partitionBy(document).orderBy("pos"))
     held = first.withColumn("stretch", stretch).withColumn("held", F.sum("words").over(Window.partitionBy(document, "stretch")))
     levels = [stored(held.filter(F.col("held") >= least_words).select("pos", "run"), "level")]
+    forget(lines)
     while True:
         now, reach = levels[-1], 1 << (len(levels) - 1)
         behind = now.select((F.col("pos") - reach).alias("pos"), F.col("run").alias("next"))
@@ -105,12 +113,13 @@ def repeated_run_levels(numbered: DataFrame, least_words: int) -> list[DataFrame
 
 def longest_earlier_runs(levels: list[DataFrame]) -> DataFrame:
     """pos, length and source: the longest run of lines at pos that occurs before it, and where it first does."""
-    state = levels[0].select("pos", F.lit(0).cast("bigint").alias("length"), F.lit(-1).cast("bigint").alias("node"), F.lit(True).alias("asks"))
+    start = state = levels[0].select("pos", F.lit(0).cast("bigint").alias("length"), F.lit(-1).cast("bigint").alias("node"), F.lit(True).alias("asks"))
     for k in range(len(levels) - 1, -1, -1):
         names = levels[k].select((F.col("pos")).alias("at"), "run")
         named = state.join(names, F.col("pos") + F.col("length") == F.col("at"), "left").select("pos", "length", "node", "asks", "run")
         named = stored(named, "interval")
         parts = named.filter("run is not null").groupBy("length", "node", "run").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+        parts = stored(parts, "parts")
         joined = named.join(parts, ["length", "node", "run"], "left")
         moves = F.col("first").isNotNull()
         stays = F.struct("length", "node", "asks")
@@ -118,7 +127,7 @@ def longest_earlier_runs(levels: list[DataFrame]) -> DataFrame:
         later = F.struct((F.col("length") + (1 << k)).alias("length"), F.col("first").alias("node"), F.col("asks"))
         step = F.when(~moves, F.array(stays)).when(F.col("pos") == F.col("first"), F.array(stays, longer)).otherwise(F.array(later))
         fresh = stored(joined.select("pos", F.explode(step).alias("s")).select("pos", "s.length", "s.node", "s.asks"), "state")
-        forget(named)
+        forget(named, parts, *([] if state is start else [state]))
         state = fresh
     return state.filter("asks and length > 0").select("pos", "length", F.col("node").alias("source"))
 
