@@ -27,7 +27,7 @@ def check(rows, slack=0.02):
         by[r.target, r.source_size].append(r)
         assert 0 <= r.taken <= 3 * r.size
     for (target, _), its in by.items():
-        assert abs(sum(r.taken for r in its) - target) <= slack * target + 3
+        assert abs(sum(r.taken for r in its) - target) <= slack * target + 3, (target, sum(r.taken for r in its))
 
 
 def test_word_count(spark):
@@ -75,3 +75,44 @@ def test_against_sql(spark, sf_dir):
     got = mixing.mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()
     assert sorted((r.doc_id, r.taken) for r in got) == sorted((r[0], r[4]) for r in want)
     check(got, 0.03)
+
+
+def test_tiny_sources_beside_a_huge_one(spark):
+    """No source misses its target, wherever it stands on the cumulative line."""
+    rows = [(i, "w " * 997, "big") for i in range(900)]
+    for k in range(40):
+        rows += [(1000 + 50 * k + i, "w " * (5 + k), f"{'a' if k % 2 else 'x'}{k:02}") for i in range(1 + k)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), slots=220).collect()
+    sizes = {r.doc_id: r for r in got}
+    for name in {s for _, _, s in rows}:
+        its = [sizes[d] for d, _, s in rows if s == name]
+        taken, target, block = sum(r.taken for r in its), its[0].target, max(1, its[0].source_size // 64)
+        assert abs(taken - target) <= block + 1, (name, taken, target)
+
+
+def test_any_stretch_of_the_mix_is_near_the_targets(spark, tmp_path):
+    import random
+
+    rng = random.Random(5)
+    rows = [(i, "w " * rng.randrange(1, 60), rng.choice("aabbbbbbcd")) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    target = {}
+    source = {d: s for d, _, s in rows}
+    for r in mixing.mix_sources(docs, slots=2000).collect():
+        target[source[r.doc_id]] = r.target
+    mixing.repeat_by_mix(docs, slots=2000).write.parquet(str(tmp_path / "mix"))
+    mix = [r for f in sorted((tmp_path / "mix").glob("part-*")) for r in spark.read.parquet(str(f)).collect()]
+    words, whole = [(r.source, len(r.text.split())) for r in mix], sum(target.values())
+    size, step = sum(n for _, n in words), len(words) // 12
+    assert abs(size - whole) < 0.03 * whole
+    for start in range(0, len(words) - step, step):
+        part = words[start : start + step]
+        for s in target:
+            share = sum(n for x, n in part if x == s) / sum(n for _, n in part)
+            assert abs(share - target[s] / whole) < 0.05, (start, s, share, target[s] / whole)
+
+
+def test_repeated_ids_of_different_texts_keep_their_own_copies(spark):
+    rows = [(1, "w " * 300, "a"), (1, "x", "b"), (2, "", "b"), (None, "y z", None), (None, "y z", None)]
+    kept = mixing.repeat_by_mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    assert {r.text for r in kept} == {"w " * 300, "x", "y z"} and sum(r.text == "x" for r in kept) == 3
