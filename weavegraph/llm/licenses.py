@@ -1,15 +1,17 @@
 """License scans: a trained paragraph classifier, with template comparison confirming what it says.
 
 Paragraphs are single lines, and runs of lines up to a blank one, as notices are often wrapped: where a whole run holds
-enough of a template, its windows of lines are judged as one paragraph each. The classifier is a multinomial logistic regression on sparse word n-grams (one to three words)
-over the licence families, a class of unknown licences and one for all other text. It learns from the families'
-templates, each cut, joined with words of its surroundings and thinned out in many ways; from the same with the words
-that only one family has replaced, as unknown licences; and from paragraphs of the corpus itself without licence words
+enough of a template, its windows of lines are judged as one paragraph each; unknown licences are told by single lines.
+The classifier is a multinomial logistic regression on sparse word n-grams (one to three words) over the licence families, a class of
+unknown licences and one for all other text. It learns from the families' templates, each cut, joined with words of its
+surroundings and thinned out in many ways; from the same with the words that only one family has replaced, and sentences
+that name licences which don't exist, as unknown licences; and from paragraphs of the corpus itself without licence words
 (a bounded sample by a hash of doc_id and line). Only n-grams of the templates carry weights; any other is a zero.
 
-Half of the made paragraphs calibrate: the temperature that makes held-out probabilities true, and the probability below
-which a paragraph that looks like a licence is of an unknown family. A prediction counts as confirmed if the paragraph
-holds enough of one of the family's templates' n-grams; unconfirmed ones are unknown too.
+Made paragraphs that the fit hasn't seen calibrate: the temperature that makes their probabilities true, and the
+probability below which a paragraph that looks like a licence is of an unknown family. A prediction counts as confirmed if
+the paragraph holds enough of one of the family's templates' n-grams, and of those among them that no other family has;
+unconfirmed ones are unknown too. Scores are sums over the n-grams that a paragraph has, of some thousand lines at a time.
 """
 
 from __future__ import annotations
@@ -20,42 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weavegraph.llm.common import annotate
+from weavegraph.llm.license_texts import TEMPLATES
 from weavegraph.llm.mixing import count_words
 from weavegraph.llm.quality import WORDS
 from weavegraph.llm.shingles import mix, word_hashes
 
-#: Short notices of the families, as they stand in files.
-TEMPLATES = {
-    "Apache": [
-        "Licensed under the Apache License, Version 2.0.",
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
-        "SPDX-License-Identifier: Apache-2.0",
-    ],
-    "BSD": [
-        "Released under the BSD 3-Clause License.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-        "SPDX-License-Identifier: BSD-3-Clause",
-    ],
-    "CC-BY": [
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "Licensed under CC BY 4.0.",
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
-    ],
-    "GPL": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
-    ],
-    "MIT": [
-        "Released under the MIT License.",
-        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction',
-        "SPDX-License-Identifier: MIT",
-    ],
-    "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "SPDX-License-Identifier: MPL-2.0"],
-    "Proprietary": ["All rights reserved.", "Copyright (c) Example Corporation. All rights reserved.", "Confidential and proprietary. Unauthorized copying of this file is strictly prohibited."],
-    "Public domain": ["This is free and unencumbered software released into the public domain.", "To the extent possible under law, the author has waived all copyright and related rights under CC0 1.0."],
-}
 NONE, UNKNOWN = "none", "unknown"
 #: A paragraph with such a word is no example of other text.
 LICENCE_WORDS = r"(?i)licen[sc]e|licensed|copyright|all rights|permission|redistribut|public domain|spdx|proprietary"
@@ -73,6 +44,32 @@ def ngrams(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate((owner, owner[:-1][same2], owner[:-2][same3])), np.concatenate((words, two[same2] if len(two) else two, three[same3] if len(three) else three))
 
 
+#: Sentences about a licence, for names that are no family's.
+SENTENCES = ("Licensed under the {} License.", "Released under the {} License, version {}.", "This work is licensed under the {} Public License, version {}.", "Licensed under the {} License, Version {}.", "Distributed under the terms of the {} Software License.", "SPDX-License-Identifier: {}-{}")
+
+
+class Sparse:
+    """Rows of distinct vocabulary places: `places` of row i are those from starts[i] on."""
+
+    def __init__(self, lines: np.ndarray, places: np.ndarray):
+        order = np.lexsort((places, lines))
+        lines, places = lines[order], places[order]
+        first = np.concatenate(([True], (lines[1:] != lines[:-1]) | (places[1:] != places[:-1]))) if len(lines) else np.zeros(0, bool)
+        lines, self.places = lines[first], places[first]
+        self.lines, self.starts, self.row = np.unique(lines, return_index=True, return_inverse=True)  # which lines the rows are of
+
+    def __len__(self) -> int:
+        return len(self.lines)
+
+    def sums(self, weights: np.ndarray) -> np.ndarray:
+        """Each row's sum of the weights (places by columns) of its places."""
+        return np.add.reduceat(weights[self.places], self.starts, axis=0) if len(self) else np.zeros((0, weights.shape[1]))
+
+    def rows(self, some: np.ndarray) -> Sparse:
+        keep = np.isin(self.row, some)
+        return Sparse(self.row[keep], self.places[keep])
+
+
 class Classifier:
     """classes (the last two are unknown and none), vocabulary, weights, temperature, threshold, and the templates' n-grams by class."""
 
@@ -82,31 +79,33 @@ class Classifier:
         owner, grams = ngrams([t for _, t in texts])
         self.vocabulary = np.unique(grams)
         self.template_class = np.array([c for c, _ in texts])
-        self.template = np.zeros((len(texts), len(self.vocabulary)), dtype=np.float32)
-        self.template[owner, np.searchsorted(self.vocabulary, grams)] = 1
+        template = np.zeros((len(self.vocabulary), len(texts)), dtype=np.float32)
+        template[np.searchsorted(self.vocabulary, grams), owner] = 1
         # Rare n-grams tell more: each weighs by how few templates have it.
-        self.rarity = np.log(1 + len(texts) / self.template.sum(axis=0)).astype(np.float32)
+        whole = template * np.log(1 + len(texts) / template.sum(axis=1, keepdims=True)).astype(np.float32)
+        families = np.stack([template[:, self.template_class == c].max(axis=1) for c in range(len(self.classes) - 2)], axis=1).sum(axis=1)
+        own = whole * (families == 1)[:, None]
+        own[:, own.sum(axis=0) == 0] = whole[:, own.sum(axis=0) == 0]
+        self.template, self.own = whole / whole.sum(axis=0), own / own.sum(axis=0)
         self.rng = np.random.default_rng(seed)
         self.temperature, self.threshold = 1.0, 0.5
 
-    def design(self, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Lines that have an n-gram of the vocabulary, one row of its n-grams each, and each line's number of words."""
+    def design(self, lines: list[bytes]) -> Sparse:
+        """The places of the n-grams of the vocabulary that each line has."""
         owner, grams = ngrams(lines)
         place = np.minimum(np.searchsorted(self.vocabulary, grams), len(self.vocabulary) - 1)
         known = self.vocabulary[place] == grams
-        some, row = np.unique(owner[known], return_inverse=True)
-        x = np.zeros((len(some), len(self.vocabulary)), dtype=np.float32)
-        x[row, place[known]] = 1
-        return some, x, word_hashes([x.translate(WORDS) for x in lines])[1]
+        return Sparse(owner[known], place[known])
 
-    def made(self, others: list[bytes], per_template: int = 80) -> tuple[list[bytes], np.ndarray]:
-        """Training paragraphs: templates in many states, and others."""
+    def made(self, others: list[bytes], per_template: int = 30) -> tuple[list[bytes], np.ndarray]:
+        """Training paragraphs: templates in many states, unknown licences, and others."""
         lines, labels = [], []
         families: dict[bytes, set[str]] = {}
         for name, templates in TEMPLATES.items():
             for w in " ".join(templates).encode().translate(WORDS).lower().split():
-                families.setdefault(w, set()).add(name)
+                families.setdefault(w, set()).add("GPL" if name.endswith("GPL") else name)  # these name each other
         spare = b" ".join(others).split() or [b"x"]
+        draw = lambda n: b" ".join(spare[int(k)] for k in self.rng.integers(len(spare), size=n))
         for c, name in enumerate(self.classes[:-2]):
             for template in TEMPLATES[name]:
                 words = template.encode().split()
@@ -125,32 +124,41 @@ class Classifier:
                         its = around + its if i % 2 else its + around
                     lines.append(b" ".join(its))
                     labels.append(c)
+        for sentence in SENTENCES:
+            for _ in range(per_template):
+                lines.append(sentence.encode().replace(b"{}", draw(int(self.rng.integers(1, 4))), 1).replace(b"{}", str(int(self.rng.integers(1, 9))).encode()))
+                labels.append(len(self.classes) - 2)
         for x in others:
             lines.append(x)
             labels.append(len(self.classes) - 1)
         common = b"the this of in is under a work to you may file with version public free any use general law rights".split()
-        for _ in range(per_template * 8):  # ordinary words that templates have too
+        for _ in range(per_template * 12):  # ordinary words that templates have too
             lines.append(b" ".join(self.rng.choice(common, int(self.rng.integers(1, 14)))))
             labels.append(len(self.classes) - 1)
         return lines, np.array(labels)
 
-    def fit(self, others: list[bytes], rounds: int = 300, ridge: float = 2e-4) -> Classifier:
+    def fit(self, others: list[bytes], rounds: int = 200, ridge: float = 2e-4) -> Classifier:
         lines, labels = self.made(others)
-        some, x, _ = self.design(lines)
-        y = labels[some]
+        x = self.design(lines)
+        y = labels[x.lines]
         order = self.rng.permutation(len(y))
-        train, held = order[::2], order[1::2]
-        n, k = len(train), len(self.classes)
-        self.weights = np.zeros((x.shape[1], k), dtype=np.float32)
-        self.bias = np.zeros(k, dtype=np.float32)
+        train, held = np.sort(order[::2]), np.sort(order[1::2])
+        its, n, k = x.rows(train), len(train), len(self.classes)
+        self.weights = np.zeros((len(self.vocabulary), k))
+        self.bias = np.zeros(k)
         self.bias[-1] = 2.0
         first, second = np.zeros_like(self.weights), np.zeros_like(self.weights)
-        target = np.eye(k, dtype=np.float32)[y[train]]
+        target = np.eye(k)[y[train]]
+        # The same entries by place, for the slopes.
+        by = np.argsort(its.places, kind="stable")
+        some, starts = np.unique(its.places[by], return_index=True)
         for t in range(1, rounds + 1):
-            slope = x[train].T @ (target - self._softmax(x[train] @ self.weights + self.bias)) / n - ridge * self.weights
+            error = (target - self._softmax(its.sums(self.weights) + self.bias)) / n
+            slope = -ridge * self.weights
+            slope[some] += np.add.reduceat(error[its.row[by]], starts, axis=0)
             first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
             self.weights += 0.1 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
-        score, truth = x[held] @ self.weights + self.bias, y[held]
+        score, truth = x.rows(held).sums(self.weights) + self.bias, y[held]
         grid = np.geomspace(0.25, 8, 40)
         self.temperature = float(min(grid, key=lambda z: -np.log(np.maximum(self._softmax(score / z)[np.arange(len(truth)), truth], 1e-9)).mean()))
         p = self._softmax(score / self.temperature)
@@ -165,29 +173,33 @@ class Classifier:
         e = np.exp(x - x.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
+    def probabilities(self, lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the lines that have an n-gram of the vocabulary, and their classes' probabilities."""
+        x = self.design(lines)
+        return x.lines, self._softmax((x.sums(self.weights) + self.bias) / self.temperature)
+
     def judge(self, lines: list[bytes], confirm: float = 0.5, least_rest: float = 0.5) -> list[tuple[int, str, str, float, float]]:
         """(line, family or unknown, predicted, probability, template agreement) of the lines that look like licences."""
-        some, x, _ = self.design(lines)
         out = []
-        for start in range(0, len(some), 4096):
-            part = x[start : start + 4096]
-            p = self._softmax((part @ self.weights + self.bias) / self.temperature)
+        for start in range(0, len(lines), 4096):
+            x = self.design(lines[start : start + 4096])
+            p = self._softmax((x.sums(self.weights) + self.bias) / self.temperature)
             looks = np.flatnonzero(1 - p[:, -1] >= least_rest)
-            if not len(looks):
-                continue
-            weighed = self.template * self.rarity
-            held = (part[looks] @ weighed.T) / weighed.sum(axis=1)
+            its = x.rows(looks)
+            held, own = its.sums(self.template), its.sums(self.own)
             for i, row in enumerate(looks.tolist()):
                 c = int(p[row, :-1].argmax())
+                line = start + int(x.lines[row])
                 if c == len(self.classes) - 2:
-                    out.append((int(some[start + row]), UNKNOWN, UNKNOWN, float(p[row, c]), float(held[i].max())))
+                    out.append((line, UNKNOWN, UNKNOWN, float(p[row, c]), float(held[i].max())))
                     continue
-                agrees = float(held[i][self.template_class == c].max())
-                sure = float(p[row, c])
+                mine = self.template_class == c
+                agrees, sure = float(held[i][mine].max()), float(p[row, c])
                 # What no template agrees with at all is other text with a licence's words.
                 if agrees < confirm and held[i].max() < confirm / 2:
                     continue
-                out.append((int(some[start + row]), self.classes[c] if sure >= self.threshold and agrees >= confirm else UNKNOWN, self.classes[c], sure, agrees))
+                confirmed = ((held[i][mine] >= confirm) & (own[i][mine] >= confirm / 2)).any()
+                out.append((line, self.classes[c] if sure >= self.threshold and confirmed else UNKNOWN, self.classes[c], sure, agrees))
         return out
 
     def wrapped(self, lines: list[bytes], owner: list[int], confirm: float = 0.5) -> list[tuple[int, int, str, str, float, float]]:
@@ -205,12 +217,13 @@ class Classifier:
                 start = i
         if not runs:
             return []
-        some, x, _ = self.design([b" ".join(lines[a:b]) for a, b in runs])
-        weighed = self.template * self.rarity
-        holds = ((x @ weighed.T) / weighed.sum(axis=1)).max(axis=1, initial=0) >= confirm
+        holds = []
+        for start in range(0, len(runs), 4096):
+            x = self.design([b" ".join(lines[a:b]) for a, b in runs[start : start + 4096]])
+            holds += (start + x.lines[x.sums(self.template).max(axis=1, initial=0) >= confirm]).tolist()
         most = 2 * max(len(t.encode().translate(WORDS).split()) for its in TEMPLATES.values() for t in its)
         spans = []
-        for r in some[holds].tolist():
+        for r in holds:
             a, b = runs[r]
             n = [len(x.translate(WORDS).split()) for x in lines[a:b]]
             for i in range(b - a):
