@@ -39,7 +39,7 @@ def test_small_odd_tables(spark, size):
     rows += rows[:5]
     table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("rank", F.lit("x")).repartition(3)
     got = {}
-    for r in forest.nearest(table, is_query=F.col("vec_id") % 20 == 0, query_rows=5, effort=64.0).orderBy("query_id", "rank").collect():
+    for r in forest.nearest(table, is_query=F.col("vec_id") % 20 == 0, cell_rows=50, sample_rows=100, effort=64.0).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
     want = {q: v for q, v in brute(rows).items() if v}
     assert got.keys() == want.keys()
@@ -48,15 +48,39 @@ def test_small_odd_tables(spark, size):
     assert forest.nearest(table.limit(0), is_query=F.col("vec_id") % 20 == 0).count() == 0
 
 
-def test_descent_finds_longest_prefixes():
+def test_descent_and_ascent_by_brute_force():
+    """The depth of a query is the longest prefix at which the trees' ranges hold enough together."""
     rng = np.random.default_rng(4)
-    f = forest.Forest(rng.standard_normal((3000, 8)), 4)
-    queries = rng.standard_normal((20, 8))
-    low, high = f.ranges(queries, 200)
-    codes = f._codes(np.column_stack((queries, np.zeros(20))))
-    for q in range(20):
-        for length in range(forest.BITS, -1, -1):
-            same = [(f.sorted[t].astype(np.uint64) >> np.uint64(32 - length)) == (np.uint64(codes[t, q]) >> np.uint64(32 - length)) for t in range(4)]
-            if sum(s.sum() for s in same) >= 200:
-                assert [np.flatnonzero(s)[[0, -1]].tolist() if s.any() else [] for s in same] == [[low[t, q], high[t, q] - 1] if high[t, q] > low[t, q] else [] for t in range(4)]
-                break
+    vectors, queries = rng.standard_normal((3000, 8)), rng.standard_normal((20, 8))
+    hasher = forest.Hasher(8, 4, float((vectors**2).sum(axis=1).max()))
+    s = forest.Sample(vectors, hasher, 3000, 20, 1.0, 100)
+    codes, asked = hasher(vectors), hasher(queries, queries=True)
+    shared = lambda q, n: sum(((codes[t] >> np.uint32(32 - n)) == (asked[t, q] >> np.uint32(32 - n))).sum() if n else 3000 for t in range(4))
+    depth = s.depth(asked)
+    assert all(shared(q, d) >= s.least > shared(q, d + 1) or d == 0 for q, d in enumerate(depth.tolist()))
+    for t in range(4):
+        low, high = forest.span(s.strings[t], asked[t], depth)
+        want = [((codes[t].astype(np.uint64) >> np.uint64(32 - d)) == (np.uint64(asked[t, q]) >> np.uint64(32 - d))).sum() for q, d in enumerate(depth.tolist())]
+        assert (high - low).tolist() == want
+
+
+def test_many_equal_and_clustered_vectors(spark):
+    """A third of the rows is one vector and a third one tight cluster; cells are small, so that all are cut."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [0.5, 0.25, -1.0, 0.0, 2.0, 1.0]) for i in range(700)] + [(700 + i, (np.array([1.0, -1, 1, 1, 0, 0]) + 0.01 * rng.standard_normal(6)).tolist()) for i in range(700)]
+    rows += [(1400 + i, rng.standard_normal(6).tolist()) for i in range(700)]
+    got = {}
+    for r in forest.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), is_query=F.col("vec_id") % 20 == 0, cell_rows=40, sample_rows=300).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    want = brute(rows)
+    assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
+    assert all(got[q] == [i for i, _ in want[q]] for q in want if q < 700)
+    assert sum(len(set(got[q]) & {i for i, _ in want[q]}) for q in want) >= 0.9 * 20 * len(want)
+
+
+def test_long_vectors(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.standard_normal(4000).tolist()) for i in range(60)]
+    got = forest.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), is_query=F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
+    want = brute(rows)
+    assert [(r.query_id, r.vec_id) for r in got] == [(q, i) for q in sorted(want) for i, _ in want[q]]
