@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -73,3 +74,59 @@ def test_filter_keeps_mixtures_and_rejects_unlearned_languages(spark, docs):
     gone = unlearned.select("doc_id", F.col("lang").isNull().alias("de")).join(langid.keep_known_languages(unlearned).select("doc_id"), "doc_id", "left_anti").collect()
     n = docs.filter("lang = 'de'").count()
     assert sum(r.de for r in gone) > 0.9 * n and sum(not r.de for r in gone) < 0.03 * (1000 - n)
+
+
+def plain_judge(model, text, rounds=12, temper=1 / 3):
+    """Words, their likelihoods, EM and BIC for one text, a number at a time."""
+    grams, words, text_of = langid.ngrams([text])
+    n, k = len(text_of), len(model.languages)
+    like = [[0.0] * k for _ in range(n)]
+    for g, w in zip(grams.tolist(), words.tolist(), strict=True):
+        for j in range(k):
+            like[w][j] += float(model.log[g, j]) * temper
+
+    def em(allowed):
+        shares = [1 / len(allowed) if j in allowed else 0.0 for j in range(k)]
+        for _ in range(rounds):
+            new = [0.0] * k
+            for row in like:
+                top = max(row)
+                weight = [shares[j] * math.exp(row[j] - top) for j in range(k)]
+                total = sum(weight) or 1e-300
+                for j in range(k):
+                    new[j] += weight[j] / total / n
+            shares = new
+        return shares, sum(math.log(max(sum(shares[j] * math.exp(row[j] - max(row)) for j in range(k)), 1e-300)) + max(row) for row in like)
+
+    penalty = 0.5 * math.log(max(n, 2)) + 2.0
+    full, _ = em(range(k))
+    order = sorted(range(k), key=lambda j: -full[j])
+    single = [sum(row[j] for row in like) for j in range(k)]
+    best = (max(single) - penalty, [1.0 if j == single.index(max(single)) else 0.0 for j in range(k)])
+    for m in range(2, k + 1):
+        shares, likelihood = em(order[:m])
+        if likelihood - m * penalty > best[0]:
+            best = (likelihood - m * penalty, shares)
+    return {model.languages[j]: s for j, s in enumerate(best[1]) if s > 0}
+
+
+def test_mixtures_by_brute_force(docs):
+    model = langid.fit_on_training_fold(docs)
+    words = {r.lang: r.text.split() for r in docs.filter("n_chars > 1500").groupBy("lang").agg(F.min("text").alias("text")).collect()}
+    texts = [" ".join(words["de"][:60] + words["es"][:n]) for n in (0, 3, 10, 30, 60)]
+    texts += [" ".join(words["fr"][:30] + words["en"][:30] + words["es"][:30]), " ".join(words["en"][:2]), "la de en", words["fr"][0]]
+    texts += [r.text for r in docs.filter("length(text) between 1 and 600").limit(25).collect()]
+    for text, (lead, _, n, mixture) in zip(texts, model.judge(texts), strict=True):
+        if n:
+            want = plain_judge(model, text)
+            assert dict(mixture).keys() == want.keys() and all(abs(want[x] - s) < 1e-3 for x, s in mixture), text[:80]
+            assert lead == max(sorted(want), key=lambda x: want[x])
+
+
+def test_most_languages_and_long_texts(docs, spark):
+    model = langid.fit(docs, pick=F.lit(0.0), most_languages=2)
+    assert len(model.languages) == 2 and "en" in model.languages
+    whole = langid.fit_on_training_fold(docs)
+    text = max((r.text or "" for r in docs.filter("lang = 'es'").collect()), key=len)
+    long = " ".join([text] * (1 + 3_000_000 // len(text)))
+    assert whole.judge([long, None, text])[0][0] == "es"

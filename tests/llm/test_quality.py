@@ -47,3 +47,30 @@ def test_edges(spark, tables):
     assert len(got) == 4 and all(abs(r.p_toxic + r.p_low + r.p_good - 1) < 1e-9 for r in got)
     assert quality.quality_report(odd.limit(0), labels).count() == 0
     assert quality.quality_report(odd, labels.limit(0)).count() == 4
+
+
+def test_fit_is_the_maximum_of_the_penalised_likelihood():
+    """No step away from what the fit gives is better, and the slopes there are nearly zero."""
+    rng = np.random.default_rng(3)
+    n, m, ridge = 400, 12, 0.5
+    x = rng.random((n, m)) < 0.3
+    z = x @ rng.standard_normal(m) + rng.logistic(size=n)
+    grades = np.digitize(z, [-0.7, 0.9])
+    rows, columns = np.nonzero(x)
+    weights, cuts = quality.cumulative_link(rows, columns, m, grades, ridge=ridge, rounds=3000)
+
+    def value(w, c):
+        total = -ridge / 2 * float(w @ w)
+        for i in range(n):
+            s = float(x[i] @ w)
+            upto = [0.0, *(1 / (1 + np.exp(s - t)) for t in c), 1.0]
+            total += np.log(upto[grades[i] + 1] - upto[grades[i]])
+        return total
+
+    best = value(weights, cuts)
+    assert cuts[0] < cuts[1]
+    for j in range(m + 2):
+        for step in (-0.05, 0.05):
+            w, c = weights.copy(), cuts.copy()
+            (w if j < m else c)[j if j < m else j - m] += step
+            assert value(w, c) < best + 1e-6

@@ -47,16 +47,18 @@ def annotate(
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
-    given = df.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{text}`").alias("text__in"))
-    schema = T.StructType([*given.schema.fields[:-1], T.StructField(into, T.StructType.fromDDL(result), False)])
+    # A text that is carried anyway goes once.
+    more = [] if text in carry else [F.col(f"`{text}`").alias("text__in")]
+    given, at = df.select(*[F.col(f"`{c}`") for c in carry], *more), carry.index(text) if text in carry else len(carry)
+    schema = T.StructType([*given.schema.fields[: len(carry)], T.StructField(into, T.StructType.fromDDL(result), False)])
     kind, names = to_arrow_type(schema.fields[-1].dataType), schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         call = judge()
         for batch in batches:
-            for part in slices(batch, len(carry), most_bytes):
-                made = call(part.column(len(carry)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], made.cast(kind)], names=names)
+            for part in slices(batch, at, most_bytes):
+                made = call(part.column(at))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(carry)], made.cast(kind)], names=names)
 
     return given.mapInArrow(run, schema)
 

@@ -197,9 +197,17 @@ def find_contamination(
     clean; an empty table gives an empty table. Columns that aren't carried play no part, whatever they are called.
     """
     spark = docs.sparkSession
+    broadcasts: list = []
+
+    def passed(df: DataFrame) -> DataFrame:
+        """A pass written, so that its block can leave the executors."""
+        made = stored(df, "decontaminate")
+        broadcasts.pop().destroy()
+        return made
 
     def one(df: DataFrame, keep: list[str], column: str, block: list) -> DataFrame:
         sent = spark.sparkContext.broadcast(Windows(block, window))
+        broadcasts.append(sent)
 
         def judge():
             windows = sent.value
@@ -226,7 +234,7 @@ def find_contamination(
     # More blocks: each a pass; equal texts have equal results, so passes meet by a hash of the text.
     key = free_name(docs, "text_key")
     keyed = docs.withColumn(key, F.sha2(F.coalesce(F.col(f"`{text}`"), F.lit("")), 256))
-    passes = [stored(one(keyed, [key], into, b).filter((F.size(f"{into}.items") > 0)), "decontaminate") for b in (head, second, *it)]
+    passes = [passed(one(keyed, [key], into, b).filter((F.size(f"{into}.items") > 0))) for b in (head, second, *it)]
     lengths = one(keyed, [*carry, key], into, [])
     found = reduce(DataFrame.unionByName, passes)
     its = found.select(key, F.explode(f"{into}.items").alias("item")).distinct().groupBy(key).agg(F.sort_array(F.collect_list("item")).alias("items"))

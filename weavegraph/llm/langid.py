@@ -7,7 +7,8 @@ shares under all of them, and the set with the best penalised likelihood (BIC) s
 beats what any larger set could reach under its penalty, no further fit is made.
 
 The model is a table of 2**17 n-gram buckets by language. It is fitted on at most about `per_language` documents of a
-language, picked by a hash of their ids (the documented bound), and it is all that is broadcast.
+language, picked by a hash of their ids, for at most `most_languages` languages (the documented bounds), and it is all
+that is broadcast.
 """
 
 from __future__ import annotations
@@ -178,13 +179,14 @@ class Model:
         return shares, np.add.reduceat(np.log(total) + top, first)
 
 
-def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", pick: Column, per_language: int = 8000) -> Model:
+def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", pick: Column, per_language: int = 8000, most_languages: int = 256) -> Model:
     """A model from the labelled rows; pick is a number from 0 to 1 by which they are sampled, the same for each run.
 
-    Rows without text or language teach nothing; without any, the model knows no language and all is und.
+    Rows without text or language teach nothing; without any, the model knows no language and all is und. Of more than
+    most_languages values of lang the most frequent are learned (a megabyte of the model each), ties by code point.
     """
     rows = docs.select(F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"), pick.alias("pick")).filter("lang is not null and text is not null")
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(most_languages).collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((BUCKETS, 0)))
