@@ -123,8 +123,9 @@ def _matrices(batch: pa.RecordBatch, at: int) -> Iterator[tuple[np.ndarray, np.n
 
 
 KEY = "length int, tree int, cell bigint, part int"
-INDEX = f"{KEY}, cls bigint, string bigint, scale float, body binary"
-ASKED = f"{KEY}, asks bigint, string bigint, depth int, least float, body binary"
+#: A row holds a batch's rows of one part: their classes, strings and so on as arrays of bytes.
+INDEX = f"{KEY}, cls binary, string binary, scale binary, body binary"
+ASKED = f"{KEY}, asks binary, string binary, depth binary, least binary, body binary"
 _KEYS = ["length", "tree", "cell", "part"]
 
 
@@ -170,25 +171,27 @@ def nearest(
             made[length] = Sample(some, Hasher(length, trees, most), n, k, effort, cell_rows)
         return made[length]
 
-    def table(columns: list, ddl: str) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=[c.split()[0] for c in ddl.split(", ")])
-
-    def bodies(matrix: np.ndarray, at: np.ndarray) -> pa.Array:
-        """Rows of a matrix as binary values."""
-        width = matrix.shape[1] * matrix.itemsize
-        return pa.Array.from_buffers(pa.binary(width), len(at), [None, pa.py_buffer(np.ascontiguousarray(matrix[at]))]).cast(pa.binary())
+    def packed(length: int, tree: int, cell: np.ndarray, part: np.ndarray, columns: list[np.ndarray], ddl: str) -> pa.RecordBatch:
+        """A row for each cell and part, with the columns' values of its rows."""
+        order = np.lexsort((part, cell))
+        cell, part = cell[order], part[order]
+        first = np.flatnonzero(np.concatenate(([True], (cell[1:] != cell[:-1]) | (part[1:] != part[:-1])))) if len(cell) else np.zeros(0, np.int64)
+        ends, n = np.append(first[1:], len(cell)).tolist(), len(first)
+        blobs = [pa.array([c[order[a:b]].tobytes() for a, b in zip(first.tolist(), ends, strict=True)], pa.binary()) for c in columns]
+        keys = [pa.array(np.full(n, length, np.int32)), pa.array(np.full(n, tree, np.int32)), pa.array(cell[first].astype(np.int64)), pa.array(part[first].astype(np.int32))]
+        return pa.RecordBatch.from_arrays([*keys, *blobs], names=[c.split()[0] for c in ddl.split(", ")])
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some, matrix in _matrices(batch, 1):
                 its, cls = sample(matrix.shape[1]), batch.column(0).to_numpy()[some]
-                strings, n = its.hasher(matrix), len(some)
+                strings = its.hasher(matrix)
                 scale = np.abs(matrix).max(axis=1) / 127
                 small = np.rint(matrix / scale[:, None]).astype(np.int8)
                 for t in range(trees):
                     cell = its.cells(strings[t])
                     part = (cls * 2654435761 >> 7) % its.parts(t, cell)
-                    yield table([np.full(n, matrix.shape[1], np.int32), np.full(n, t, np.int32), cell, part.astype(np.int32), cls, strings[t].astype(np.int64), scale.astype(np.float32), bodies(small, np.arange(n))], INDEX)
+                    yield packed(matrix.shape[1], t, cell, part, [cls, strings[t], scale.astype(np.float32), small], INDEX)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,19 +207,20 @@ def nearest(
                     at, more = _spread(np.arange(len(some)), np.left_shift(1, open_))
                     cell = (its.cells(strings[t])[at] >> open_[at] << open_[at]) + more
                     again, part = _spread(np.arange(len(at)), its.parts(t, cell))
-                    at, cell, n = at[again], cell[again], len(again)
-                    yield table([np.full(n, matrix.shape[1], np.int32), np.full(n, t, np.int32), cell, part.astype(np.int32), cls[at], strings[t][at].astype(np.int64), depth[at].astype(np.int32), least[at].astype(np.float32), bodies(body, at)], ASKED)
+                    at, cell = at[again], cell[again]
+                    yield packed(matrix.shape[1], t, cell, part, [cls[at], strings[t][at], depth[at], least[at].astype(np.float32), body[at]], ASKED)
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         asks, found, rough = [], [], []
         if left.num_rows and right.num_rows:
-            left = left.sort_by("string")
-            length = left.column("length")[0].as_py()
-            body = np.frombuffer(b"".join(left.column("body").to_pylist()), np.int8).reshape(-1, length).astype(np.float32) * left.column("scale").to_numpy()[:, None]
-            queries = np.frombuffer(b"".join(right.column("body").to_pylist()), np.float32).reshape(-1, length)
-            strings, cls = left.column("string").to_numpy().astype(np.uint32), left.column("cls").to_numpy()
-            low, high = span(strings, right.column("string").to_numpy().astype(np.uint32), right.column("depth").to_numpy())
-            least, own = right.column("least").to_numpy(), right.column("asks").to_numpy()
+            values = lambda t, c, kind: np.frombuffer(b"".join(t.column(c).to_pylist()), kind)
+            length, strings = left.column("length")[0].as_py(), values(left, "string", np.uint32)
+            order = np.argsort(strings, kind="stable")
+            strings, cls = strings[order], values(left, "cls", np.int64)[order]
+            body = values(left, "body", np.int8).reshape(-1, length)[order].astype(np.float32) * values(left, "scale", np.float32)[order][:, None]
+            queries = values(right, "body", np.float32).reshape(-1, length)
+            low, high = span(strings, values(right, "string", np.uint32), values(right, "depth", np.int64))
+            least, own = values(right, "least", np.float32), values(right, "asks", np.int64)
             for q in np.flatnonzero(high > low).tolist():
                 scores = body[low[q] : high[q]] @ queries[q]
                 good = np.flatnonzero(scores >= least[q])
