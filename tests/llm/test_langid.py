@@ -130,3 +130,8 @@ def test_most_languages_and_long_texts(docs, spark):
     text = max((r.text or "" for r in docs.filter("lang = 'es'").collect()), key=len)
     long = " ".join([text] * (1 + 3_000_000 // len(text)))
     assert whole.judge([long, None, text])[0][0] == "es"
+
+
+def test_ties_go_to_the_first_language():
+    same = np.ones((langid.BUCKETS, 2))
+    assert langid.Model(["a", "b"], same).judge(["any words"])[0][0] == "a"

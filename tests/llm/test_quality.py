@@ -74,3 +74,11 @@ def test_fit_is_the_maximum_of_the_penalised_likelihood():
             w, c = weights.copy(), cuts.copy()
             (w if j < m else c)[j if j < m else j - m] += step
             assert value(w, c) < best + 1e-6
+
+
+def test_ties_long_texts_and_clashing_columns(spark):
+    nothing = quality.Model(np.zeros(0, np.uint64), np.zeros(0), np.array([0.0, 40.0]))  # grades 0 and 1 are as likely
+    rows = [(1, "a b", "x"), (1, "a b", "x"), (2, None, "y"), (3, "word " * 400_000, "z")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, score string")
+    got = quality.judge_quality(table, nothing, carry=["doc_id", "score"], into="q").select("doc_id", F.col("score").alias("s"), "q.*").collect()
+    assert [r.grade for r in got] == [0] * 4 and sorted(r.s for r in got) == ["x", "x", "y", "z"]

@@ -22,42 +22,52 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which lines of each document repeat runs of 50 words or more that occur before; nulls, long texts and repeated rows as in find_repeated_runs()."""
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text as token files, read back: start, number and crc32 of each document's ids; edge cases as in write_tokens()."""
     return token_files.token_digest(table(spark, sf_dir, "documents"), tokenizer=tokenizer_path())
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that benchmark windows of 13 words hit, and the contamination rule; edge cases as in find_contamination()."""
     return decontaminate.decontamination_report(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
 def op4_language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learned from the training folds; edge cases as in identify()."""
     return langid.language_report(table(spark, sf_dir, "documents"))
 
 
 def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every vector whose id is divisible by 20, among all others; edge cases as in nearest()."""
     return forest.nearest(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 20 == 0)
 
 
 def op6_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of every whole text under the byte trie and the word baseline; edge cases as in score_documents()."""
     return ppm.score_report(table(spark, sf_dir, "documents"))
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families and unknown licences in every whole text; edge cases as in scan()."""
     return licenses.license_report(table(spark, sf_dir, "documents"))
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document, with its source's target; edge cases as in mix_sources()."""
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
 def op9_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-duplicates by four-word shingles at a similarity of 0.8; edge cases as in near_duplicates()."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4)
 
 
 def op10_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probability of every whole text, learned from the ratings; edge cases as in judge_quality()."""
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 

@@ -228,7 +228,7 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", pick: Column
 def identify(docs: DataFrame, model: Model, *, carry: list[str], into: str = "language", text: str = "text") -> DataFrame:
     """The carried columns and a struct: lang_pred, score (0 to 1), n_words, languages (the chosen set with shares).
 
-    A text that is null, empty or without letters is und with score 0. The score is the leading language's share, or,
+    A text that is null, empty or without letters is und with score 0; very long ones are judged whole. The score is the leading language's share, or,
     where one language is chosen alone, its probability among all. Ties go to the language first in code-point order.
     Repeated rows are each judged; an empty table stays empty; columns that aren't carried play no part.
     """

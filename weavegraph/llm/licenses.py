@@ -267,7 +267,7 @@ def train(docs: DataFrame, *, text: str = "text", most_docs: int = 400, per_doc:
 def scan(docs: DataFrame, classifier: Classifier, *, carry: list[str], into: str = "licenses", text: str = "text") -> DataFrame:
     """The carried columns and a struct: families (distinct, sorted), unknown (number of paragraphs), paragraphs.
 
-    Null and empty texts have none; repeated rows are each scanned; an empty table stays empty; of equal probabilities the
+    Null and empty texts have none; very long ones are scanned whole, some thousand lines at a time; repeated rows are each scanned; an empty table stays empty; of equal probabilities the
     family first in code-point order is taken; columns that aren't carried play no part.
     """
     sent = docs.sparkSession.sparkContext.broadcast(classifier)

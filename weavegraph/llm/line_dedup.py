@@ -140,7 +140,8 @@ def find_repeated_runs(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
 
     Removed are the lines of every run of at least least_words words that occurs earlier, in a document of smaller doc_id or
     further up in the same; sources are numbers (seq) of the documents that have them first. A run may overlap its
-    earlier copy, so of one line many times in a row the first stays. Null texts have no lines, empty ones an empty line;
+    earlier copy, so of one line many times in a row the first stays. Texts are judged whole, long ones in as many rows as
+    they have lines (2**26 at most, or an error). Null texts have no lines, empty ones an empty line;
     null doc_ids come first; equal doc_ids and repeated rows follow each other, the first is kept; an empty table stays empty.
     """
     numbered = numbered_lines(docs, doc_id, text)

@@ -7,7 +7,7 @@ P(grade <= k) = logistic(threshold_k - score). The expected grade ranks document
 
 The fit is on at most about `most_rows` rated documents, picked by a hash of their ids (the documented bound). Spark
 counts their features; features that tell grades apart (by the z-score of their log odds) are kept, at most
-`most_features`. Features go by their 64-bit hashes, so nothing else shares their weights.
+`most_features` (the documented bound of the model). Features go by their 64-bit hashes, so nothing else shares their weights.
 """
 
 from __future__ import annotations
@@ -196,7 +196,7 @@ def fit(sample: DataFrame, *, most_features: int = 4096, least_z: float = 3.3, l
 def judge_quality(docs: DataFrame, model: Model, *, carry: list[str], into: str = "quality", text: str = "text", least_tail: float = 0.5) -> DataFrame:
     """The carried columns and a struct: score, p_toxic, p_low, p_good, expected_grade, grade, keep (p_good >= least_tail).
 
-    Null and empty texts have no features and the grades' base rates; repeated rows are each judged; an empty table
+    Null and empty texts have no features and the grades' base rates; very long ones are judged whole; repeated rows are each judged; an empty table
     stays empty; a tie between grades goes to the lower; columns that aren't carried play no part.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
