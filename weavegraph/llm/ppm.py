@@ -402,7 +402,7 @@ def add_up(cut_rows: DataFrame, answered: DataFrame) -> DataFrame:
 
 
 def score_documents(docs: DataFrame, *, chunk_bytes: int = CHUNK, buckets: int | None = None) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of docs (doc_id, held_out, text).
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, score_per_token of every row of docs (doc_id, held_out, text).
 
     The model learns from all rows that aren't held out. score is the log10 probability of the text and its end under the
     trie, base_score that of its words and the end by smoothed counts. Null and empty texts have the end alone; texts of
@@ -428,6 +428,7 @@ def score_documents(docs: DataFrame, *, chunk_bytes: int = CHUNK, buckets: int |
         F.lit(train_tokens).cast("bigint").alias("train_tokens"),
         (F.col("base") + end - F.col("n_tokens") * log_all).alias("base_score"),
         "score",
+        (F.col("score") / F.col("n_tokens")).alias("score_per_token"),
     )
 
 
