@@ -28,6 +28,16 @@ def test_round_trip_long_and_dense():
     assert (one == values[5 * 1024 : 6 * 1024]).all()
 
 
+def test_more_blocks_than_go_at_once(monkeypatch):
+    rng = np.random.default_rng(2)
+    values = np.where(rng.random(50_001) < 0.01, rng.integers(0, 2**63, 50_001), rng.integers(0, 3000, 50_001)).astype(np.uint64)
+    want = simple8b.encode(values, 64)
+    assert (simple8b.decode(*want, len(values), 64) == values).all()
+    monkeypatch.setattr(simple8b, "AT_ONCE", 3)
+    words, first = simple8b.encode(values, 64)
+    assert (words == want[0]).all() and (first == want[1]).all() and (simple8b.decode(words, first, len(values), 64) == values).all()
+
+
 def test_words_give_the_ids_of_whole_texts():
     t, encode = Tokenizer.from_file(PATH), token_files.Encoder(PATH)
     texts = ["", " a  b\n\n", "Don't STOP, we'll go!! 12345 o'clock's", "Straße ÀÉÎ ΣΊΣΥΦΟΣ İstanbul éá", "x y z\x1c\x85w", "<|endoftext|> a<|startoftext|>b", "日本語 テスト한국어 ª º µ ß", "a.b,c ... ?! (d) e-f", "'s 's't x's", "́a ﬁ Ǆ"]

@@ -30,8 +30,25 @@ def _selectors(width: np.ndarray, reach: int) -> np.ndarray:
     return best
 
 
+#: Blocks that are encoded or decoded at once, so that what this takes beside the ids is bounded.
+AT_ONCE = 512
+
+
 def encode(ids: np.ndarray, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
     """Words, and the first word of each block (one more for the end)."""
+    step = AT_ONCE * block
+    if len(ids) <= step:
+        return _encode(ids, block)
+    words, first, upto = [], [np.zeros(1, dtype=np.int64)], 0
+    for start in range(0, len(ids), step):
+        its, at = _encode(ids[start : start + step], block)
+        words.append(its)
+        first.append(at[1:] + upto)
+        upto += len(its)
+    return np.concatenate(words), np.concatenate(first)
+
+
+def _encode(ids: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.zeros(0, dtype=np.uint64), np.zeros(1, dtype=np.int64)
@@ -79,6 +96,17 @@ def decode(words: np.ndarray, first: np.ndarray, n: int, block: int = 1024) -> n
     """All n ids. A few blocks alone: give their words, their first words less the first of these, and their ids' number."""
     if not n:
         return np.zeros(0, dtype=np.uint64)
+    if n <= AT_ONCE * block:
+        return _decode(words, first, n, block)
+    out = np.empty(n, dtype=np.uint64)
+    for b in range(0, len(first) - 1, AT_ONCE):
+        at = first[b : b + AT_ONCE + 1]
+        some = slice(b * block, min(n, (b + AT_ONCE) * block))
+        out[some] = _decode(words[at[0] : at[-1]], at - at[0], some.stop - some.start, block)
+    return out
+
+
+def _decode(words: np.ndarray, first: np.ndarray, n: int, block: int) -> np.ndarray:
     selector = (words >> np.uint64(60)).astype(np.int64)
     literal = np.zeros(len(words), dtype=bool)
     for i in np.flatnonzero(selector == 0).tolist():

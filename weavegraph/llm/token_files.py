@@ -72,7 +72,7 @@ class Encoder:
     whole encoding. The first `most_words` pieces stay known. All ids of some texts are gathered as one array.
     """
 
-    def __init__(self, path: str, most_words: int = 250_000):
+    def __init__(self, path: str, most_words: int = 200_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
@@ -236,7 +236,7 @@ def write_tokens(docs: DataFrame, folder: str, *, tokenizer: str, end_id: int =
             )
 
         for batch in batches:
-            for piece in slices(batch, 1, 2 << 20):
+            for piece in slices(batch, 1, 1 << 20):
                 values, lengths = ended(*encode(piece.column(1).to_pylist()), end_id)
                 its, upto, start = piece.column(0).to_pylist(), np.cumsum(lengths), 0
                 while start < len(its):
