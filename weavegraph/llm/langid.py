@@ -242,7 +242,7 @@ def identify(docs: DataFrame, model: Model, *, carry: list[str], into: str = "la
         return call
 
     _fields = [("lang_pred", pa.string()), ("score", pa.float64()), ("n_words", pa.int64()), ("languages", pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())])))]
-    return annotate(docs, text, carry, into, RESULT, judge, 1 << 20)
+    return annotate(docs, text, carry, into, RESULT, judge, 1 << 19)
 
 
 def fold(doc_id: str = "doc_id", folds: int = 5) -> Column:
@@ -273,5 +273,5 @@ def keep_known_languages(docs: DataFrame, least_share: float = 0.5) -> DataFrame
 
         return call
 
-    found = annotate(docs, "text", docs.columns, into, "learned double", judge, 1 << 20)
+    found = annotate(docs, "text", docs.columns, into, "learned double", judge, 1 << 19)
     return found.filter((F.col(f"{into}.learned") > 0) & (F.col(f"{into}.learned") >= least_share)).drop(into)
