@@ -10,7 +10,8 @@ ranges themselves are taken from all rows.
 Every tree's array is cut into cells by the first bits of its strings, and a crowded cell into parts by a hash. A row goes
 to one part of its cell in each tree, with its components as bytes; a query goes to the cells under its prefix. No query
 meets what lies elsewhere, and a task holds a part and its queries. A part gives the rows of a query's range that may
-still be among its best: it leaves out what is below the score of the sample's 4k-th best, but for its own best two. The best of these meet the original vectors for
+still be among its best: it leaves out what is below a score that some 6k of all rows reach, judging by the sample, but
+for its own best two. The best of these meet the original vectors for
 their exact scores. Equal vectors are one class, of which the smallest ids are enough, so copies crowd no cell.
 
 The number of rows that the ascent asks for grows as the number of all rows to the power GROWTH, which random directions
@@ -96,8 +97,9 @@ class Sample:
     def cells(self, strings: np.ndarray) -> np.ndarray:
         return (strings >> np.uint32(BITS - self.bits)).astype(np.int64) if self.bits else np.zeros(strings.shape, dtype=np.int64)
 
-    def kth_best(self, queries: np.ndarray, k: int) -> np.ndarray:
-        """The score that k + 1 rows of the sample reach; minus infinity where it has fewer."""
+    def reached_by(self, queries: np.ndarray, rows: int) -> np.ndarray:
+        """The score that about so many of all rows reach; minus infinity where there are fewer."""
+        k = int(np.ceil(rows / self.share))
         if len(self.vectors) <= k:
             return np.full(len(queries), -np.inf)
         out = np.empty(len(queries))
@@ -198,7 +200,7 @@ def nearest(
             for some, matrix in _matrices(batch, 1):
                 its, cls = sample(matrix.shape[1]), batch.column(0).to_numpy()[some]
                 strings = its.hasher(matrix, queries=True)
-                depth, least, body = its.depth(strings), its.kth_best(matrix, 4 * k), matrix.astype(np.float32)
+                depth, least, body = its.depth(strings), its.reached_by(matrix, 6 * k), matrix.astype(np.float32)
                 # Components as bytes are off by half a step, so scores by about this much.
                 least = least - 6 * np.abs(its.vectors).max(initial=0.0) / 254 * np.sqrt((matrix**2).sum(axis=1))
                 for t in range(trees):
