@@ -114,7 +114,7 @@ def whole_schedule(sources: DataFrame, total: int, slot_words: int) -> DataFrame
     last = -(-total // slot_words) if total else 0
     more = lacking.withColumn("before", before).withColumn("rank", F.explode(F.sequence(F.col("held"), F.col("needed") - 1)))
     more = more.select((F.lit(last) + F.col("before") + F.col("rank") - F.col("held")).alias("slot"), "sid", "rank")
-    return slots.join(F.broadcast(wanted), "sid").filter("rank < needed").select("slot", "sid", "rank").unionByName(more)
+    return slots.join(wanted, "sid").filter("rank < needed").select("slot", "sid", "rank").unionByName(more)
 
 
 def _plan(sized: DataFrame, slots: int, most_slot: int, most_repeats: int, least_blocks: int, seed: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -131,7 +131,7 @@ def _sized(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
 
 def _taken(sources: DataFrame, schedule: DataFrame, streams: DataFrame) -> DataFrame:
     """The documents' places with taken: slots joined to the blocks that they take, and blocks to the documents in them."""
-    its = F.broadcast(sources.select("sid", "block", "per_slot", "n_blocks", "takes"))  # a row for each source
+    its = sources.select("sid", "block", "per_slot", "n_blocks", "takes")  # a row for each source; Spark broadcasts it where it is small
     first = F.col("rank") * F.col("per_slot")
     takes = schedule.join(its, "sid").filter(first < F.col("takes")).withColumn("take", F.explode(F.sequence(first, F.least(first + F.col("per_slot"), F.col("takes")) - 1)))
     times = takes.groupBy("sid", (F.col("take") % F.col("n_blocks")).alias("number")).agg(F.count(F.lit(1)).alias("times"))
@@ -170,7 +170,7 @@ def repeat_by_mix(
     sized = _sized(docs, doc_id, text, source)
     sources, schedule, streams = _plan(sized, slots, most_slot, most_repeats, least_blocks, seed)
     whole = _taken(sources, schedule, streams).groupBy("doc_id", "sid", "size").agg(F.min("start").alias("start"), F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("copies"))
-    its = F.broadcast(sources.select("sid", "source", "block", "per_slot", "n_blocks"))
+    its = sources.select("sid", "source", "block", "per_slot", "n_blocks")
     whole = whole.filter("copies > 0").join(its, "sid").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     take = F.col("copy") * F.col("n_blocks") + F.call_function("div", F.col("start"), F.col("block"))
     placed = whole.withColumn("rank", F.call_function("div", take, F.col("per_slot"))).join(schedule, ["sid", "rank"], "left")
