@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weavegraph.llm import decontaminate, forest, langid, licenses, line_dedup, minhash, mixing, ppm, quality, token_files
+from weavegraph.llm import decontaminate, forest, langid, licenses, line_dedup, minhash, mixing, negatives, ppm, quality, token_files
 
 #: The tokenizer of the contract; any file of the tokenizers library will do.
 TOKENIZER = "word_bpe_49k.json"
@@ -71,6 +71,12 @@ def op10_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five hard negatives of each of an anchor's five positives, scored by whole numbers; edge cases as in hard_negatives()."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), is_anchor=F.col("vec_id") % 100 == 0, label=label)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -84,6 +90,7 @@ QUERIES = {
         op8_source_mixing,
         op9_minhash_near_duplicates,
         op10_quality_grades,
+        op12_hard_negatives,
     )
 }
 
@@ -91,4 +98,5 @@ ORACLE_SQL = {
     "op3_benchmark_decontamination": decontaminate.CONTAMINATION_SQL,
     "op8_source_mixing": mixing.MIX_SQL,
     "op9_minhash_near_duplicates": minhash.NEAR_SQL,
+    "op12_hard_negatives": negatives.NEGATIVES_SQL,
 }
