@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weavegraph.llm import decontaminate, forest, langid, licenses, line_dedup, minhash, mixing, negatives, ppm, quality, token_files
+from weavegraph.llm import decontaminate, forest, langid, licenses, line_dedup, minhash, mixing, negatives, ppm, prefix_trie, quality, token_files
 
 #: The tokenizer of the contract; any file of the tokenizers library will do.
 TOKENIZER = "word_bpe_49k.json"
@@ -77,6 +77,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), is_anchor=F.col("vec_id") % 100 == 0, label=label)
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prefix of the rebuilt conversations, from a z-fast trie; edge cases as in trie_report()."""
+    return prefix_trie.trie_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -91,6 +96,7 @@ QUERIES = {
         op9_minhash_near_duplicates,
         op10_quality_grades,
         op12_hard_negatives,
+        op13_conversation_trie,
     )
 }
 
@@ -99,4 +105,5 @@ ORACLE_SQL = {
     "op8_source_mixing": mixing.MIX_SQL,
     "op9_minhash_near_duplicates": minhash.NEAR_SQL,
     "op12_hard_negatives": negatives.NEGATIVES_SQL,
+    "op13_conversation_trie": prefix_trie.TRIE_SQL,
 }
