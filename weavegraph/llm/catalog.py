@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weavegraph.llm import decontaminate, forest, langid, licenses, line_dedup, minhash, mixing, negatives, ppm, prefix_trie, quality, token_files
+from weavegraph.llm import curve_packing, decontaminate, forest, langid, licenses, line_dedup, minhash, mixing, negatives, ppm, prefix_trie, quality, token_files
 
 #: The tokenizer of the contract; any file of the tokenizers library will do.
 TOKENIZER = "word_bpe_49k.json"
@@ -71,6 +71,11 @@ def op10_quality_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text in sequences of 2048 ids along a Hilbert curve, read back piece by piece; edge cases as in pack_documents()."""
+    return curve_packing.packing_report(table(spark, sf_dir, "documents"), tokenizer=tokenizer_path())
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first five hard negatives of each of an anchor's five positives, scored by whole numbers; edge cases as in hard_negatives()."""
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -95,6 +100,7 @@ QUERIES = {
         op8_source_mixing,
         op9_minhash_near_duplicates,
         op10_quality_grades,
+        op11_curve_packing,
         op12_hard_negatives,
         op13_conversation_trie,
     )
