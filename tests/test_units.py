@@ -1,5 +1,6 @@
 """Operators on small rows: nulls, ties, twins, empty tables, broken rows."""
 
+import json
 import math
 import random
 
@@ -7,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from weavegraph.functions import text as X
-from weavegraph.operators import drift, graph, identity, quality, resolve, rules, spatial, walk
+from weavegraph.operators import audit, drift, graph, identity, order, quality, resolve, rules, spatial, walk
+from weavegraph.sources import json_elements
 
 
 def values(spark, column, rows, ddl="v string"):
@@ -105,6 +107,147 @@ def test_pointers_of_any_depth(spark):
     assert walk.pointers(variant, "p", ["id"]).count() == 5
 
 
+def test_payloads_too_deep_are_broken_not_fatal(spark):
+    """Hundreds of levels are walked; beyond what Spark parses a payload has no nodes, is counted, and ends no job."""
+    nest = lambda n: '{"a":[' * n + '{"Leaf":{"m_FileID":0,"m_PathID":3001}}' + "]}" * n
+    df = spark.createDataFrame([(1, nest(60)), (2, nest(50_000)), (3, nest(1)), (4, "{"), (5, None)], "id int, p string")
+    assert sorted((r.id, r.path.count("a[0]")) for r in walk.pointers(df, "p", ["id"]).collect()) == [(1, 60), (3, 1)]
+    assert tuple(walk.broken_payloads(df, "p").first()) == (5, 1, 2)
+
+
+def test_walk_has_no_python(spark):
+    df = spark.createDataFrame([(1, '{"a":{"m_FileID":1,"m_PathID":2}}')], "id int, p string")
+    for found in (walk.pointers(df, "p", ["id"]), walk.leaves(df, "p", ["id"]), walk.guid_refs(df, "p", ["id"]), walk.localised(df, "p", ["id"])):
+        assert "InArrow" not in found._jdf.queryExecution().toString() and "Python" not in found._jdf.queryExecution().toString()
+
+
+def test_bare_and_named_guids(spark):
+    g = "0123456789abcdef" * 2
+    text = f'{{"myGuid":"{g}","list":{{"guids":["{g}"]}},"icon":{{"m_AssetGUID":"{g}","m_SubObjectName":"x"}},"no":{{"m_AssetGUID":"zz","inner":{{"GUID":"{g}"}}}},"guidNumber":12345678901234567890123456789012}}'
+    df = spark.createDataFrame([(1, text)], "id int, p string")
+    assert sorted((r.path, r.form, r.sub_name) for r in walk.guid_refs(df, "p", ["id"]).collect()) == [("icon", "dict", "x"), ("myGuid", "bare", ""), ("no.inner.GUID", "bare", "")]
+    assert [r.path for r in walk.guid_refs(df, "p", ["id"], bare=False).collect()] == ["icon"]
+
+
+def test_list_carriers_open_what_they_find(spark):
+    df = spark.createDataFrame([(1, '{"x":[{"id":10,"y":[{"id":11}]},{"id":"10"}],"z":[{"id":11}]}')], "id int, p string")
+    assert sorted((r.block, r.carriers) for r in walk.list_carriers(df, "p", ["id"]).collect()) == [("a", "x"), ("b", "x[0].y,z")]
+
+
+def test_snapshot_diff_counts_nulls_and_joins_open_buckets(spark):
+    schema = "k int, a string, b string"
+    old = spark.createDataFrame([(1, "a", None), (2, "x", "y"), (3, None, None), (None, "n", "n")], schema)
+    new = spark.createDataFrame([(1, None, "a"), (2, "x", "y"), (4, "z", None), (None, "n", "m")], schema)
+    got = {(r.k, r.change): r.fields for r in drift.snapshot_diff(old, new, ["k"]).collect()}
+    assert got.keys() == {(1, "changed"), (3, "removed"), (4, "added"), (None, "changed")}
+    assert [tuple(f) for f in got[1, "changed"]] == [("a", "a", None), ("b", None, "a")] and [tuple(f) for f in got[None, "changed"]] == [("b", "n", "m")]
+    assert drift.snapshot_diff(old, old, ["k"]).count() == 0 and drift.snapshot_diff(old.limit(0), new, ["k"]).count() == 4
+    more = new.withColumn("c", F.lit(1))
+    assert {tuple(f) for r in drift.snapshot_diff(new, more, ["k"]).collect() for f in r.fields} == {("c", None, "1")}
+
+
+def test_names_are_unique(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 5), ("a_5", 2), (None, 3)], "stem string, n int")
+    got = {(r.stem, r.n): r.file_name for r in resolve.assign_unique_name(df, "stem", "n").collect()}
+    assert got == {("a", 1): "a", ("a", 5): "a_5", ("a_5", 2): "a_5_2", (None, 3): None}
+
+    def one_by_one(rows):
+        used, out = set(), {}
+        for at, stem, n in sorted(rows):
+            tries = [stem, f"{stem}_{n}"]
+            i = 2
+            while (name := tries.pop(0)) in used:
+                if not tries:
+                    tries.append(f"{stem}_{n}_{i}")
+                    i += 1
+            used.add(name)
+            out[at] = name
+        return out
+
+    rng = random.Random(3)
+    rows = [(i, "_".join(["a", *[str(rng.randint(1, 3)) for _ in range(rng.randint(0, 3))]]), rng.randint(1, 3)) for i in range(60)]
+    got = resolve.assign_unique_name(spark.createDataFrame(rows, "at int, stem string, n int"), "stem", "n", ["at"]).collect()
+    assert {r["at"]: r.file_name for r in got} == one_by_one(rows)
+
+
+def test_points_in_boxes_of_all_sizes(spark):
+    rng = random.Random(4)
+    points = [(i, i % 2, rng.uniform(-5, 5), rng.choice([None, rng.uniform(-5, 5), 1e300])) for i in range(300)]
+    boxes = [(i, i % 2, rng.uniform(-5, 5), rng.uniform(-5, 5), rng.choice([0.0, 0.1, 0.5, 20.0, float("inf"), -1.0]), rng.choice([0.1, 3.0, 1e9])) for i in range(60)] + [(99, 0, None, 1.0, 1.0, 1.0)]
+    p = spark.createDataFrame(points * 2, "id int, k int, x double, y double")
+    b = spark.createDataFrame(boxes, "box int, k int, c_x double, c_y double, e_x double, e_y double")
+    want = {}
+    for i, k, x, y in points:
+        hits = [j for j, l, cx, cy, ex, ey in boxes if k == l and y is not None and cx is not None and abs(x - cx) <= ex and abs(y - cy) <= ey]
+        if hits:
+            want[i] = min(hits)
+    got = resolve.in_bounds(p, b, ["k"], ["x", "y"], "box").collect()
+    assert sorted((r.id, r.box) for r in got) == sorted([*want.items()] * 2)
+    assert resolve.in_bounds(p, b.limit(0), ["k"], ["x", "y"]).count() == 0 and resolve.in_bounds(p.limit(0), b, ["k"], ["x"]).count() == 0
+
+
+def test_points_stay_in_their_cells(spark):
+    """A hundred thousand boxes and points of one key: no point meets boxes far from it."""
+    n = 100_000
+    p = spark.range(n).select(F.lit(1).alias("k"), (F.col("id") * 7919 % n).cast("double").alias("x"))
+    b = spark.range(n).select(F.lit(1).alias("k"), F.col("id").alias("box"), F.col("id").cast("double").alias("c_x"), F.lit(0.6).alias("e_x"))
+    got = resolve.in_bounds(p, b, ["k"], ["x"], "box")
+    assert got.count() == n and got.filter(F.col("box") != F.col("x")).count() == 0
+
+
+def test_places_by_ranges(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), (F.col("id") * 37 % 11).alias("v"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("n"))
+    got = order.numbered(df, [F.col("v").desc(), F.col("n").asc_nulls_first()]).orderBy("place").collect()
+    assert [r.place for r in got] == list(range(1, 1001)) and [(-r.v, r.n is not None, r.n or 0) for r in got] == sorted((-r.v, r.n is not None, r.n or 0) for r in got)
+    got = order.numbered(df.unionByName(df.limit(7).withColumn("g", F.lit(None).cast("bigint"))), [F.col("n").desc_nulls_last()], ["g"]).collect()
+    for g in (0, 1, 2, None):
+        assert sorted(r.place for r in got if r.g == g) == list(range(1, 1 + sum(r.g == g for r in got)))
+    assert order.numbered(df.limit(0), [F.col("v")]).count() == 0
+
+
+def test_bridge_suppresses_later_scenes(spark):
+    """Of one reference: a scene before the first entity is an edge, one at or after it isn't; own bundles come before any."""
+    refs = spark.createDataFrame([("r1", "g1"), ("r2", "g2"), ("r3", "g3"), ("r4", "g4"), ("r5", "g1")], "ref string, guid string")
+    entries = spark.createDataFrame([("g1", "a", None), ("g1", "b", "x"), ("g1", "c", None), ("g2", "b", "y"), ("g2", "b", "x"), ("g3", "zzz", "x")], "guid string, address string, bundle string")
+    containers = spark.createDataFrame([("s", "a", 1), ("x", "b", 9), ("x", "b", 2), ("y", "b", 3), ("s", "c", 4), ("w", "b", 5)], "bundle string, address string, path_id bigint")
+    entities = spark.createDataFrame([("x", 2, "k", "E2"), ("w", 5, "k", "E5")], "bundle string, path_id bigint, kind string, id string")
+    got = resolve.guid_bridge(refs, entries, containers, entities, spark.createDataFrame([("s",), ("y",)], "bundle string"))
+    assert {(r.ref, r.address, r.landing, r.bundle, r.path_id, r.id) for r in got.collect()} == {
+        *((r, a, *rest) for r in ("r1", "r5") for a, *rest in (("a", "scene", "s", 1, None), ("b", "entity", "x", 2, "E2"))),
+        ("r2", "b", "entity", "x", 2, "E2"),
+        ("r3", None, "none", None, None, None),
+        ("r4", None, "dangling", None, None, None),
+    }
+    assert tuple(resolve.bridge_report(got, ["ref"]).first()) == (5, 4, 4, 3, 1, 2)
+
+
+def test_contract_suite_is_one_scan(spark, sf_dir):
+    from weavegraph.plans import catalog
+
+    plan = catalog.QUERIES["q_contract_suite"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") + plan.count("Scan parquet") - plan.count("FileScan parquet") == 1
+
+
+def test_formulas(spark):
+    rows = [("o", "a", "{s#x} * 2 - -(3 + {s#y[0]}) / 4"), ("o", "b", "{s#x} / ({s#x} - 4)"), ("o", "c", "{s#gone} + 1"), ("o", "d", "__import__('os')"), ("o", "e", "1 +"), ("o", "f", "(" * 3000 + "1" + ")" * 3000), ("o", "g", "7"), ("o", "h", None)]
+    values = spark.createDataFrame([("s", "x", 4.0), ("s", "y[0]", 1.0)], "source string, path string, value double")
+    got = {r.path: r.result for r in audit.evaluate(audit.expressions(spark.createDataFrame(rows, "artifact string, path string, formula string")), values).collect()}
+    assert got == {"a": 9.0, "b": None, "c": None, "d": None, "e": None, "f": None, "g": 7.0, "h": None}
+
+
+def test_elements_of_one_document(spark, tmp_path):
+    doc = {"first": {"keys": [1, [2]]}, "keys": [{"a": 'x"]},{[\\', "n": i, "deep": [[i, {"b": "],"}], []]} for i in range(400)] + [None, "text, text", 5, []], "tail": "keys"}
+    for name, text in (("plain", json.dumps(doc)), ("wide", json.dumps(doc, indent=3, ensure_ascii=False))):
+        path = tmp_path / name
+        path.write_text(text, encoding="utf-8")
+        for size in (997, 1 << 20):
+            got = json_elements.scan_json_elements(spark, str(path), "keys", size)
+            assert [json.loads(r.value) for r in got.collect()] == doc["keys"]
+        assert json_elements.scan_json_elements(spark, str(path), "absent").count() == json_elements.scan_json_elements(spark, str(path), "tail").count() == 0
+    (tmp_path / "empty").write_text('{"keys": []}')
+    assert json_elements.scan_json_elements(spark, str(tmp_path / "empty"), "keys").count() == 0
+
+
 def test_residue_of_pointers(spark):
     rows = ['{"Icon":{"m_FileID":1,"m_PathID":2},"IconReference":{"m_AssetGUID":"ab"}}', '{"Icon":{"m_FileID":1,"m_PathID":2},"IconReference":{"m_AssetGUID":" "}}', '{"bigICON":[{"m_FileID":0,"m_PathID":2}]}', '{"Icon":{"m_FileID":0,"m_PathID":0}}', '{"other":{"m_FileID":1,"m_PathID":2}}']
     df = spark.createDataFrame(list(enumerate(rows)), "id int, p string")

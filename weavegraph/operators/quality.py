@@ -25,40 +25,89 @@ def suite(*checks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 
 
-def key_set(df: DataFrame, raw: str, keys: list[str], dataset: str, exact: bool = True) -> DataFrame:
-    """Q1: rows whose JSON keys aren't those expected (or, if not exact, lack some). Text that isn't JSON fails."""
+def keys_differ(raw: str, keys: list[str], exact: bool = True) -> Column:
+    """Q1, row by row: the JSON keys aren't those expected (or, if not exact, lack some), or it isn't JSON."""
     have, want = F.json_object_keys(raw), F.array(*map(F.lit, keys))
     bad = have.isNull() | (F.size(F.array_except(want, have)) > 0)
-    if exact:
-        bad = bad | (F.size(F.array_except(have, want)) > 0)
-    return none_of(df.filter(bad), "key-set", dataset)
+    return F.coalesce(bad | (F.size(F.array_except(have, want)) > 0) if exact else bad, F.lit(True))
+
+
+def keys_differ_by(raw: str, by: str, keys: dict[str, list[str]]) -> Column:
+    """Q2, row by row."""
+    want, have = F.coalesce(*[F.when(F.col(by) == k, F.array(*map(F.lit, v))) for k, v in keys.items()]), F.json_object_keys(raw)
+    return F.coalesce(want.isNull() | have.isNull() | (F.size(F.array_except(want, have)) > 0) | (F.size(F.array_except(have, want)) > 0), F.lit(True))
+
+
+def outside(column: str, values: list[str], prefixes: tuple[str, ...] = ()) -> Column:
+    """Q3, row by row: a value that is neither in the domain nor starts with a templated prefix; null is none."""
+    inside = F.col(column).isin(*values)
+    for p in prefixes:
+        inside = inside | F.col(column).startswith(p)
+    return F.coalesce(~inside, F.lit(False))
+
+
+def ungrammatical(column: str, pattern: str) -> Column:
+    """Q4, row by row; null doesn't match."""
+    return ~F.coalesce(F.col(column).rlike(pattern), F.lit(False))
+
+
+def not_constant(column: str, value) -> Column:
+    """Q5, row by row."""
+    return ~F.col(column).eqNullSafe(F.lit(value))
+
+
+def not_implied(condition: Column, consequence: Column) -> Column:
+    """Q11, row by row: the condition holds and the consequence doesn't."""
+    return F.coalesce(condition, F.lit(False)) & ~F.coalesce(consequence, F.lit(False))
+
+
+def not_equivalent(a: Column, b: Column) -> Column:
+    """Q12, row by row: exactly one of the two holds."""
+    return F.coalesce(a, F.lit(False)) != F.coalesce(b, F.lit(False))
+
+
+def not_derived(column: str, recomputed: Column) -> Column:
+    """Q13, row by row."""
+    return ~F.col(column).eqNullSafe(recomputed)
+
+
+def over_cap(array: str, most: int) -> Column:
+    """Q14, row by row; null has no length."""
+    return F.coalesce(F.size(array) > most, F.lit(False))
+
+
+def contract_suite(df: DataFrame, dataset: str, rules: list[tuple[str, Column]]) -> DataFrame:
+    """Q1-Q5, Q11-Q14 of one dataset together: a finding per rule (check_id, the column that is true of a bad row), measured
+    by one aggregate over one scan. Q3 counts rows here, not values."""
+    counts = df.agg(*[F.count_if(bad).alias(f"n{i}") for i, (_, bad) in enumerate(rules)])
+    each = F.array(*[F.struct(F.lit(check).alias("check_id"), F.col(f"n{i}").alias("n")) for i, (check, _) in enumerate(rules)])
+    n = F.col("r.n")
+    return counts.select(F.explode(each).alias("r")).select("r.check_id", F.lit(dataset).alias("dataset"), F.when(n == 0, "PASS").otherwise("FAIL").alias("status"), F.lit(0).cast("bigint").alias("expected"), n.alias("measured"))
+
+
+def key_set(df: DataFrame, raw: str, keys: list[str], dataset: str, exact: bool = True) -> DataFrame:
+    """Q1: rows whose JSON keys aren't those expected (or, if not exact, lack some). Text that isn't JSON fails."""
+    return none_of(df.filter(keys_differ(raw, keys, exact)), "key-set", dataset)
 
 
 def key_set_by(df: DataFrame, raw: str, by: str, keys: dict[str, list[str]], dataset: str) -> DataFrame:
     """Q2: as Q1, with the keys that the row's discriminator asks for; an unknown discriminator fails."""
-    want = F.coalesce(*[F.when(F.col(by) == k, F.array(*map(F.lit, v))) for k, v in keys.items()])
-    have = F.json_object_keys(raw)
-    bad = want.isNull() | have.isNull() | (F.size(F.array_except(want, have)) > 0) | (F.size(F.array_except(have, want)) > 0)
-    return none_of(df.filter(F.coalesce(bad, F.lit(True))), "key-set-by", dataset)
+    return none_of(df.filter(keys_differ_by(raw, by, keys)), "key-set-by", dataset)
 
 
 def domain(df: DataFrame, column: str, values: list[str], dataset: str, prefixes: tuple[str, ...] = ()) -> DataFrame:
     """Q3: distinct values outside the domain; values that start with a templated prefix are inside."""
-    distinct = df.select(column).distinct().filter(F.col(column).isNotNull())
-    inside = F.col(column).isin(*values)
-    for p in prefixes:
-        inside = inside | F.col(column).startswith(p)
-    return none_of(distinct.filter(~inside), "domain", dataset)
+    return none_of(df.select(column).distinct().filter(outside(column, values, prefixes)), "domain", dataset)
 
 
 def grammar(df: DataFrame, column: str, pattern: str, dataset: str) -> DataFrame:
     """Q4: names that don't match the grammar."""
-    return none_of(df.filter(~F.coalesce(F.col(column).rlike(pattern), F.lit(False))), "grammar", dataset)
+    return none_of(df.filter(ungrammatical(column, pattern)), "grammar", dataset)
 
 
 def constant(df: DataFrame, column: str, value, dataset: str) -> DataFrame:
     """Q5: rows whose column isn't this value."""
-    return none_of(df.filter(~F.col(column).eqNullSafe(F.lit(value))), "constant", dataset)
+    return none_of(df.filter(not_constant(column, value)), "constant", dataset)
 
 
 def unique(df: DataFrame, keys: list[str], dataset: str) -> DataFrame:
@@ -106,22 +155,22 @@ def same_rows(left: DataFrame, right: DataFrame, dataset: str, check: str = "sam
 
 def implication(df: DataFrame, condition: Column, consequence: Column, dataset: str) -> DataFrame:
     """Q11: rows where the condition holds and the consequence doesn't."""
-    return none_of(df.filter(F.coalesce(condition, F.lit(False)) & ~F.coalesce(consequence, F.lit(False))), "implication", dataset)
+    return none_of(df.filter(not_implied(condition, consequence)), "implication", dataset)
 
 
 def equivalence(df: DataFrame, a: Column, b: Column, dataset: str) -> DataFrame:
     """Q12: rows where exactly one of the two holds."""
-    return none_of(df.filter(F.coalesce(a, F.lit(False)) != F.coalesce(b, F.lit(False))), "equivalence", dataset)
+    return none_of(df.filter(not_equivalent(a, b)), "equivalence", dataset)
 
 
 def derived(df: DataFrame, column: str, recomputed: Column, dataset: str) -> DataFrame:
     """Q13: rows whose column isn't what it derives from."""
-    return none_of(df.filter(~F.col(column).eqNullSafe(recomputed)), "derived", dataset)
+    return none_of(df.filter(not_derived(column, recomputed)), "derived", dataset)
 
 
 def cap(df: DataFrame, array: str, most: int, dataset: str) -> DataFrame:
     """Q14: rows whose array is longer than the cap."""
-    return none_of(df.filter(F.size(array) > most), "cap", dataset)
+    return none_of(df.filter(over_cap(array, most)), "cap", dataset)
 
 
 def pins(metrics: DataFrame, pinned: DataFrame) -> DataFrame:

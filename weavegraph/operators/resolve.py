@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weavegraph.functions.text import normalize_ref, strip_hash_suffix
+from weavegraph.sources.shared import stored
 
 
 def first_by_priority(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -50,12 +51,26 @@ def resolve_ladder(refs: DataFrame, steps: list[tuple[str, DataFrame, list[str]]
     return out.withColumn(status, case.otherwise(resolved)).drop(*found)
 
 
-def strict_lookup(refs: DataFrame, targets: DataFrame, on: list[str], target: str) -> DataFrame:
-    """Resolved only if exactly one target has the key; more are ambiguous, none is missing."""
-    one = targets.groupBy(*on).agg(F.min(target).alias(target), F.countDistinct(target).alias("homes"))
-    status = F.when(F.col("homes").isNull(), "missing").when(F.col("homes") > 1, "ambiguous").otherwise("resolved")
-    joined = refs.join(one, on, "left").withColumn("status", status)
-    return joined.withColumn(target, F.when(F.col("status") == "resolved", F.col(target))).drop("homes")
+def strict_lookup(refs: DataFrame, targets: DataFrame, on: list[str], target: str, cls: str | None = None, wanted: tuple[str, ...] | str = ()) -> DataFrame:
+    """Resolved only if exactly one target has the key; of several the only one of a wanted class, else they are
+    ambiguous; none is missing. wanted: the classes, or a column of refs that names one. Never a silent pick.
+
+    Targets are counted per key, and per key and class, so no reference meets several rows.
+    """
+    one = targets.groupBy(*on).agg(F.min(target).alias(target), F.countDistinct(target).alias("homes__"))
+    out = refs.join(one, on, "left")
+    by_class = F.lit(None).cast(dict(targets.dtypes)[target])
+    if cls is not None:
+        only = F.when(F.countDistinct(target) == 1, F.min(target))
+        if isinstance(wanted, str):
+            mine = targets.groupBy(*on, F.col(cls).alias("cls__")).agg(only.alias("mine__"))
+            out = out.withColumn("cls__", F.col(wanted)).join(mine, [*on, "cls__"], "left").drop("cls__")
+        else:
+            out = out.join(targets.filter(F.col(cls).isin(*wanted)).groupBy(*on).agg(only.alias("mine__")), on, "left")
+        by_class = F.when(F.col("homes__") > 1, F.col("mine__"))
+    status = F.when(F.col("homes__").isNull(), "missing").when(F.col("homes__") == 1, "resolved").when(by_class.isNotNull(), "resolved").otherwise("ambiguous")
+    picked = F.when(F.col("homes__") == 1, F.col(target)).otherwise(by_class)
+    return out.withColumn("status", status).withColumn(target, picked).drop("homes__", "mine__")
 
 
 def coalesce_lookups(refs: DataFrame, tables: list[tuple[str, DataFrame]], on: list[str], value: str) -> DataFrame:
@@ -74,6 +89,48 @@ def any_target_wins(candidates: DataFrame, keys: list[str], is_entity: str, is_s
     return first.withColumn("landing", F.when(F.col(is_entity), "entity").when(F.col(is_scene), "scene").otherwise("none"))
 
 
+def guid_bridge(refs: DataFrame, entries: DataFrame, containers: DataFrame, entities: DataFrame, scenes: DataFrame) -> DataFrame:
+    """All edges of each reference (refs, with a column guid): address, landing, bundle, path_id, kind, id.
+
+    entries: guid, address, bundle (may be null); containers: bundle, address, path_id; entities: bundle, path_id, kind, id;
+    scenes: bundle. At each address of a guid the containers of its own bundles count, or those of any bundle where these
+    have none. The first entity among them, by bundle and path_id, is an edge. The first scene is one only where neither
+    this address nor one before it, in order, had an entity. A reference without entries is a row with landing dangling,
+    and one whose addresses lead nowhere a row with landing none.
+
+    All of it is worked out once per guid, however many references share it.
+    """
+    entity, scene = F.struct("bundle", "path_id", "kind", "id"), F.struct("bundle", "path_id")
+    known = entities.groupBy("bundle", "path_id").agg(F.min(F.struct("kind", "id")).alias("e__")).select("bundle", "path_id", "e__.kind", "e__.id")
+    flagged = scenes.select("bundle").distinct().withColumn("scene__", F.lit(True))
+    # Of a bundle's containers of one address the first counts where the bundle is asked for; all do where none is.
+    placed = containers.select("bundle", "address", "path_id").distinct().join(known, ["bundle", "path_id"], "left").join(flagged, "bundle", "left")
+    firsts = lambda df, by: df.groupBy(*by).agg(F.min(F.when(F.col("id").isNotNull(), entity)).alias("entity"), F.min(F.when(F.col("scene__"), scene)).alias("scene"))
+    exact = placed.join(placed.groupBy("bundle", "address").agg(F.min("path_id").alias("path_id")), ["bundle", "address", "path_id"])
+    asked = entries.select("guid", "address", "bundle").distinct()
+    own = firsts(asked.filter("bundle is not null").join(exact, ["bundle", "address"]), ["guid", "address"]).withColumn("own__", F.lit(True))
+    any_ = firsts(placed, ["address"]).select("address", F.col("entity").alias("any_entity"), F.col("scene").alias("any_scene"))
+    at = asked.select("guid", "address").distinct().join(own, ["guid", "address"], "left").join(any_, "address", "left")
+    pick = lambda mine, other: F.when(F.col("own__"), F.col(mine)).otherwise(F.col(other)).alias(mine)
+    at = at.select("guid", "address", pick("entity", "any_entity"), pick("scene", "any_scene"))
+    upto = Window.partitionBy("guid").orderBy("address")  # up to this address
+    at = at.withColumn("had__", F.max(F.col("entity").isNotNull()).over(upto))
+    landing = F.when(F.col("entity").isNotNull(), "entity").when(~F.col("had__") & F.col("scene").isNotNull(), "scene")
+    edges = at.withColumn("landing", landing).filter("landing is not null")
+    edges = edges.select("guid", "address", "landing", F.coalesce("entity.bundle", "scene.bundle").alias("bundle"), F.when(F.col("landing") == "entity", F.col("entity.path_id")).otherwise(F.col("scene.path_id")).alias("path_id"), "entity.kind", "entity.id")
+    there = asked.select("guid").distinct().withColumn("there__", F.lit(True))
+    out = refs.join(there, "guid", "left").join(edges, "guid", "left")
+    return out.withColumn("landing", F.coalesce("landing", F.when(F.col("there__"), "none").otherwise("dangling"))).drop("there__")
+
+
+def bridge_report(edges: DataFrame, keys: list[str]) -> DataFrame:
+    """One row of counts over guid_bridge()'s rows; keys name a reference: refs, guids, refs with an address, with an
+    entity, dangling guids, scene edges."""
+    each = edges.groupBy("guid", *keys).agg(F.bool_or(F.col("landing") != "dangling").alias("placed"), F.bool_or(F.col("landing") == "entity").alias("hit"), F.count_if(F.col("landing") == "scene").alias("scenes"))
+    by = each.groupBy("guid").agg(F.count("*").alias("n"), F.count_if("placed").alias("placed"), F.count_if("hit").alias("hit"), F.sum("scenes").alias("scenes"))
+    return by.agg(F.sum("n").alias("refs"), F.count("*").alias("guids"), F.sum("placed").alias("resolved_to_address"), F.sum("hit").alias("resolved_to_entity"), F.count_if(F.col("placed") == 0).alias("dangling_guids"), F.sum("scenes").alias("scene_edges"))
+
+
 def widen_for_residue(refs: DataFrame, narrow: DataFrame, wide: DataFrame, on: list[str], group: str) -> DataFrame:
     """A second pass over a wide index, cut to the groups that still have misses after the narrow one.
 
@@ -135,12 +192,44 @@ def inherit_pool(pools: DataFrame, twins: DataFrame, key: str, name: str, twin:
     return theirs.join(own, [key, name], "left_anti")
 
 
-def in_bounds(points: DataFrame, bounds: DataFrame, on: list[str], axes: list[str]) -> DataFrame:
-    """Points within any box of their key: |p - c| <= extent on each axis. bounds has c_<axis> and e_<axis>. An
-    equi-join on the key with a range condition; points in several boxes stay one row."""
-    inside = reduce(lambda a, b: a & b, [F.abs(points[a] - bounds[f"c_{a}"]) <= bounds[f"e_{a}"] for a in axes])
-    same = reduce(lambda a, b: a & b, [points[k] == bounds[k] for k in on])
-    return points.join(bounds, same & inside, "left_semi")
+#: A box wider than the smallest cell doubled so often, or without finite ends, lies in one cell with everything of its key.
+GRID_LEVELS, EVERYWHERE = 40, -1
+
+
+def in_bounds(points: DataFrame, bounds: DataFrame, on: list[str], axes: list[str], first: str | None = None) -> DataFrame:
+    """Points within any box of their key: |p - c| <= extent on each axis. bounds has c_<axis> and e_<axis>; with
+    `first`, a column of bounds, the smallest of those of the boxes that a point is in comes with it. A point stays one row,
+    however many boxes it is in; equal points each count. Nulls are in no box.
+
+    A grid of several levels: cells are as wide as the median box, and twice as wide at each level up. A box lies at the
+    level whose cells it fits in, so in two cells an axis at most; a point looks its one cell up at every level in use. No
+    point meets boxes of its key that lie elsewhere.
+    """
+    c, e = {a: F.col(f"c_{a}").cast("double") for a in axes}, {a: F.col(f"e_{a}").cast("double") for a in axes}
+    usual = bounds.agg(*[F.percentile_approx(e[a], 0.5).alias(a) for a in axes]).first()  # one row
+    unit = {a: 2 * usual[a] if usual[a] and 0 < usual[a] < 1e300 else 1.0 for a in axes}
+    width = F.greatest(*[2 * e[a] / unit[a] for a in axes]) if len(axes) > 1 else 2 * e[axes[0]] / unit[axes[0]]
+    far = reduce(lambda x, y: x | y, [~(F.abs(c[a]) + e[a] < unit[a] * 2.0**50) for a in axes])
+    level = F.when(far | (width > 2.0**GRID_LEVELS), EVERYWHERE).otherwise(F.greatest(F.ceil(F.log2(F.greatest(width, F.lit(1e-9)))), F.lit(0))).cast("int")
+    whole = reduce(lambda x, y: x & y, [c[a].isNotNull() & (e[a] >= 0) for a in axes])
+
+    def cell(x: Column, a: str) -> Column:
+        """A coordinate's cell at the row's level; what lies beyond all boxes shares the last one."""
+        size = F.pow(F.lit(2.0), F.col("level__")) * unit[a]
+        return F.when(F.col("level__") == EVERYWHERE, 0).otherwise(F.floor(F.least(F.greatest(x / size, F.lit(-(2.0**52))), F.lit(2.0**52)))).cast("bigint")
+
+    boxes = bounds.select(*on, *[f"c_{a}" for a in axes], *[f"e_{a}" for a in axes], *([F.col(first).alias("first__")] if first else [])).filter(whole).withColumn("level__", level)
+    levels = [r[0] for r in boxes.select("level__").distinct().collect()]  # GRID_LEVELS + 2 at most
+    for a in axes:
+        boxes = boxes.withColumn(f"cell_{a}__", F.explode(F.sequence(cell(c[a] - e[a], a), cell(c[a] + e[a], a))))
+    mine = stored(points.withColumn("point__", F.monotonically_increasing_id()), "points")
+    spread = mine.select(*on, *axes, "point__").filter(reduce(lambda x, y: x & y, [F.col(a).isNotNull() for a in axes]))
+    spread = spread.withColumn("level__", F.explode(F.array(*map(F.lit, levels)) if levels else F.array().cast("array<int>")))
+    spread = spread.select("*", *[cell(F.col(a).cast("double"), a).alias(f"cell_{a}__") for a in axes])
+    inside = reduce(lambda x, y: x & y, [F.abs(F.col(a) - F.col(f"c_{a}")) <= F.col(f"e_{a}") for a in axes])
+    hits = spread.join(boxes, [*on, "level__", *[f"cell_{a}__" for a in axes]]).filter(inside)
+    hits = hits.groupBy("point__").agg(*([F.min("first__").alias(first)] if first else [F.lit(1).alias("one__")]))
+    return mine.join(hits, "point__").drop("point__", "one__")
 
 
 def demote_collisions(df: DataFrame, key: str, ordinal: str, path_id: str) -> DataFrame:
@@ -151,10 +240,23 @@ def demote_collisions(df: DataFrame, key: str, ordinal: str, path_id: str) -> Da
     return df.withColumn("unique_key", F.when(~several, F.col(key)).when(~again, by_ordinal).otherwise(F.concat(F.col(key), F.lit("@p"), F.col(path_id).cast("string"))))
 
 
-def assign_unique_name(df: DataFrame, stem: str, order: str) -> DataFrame:
-    """The first of a stem keeps it, later ones get _<order>."""
-    n = F.row_number().over(Window.partitionBy(stem).orderBy(order))
-    return df.withColumn("file_name", F.when(n == 1, F.col(stem)).otherwise(F.concat(F.col(stem), F.lit("_"), F.col(order).cast("string"))))
+def assign_unique_name(df: DataFrame, stem: str, order: str, priority: list[str] | None = None) -> DataFrame:
+    """file_name, of which no two rows have the same: the stem, else <stem>_<order>, else <stem>_<order>_2, _3 and so on,
+    the first that no row before it in the order of `priority` (by default stem and order) has. priority must tell rows apart.
+
+    All rows claim their next name at once, a name goes to the first of those that claim or hold it, and the others claim
+    again, until none is turned down: which gives what going through the rows one by one would. A null stem has no name.
+    """
+    by = priority or [stem, order]
+    tried = F.when(F.col("try__") == 0, F.col(stem).cast("string")).otherwise(F.concat(F.col(stem).cast("string"), F.lit("_"), F.col(order).cast("string"), F.when(F.col("try__") > 1, F.concat(F.lit("_"), F.col("try__").cast("string"))).otherwise("")))
+    t = stored(df.withColumn("row__", F.monotonically_increasing_id()).withColumn("try__", F.lit(0)), "names")
+    while True:
+        t = t.withColumn("file_name", tried)
+        holder = t.filter("file_name is not null").groupBy("file_name").agg(F.min(F.struct(*by, "row__")).alias("holder__"))
+        t = stored(t.join(holder, "file_name", "left").withColumn("lost__", F.coalesce(F.col("holder__.row__") != F.col("row__"), F.lit(False))).drop("holder__"), "names")
+        if t.filter("lost__").isEmpty():
+            return t.drop("row__", "try__", "lost__")
+        t = t.withColumn("try__", F.col("try__") + F.col("lost__").cast("int")).drop("lost__", "file_name")
 
 
 def modal_value(df: DataFrame, key: str, value: str) -> DataFrame:

@@ -69,6 +69,56 @@ def j4_guid_bridge(t: Tables) -> DataFrame:
     return R.any_target_wins(c, ["l_orderkey"], "e", "sc", [F.col("l_suppkey"), F.col("l_linenumber")]).select("l_orderkey", "l_suppkey", "landing")
 
 
+BRIDGE_SQL = """refs as (select o_orderkey, (o_custkey % 40)::varchar as guid from orders),
+entries as (select (p_partkey % 37)::varchar as guid, 'a' || p_size as address, case when p_partkey % 3 > 0 then 'b' || (p_partkey % 4) end as bundle from part),
+containers as (select 'b' || (s_suppkey % 5) as bundle, 'a' || (s_suppkey % 45) as address, s_suppkey as path_id from supplier),
+entities as (select bundle, path_id, 'part' as kind, path_id::varchar as id from containers where path_id % 3 = 0),
+placed as (select c.*, e.kind, e.id, c.bundle in ('b1', 'b4') as scene from containers c left join entities e using (bundle, path_id)),
+first as (select * from placed qualify row_number() over (partition by bundle, address order by path_id) = 1),
+asked as (select distinct guid, address, bundle from entries),
+own as (select a.guid, a.address, min({'b': f.bundle, 'p': f.path_id, 'k': f.kind, 'i': f.id}) filter (f.id is not null) as e, min({'b': f.bundle, 'p': f.path_id}) filter (f.scene) as s from asked a join first f using (bundle, address) group by 1, 2),
+every as (select address, min({'b': bundle, 'p': path_id, 'k': kind, 'i': id}) filter (id is not null) as e, min({'b': bundle, 'p': path_id}) filter (scene) as s from placed group by 1),
+here as (select g.guid, g.address, case when o.guid is not null then o.e else v.e end as e, case when o.guid is not null then o.s else v.s end as s from (select distinct guid, address from asked) g left join own o using (guid, address) left join every v on v.address = g.address),
+upto as (select *, bool_or(e is not null) over (partition by guid order by address) as had from here),
+edges as (select guid, address, case when e is not null then 'entity' else 'scene' end as landing, coalesce(e.b, s.b) as bundle, case when e is not null then e.p else s.p end as path_id, e.k as kind, e.i as id from upto where e is not null or (not had and s is not null)),
+bridged as (select r.o_orderkey, r.guid, e.address, coalesce(e.landing, case when a.guid is null then 'dangling' else 'none' end) as landing, e.bundle, e.path_id, e.kind, e.id from refs r left join edges e using (guid) left join (select distinct guid from asked) a on a.guid = r.guid)"""
+
+
+def bridge(t: Tables) -> DataFrame:
+    refs = t.orders.select("o_orderkey", (F.col("o_custkey") % 40).cast("string").alias("guid"))
+    p = F.col("p_partkey")
+    entries = t.part.select((p % 37).cast("string").alias("guid"), F.concat(F.lit("a"), F.col("p_size").cast("string")).alias("address"), F.when(p % 3 > 0, F.concat(F.lit("b"), (p % 4).cast("string"))).alias("bundle"))
+    s = F.col("s_suppkey")
+    containers = t.supplier.select(F.concat(F.lit("b"), (s % 5).cast("string")).alias("bundle"), F.concat(F.lit("a"), (s % 45).cast("string")).alias("address"), s.alias("path_id"))
+    entities = containers.filter("path_id % 3 = 0").select("bundle", "path_id", F.lit("part").alias("kind"), F.col("path_id").cast("string").alias("id"))
+    return R.guid_bridge(refs, entries, containers, entities, containers.select("bundle").filter("bundle in ('b1', 'b4')"))
+
+
+@plan(f"with {BRIDGE_SQL} select o_orderkey, address, landing, bundle, path_id, kind, id from bridged")
+def j4_bridge_edges(t: Tables) -> DataFrame:
+    return bridge(t).select("o_orderkey", "address", "landing", "bundle", "path_id", "kind", "id")
+
+
+@plan(
+    f"""with {BRIDGE_SQL}, r as (select guid, o_orderkey, bool_or(landing <> 'dangling') as placed, bool_or(landing = 'entity') as hit, count(*) filter (landing = 'scene') as scenes from bridged group by 1, 2)
+    select count(*) as refs, count(distinct guid) as guids, count(*) filter (placed) as resolved_to_address, count(*) filter (hit) as resolved_to_entity, count(distinct guid) filter (not placed) as dangling_guids, sum(scenes)::bigint as scene_edges from r"""
+)
+def j4_bridge_report(t: Tables) -> DataFrame:
+    return R.bridge_report(bridge(t), ["o_orderkey"])
+
+
+@plan(
+    """with n as (select p_brand, p_size, count(*) as n, min(p_partkey) as one, count(*) filter (p_type = first_type) as m, min(p_partkey) filter (p_type = first_type) as mine from part, (select min(p_type) as first_type from part) group by 1, 2)
+    select p.p_partkey, case when n is null then 'missing' when n = 1 or (n > 1 and m = 1) then 'resolved' else 'ambiguous' end as status, case when n = 1 then one when m = 1 then mine end as target_key from part p left join n on n.p_brand = p.p_brand and n.p_size = p.p_size + 1"""
+)
+def j3_by_class(t: Tables) -> DataFrame:
+    """References to the part of the same brand that is one larger; of several the only one of the first type."""
+    wanted = t.part.agg(F.min("p_type").alias("wanted"))
+    refs = t.part.select("p_partkey", "p_brand", (F.col("p_size") + 1).alias("p_size")).crossJoin(F.broadcast(wanted))
+    targets = t.part.select("p_brand", "p_size", F.col("p_partkey").alias("target_key"), "p_type")
+    return R.strict_lookup(refs, targets, ["p_brand", "p_size"], "target_key", "p_type", "wanted").select("p_partkey", "status", "target_key")
+
+
 @plan(
     """select l_returnflag, count(*) filter (l_linenumber <> 1 and p_partkey is not null) as hits, count(*) filter (l_linenumber <> 1 and p_partkey is null) as misses, count(*) filter (l_linenumber = 1) as zeros
     from lineitem left join part on p_partkey = l_partkey and p_size <= 25 group by 1"""
@@ -152,6 +202,20 @@ def j10_point_in_bounds(t: Tables) -> DataFrame:
     return R.in_bounds(t.customer, b, ["c_nationkey"], ["c_acctbal"]).select("c_custkey")
 
 
+BOUNDS_SQL = """p as (select vec_id, label % 2 as k, embedding[1]::double as x, embedding[2]::double as y, embedding[3]::double as z from embeddings),
+b as (select vec_id as b, k, x as cx, y as cy, z as cz, case when vec_id % 33 = 0 then 5.0 else 0.02 * (vec_id % 5) end as ex, 0.05 as ey, 0.05 * (vec_id % 3) as ez from p where vec_id % 3 = 0)"""
+
+
+@plan(f"with {BOUNDS_SQL} select p.vec_id, min(b.b) as first_bound from p join b on b.k = p.k and abs(p.x - b.cx) <= b.ex and abs(p.y - b.cy) <= b.ey and abs(p.z - b.cz) <= b.ez group by 1")
+def j10_first_bound(t: Tables) -> DataFrame:
+    """Points on three axes in boxes of sizes from none to very wide: each point's first box."""
+    at = lambda i: F.get("embedding", F.lit(i)).cast("double")
+    p = t.embeddings.select("vec_id", (F.col("label") % 2).alias("k"), at(0).alias("x"), at(1).alias("y"), at(2).alias("z"))
+    i = F.col("vec_id")
+    b = p.filter(i % 3 == 0).select(i.alias("first_bound"), "k", F.col("x").alias("c_x"), F.col("y").alias("c_y"), F.col("z").alias("c_z"), F.when(i % 33 == 0, 5.0).otherwise(0.02 * (i % 5)).alias("e_x"), F.lit(0.05).alias("e_y"), (0.05 * (i % 3)).alias("e_z"))
+    return R.in_bounds(p, b, ["k"], ["x", "y", "z"], "first_bound").select("vec_id", "first_bound")
+
+
 @plan(
     """select l_orderkey, l_linenumber, coalesce(a.v, b.v) as v, case when a.v is not null then 'small' when b.v is not null then 'large' else 'none' end as route from lineitem
     left join (select p_partkey, p_name as v from part where p_size < 10) a on a.p_partkey = l_partkey left join (select p_partkey, p_brand as v from part where p_size > 30) b on b.p_partkey = l_partkey"""
@@ -450,6 +514,21 @@ def w5_assign_unique_name(t: Tables) -> DataFrame:
     return R.assign_unique_name(t.part, "p_name", "p_partkey").select("p_partkey", "file_name")
 
 
+@plan(
+    """with x as (select p_partkey, p_brand, row_number() over (partition by p_brand order by p_partkey) as rn from part)
+    select 'plain' as rows, p_partkey, case when rn = 1 then p_brand else p_brand || '_' || p_partkey end as file_name from x union all
+    select 'planted', p_partkey, case when rn = 1 then p_brand || '_' || p_partkey else p_brand || '_' || p_partkey || '_' || (p_partkey + 1000000) end from x where p_partkey % 5 = 0 union all
+    select 'again', p_partkey, p_brand || '_' || p_partkey || '_' || (p_partkey + 1000000) || case when rn = 1 then '' else '_2' end from x where p_partkey % 5 = 0"""
+)
+def w5_names_that_clash_again(t: Tables) -> DataFrame:
+    """Stems that are names with a suffix already, twice over."""
+    plain = t.part.select(F.lit("plain").alias("rows"), "p_partkey", F.col("p_brand").alias("stem"), F.col("p_partkey").alias("order"))
+    named = F.concat("p_brand", F.lit("_"), F.col("p_partkey").cast("string"))
+    more = t.part.filter("p_partkey % 5 = 0").withColumn("rows", F.explode(F.array(F.lit("planted"), F.lit("again")))).select("rows", "p_partkey", named.alias("stem"), (F.col("p_partkey") + 1_000_000).alias("order"))
+    rows = plain.unionByName(more).withColumn("turn", F.when(F.col("rows") == "plain", 0).when(F.col("rows") == "planted", 1).otherwise(2))
+    return R.assign_unique_name(rows, "stem", "order", ["turn", "order"]).select("rows", "p_partkey", "file_name")
+
+
 @plan(
     """with c as (select o_custkey, o_orderpriority, count(*) as n, row_number() over (partition by o_custkey order by count(*) desc, o_orderpriority) as rn from orders group by 1, 2)
     select o.o_orderkey, c.o_orderpriority as mode, o.o_orderpriority <> c.o_orderpriority as deviates from orders o join c on c.o_custkey = o.o_custkey and rn = 1"""

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from weavegraph.operators import audit as A
 from weavegraph.operators import drift as D
 from weavegraph.operators import quality as Q
+from weavegraph.operators.order import numbered
 from weavegraph.operators.resolve import top_k
 from weavegraph.plans.registry import Plans, Tables
+from weavegraph.sources.shared import stored
 
 plan = Plans()
 
@@ -68,11 +71,12 @@ def q9_same_rows(t: Tables) -> DataFrame:
     return Q.same_rows(t.lineitem.filter("l_quantity > 48").select("l_orderkey"), t.lineitem.filter("l_tax > 0.07").select("l_orderkey"), "lineitem")
 
 
-@plan(_sql("replay", "orders", "select count(*) from (select 1 where false)"))
+@plan(_sql("replay", "orders", "select count(*) * 2 from (select o_custkey from orders group by 1) where o_custkey % 9 = 0"))
 def q10_replay(t: Tables) -> DataFrame:
-    once = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
-    again = t.orders.repartition(5).groupBy("o_custkey", "o_orderstatus").agg(F.count("*").alias("m")).groupBy("o_custkey").agg(F.sum("m").alias("n"))
-    return Q.same_rows(once, again, "orders", "replay")
+    """A written result against its computation from the table: a ninth of the rows was written wrong, and differs both ways."""
+    counts = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
+    written = stored(counts.withColumn("n", F.col("n") + (F.col("o_custkey") % 9 == 0).cast("int")), "replay")
+    return Q.same_rows(written, counts, "orders", "replay")
 
 
 @plan(_sql("implication", "lineitem", "select count(*) from lineitem where l_returnflag = 'R' and not l_quantity < 45"))
@@ -95,6 +99,43 @@ def q14_cap(t: Tables) -> DataFrame:
     return Q.cap(t.embeddings, "embedding", 32, "embeddings")
 
 
+SUITE = {
+    "key-set": "json_keys(props) is distinct from ['k']",
+    "key-superset": "coalesce(not list_contains(json_keys(props), 'k'), true)",
+    "key-set-by": "event_type <> 'click'",
+    "domain": "event_type not in ('click', 'view') and not starts_with(event_type, 'p')",
+    "grammar": "not regexp_matches(props, '^.\"k')",
+    "constant": "event_type is distinct from 'view'",
+    "implication": "event_type = 'click' and not user_id % 2 = 0",
+    "equivalence": "(event_type = 'view') <> (user_id % 3 = 0)",
+    "derived": "length(props) is distinct from 8",
+    "cap": "len(string_split(props, '1')) > 1",
+}
+
+
+@plan(
+    "select r.check_id, 'events' as dataset, case when r.n = 0 then 'PASS' else 'FAIL' end as status, 0::bigint as expected, r.n as measured from (select unnest(["
+    + ", ".join(f"{{'check_id': '{name}', 'n': count(*) filter ({bad})}}" for name, bad in SUITE.items())
+    + "]) as r from events)"
+)
+def q_contract_suite(t: Tables) -> DataFrame:
+    """Ten row-level contracts of events in one scan."""
+    e = F.col("event_type")
+    rules = [
+        ("key-set", Q.keys_differ("props", ["k"])),
+        ("key-superset", Q.keys_differ("props", ["k"], exact=False)),
+        ("key-set-by", Q.keys_differ_by("props", "event_type", {"click": ["k"]})),
+        ("domain", Q.outside("event_type", ["click", "view"], ("p",))),
+        ("grammar", Q.ungrammatical("props", '^."k')),
+        ("constant", Q.not_constant("event_type", "view")),
+        ("implication", Q.not_implied(e == "click", F.col("user_id") % 2 == 0)),
+        ("equivalence", Q.not_equivalent(e == "view", F.col("user_id") % 3 == 0)),
+        ("derived", Q.not_derived("chars", F.lit(8))),
+        ("cap", Q.over_cap("parts", 1)),
+    ]
+    return Q.contract_suite(t.events.withColumns({"chars": F.length("props"), "parts": F.split("props", "1")}), "events", rules)
+
+
 METRICS_SQL = "m as (select 'orders.' || o_orderstatus as metric, count(*)::double as value, 1::bigint as snapshot_id, 'rows' as unit from orders group by 1)"
 
 
@@ -140,6 +181,36 @@ def q19_citations(t: Tables) -> DataFrame:
     return Q.citations(values, sources).groupBy("audit").agg(F.count("*").alias("n"))
 
 
+AUDIT_SQL = """o as (select o_orderkey as k, o_custkey as c, o_totalprice as p from orders),
+v as (select 'o' || k as artifact, 'copied' as path, case when k % 11 = 0 then 'unreadable' when k % 5 = 0 then 'differs' else 'ok' end as verdict from o
+  union all select 'o' || k, 'sums[0]', case when k % 11 = 0 then 'unreadable' when k % 7 = 0 then 'differs' else 'recomputed' end from o
+  union all select 'o' || k, 'sums[1]', case when k % 11 = 0 or k % 13 = 0 then 'unreadable' else 'recomputed' end from o
+  union all select 'o' || k, 'code.depth.n', 'code' from o union all select 'o' || k, 'code.m', 'code' from o
+  union all select 'o' || k, 'free', 'uncited' from o where k % 3 = 0 union all select 'o' || k, 'none', 'null' from o)"""
+
+
+@plan(f"with {AUDIT_SQL} select path, verdict, count(*) as n, count(distinct artifact) as artifacts from v group by 1, 2")
+def q19_audit(t: Tables) -> DataFrame:
+    """Outputs whose numbers are copied, derived, coded, null, or from nowhere; some wrong, some whose source is gone."""
+    k, c, p = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
+    artifact, source = F.concat(F.lit("o"), k.cast("string")).alias("artifact"), F.concat(F.lit("s"), k.cast("string"))
+    body = F.struct(
+        (p + F.when(k % 5 == 0, 1).otherwise(0)).alias("copied"),
+        F.array((p * 2 - (c + 3) / 4.0) + F.when(k % 7 == 0, 1).otherwise(0), -p).alias("sums"),
+        F.struct(F.struct(c.alias("n")).alias("depth"), k.alias("m")).alias("code"),
+        F.when(k % 3 == 0, c).alias("free"),
+    )
+    outputs = t.orders.select(artifact, F.regexp_replace(F.to_json(body), r"\}$", ',"none":null,"flag":true,"name":"7"}').alias("payload"))
+    sources = t.orders.filter("o_orderkey % 11 <> 0").select(source.alias("source"), F.to_json(F.struct(F.struct(p.alias("price")).alias("in"), F.array(c, c).alias("keys"))).alias("payload"))
+    copies = t.orders.select(artifact, F.lit("copied").alias("path"), source.alias("source"), F.lit("in.price").alias("source_path"))
+    cited = lambda at: F.concat(F.lit("{"), source, F.lit(f"#{at}}}"))
+    first = F.concat(cited("in.price"), F.lit(" * 2 - ("), cited("keys[1]"), F.lit(" + 3) / 4"))
+    second = F.concat(F.lit("-"), cited("in.price"), F.when(k % 13 == 0, F.lit(" / (1 - 1)")).otherwise(F.lit("")))
+    formulas = t.orders.select(artifact, F.lit("sums[0]").alias("path"), first.alias("formula")).unionByName(t.orders.select(artifact, F.lit("sums[1]").alias("path"), second.alias("formula")))
+    labelled = t.orders.select(artifact, F.lit("code.").alias("prefix"))
+    return A.audit(outputs, sources, copies, formulas, labelled).groupBy("path", "verdict").agg(F.count("*").alias("n"), F.countDistinct("artifact").alias("artifacts"))
+
+
 @plan(_sql("id-space", "orders", "select count(*) from orders where o_custkey % 3 = 0 and o_orderkey % 2 = 0"))
 def q20_one_id_space(t: Tables) -> DataFrame:
     d = t.orders.select(F.when(F.col("o_custkey") % 3 == 0, F.col("o_custkey")).alias("a"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey")).alias("b"))
@@ -181,24 +252,44 @@ def d3_within_bounds(t: Tables) -> DataFrame:
 def d4_snapshot_diff(t: Tables) -> DataFrame:
     old = t.part.filter("p_size >= 3").select("p_partkey", "p_name", "p_retailprice")
     new = t.part.filter("p_size <= 45").select("p_partkey", "p_name", F.when(F.col("p_size") == 10, F.col("p_retailprice") + 1).otherwise(F.col("p_retailprice")).alias("p_retailprice"))
-    return D.snapshot_diff(old, new, ["p_partkey"])
+    return D.snapshot_diff(old, new, ["p_partkey"]).select("p_partkey", "change")
+
+
+DIFF_SQL = """w as (select p_partkey as k, case when p_size % 4 = 0 then p_brand end as a, case when p_size % 4 <> 0 then p_brand end as b, p_size as n from part where p_size >= 3),
+x as (select p_partkey as k, case when (p_size % 4 = 0) <> (p_size = 8) then p_brand end as a, case when (p_size % 4 <> 0) <> (p_size = 8) then p_brand end as b, case when p_size = 9 then null else p_size end as n from part where p_size <= 45),
+j as (select coalesce(w.k, x.k) as k, w.k is null as added, x.k is null as removed, w.a as wa, x.a as xa, w.b as wb, x.b as xb, w.n::varchar as wn, x.n::varchar as xn from w full join x on w.k = x.k),
+f as (select k, 'changed' as change, 'a' as field, wa as was, xa as now from j where not added and not removed and wa is distinct from xa union all select k, 'changed', 'b', wb, xb from j where not added and not removed and wb is distinct from xb union all
+  select k, 'changed', 'n', wn, xn from j where not added and not removed and wn is distinct from xn union all select k, case when added then 'added' else 'removed' end, null, null, null from j where added or removed)"""
+
+
+@plan(f"with {DIFF_SQL} select k as p_partkey, change, field, was, now from f")
+def d4_changed_fields(t: Tables) -> DataFrame:
+    """Values that move between columns beside nulls, a number that goes, and rows that come and go."""
+    size, four = F.col("p_size"), F.col("p_size") % 4 == 0
+    side = lambda df, first, n: df.select("p_partkey", F.when(first, F.col("p_brand")).alias("a"), F.when(~first, F.col("p_brand")).alias("b"), n.alias("n"))
+    old, new = side(t.part.filter("p_size >= 3"), four, size), side(t.part.filter("p_size <= 45"), four != (size == 8), F.when(size != 9, size))
+    return D.snapshot_diff(old, new, ["p_partkey"]).select("p_partkey", "change", F.explode_outer("fields").alias("f")).select("p_partkey", "change", "f.*")
 
 
 @plan("select o_orderkey, row_number() over (order by o_orderpriority, o_totalprice desc, o_orderkey) as place from orders")
 def o1_total_sort(t: Tables) -> DataFrame:
-    """The place of every row in a total order: places inside ranges of the first key, and the rows of the ranges before."""
-    inner = F.row_number().over(Window.partitionBy("o_orderpriority").orderBy(F.col("o_totalprice").desc(), "o_orderkey"))
-    sizes = t.orders.groupBy("o_orderpriority").agg(F.count("*").alias("n"))
-    before = sizes.select("o_orderpriority", F.coalesce(F.sum("n").over(Window.orderBy("o_orderpriority").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    return t.orders.withColumn("own", inner).join(before, "o_orderpriority").select("o_orderkey", (F.col("own") + F.col("before")).alias("place"))
+    """The place of every row in a total order, by ranges of the whole order."""
+    order = [F.col("o_orderpriority"), F.col("o_totalprice").desc(), F.col("o_orderkey")]
+    return numbered(t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice"), order).select("o_orderkey", "place")
+
+
+@plan("select o_custkey, place, o_orderstatus from (select *, row_number() over (order by o_orderstatus, o_custkey) as place from orders)")
+def o1_places_of_ties(t: Tables) -> DataFrame:
+    """A first key of three values, and rows that the order can't tell apart: they have places next to each other."""
+    return numbered(t.orders.select("o_orderstatus", "o_custkey"), [F.col("o_orderstatus"), F.col("o_custkey")])
 
 
 @plan("select p_partkey, row_number() over (partition by p_brand order by k, n nulls first, s nulls first, p_partkey) as place from (select *, case when p_size % 3 = 0 then 0 when p_size % 3 = 1 then 1 else 2 end as k, case when p_size % 3 = 1 then p_size end as n, case when p_size % 3 = 2 then p_name end as s from part)")
 def o2_nulls_first_mixed(t: Tables) -> DataFrame:
     d = t.part.withColumn("n", F.when(F.col("p_size") % 3 == 1, F.col("p_size"))).withColumn("s", F.when(F.col("p_size") % 3 == 2, F.col("p_name")))
     kind = F.when(F.col("n").isNotNull(), 1).when(F.col("s").isNotNull(), 2).otherwise(0)
-    w = Window.partitionBy("p_brand").orderBy(kind, F.col("n").asc_nulls_first(), F.col("s").asc_nulls_first(), "p_partkey")
-    return d.select("p_partkey", F.row_number().over(w).cast("bigint").alias("place"))
+    order = [kind, F.col("n").asc_nulls_first(), F.col("s").asc_nulls_first(), F.col("p_partkey")]
+    return numbered(d.select("p_partkey", "p_brand", "n", "s"), order, ["p_brand"]).select("p_partkey", "place")
 
 
 @plan("select o_custkey, count(*) filter (p > o_totalprice) as inversions from (select o_custkey, o_totalprice, lag(o_totalprice) over (partition by o_custkey order by o_orderkey) as p from orders) group by 1")

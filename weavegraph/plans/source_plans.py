@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weavegraph.plans.registry import Plans, Tables
 from weavegraph.sources import io
+from weavegraph.sources.json_elements import scan_json_elements
 from weavegraph.sources.shared import scratch
 
 plan = Plans()
@@ -49,6 +50,18 @@ def s4_scan_single_json(t: Tables) -> DataFrame:
     return io.scan_single_json(t.spark, path, "keys", "n_nationkey int, n_name string")
 
 
+@plan("""select s_suppkey, s_name || '"}],{[\\ "' as name from supplier""")
+def s4_scan_json_elements(t: Tables) -> DataFrame:
+    """One document read by ranges of a kilobyte and a half, with brackets and quotes inside its strings."""
+    path = scratch(t.spark, "s4")
+    row = F.to_json(F.struct("s_suppkey", F.concat("s_name", F.lit('"}],{[\\ "')).alias("name"), F.array(F.lit("]"), F.lit("keys")).alias("more")))
+    rows = t.supplier.select(F.lit(1).alias("part"), F.col("s_suppkey").alias("at"), F.concat(row, F.lit(",")).alias("value"))
+    ends = t.spark.createDataFrame([(0, 0, '{"other": {"keys": [1, 2]}, "keys" : ['), (2, 0, 'null], "last": [[3]]}')], "part int, at bigint, value string")
+    rows.unionByName(ends).coalesce(1).sortWithinPartitions("part", "at").select("value").write.text(path)
+    (file,) = t.spark.read.text(path).inputFiles()
+    return scan_json_elements(t.spark, file, "keys", 1536).select(F.from_json("value", "s_suppkey bigint, name string").alias("r")).select("r.*").filter("s_suppkey is not null")
+
+
 @plan("""select 'class=C' || (s_suppkey % 4) as class, count(*) as files, sum(strlen('{"s_suppkey":' || s_suppkey || ',"deep":{"s_name":"' || s_name || '"}}') + 1)::bigint as bytes from supplier group by 1""")
 def s5_scan_file_inventory(t: Tables) -> DataFrame:
     files = io.scan_file_inventory(t.spark, payload_tree(t)).filter(F.col("path").endswith(".txt"))

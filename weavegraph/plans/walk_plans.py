@@ -11,6 +11,11 @@ from weavegraph.plans.registry import Plans, Tables
 plan = Plans()
 
 
+def spread(t: Tables) -> DataFrame:
+    """Orders over all cores: a small file is one task otherwise, and a payload is much more work than a row."""
+    return t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus").repartition(t.spark.sparkContext.defaultParallelism)
+
+
 def payloads(t: Tables) -> DataFrame:
     """A nested payload per order: pointers, localised texts, asset references, typed blocks and lists."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
@@ -24,7 +29,7 @@ def payloads(t: Tables) -> DataFrame:
         F.array(F.struct((k % 20).alias("id")), F.struct((k % 20 + 1).alias("id"))).alias("blocks"),
         F.struct(F.struct(F.struct(F.lit("Block").alias("class")).alias("type"), F.struct(c.alias("n")).alias("data")).alias("a0"), F.lit(2).alias("version")).alias("references"),
     )
-    return t.orders.select("o_orderkey", "o_custkey", F.to_json(body).alias("payload"))
+    return spread(t).select("o_orderkey", "o_custkey", F.to_json(body).alias("payload"))
 
 
 @plan("select event_id, 'k' as path, json_extract_string(props, '$.k') as text from events where json_extract_string(props, '$.k') is not null")
@@ -122,7 +127,7 @@ def icon_payloads(t: Tables) -> DataFrame:
         F.array(F.struct(pointer(F.lit(2), c).alias("icon"))).alias("rows"),
         pointer(F.lit(0), c).alias("Target"),
     )
-    return t.orders.select("o_orderkey", F.to_json(body).alias("payload"))
+    return spread(t).select("o_orderkey", F.to_json(body).alias("payload"))
 
 
 RESIDUE_SQL = """s as (select o_orderkey, 'view.SmallIcon' as path, o_orderkey % 2 as f, o_custkey % 5 as p, o_orderkey % 3 = 0 as paired, true as mine from orders union all select o_orderkey, 'rows[0].icon', 2, o_custkey, false, true from orders union all select o_orderkey, 'Target', 0, o_custkey, false, false from orders)"""
@@ -159,10 +164,86 @@ def a36_typed_block_census(t: Tables) -> DataFrame:
     return b.groupBy("class").agg(F.count("*").alias("blocks"), F.countDistinct("o_orderkey").alias("carriers"), F.count_if(F.try_variant_get("data", "$.n", "bigint") % 2 == 0).alias("members"))
 
 
+def block_payloads(t: Tables) -> DataFrame:
+    """A payload per order with two typed blocks, one of which holds a pointer: to its own file, to files with a twin, to a builtin one, or to one that isn't known."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    pointer = F.struct((k % 5).cast("int").alias("m_FileID"), c.alias("m_PathID"))
+    unlock = F.struct(F.struct(F.lit("Unlock").alias("class")).alias("type"), F.struct(pointer.alias("_course"), c.alias("n")).alias("data"))
+    other = F.struct(F.struct(F.lit("Other").alias("class")).alias("type"), F.struct(F.array(pointer).alias("list")).alias("data"))
+    body = F.struct(F.struct(unlock.alias("1f"), other.alias("20"), F.lit(2).alias("version")).alias("references"))
+    return spread(t).select("o_orderkey", (k % 2).cast("string").alias("file"), F.to_json(body).alias("payload"))
+
+
 @plan(
-    """select o_orderkey, case when c_custkey is null then 'dangling' else 'edge' end as outcome, c_custkey as target from orders left join customer on c_custkey = o_custkey and c_custkey % 4 > 0"""
+    """select o_orderkey, x.block, x.class, x.path, (o_orderkey % 5)::int as file_id, o_custkey as path_id from orders, (values ('1f', 'Unlock', '_course'), ('20', 'Other', 'list[0]')) x(block, class, path) where o_orderkey % 5 <> 0 or o_custkey <> 0"""
 )
+def n7_block_pointers(t: Tables) -> DataFrame:
+    return K.block_pointers(block_payloads(t), "payload", ["o_orderkey"]).select("o_orderkey", "block", "class", "path", "file_id", "path_id")
+
+
+UNLOCK_SQL = """with b as (select o_orderkey, (o_orderkey % 2)::varchar as file, (o_orderkey % 5)::int as f, o_custkey as p from orders where o_orderkey % 5 <> 0 or o_custkey <> 0),
+homes as (select unnest(['0', '1']) as file, 1 as f, 'own' as home union all select unnest(['0', '1']), 2, 'twin' union all select unnest(['0', '1']), 2, 'own' union all select unnest(['0', '1']), 3, null),
+objects as (select unnest(['own', 'twin']) as home, c_custkey as p, 'course' as kind, c_custkey::varchar as id, c_nationkey % 3 as n, c_acctbal > 0 as keep from customer),
+o as (select home, p, kind, id || '@' || home as id, case when n = 0 then 'Course' when n = 1 and home = 'own' then 'Course' else 'Thing' end as class from objects where home = 'own' or keep union all
+  select (c_custkey % 2)::varchar, c_custkey, 'room', c_custkey::varchar, 'Thing' from customer where c_custkey % 3 = 0),
+hit as (select b.*, o.kind, o.id, o.class from b join homes using (file, f) join o on o.home = homes.home and o.p = b.p union all select b.*, o.kind, o.id, o.class from b join o on b.f = 0 and o.home = b.file and o.p = b.p),
+n as (select o_orderkey, count(distinct id) as n, min((kind, id)) as one, count(distinct id) filter (class = 'Course') as m, min((kind, id)) filter (class = 'Course') as two from hit group by 1)
+select o_orderkey, case when n is null and f = 3 then 'builtin' when n is null then 'missing' when n = 1 or m = 1 then 'resolved' else 'ambiguous' end as status, case when n = 1 then one[1] when m = 1 then two[1] end as kind, case when n = 1 then one[2] when m = 1 then two[2] end as id
+from b left join n using (o_orderkey)"""
+
+
+@plan(UNLOCK_SQL)
 def a41_unlock_edges(t: Tables) -> DataFrame:
-    b = K.typed_blocks(payloads(t), "payload", ["o_orderkey"]).select("o_orderkey", F.try_variant_get("data", "$.n", "bigint").alias("n"))
-    c = t.customer.filter("c_custkey % 4 > 0").select(F.col("c_custkey").alias("target"))
-    return b.join(c, F.col("n") == F.col("target"), "left").select("o_orderkey", F.when(F.col("target").isNull(), "dangling").otherwise("edge").alias("outcome"), "target")
+    blocks = K.block_pointers(block_payloads(t), "payload", ["o_orderkey", "file"])
+    homes = t.spark.createDataFrame([(f, n, h) for f in "01" for n, h in ((1, "own"), (2, "twin"), (2, "own"), (3, None))], "file string, file_id int, home string")
+    c = t.customer.withColumn("home", F.explode(F.array(F.lit("own"), F.lit("twin")))).filter("home = 'own' or c_acctbal > 0")
+    course = (F.col("c_nationkey") % 3 == 0) | ((F.col("c_nationkey") % 3 == 1) & (F.col("home") == "own"))
+    objects = c.select("home", F.col("c_custkey").alias("path_id"), F.lit("course").alias("kind"), F.concat(F.col("c_custkey").cast("string"), F.lit("@"), "home").alias("id"), F.when(course, "Course").otherwise("Thing").alias("class"))
+    rooms = t.customer.filter("c_custkey % 3 = 0").select((F.col("c_custkey") % 2).cast("string").alias("home"), F.col("c_custkey").alias("path_id"), F.lit("room").alias("kind"), F.col("c_custkey").cast("string").alias("id"), F.lit("Thing").alias("class"))
+    return K.unlock_edges(blocks, ["o_orderkey"], homes, objects.unionByName(rooms), "Unlock", "_course", ("Course",)).select("o_orderkey", "status", "kind", "id")
+
+
+def scenario_payloads(t: Tables) -> DataFrame:
+    """A scenario per customer: plots with layers and activation items, rooms with items, arrivals; some members absent."""
+    k = F.col("c_custkey").cast("int")
+    upto = lambda n, make: F.when(n > 0, F.transform(F.sequence(F.lit(1), n), make))
+    item = lambda base: lambda i: F.struct((base + i).alias("id"))
+    plot = lambda p: F.struct((k + p).alias("uid"), upto(k % 3, item(p * 10)).alias("Layers"), upto((k + p) % 2, item(p * 100)).alias("Activation"))
+    room = lambda r: F.struct(r.alias("uid"), upto((k + r) % 4, lambda i: F.struct((r * 10 + i).alias("id"), upto(i % 2, item(r * 1000)).alias("Parts"))).alias("Items"))
+    body = F.struct(F.col("c_name").alias("Name"), F.struct(upto(k % 3 + 1, plot).alias("Plots"), upto(k % 4, room).alias("Rooms"), upto(k % 2, item(k)).alias("Arrivals")).alias("Level"))
+    return t.customer.select("c_custkey", F.to_json(body).alias("payload"))
+
+
+SCENARIO = {
+    "plot": (None, "$.Level.Plots"),
+    "layer": ("plot", "$.Layers"),
+    "plot-activation": ("plot", "$.Activation"),
+    "room": (None, "$.Level.Rooms"),
+    "item": ("room", "$.Items"),
+    "part": ("item", "$.Parts"),
+    "arrival": (None, "$.Level.Arrivals"),
+}
+SCENARIO_SQL = """p as (select c_custkey as c, unnest(range(1, c_custkey % 3 + 2)) as p from customer), r as (select c_custkey as c, unnest(range(1, c_custkey % 4 + 1)) as r from customer),
+i as (select *, unnest(range(1, (c + r) % 4 + 1)) as i from r), y as (select *, unnest(range(1, c % 3 + 1)) as y from p), v as (select *, unnest(range(1, (c + p) % 2 + 1)) as v from p), q as (select *, unnest(range(1, i % 2 + 1)) as q from i),
+e as (select c, 'plot' as record_family, (p - 1)::varchar as ordinals, c + p as id from p union all select c, 'layer', (p - 1) || '.' || (y - 1), p * 10 + y from y union all select c, 'plot-activation', (p - 1) || '.' || (v - 1), p * 100 + v from v
+union all select c, 'room', (r - 1)::varchar, r from r union all select c, 'item', (r - 1) || '.' || (i - 1), r * 10 + i from i union all select c, 'part', (r - 1) || '.' || (i - 1) || '.' || (q - 1), r * 1000 + q from q union all select c_custkey, 'arrival', '0', c_custkey + 1 from customer where c_custkey % 2 = 1)"""
+
+
+@plan(f"with {SCENARIO_SQL} select c as c_custkey, record_family, ordinals, id from e")
+def n14_nested_records(t: Tables) -> DataFrame:
+    r = K.explode_records(scenario_payloads(t), "payload", ["c_custkey"], SCENARIO)
+    return r.select("c_custkey", "record_family", F.array_join(F.col("ordinals").cast("array<string>"), ".").alias("ordinals"), F.coalesce(F.try_variant_get("record", "$.uid", "bigint"), F.try_variant_get("record", "$.id", "bigint")).alias("id"))
+
+
+@plan(f"with {SCENARIO_SQL} select c_custkey, c_name as name, f.record_family, (select count(*) from e where e.c = c_custkey and e.record_family = f.record_family) as n from customer, (values ('plot'), ('layer'), ('plot-activation'), ('room'), ('item'), ('part'), ('arrival')) f(record_family)")
+def n14_level_headers(t: Tables) -> DataFrame:
+    h = K.level_headers(scenario_payloads(t), "payload", ["c_custkey"], SCENARIO, {"name": "$.Name"})
+    return h.select("c_custkey", "name", F.explode("counts").alias("record_family", "n")).select("c_custkey", "name", "record_family", F.col("n").cast("bigint").alias("n"))
+
+
+@plan("select count(*) as payloads, count(*) filter (c_custkey % 7 = 0) as nulls, count(*) filter (c_custkey % 7 > 0 and (c_custkey % 5 = 0 or c_custkey % 11 = 0)) as broken from customer")
+def n1_broken_payloads(t: Tables) -> DataFrame:
+    k = F.col("c_custkey")
+    deep = F.concat(F.repeat(F.lit('{"a":'), F.lit(3000)), F.lit("1"), F.repeat(F.lit("}"), F.lit(3000)))
+    text = F.when(k % 7 == 0, F.lit(None)).when(k % 5 == 0, F.lit('{"a":')).when(k % 11 == 0, deep).otherwise(F.lit('{"a": [1]}'))
+    return K.broken_payloads(t.customer.select(text.alias("payload")), "payload")

@@ -24,11 +24,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage in a way that outlives lost executors."""
+def stored(df: DataFrame, name: str, *partition_by: str, **options: str) -> DataFrame:
+    """Write df to the shared folder, with Parquet's options, and read it back: cuts lineage in a way that outlives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer = df.write.options(**options)
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
