@@ -73,10 +73,21 @@ def test_against_sql(spark, sf_dir):
     con.sql(f"create view documents as select * from read_parquet('{sf_dir}/documents.parquet')")
     want = con.sql(mixing.MIX_SQL).fetchall()
     got = mixing.mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()
-    assert sorted((r.doc_id, r.taken) for r in got) == sorted((r[0], r[4]) for r in want)
+    key = lambda x: tuple(-1 if v is None else v for v in x)
+    assert sorted(((r.doc_id, r.taken, r.first_slot) for r in got), key=key) == sorted(((r[0], r[4], r[5]) for r in want), key=key)
+    assert all((r.first_slot is None) == (r.taken == 0) for r in got if r.taken == 0 or r.taken >= r.size)
     check(got, 0.03)
 
 
+def test_the_schedule_decides(spark, sf_dir, monkeypatch):
+    """With other points the slots differ, so the result shows the schedule."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    slots = lambda: {(r.doc_id, r.first_slot) for r in mixing.mix_sources(docs).collect()}
+    golden = slots()
+    monkeypatch.setattr(mixing, "GOLDEN", 1)
+    assert len(golden & slots()) < len(golden) / 2
+
+
 def test_tiny_sources_beside_a_huge_one(spark):
     """No source misses its target, wherever it stands on the cumulative line."""
     rows = [(i, "w " * 997, "big") for i in range(900)]

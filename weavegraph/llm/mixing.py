@@ -145,7 +145,8 @@ def _taken(sources: DataFrame, schedule: DataFrame, streams: DataFrame) -> DataF
 def mix_sources(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", slots: int = 1 << 16, most_slot: int = 4096, most_repeats: int = 3, least_blocks: int = 64, seed: str = "mix-"
 ) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target (its source's), taken (words the mix takes, repeats counted).
+    """One row per document: doc_id, size, source_size, target (its source's), taken (words the mix takes, repeats counted),
+    and first_slot, the slot of the schedule that takes its first word first (null: none does).
 
     Null or empty texts have size 0 and nothing is taken of them; very long ones go over many blocks; a null source is a
     source of its own, the last; repeated rows each count, and ties in the shuffle go by doc_id and size; other columns
@@ -153,8 +154,11 @@ def mix_sources(
     """
     sized = _sized(docs, doc_id, text, source)
     sources, schedule, streams = _plan(sized, slots, most_slot, most_repeats, least_blocks, seed)
-    taken = _taken(sources, schedule, streams).select("doc_id", "size", "source_size", "target", "taken")
-    none = sized.filter("size = 0").join(sources, sized["source"].eqNullSafe(sources["source"])).select("doc_id", "size", "source_size", "target", F.lit(0).cast("bigint").alias("taken"))
+    taken = _taken(sources, schedule, streams).join(sources.select("sid", "block", "per_slot", "takes"), "sid")
+    take = F.call_function("div", F.col("start"), F.col("block"))
+    taken = taken.withColumn("rank", F.when(take < F.col("takes"), F.call_function("div", take, F.col("per_slot")))).join(schedule.withColumnRenamed("slot", "first_slot"), ["sid", "rank"], "left")
+    taken = taken.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
+    none = sized.filter("size = 0").join(sources, sized["source"].eqNullSafe(sources["source"])).select("doc_id", "size", "source_size", "target", F.lit(0).cast("bigint").alias("taken"), F.lit(None).cast("bigint").alias("first_slot"))
     return taken.unionByName(none)
 
 
@@ -200,17 +204,27 @@ s7 as (select s6.*, words, least(words, greatest(1, (64 * words + one - 1) // on
 s8 as (select *, words // per_slot as block from s7),
 s9 as (select *, (source_size + block - 1) // block as n_blocks, floor(target / one) as passes from s8),
 sources as (select *, (passes * n_blocks + floor((target - passes * source_size) / block + 0.5))::bigint as takes from s9),
--- Whatever the order of the slots, those of a source run from 0 to the last that its target needs.
-ranks as (select sid, per_slot, n_blocks, takes, unnest(range(0, (takes + per_slot - 1) // per_slot)) as rank from sources),
+-- The schedule: points of the golden ratio through the cumulative targets, and the slots that make up for what they lack.
+need as (select sid, (takes + per_slot - 1) // per_slot as needed from sources),
+spans as (select sid, lag(upto, 1, 0) over (order by sid) as since, upto from (select sid, floor(4294967296.0::double * sum(target) over (order by sid rows between unbounded preceding and current row) / sum(target) over ())::bigint as upto from sources where target > 0)),
+last as (select case when total > 0 then (total + words - 1) // words else 0 end as n from k),
+points as (select i as slot, (i % 2147483648) * 2654435769 % 4294967296 as point from (select unnest(range(0, n)) as i from last)),
+drawn as (select slot, sid, row_number() over (partition by sid order by slot) - 1 as rank from points join spans on point >= since and point < upto),
+held as (select need.sid, needed, count(drawn.sid) as held from need left join drawn using (sid) group by 1, 2),
+lacking as (select *, coalesce(sum(needed - held) over (order by sid rows between unbounded preceding and 1 preceding), 0)::bigint as before from held where needed > held),
+slots as (select slot, sid, rank from drawn join need using (sid) where rank < needed
+  union all select n + before + rank - held, sid, rank from (select *, unnest(range(held, needed)) as rank from lacking), last),
+ranks as (select sid, per_slot, n_blocks, takes, rank from sources join slots using (sid)),
 blocks as (select sid, n_blocks, unnest(range(rank * per_slot, least(rank * per_slot + per_slot, takes))) as take from ranks),
 times as (select sid, take % n_blocks as number, count(*) as times from blocks group by all),
 streams as (select doc_id, size, source_size, target, sid, block,
   (sum(size) over (partition by sid order by md5('mix-' || coalesce(doc_id::varchar, 'null')), doc_id, size rows between unbounded preceding and current row))::bigint - size as start
   from sized join sources on sized.source is not distinct from sources.source where size > 0),
 parts as (select *, unnest(range(start // block, (start + size - 1) // block + 1)) as number from streams),
-taken as (select doc_id, size, source_size, target, sum((least(start + size, (number + 1) * block) - greatest(start, number * block)) * coalesce(times, 0))::bigint as taken
-  from parts left join times using (sid, number) group by doc_id, size, source_size, target, sid, start)
-select doc_id, size::bigint as size, source_size, target, taken from taken
+taken as (select doc_id, size, source_size, target, sid, start, block, sum((least(start + size, (number + 1) * block) - greatest(start, number * block)) * coalesce(times, 0))::bigint as taken
+  from parts left join times using (sid, number) group by doc_id, size, source_size, target, sid, start, block)
+select doc_id, size::bigint as size, taken.source_size, taken.target, taken, slot as first_slot
+from taken join sources using (sid) left join slots on slots.sid = taken.sid and slots.rank = start // taken.block // per_slot and start // taken.block < takes
 union all
-select doc_id, size::bigint, source_size, target, 0::bigint from sized join sources on sized.source is not distinct from sources.source where size = 0
+select doc_id, size::bigint, source_size, target, 0::bigint, null from sized join sources on sized.source is not distinct from sources.source where size = 0
 """
