@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from weavegraph.llm.common import slices, stored
+from weavegraph.llm.common import forget, slices, stored
 from weavegraph.llm.shingles import mix
 from weavegraph.llm.token_files import encoder, ended
 
@@ -64,15 +64,15 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
 
 @functools.lru_cache(maxsize=2)
 def directions(vocabulary: int, seed: int = 13) -> np.ndarray:
-    """DIMS rows: each token's share in each direction, by the bucket that its id is hashed to."""
+    """A row per token: its share in each direction, by the bucket that its id is hashed to."""
     buckets = np.random.default_rng(seed).standard_normal((BUCKETS, DIMS)).astype(np.float32)
-    return np.ascontiguousarray(buckets[mix(np.arange(1, vocabulary + 1, dtype=np.uint64)) & np.uint64(BUCKETS - 1)].T)
+    return buckets[mix(np.arange(1, vocabulary + 1, dtype=np.uint64)) & np.uint64(BUCKETS - 1)]
 
 
 def places(ids: np.ndarray, lengths: np.ndarray, vocabulary: int) -> np.ndarray:
     """The place on the curve of each document; ids hold one after the other, none empty."""
     first = np.cumsum(lengths) - lengths
-    projected = np.stack([np.add.reduceat(axis[ids], first) for axis in directions(vocabulary)], axis=1).astype(np.float64)
+    projected = np.add.reduceat(np.take(directions(vocabulary), ids, axis=0), first, axis=0).astype(np.float64)
     projected /= np.maximum(np.sqrt((projected**2).sum(axis=1, keepdims=True)), 1e-30)
     cells = np.clip(((projected + 1) * (1 << AXIS_BITS - 1)).astype(np.int64), 0, (1 << AXIS_BITS) - 1)
     return hilbert(cells, AXIS_BITS)
@@ -140,7 +140,7 @@ def pack_documents(docs: DataFrame, *, tokenizer: str, end_id: int = 1, size: in
     dealt to several parts; other columns play no part; no documents, no sequences.
     """
     spark = docs.sparkSession
-    tokens = stored(_tokenized(docs, tokenizer, end_id, doc_id, text), "tokens")
+    tokens = stored(_tokenized(docs, tokenizer, end_id, doc_id, text), "tokens", compression="zstd")
     total = tokens.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
     parts = int(max(1, min(most_parts, -(-total // part_tokens))))
     marks = tokens.agg(F.percentile_approx("place", [i / parts for i in range(1, parts)], 20 * parts)).first()[0] if parts > 1 else None
@@ -175,7 +175,8 @@ def pack_documents(docs: DataFrame, *, tokenizer: str, end_id: int = 1, size: in
 
     order = ["part", "place", "doc_id", "tie"]
     dealt = tokens.withColumn("part", part_of("place", "tie")).repartitionById(parts, F.col("part")).sortWithinPartitions(*order)
-    fragments = stored(dealt.select("part", "doc_id", "n_tokens", "ids").mapInArrow(run, FRAGMENT), "fragments")
+    fragments = stored(dealt.select("part", "doc_id", "n_tokens", "ids").mapInArrow(run, FRAGMENT), "fragments", compression="zstd")
+    forget(tokens)
     whole = total - total % size
     full = F.when(F.col("sequence_id") < whole // size, size)
     for i, n in enumerate(np.diff(tail_bounds(total, size)).tolist()):
