@@ -31,6 +31,58 @@ def test_recall_on_driver_table(spark):
     assert all(abs(scores[q, i] - s) < 1e-12 for q in got for _, i, s in got[q] if (q, i) in scores)
 
 
+def clustered(n, seed=0):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((n // 50 + 1, 64))
+    x = centres[rng.integers(0, len(centres), n)] + 0.5 * rng.standard_normal((n, 64))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def reach(x, queries=60, k=20, sample=8192):
+    """With production settings: recall of the queries' ranges, and the share of all rows that lies in them."""
+    n, rng = len(x), np.random.default_rng(5)
+    hasher = forest.Hasher(x.shape[1], 64, float((x**2).sum(axis=1).max()))
+    its = forest.Sample(x[rng.random(n) < sample / n], hasher, n, k, 1.0, 4096)
+    strings, q = hasher(x), rng.choice(n, queries, replace=False)
+    order, asked = np.argsort(strings, axis=1), hasher(x[q], queries=True)
+    depth, scores = its.depth(asked, x[q]), x[q] @ x.T
+    scores[np.arange(queries), q] = -np.inf
+    recall, share = [], []
+    for i in range(queries):
+        met = np.zeros(n, dtype=bool)
+        for t in range(64):
+            low, high = forest.span(strings[t][order[t]], asked[t, i : i + 1], depth[i : i + 1])
+            met[order[t, low[0] : high[0]]] = True
+        assert met.sum() > k
+        recall.append(met[np.argsort(-scores[i])[:k]].mean())
+        share.append(met.mean())
+    return np.mean(recall), np.mean(share)
+
+
+@pytest.mark.parametrize("n, most", [(500, 0.3), (2000, 0.2), (10_000, 0.15), (30_000, 0.3)])
+def test_ranges_of_clustered_vectors_are_small(n, most):
+    recall, share = reach(clustered(n))
+    assert recall >= 0.98 and share <= most
+
+
+@pytest.mark.parametrize("name, most", [("sf0.01", 0.75), ("sf0.1", 0.75)])
+def test_ranges_dont_hold_the_whole_table(spark, name, most):
+    """Random directions, the hardest case: half of the rows and more are met, as recall asks for, but not all."""
+    x = np.array([r.embedding for r in spark.read.parquet(f"/root/testdata/{name}/embeddings.parquet").select("embedding").collect()], dtype=float)
+    recall, share = reach(x)
+    assert recall >= 0.9 and share <= most
+
+
+def test_recall_on_clusters(spark):
+    rows = [(i, v.tolist()) for i, v in enumerate(clustered(3000, 3))]
+    got = {}
+    for r in forest.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), is_query=F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute(rows)
+    assert got.keys() == want.keys() and all(len(v) == 20 for v in got.values())
+    assert sum(len(got[q] & {i for i, _ in want[q]}) for q in want) >= 0.98 * 20 * len(want)
+
+
 @pytest.mark.parametrize("size", [7, 300, 1500])
 def test_small_odd_tables(spark, size):
     rng = np.random.default_rng(size)
@@ -49,15 +101,20 @@ def test_small_odd_tables(spark, size):
 
 
 def test_descent_and_ascent_by_brute_force():
-    """The depth of a query is the longest prefix at which the trees' ranges hold enough together."""
+    """The depth of a query is the longest prefix at which the trees' ranges hold enough together, or what its neighbourhood needs."""
     rng = np.random.default_rng(4)
     vectors, queries = rng.standard_normal((3000, 8)), rng.standard_normal((20, 8))
     hasher = forest.Hasher(8, 4, float((vectors**2).sum(axis=1).max()))
     s = forest.Sample(vectors, hasher, 3000, 20, 1.0, 100)
     codes, asked = hasher(vectors), hasher(queries, queries=True)
     shared = lambda q, n: sum(((codes[t] >> np.uint32(32 - n)) == (asked[t, q] >> np.uint32(32 - n))).sum() if n else 3000 for t in range(4))
-    depth = s.depth(asked)
-    assert all(shared(q, d) >= s.least > shared(q, d + 1) or d == 0 for q, d in enumerate(depth.tolist()))
+    depth, near = s.depth(asked, queries), s.near_enough(queries)
+    assert all(s.least > shared(q, d + 1) and (shared(q, d) >= s.least or d in (0, near[q])) and d >= near[q] for q, d in enumerate(depth.tolist()))
+    for q, d in enumerate(near.tolist()):
+        score = np.sort(vectors @ queries[q])[-41]
+        same = 1 - np.arccos(score / np.sqrt((queries[q] ** 2).sum() * hasher.most)) / np.pi
+        missed = lambda length: (1 - same**length) ** 4
+        assert missed(d) <= 1 - forest.SURE + 1e-9 < missed(d + 1) + 2e-9 or d == 0
     for t in range(4):
         low, high = forest.span(s.strings[t], asked[t], depth)
         want = [((codes[t].astype(np.uint64) >> np.uint64(32 - d)) == (np.uint64(asked[t, q]) >> np.uint64(32 - d))).sum() for q, d in enumerate(depth.tolist())]
@@ -81,7 +138,7 @@ def test_many_equal_and_clustered_vectors(spark):
 def test_long_vectors(spark):
     rng = np.random.default_rng(9)
     rows = [(i, rng.standard_normal(4000).tolist()) for i in range(60)]
-    got = forest.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), is_query=F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
+    got = forest.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), is_query=F.col("vec_id") % 20 == 0, effort=64.0).orderBy("query_id", "rank").collect()
     want = brute(rows)
     assert [(r.query_id, r.vec_id) for r in got] == [(q, i) for q in sorted(want) for i, _ in want[q]]
 

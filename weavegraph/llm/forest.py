@@ -14,8 +14,10 @@ still be among its best: it leaves out what is below a score that some 6k of all
 for its own best two. The best of these meet the original vectors for
 their exact scores. Equal vectors are one class, of which the smallest ids are enough, so copies crowd no cell.
 
-The number of rows that the ascent asks for grows as the number of all rows to the power GROWTH, which random directions
-need for an even recall; vectors with clusters need less.
+How far the ascent goes is told by the query's neighbourhood, as the sample has it: two vectors at an angle share a string's
+first bits with a known probability, so there is a depth at which a row as near as the 2k-th is met in some tree with
+probability SURE. Where neighbours are near, that is deep, and ranges are small. It never goes on beyond RATE times the
+number of all rows to the power GROWTH, counted over all trees, which random directions need for an even recall.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 from weavegraph.llm.common import stored
 
 BITS = 32
-GROWTH = 0.8
+RATE, GROWTH = 4, 0.8
+SURE = 0.97
 
 
 class Hasher:
@@ -64,13 +67,22 @@ class Sample:
         self.vectors, self.hasher, self.share = vectors, hasher, max(1, n) / max(1, len(vectors))
         self.strings = np.sort(hasher(vectors), axis=1)
         trees = hasher.trees
-        self.least = effort * max(4 * n**GROWTH, trees * min(n, 8 * k))
+        self.least, self.k, self.effort = effort * RATE * n**GROWTH, k, effort
         # A cell should hold what a query asks of a tree, some times over.
         self.bits = int(max(0, min(20, np.floor(np.log2(max(1, n) / max(cell_rows, 4 * self.least / trees))))))
         self.cell_rows = cell_rows
 
-    def depth(self, asked: np.ndarray) -> np.ndarray:
-        """The longest prefix length at which all trees' ranges together hold `least` rows. asked: trees by queries."""
+    def near_enough(self, queries: np.ndarray) -> np.ndarray:
+        """The longest prefix that some tree shares, with probability SURE, between a query and a row as near as its 2k-th; more
+        effort counts as so many forests at once, of which each may miss it."""
+        sizes = np.maximum(np.sqrt((queries**2).sum(axis=1) * self.hasher.most), 1e-300)
+        cosine = np.clip(np.nan_to_num(self.reached_by(queries, 2 * self.k) / sizes, neginf=-1.0), -1.0, 1.0)
+        same = np.clip(1 - np.arccos(cosine) / np.pi, 1e-9, 1 - 1e-9)  # that one bit agrees
+        return np.clip(np.floor(np.log1p(-((1 - SURE) ** (self.effort / self.hasher.trees))) / np.log(same)), 0, BITS).astype(np.int64)
+
+    def depth(self, asked: np.ndarray, queries: np.ndarray) -> np.ndarray:
+        """How long a prefix each query's ranges share: as its neighbourhood needs, or, if that is longer, the longest at which
+        all trees' ranges together hold `least` rows. asked: trees by queries."""
         out, left = np.zeros(asked.shape[1], dtype=np.int64), np.arange(asked.shape[1])
         for length in range(BITS, 0, -1):
             if not len(left):
@@ -82,7 +94,7 @@ class Sample:
             enough = held * self.share >= self.least
             out[left[enough]] = length
             left = left[~enough]
-        return out
+        return np.maximum(out, self.near_enough(queries))
 
     def parts(self, tree: int, cell: np.ndarray) -> np.ndarray:
         """Into how many parts a tree's cells are cut."""
@@ -200,7 +212,7 @@ def nearest(
             for some, matrix in _matrices(batch, 1):
                 its, cls = sample(matrix.shape[1]), batch.column(0).to_numpy()[some]
                 strings = its.hasher(matrix, queries=True)
-                depth, least, body = its.depth(strings), its.reached_by(matrix, 6 * k), matrix.astype(np.float32)
+                depth, least, body = its.depth(strings, matrix), its.reached_by(matrix, 6 * k), matrix.astype(np.float32)
                 # Components as bytes are off by half a step, so scores by about this much.
                 least = least - 6 * np.abs(its.vectors).max(initial=0.0) / 254 * np.sqrt((matrix**2).sum(axis=1))
                 for t in range(trees):
