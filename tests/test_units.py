@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weavegraph.functions import text as X
-from weavegraph.operators import audit, drift, graph, identity, order, quality, resolve, rules, spatial, walk
+from weavegraph.operators import audit, drift, graph, identity, order, project, quality, resolve, rules, spatial, walk
 from weavegraph.sources import json_elements
 
 
@@ -248,6 +248,49 @@ def test_elements_of_one_document(spark, tmp_path):
     assert json_elements.scan_json_elements(spark, str(tmp_path / "empty"), "keys").count() == 0
 
 
+def test_closed_vocabulary(spark):
+    df = spark.createDataFrame([("a",), (None,), ("b",)], "v string")
+    assert [r[0] for r in df.select(project.closed_label("v", {"a": "A", "b": "B"})).collect()] == ["A", None, "B"]
+    with pytest.raises(Exception, match="outside its vocabulary: b"):
+        df.select(project.closed_label("v", {"a": "A"})).collect()
+
+
+def test_hit_lists(spark):
+    df = spark.createDataFrame([(1, "red"), (2, None), (3, "RED blue")], "id int, v string")
+    tests = {"r": F.col("v").contains("red"), "b": F.col("v").contains("blue"), "any": F.lower("v").contains("red")}
+    assert {r.id: r.hits for r in project.predicate_hits(df, tests, ["id"]).collect()} == {1: ["r", "any"], 2: [], 3: ["b", "any"]}
+
+
+def test_strict_lookup_by_class(spark):
+    targets = spark.createDataFrame([("one", 1, "x"), ("two", 2, "x"), ("two", 3, "y"), ("three", 4, "y"), ("three", 5, "y"), ("same", 6, "x"), ("same", 6, "y")], "k string, t int, c string")
+    refs = spark.createDataFrame([("one", "y"), ("two", "y"), ("two", "z"), ("three", "y"), ("same", "x"), (None, "x"), ("gone", None)], "k string, w string")
+    got = {(r.k, r.w): (r.status, r.t) for r in resolve.strict_lookup(refs, targets, ["k"], "t", "c", "w").collect()}
+    assert got == {("one", "y"): ("resolved", 1), ("two", "y"): ("resolved", 3), ("two", "z"): ("ambiguous", None), ("three", "y"): ("ambiguous", None), ("same", "x"): ("resolved", 6), (None, "x"): ("missing", None), ("gone", None): ("missing", None)}
+
+
+def test_shared_addresses(spark):
+    df = spark.createDataFrame([("f", "a", 2), ("f", "a", 1), ("f", "b", 3), ("f", None, 4), ("f", None, 5), ("g", "a", 6)], "f string, a string, n int")
+    assert {tuple(r) for r in graph.object_index(df, ["f"], ["n"], "a").collect()} == {("f", 5, 2, 1), ("g", 1, 0, 6)}
+    assert graph.object_index(df.limit(0), ["f"], ["n"], "a").count() == 0
+
+
+def test_quotas_and_stride(spark):
+    df = spark.range(100).select((F.col("id") % 4).alias("s"), "id")
+    got = {r.id for r in order.quota_sample(df, "s", ["id"], 2, 10).collect()}
+    assert got == set(range(8)) | set(range(8, 100, 10))
+    assert order.quota_sample(df.limit(0), "s", ["id"], 2, 10).count() == 0
+
+
+def test_records_of_odd_payloads(spark):
+    rows = [(1, '{"p":[{"q":[{"n":1},{"n":2}]},{"q":null},{"q":7},null,5]}'), (2, '{"p":{"q":[1]}}'), (3, None), (4, "broken"), (5, "[]")]
+    df = spark.createDataFrame(rows, "id int, body string")
+    tree = {"p": (None, "$.p"), "q": ("p", "$.q")}
+    got = sorted((r.id, r.record_family, tuple(r.ordinals)) for r in walk.explode_records(df, "body", ["id"], tree).collect())
+    assert got == [(1, "p", (i,)) for i in range(5)] + [(1, "q", (0, 0)), (1, "q", (0, 1))]
+    heads = {r.id: r.counts for r in walk.level_headers(df, "body", ["id"], tree, {}).collect()}
+    assert heads == {1: {"p": 5, "q": 2}, **{i: {"p": 0, "q": 0} for i in (2, 3, 4, 5)}}
+
+
 def test_residue_of_pointers(spark):
     rows = ['{"Icon":{"m_FileID":1,"m_PathID":2},"IconReference":{"m_AssetGUID":"ab"}}', '{"Icon":{"m_FileID":1,"m_PathID":2},"IconReference":{"m_AssetGUID":" "}}', '{"bigICON":[{"m_FileID":0,"m_PathID":2}]}', '{"Icon":{"m_FileID":0,"m_PathID":0}}', '{"other":{"m_FileID":1,"m_PathID":2}}']
     df = spark.createDataFrame(list(enumerate(rows)), "id int, p string")

@@ -61,6 +61,15 @@ def scene_flag(name: str | Column, suffix: str, prefix: str) -> Column:
     return F.when(stem.endswith(suffix), F.lit(suffix)).when(stem.startswith(prefix), F.lit("seasonal")).otherwise("none")
 
 
+def locale_of(name: str | Column, stem: str, locales: dict[str, str], base: str = "base") -> Column:
+    """the locale of a localisation bundle: base for the stem alone, else that of what follows it, which is unknown:<what> if
+    no locale has it; null for other bundles. A separating underscore and capitals don't matter."""
+    bare = F.regexp_replace(_c(name), r"\.bundle$", "")
+    suffix = F.regexp_replace(F.lower(F.substr(bare, F.lit(len(stem) + 1))), "^_+", "")
+    known = F.coalesce(*[F.when(suffix == k, F.lit(v)) for k, v in locales.items()], F.concat(F.lit("unknown:"), suffix))
+    return F.when(bare == stem, F.lit(base)).when(bare.startswith(stem), known)
+
+
 def lookup(value: str | Column, table: dict[str, str], default: Column | None = None) -> Column:
     """A small constant map; a missing key gives default or null."""
     pairs = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
@@ -148,6 +157,13 @@ def sanitize_component(name: str | Column) -> Column:
     return F.coalesce(F.nullif(clean, F.lit("")), F.lit("_unnamed"))
 
 
+def standalone_name(address: str | Column, bundle: str | Column, path_id: str | Column) -> Column:
+    """F16: struct(stem, named_by) of an object without a name of its own: its address's base name, else <bundle>_<path id>."""
+    base = address_basename(address)
+    other = F.concat(sanitize_component(bundle), F.lit("_"), _c(path_id).cast("string"))
+    return F.struct(F.coalesce(F.when(base.isNotNull(), sanitize_component(base)), other).alias("stem"), F.when(base.isNotNull(), "address-basename").otherwise("bundle-pathid").alias("named_by"))
+
+
 def emitted_path(stem: str | Column, folder: str, ext: str) -> Column:
     return F.concat(F.lit(f"{folder}/"), sanitize_component(stem), F.lit(f".{ext}"))
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weavegraph.functions.text import id_tokens, is_cjk
+from weavegraph.functions.text import clean_text, id_tokens, is_cjk
 from weavegraph.operators.resolve import first_by_priority, top_k
 
 
@@ -28,23 +30,63 @@ def build_documents(names: DataFrame, aliases: DataFrame, keys: list[str], most:
     return names.join(lists, keys, "left").withColumn("aliases", F.coalesce("aliases", F.array().cast("array<string>")))
 
 
+def search_documents(names: DataFrame, aliases: DataFrame, descriptions: DataFrame, icons: DataFrame, weights: dict[str, int], internal: dict[str, list[str]], most: int = 16) -> DataFrame:
+    """Whole search documents: build_documents() for kind and id, with descriptions (key and cleaned text, sorted by key, one
+    text per key, empty ones left out), icon (sub_name, guid; nulls without one), the weight of the kind, and visibility,
+    internal for the names that a kind keeps to itself, else public.
+
+    names: kind, id, name; aliases: kind, id, class, text; descriptions: kind, id, key, text; icons: kind, id, sub_name, guid.
+    A document's descriptions are few and are gathered per document.
+    """
+    keys = ["kind", "id"]
+    clean = descriptions.select(*keys, "key", clean_text("text").alias("text")).filter("text <> ''").groupBy(*keys, "key").agg(F.min("text").alias("text"))
+    told = clean.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("key", "text"))).alias("descriptions"))
+    icon = icons.groupBy(*keys).agg(F.min(F.struct("sub_name", "guid")).alias("icon"))
+    out = build_documents(names, aliases, keys, most).join(told, keys, "left").join(icon, keys, "left")
+    weight = F.coalesce(*[F.when(F.col("kind") == k, w) for k, w in weights.items()], F.lit(0))
+    hidden = reduce(lambda a, b: a | b, [(F.col("kind") == k) & F.col("name").isin(*v) for k, v in internal.items()], F.lit(False))
+    out = out.withColumn("descriptions", F.coalesce("descriptions", F.array().cast("array<struct<key:string,text:string>>")))
+    return out.withColumn("weight", weight).withColumn("visibility", F.when(hidden, "internal").otherwise("public"))
+
+
+def component_census(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """C4: what a universe of names is made of, per kind, in one pass over rows (kind, id, literal, dev, term, sub_name): rows,
+    narrow carriers (a term or a dev text), plain literals, dev texts, terms, those that resolve among texts (key, text, of
+    the pivot) and those that are open, and rows with an icon's name. Texts are cleaned first; empty ones are none."""
+    held = texts.filter(clean_text("text") != "").select(F.col("key").alias("term")).distinct().withColumn("held__", F.lit(True))
+    there = lambda c: F.coalesce(clean_text(c) != "", F.lit(False))
+    term = F.col("term").isNotNull()
+    return rows.join(held, "term", "left").groupBy("kind").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(term | there("dev")).alias("carriers"),
+        F.count_if(there("literal")).alias("literals"),
+        F.count_if(there("dev")).alias("dev_texts"),
+        F.count_if(term).alias("terms"),
+        F.count_if(F.col("held__")).alias("resolved"),
+        F.count_if(term & F.col("held__").isNull()).alias("open"),
+        F.count_if(there("sub_name")).alias("sprites"),
+    )
+
+
 def analyzer_census(docs: DataFrame, locale: str, text: str) -> DataFrame:
     """Per locale the rows, tokens (runs of letters, digits and underscores), distinct lower-cased tokens, median
     tokens of a row, rows with CJK, without spaces, with tags and with placeholders."""
     tokens = F.regexp_extract_all(F.col(text), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
+    flags = {"cjk_rows": is_cjk("text"), "no_space_rows": ~F.col("text").contains(" "), "tag_rows": F.col("text").rlike("<[^>]+>"), "placeholder_rows": F.col("text").rlike(r"\{[^{}]+\}")}
     d = docs.select(F.col(locale).alias("locale"), F.col(text).alias("text"), tokens.alias("tokens"))
-    rows = d.groupBy("locale").agg(
-        F.count("*").alias("n_rows"),
-        F.sum(F.size("tokens")).alias("tokens"),
-        F.median(F.size("tokens")).alias("median_tokens"),
-        F.count_if(is_cjk("text")).alias("cjk_rows"),
-        F.count_if(~F.col("text").contains(" ")).alias("no_space_rows"),
-        F.count_if(F.col("text").rlike("<[^>]+>")).alias("tag_rows"),
-        F.count_if(F.col("text").rlike(r"\{[^{}]+\}")).alias("placeholder_rows"),
+    d = d.select("locale", F.size("tokens").alias("size"), F.array_distinct(F.transform("tokens", F.lower)).alias("own"), *[F.coalesce(c, F.lit(False)).alias(n) for n, c in flags.items()])
+    # A row goes on as itself, without a word, and as each of its words; so texts are read and cut once.
+    itself = F.concat(F.array(F.lit(None).cast("string")), F.coalesce("own", F.array().cast("array<string>")))
+    each, row = d.withColumn("w", F.explode(itself)), F.col("w").isNull()
+    by = each.groupBy("locale", "w", F.when(row, F.col("size")).alias("size")).agg(F.count("*").alias("n"), *[F.count_if(row & F.col(c)).alias(c) for c in flags])
+    rows = F.when(row, F.col("n"))
+    return by.groupBy("locale").agg(
+        F.sum(rows).alias("n_rows"),
+        F.sum(F.col("size") * F.col("n")).alias("tokens"),
+        F.percentile("size", 0.5, F.coalesce(rows, F.lit(0))).alias("median_tokens"),
+        *[F.sum(c).alias(c) for c in flags],
+        F.count("w").alias("vocabulary"),
     )
-    own = F.array_distinct(F.transform("tokens", F.lower))  # of a row, before rows meet
-    words = d.select("locale", F.explode(own).alias("w")).distinct().groupBy("locale").agg(F.count("*").alias("vocabulary"))
-    return rows.join(words, "locale", "left").fillna(0, ["vocabulary"])
 
 
 def collisions(docs: DataFrame, kind: str, title: str, k: int = 10) -> DataFrame:
@@ -119,6 +161,17 @@ def open_items(parts: dict[str, DataFrame], item: str) -> DataFrame:
     return out
 
 
+def open_item_ledger(parts: dict[str, DataFrame], item: str, severity: dict[str, str], unblock: dict[str, str], populations: tuple[str, ...] = ()) -> DataFrame:
+    """The ledger of open items: reason, severity, unblock, detail and n. A part is a row per item (n is 1), or, if it is a
+    population, one row with its number of items, also if that is none; other parts without items have no row."""
+    out = None
+    for reason, df in parts.items():
+        one = df.agg(F.lit(None).cast("string").alias("detail"), F.count("*").alias("n")) if reason in populations else df.select(F.col(item).cast("string").alias("detail"), F.lit(1).cast("bigint").alias("n"))
+        one = one.select(F.lit(reason).alias("reason"), F.lit(severity.get(reason, "gap")).alias("severity"), F.lit(unblock.get(reason, "")).alias("unblock"), "detail", "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def narrow_carrier(rows: DataFrame, allowed: DataFrame) -> DataFrame:
     """Rows (kind, field, ...) whose field is one of their kind's name fields."""
     return rows.join(allowed, ["kind", "field"], "left_semi")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weavegraph.functions.text import norm_name
+from weavegraph.operators.order import numbered
 from weavegraph.operators.resolve import first_by_priority, one_each, top_k
 
 
@@ -30,6 +31,24 @@ def pair_matrix(kinds: DataFrame, edges: DataFrame, unresolved: DataFrame) -> Da
     return out.withColumn("status", status)
 
 
+def pair_profile(kinds: DataFrame, edges: DataFrame, unresolved: DataFrame, join_keys: list[tuple[str, str]], hard: list[str], top: int = 10) -> DataFrame:
+    """A2: pair_matrix() with what carries each pair: top_fields, a map of its `top` fields with the most references, join_key,
+    the name that the first of join_keys has whose pattern a method of the pair matches, and mechanism, hard if all its
+    methods are, else inferred. edges have field and ref_count beside what pair_matrix() takes."""
+    pair = ["src_kind", "dst_kind"]
+    fields = edges.filter("field is not null").groupBy(*pair, "field").agg(F.sum(F.coalesce("ref_count", F.lit(1))).alias("refs"))
+    few = top_k(fields, pair, [F.col("refs").desc(), F.col("field")], top).groupBy(*pair).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", "refs")))).alias("top_fields"))
+    methods = edges.groupBy(*pair).agg(F.collect_set("method").alias("m__"))  # methods are few
+
+    def has(pattern: str) -> Column:
+        return F.exists("m__", lambda m: m.rlike(pattern))
+
+    key = F.coalesce(*[F.when(has(pattern), F.lit(name)) for pattern, name in join_keys], F.lit("none"))
+    mechanism = F.when(F.size("m__") == F.size(F.array_intersect("m__", F.array(*map(F.lit, hard)))), "hard").otherwise("inferred")
+    out = pair_matrix(kinds, edges, unresolved).join(few, pair, "left").join(methods, pair, "left")
+    return out.withColumn("join_key", key).withColumn("mechanism", mechanism).drop("m__")
+
+
 def residue_attribution(residue: DataFrame, kinds: list[str], landing: str, leaf: str) -> DataFrame:
     """A3: charge a miss to the kind where it landed, else to the kind that its leaf name spells, else to none."""
     spelled = F.regexp_replace(F.lower(leaf), "[^a-z0-9]", "")
@@ -65,6 +84,22 @@ def catalog_report(rows: DataFrame, key: str, kind: str) -> DataFrame:
     )
 
 
+def catalog_dependencies(rows: DataFrame, key: str, dependencies: str) -> DataFrame:
+    """One row: edges (a key and each entry of its array of dependencies, repeats once), those whose target is a key, and
+    distinct targets that aren't."""
+    edges = rows.filter(F.col(key).isNotNull()).select(F.col(key).alias("k__"), F.explode(dependencies).alias("d__")).filter("d__ is not null").distinct()
+    known = rows.select(F.col(key).alias("d__")).distinct().withColumn("known__", F.lit(True))
+    by = edges.groupBy("d__").agg(F.count("*").alias("n")).join(known, "d__", "left")
+    return by.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("edges"), F.coalesce(F.sum(F.when(F.col("known__"), F.col("n"))), F.lit(0)).alias("resolved"), F.count_if(F.col("known__").isNull()).alias("open_targets"))
+
+
+def guid_index(rows: DataFrame, guid: str, address: str) -> DataFrame:
+    """Per guid its rows, distinct addresses, the smallest of them, and the rows without an address; rows without guid aren't in it."""
+    a = F.col(address)
+    by = rows.filter(F.col(guid).isNotNull()).groupBy(guid, address).agg(F.count("*").alias("n"))
+    return by.groupBy(guid).agg(F.sum("n").alias("entries"), F.count(a).alias("addresses"), F.min(a).alias("first_address"), F.coalesce(F.sum(F.when(a.isNull(), F.col("n"))), F.lit(0)).alias("null_addresses"))
+
+
 def first_match_ladder(forms: DataFrame, tails: DataFrame, entity: str) -> DataFrame:
     """Forms (entity, form, form_rank) against tails (tail, family_rank, key), folded; the best family wins, then the best form, then the smallest key."""
     hits = forms.join(tails, F.lower("form") == F.lower("tail"))
@@ -112,6 +147,23 @@ def claim_overlay(claims: DataFrame, edges: DataFrame, keys: list[str]) -> DataF
     return joined.withColumn("effect", F.when(F.col("m__"), "confirms-hard").when(F.col("ends_known"), "adds-derived").otherwise("flags-missing")).drop("m__")
 
 
+def resolved_claims(claims: DataFrame, targets: DataFrame, edges: DataFrame) -> DataFrame:
+    """Claims between names (src_kind, src_name, dst_kind, dst_name) against measured edges (src_kind, src_id, dst_kind,
+    dst_id): both ends go through resolve_names() against targets (kind, name, id; the smallest id of a name), and the
+    overlay's effect follows. ends_known is whether both resolve, inferred whether either did so by its normalised name."""
+    names, ids = targets.select("kind", "name").distinct(), targets.groupBy("kind", "name").agg(F.min("id").alias("id__"))
+
+    def end(df: DataFrame, side: str) -> DataFrame:
+        asked = df.select(F.col(f"{side}_kind").alias("kind"), F.col(f"{side}_name").alias("asked")).distinct()
+        found = resolve_names(asked, names, "kind", "asked", "name").join(ids.withColumnRenamed("name", "target"), ["kind", "target"], "left")
+        found = found.select(F.col("kind").alias(f"{side}_kind"), F.col("asked").alias(f"{side}_name"), F.col("id__").alias(f"{side}_id"), F.col("inferred").alias(f"{side}_inferred"))
+        return df.join(found, [f"{side}_kind", f"{side}_name"], "left")
+
+    both = end(end(claims, "src"), "dst")
+    both = both.withColumn("ends_known", F.col("src_id").isNotNull() & F.col("dst_id").isNotNull()).withColumn("inferred", F.coalesce(F.col("src_inferred") | F.col("dst_inferred"), F.lit(False))).drop("src_inferred", "dst_inferred")
+    return claim_overlay(both, edges, ["src_kind", "src_id", "dst_kind", "dst_id"])
+
+
 def class_accounting(left: DataFrame, right: DataFrame, keys: list[str], reasons: DataFrame, by: str) -> DataFrame:
     """Rows of one side only, with the reason that their class has, or none (to be ledgered)."""
     flags = left.select(*keys, F.lit(True).alias("l__"), F.lit(False).alias("r__")).unionByName(right.select(*keys, F.lit(False).alias("l__"), F.lit(True).alias("r__")))
@@ -126,6 +178,12 @@ def reverse_index(refs: DataFrame, key: str, usage: str, source: str) -> DataFra
     return by.groupBy(key).agg(F.sum("n").alias("usages"), F.min("first").alias("first_usage"), F.count("*").alias("sources"))
 
 
+def usage_list(refs: DataFrame, key: str, usage: list[str]) -> DataFrame:
+    """A4: every distinct usage of a key with its place, from 1, among the key's usages in order: the sorted index as rows, so
+    that a key may have any number of them."""
+    return numbered(refs.select(key, *usage).distinct(), [F.col(c).asc_nulls_first() for c in usage], [key])
+
+
 def join_report(refs: DataFrame, group: str, conditions: dict[str, Column], everything: str = "all") -> DataFrame:
     """Counts of named conditions per group and over all, in one pass."""
     sums = refs.rollup(group).agg(F.count("*").alias("refs"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in conditions.items()], F.grouping(group).alias("g__"))
@@ -188,9 +246,13 @@ def condition_counts(df: DataFrame, by: list[str], conditions: dict[str, Column]
     return df.groupBy(*by).agg(F.count("*").alias("n"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(k) for k, c in conditions.items()])
 
 
-def object_index(objects: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """Per file the number of objects, the first by order, and how many share an address."""
-    return objects.groupBy(*group).agg(F.count("*").alias("objects"), F.min(F.struct(*order)).alias("first__")).select(*group, "objects", *[F.col(f"first__.{c}").alias(f"first_{c}") for c in order])
+def object_index(objects: DataFrame, group: list[str], order: list[str], address: str | None = None) -> DataFrame:
+    """Per file the number of objects and the first by order; with an address, also how many objects share theirs with
+    another of the file (sharing). Objects are counted per address first, so no file is gathered."""
+    by = objects.groupBy(*group, *([address] if address else [])).agg(F.count("*").alias("n__"), F.min(F.struct(*order)).alias("first__"))
+    shared = F.sum(F.when((F.col("n__") > 1) & F.col(address).isNotNull(), F.col("n__")).otherwise(0)).alias("sharing") if address else None
+    out = by.groupBy(*group).agg(F.sum("n__").alias("objects"), F.min("first__").alias("first__"), *([shared] if address else []))
+    return out.select(*group, "objects", *(["sharing"] if address else []), *[F.col(f"first__.{c}").alias(f"first_{c}") for c in order])
 
 
 def run_state(ledgers: dict[str, DataFrame], broken: Column) -> DataFrame:

@@ -48,6 +48,17 @@ def classify_chain(guid: Column, address: Column, container: Column) -> Column:
     return F.when(guid.isNull(), "guid").when(address.isNull(), "address").when(container.isNull(), "container").otherwise("none")
 
 
+def chosen_address(refs: DataFrame, guid: str, entries: DataFrame, containers: DataFrame) -> DataFrame:
+    """Refs with address and chain. Of a guid's addresses (entries: guid, address) the smallest that has a container
+    (containers: address) counts, or the smallest if none has; chain is the first broken step."""
+    placed = containers.select("address").distinct().withColumn("placed__", F.lit(True))
+    by = entries.filter("address is not null").select("guid", "address").distinct().join(placed, "address", "left")
+    best = by.groupBy("guid").agg(F.min(F.when(F.col("placed__"), F.col("address"))).alias("held__"), F.min("address").alias("any__"))
+    known = entries.select("guid").distinct().withColumn("known__", F.lit(True)).join(best, "guid", "left").withColumnRenamed("guid", "guid__")
+    out = refs.join(known, F.col(guid) == F.col("guid__"), "left").withColumn("address", F.coalesce("held__", "any__"))
+    return out.withColumn("chain", classify_chain(F.col("known__"), F.col("address"), F.col("held__"))).drop("guid__", "known__", "held__", "any__")
+
+
 def classify_unjoined(has_literal: Column, has_name: Column, is_internal: Column) -> Column:
     """Why an entity has no localised name."""
     return F.when(is_internal, "internal-kernel").when(has_literal, "english-only-literal").when(~has_name, "no-display-field").otherwise("residue")

@@ -67,6 +67,78 @@ def availability(edges: DataFrame, texts: DataFrame) -> DataFrame:
     return total.join(lists, ["kind", "id"], "left").fillna("", ["available", "partial"])
 
 
+def hole_rows(texts: DataFrame, separator: str = "/") -> DataFrame:
+    """A row per hole: locale, key, namespace and also_missing_in, the other locales that lack the key, sorted."""
+    held = texts.select("locale", "key").distinct()
+    every = held.agg(F.collect_set("locale").alias("all_locales"))
+    missing = held.groupBy("key").agg(F.collect_set("locale").alias("held")).crossJoin(F.broadcast(every))  # one row
+    missing = missing.select("key", F.array_sort(F.array_except("all_locales", "held")).alias("missing")).select("key", "missing", F.explode("missing").alias("locale"))
+    return missing.select("locale", "key", F.substring_index("key", separator, 1).alias("namespace"), F.array_remove("missing", F.col("locale")).alias("also_missing_in"))
+
+
+def _against_pivot(texts: DataFrame, pivot: str, comparator: str) -> DataFrame:
+    """Every text with the pivot's and the comparator's of its key, and whether it is the pivot's, byte for byte; an empty pivot text is none."""
+    side = lambda locale, name: texts.filter(F.col("locale") == locale).select("key", F.col("text").alias(name))
+    j = texts.join(side(pivot, "pivot__"), "key", "left").join(side(comparator, "other__"), "key", "left")
+    return j.withColumn("same__", F.coalesce((F.col("text") == F.col("pivot__")) & (F.col("pivot__") != ""), F.lit(False))).withColumn("differs__", ~F.col("other__").eqNullSafe(F.col("pivot__")))
+
+
+def identity_profile(texts: DataFrame, pivot: str, comparator: str) -> DataFrame:
+    """A10: per locale: keys held, of these with the pivot's very text, of these those on which the comparator differs (or has
+    none), and keys held whose text is the pivot's in every locale that holds them."""
+    j = _against_pivot(texts, pivot, comparator)
+    everywhere = j.groupBy("key").agg(F.bool_and(F.col("text").eqNullSafe(F.col("pivot__")) & F.col("pivot__").isNotNull()).alias("everywhere__"))
+    return j.join(everywhere, "key").groupBy("locale").agg(
+        F.count("*").alias("held"), F.count_if("same__").alias("same_text"), F.count_if(F.col("same__") & F.col("differs__")).alias("comparator_differs"), F.count_if("everywhere__").alias("same_everywhere")
+    )
+
+
+def identity_residual(texts: DataFrame, pivot: str, comparator: str) -> DataFrame:
+    """A10: (locale, key) of the keys with the pivot's very text on which the comparator doesn't differ either."""
+    return _against_pivot(texts, pivot, comparator).filter("same__ and not differs__").select("locale", "key")
+
+
+def locale_profile(edges: DataFrame, texts: DataFrame, names: DataFrame, pivot: str) -> DataFrame:
+    """Per kind and locale: entities, those with any and with all of their terms, those whose name is the pivot's very
+    text, and the rates of the first two in hundred-thousandths, half up. edges: kind, id, key; names: kind, id, key of an
+    entity's effective name. Every kind has a row for every locale, zeros included; empty texts aren't there."""
+    held = texts.filter("text <> ''").select("locale", "key", "text")
+    need = edges.select("kind", "id", "key").distinct()
+    total = need.groupBy("kind", "id").agg(F.count("*").alias("terms"))
+    have = need.join(held.select("locale", "key").distinct(), "key").groupBy("kind", "id", "locale").agg(F.count("*").alias("present")).join(total, ["kind", "id"])
+    counts = have.groupBy("kind", "locale").agg(F.count("*").alias("any_present"), F.count_if(F.col("present") == F.col("terms")).alias("all_present"))
+    mine = names.select("kind", "id", "key").join(held, "key")
+    p = held.filter(F.col("locale") == pivot).select("key", F.col("text").alias("pivot__"))
+    same = mine.join(p, "key").filter((F.col("locale") != pivot) & (F.col("text") == F.col("pivot__"))).groupBy("kind", "locale").agg(F.countDistinct("id").alias("name_identical"))
+    kinds = total.groupBy("kind").agg(F.count("*").alias("entities"))
+    cells = kinds.crossJoin(F.broadcast(texts.agg(F.collect_set("locale").alias("l")))).select("kind", "entities", F.explode("l").alias("locale"))  # one row
+    out = cells.join(counts, ["kind", "locale"], "left").join(same, ["kind", "locale"], "left").fillna(0, ["any_present", "all_present", "name_identical"])
+    return out.select("*", ratio_half_up("any_present", "entities", 5).alias("any_rate"), ratio_half_up("all_present", "entities", 5).alias("all_rate"))
+
+
+def availability_profile(edges: DataFrame, texts: DataFrame, names: DataFrame, pivot: str) -> DataFrame:
+    """Per entity (kind, id): the locales with any of its terms (available), of these those that lack some (partial),
+    those with any of its names (named), those other than the pivot whose effective name is the pivot's very text
+    (identity), and fields, a map of each available locale to the fields whose terms it has. All are sorted arrays.
+
+    edges: kind, id, key, field, is_name; names: kind, id, key, the effective name, which counts as one beside the edges'.
+    """
+    held = texts.filter("text <> ''").select("locale", "key", "text")
+    every = edges.select("kind", "id", "key", "field", "is_name")
+    terms = every.groupBy("kind", "id").agg(F.countDistinct("key").alias("terms"))
+    here = every.join(held, "key").groupBy("kind", "id", "locale").agg(F.countDistinct("key").alias("present"), F.array_sort(F.collect_set("field")).alias("fields"), F.bool_or("is_name").alias("named"))
+    p = held.filter(F.col("locale") == pivot).select("key", F.col("text").alias("pivot__"))
+    effective = names.select("kind", "id", "key").join(held, "key").join(p, "key", "left")
+    effective = effective.groupBy("kind", "id", "locale").agg(F.lit(True).alias("effective"), F.bool_or((F.col("locale") != pivot) & F.coalesce(F.col("text") == F.col("pivot__"), F.lit(False))).alias("same"))
+    each = terms.join(here.join(effective, ["kind", "id", "locale"], "full"), ["kind", "id"], "left")
+    there = F.col("present").isNotNull()
+    of = lambda condition: F.array_sort(F.collect_list(F.when(F.coalesce(condition, F.lit(False)), F.col("locale"))))
+    pairs = F.array_sort(F.collect_list(F.when(there, F.struct(F.col("locale").alias("k"), F.col("fields").alias("v")))))
+    return each.groupBy("kind", "id").agg(
+        of(there).alias("available"), of(F.col("present") < F.col("terms")).alias("partial"), of(F.coalesce("named", F.lit(False)) | F.col("effective")).alias("named"), of(F.col("same")).alias("identity"), F.map_from_entries(pairs).alias("fields")
+    )
+
+
 def namespace_split(texts: DataFrame, referenced: DataFrame, separator: str = "/") -> DataFrame:
     """Keys by first segment: total, referenced and free."""
     keys = texts.select("key").distinct().join(referenced.select("key").distinct().withColumn("used", F.lit(True)), "key", "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weavegraph.operators.resolve import top_k
 from weavegraph.sources.shared import stored
 
 #: monotonically_increasing_id() has the partition above so many bits and the row in it below.
@@ -34,3 +35,12 @@ def numbered(df: DataFrame, order: list[Column], by: list[str] | None = None, pl
         same = [F.col(f"r__.`{c}`").eqNullSafe(F.col(f"f__.`{c}`")) for c in by]
         rows = rows.alias("r__").join(first.alias("f__"), same).select("r__.*", "first__").withColumn(place, F.col(place) - F.col("first__") + 1)
     return rows.select(*df.columns, F.col(place).cast("bigint").alias(place))
+
+
+def quota_sample(df: DataFrame, stratum: str, order: list[str], quota: int, stride: int) -> DataFrame:
+    """The first `quota` rows of each stratum in order, and of all other rows, in order over all strata, every stride-th from
+    the first on. order must tell rows apart. The rest's places come from numbered(), so no stratum is one task there."""
+    keys = [F.col(c).asc_nulls_first() for c in order]
+    must = top_k(df, [stratum], keys, quota)
+    rest = numbered(df.join(must.select(*order), order, "left_anti"), keys, place="place__")
+    return must.unionByName(rest.filter((F.col("place__") - 1) % stride == 0).drop("place__"))

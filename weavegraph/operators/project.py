@@ -64,6 +64,18 @@ def predicate_battery(df: DataFrame, tests: dict[str, Column]) -> DataFrame:
     return one.select(F.explode(pairs).alias("x")).select("x.pattern", "x.hits")
 
 
+def predicate_hits(df: DataFrame, tests: dict[str, Column], keep: list[str]) -> DataFrame:
+    """Keep and hits, the names of the tests that a row passes, in their order; rows without a hit have none. One scan."""
+    names = F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c in tests.items()])
+    return df.select(*keep, F.array_compact(names).alias("hits"))
+
+
+def closed_label(column: str, labels: dict[str, str]) -> Column:
+    """The label of a value of a closed vocabulary; null has none, and a value outside is an error that names it."""
+    known = F.coalesce(*[F.when(F.col(column) == k, F.lit(v)) for k, v in labels.items()])
+    return F.when(F.col(column).isNull(), F.lit(None).cast("string")).when(known.isNotNull(), known).otherwise(F.raise_error(F.concat(F.lit(f"{column} has a value outside its vocabulary: "), F.col(column))))
+
+
 def path_has(path: str, segments: list[str], separator: str = r"[.\[\]]+") -> Column:
     """Whether any segment of the path is among those given."""
     return F.arrays_overlap(F.split(path, separator), F.array(*map(F.lit, segments)))

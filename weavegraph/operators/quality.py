@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weavegraph.functions.text import numbers_equal
+from weavegraph.functions.text import norm_name, numbers_equal
 
 
 def finding(df: DataFrame, check: str, dataset: str, expected: Column, measured: Column, status: Column | None = None) -> DataFrame:
@@ -126,6 +126,19 @@ def foreign_key(df: DataFrame, column: str, target: DataFrame, key: str, dataset
     return none_of(df.filter(F.col(column).isNotNull()).join(target.select(F.col(key).alias("fk__")), F.col(column) == F.col("fk__"), "left_anti"), "foreign-key", dataset)
 
 
+def closure(df: DataFrame, kind: str, column: str, targets: DataFrame, dataset: str, special: tuple[str, ...] = (), normalised: tuple[str, ...] = ()) -> DataFrame:
+    """Q7: a finding per kind of target: values that the targets (kind, id) of the kind lack. Special kinds have no table and
+    are closed by themselves; normalised kinds meet by normalised names. Null points nowhere; a kind without targets fails
+    by all its values."""
+    key = F.when(F.col(kind).isin(*normalised), norm_name(column)).otherwise(F.col(column)) if normalised else F.col(column)
+    there = F.when(F.col("kind").isin(*normalised), norm_name("id")).otherwise(F.col("id")) if normalised else F.col("id")
+    known = targets.select(F.col("kind").alias("k__"), there.alias("t__")).distinct().withColumn("known__", F.lit(True))
+    asked = df.filter(F.col(column).isNotNull()).select(F.col(kind).alias("k__"), key.alias("t__")).groupBy("k__", "t__").agg(F.count("*").alias("n"))
+    missing = F.sum(F.when(F.col("known__").isNull() & ~F.coalesce(F.col("k__").isin(*special), F.lit(False)), F.col("n")).otherwise(0))
+    by = asked.join(known, ["k__", "t__"], "left").groupBy("k__").agg(missing.alias("n"))
+    return by.select(F.lit("closure").alias("check_id"), F.concat(F.lit(f"{dataset}:"), F.coalesce("k__", F.lit("none"))).alias("dataset"), F.when(F.col("n") == 0, "PASS").otherwise("FAIL").alias("status"), F.lit(0).cast("bigint").alias("expected"), F.col("n").alias("measured"))
+
+
 def reconcile(left: DataFrame, right: DataFrame, dataset: str) -> DataFrame:
     """Two one-row frames with column v must agree."""
     both = left.select(F.col("v").cast("bigint").alias("a")).crossJoin(F.broadcast(right.select(F.col("v").cast("bigint").alias("b"))))
@@ -186,6 +199,20 @@ def units(metrics: DataFrame, vocabulary: DataFrame, dataset: str) -> DataFrame:
     return none_of(metrics.select("metric", "unit").exceptAll(known.select("metric", "unit")), "units", dataset)
 
 
+def unit_comparisons(pairs: DataFrame, metrics: DataFrame, transforms: DataFrame) -> DataFrame:
+    """Q16: comparisons (left_metric, right_metric) of metrics (metric, unit, value): same or differs where the units agree or a
+    transform (source, target, factor) is registered from the left's to the right's, unregistered where none is, and
+    missing where a metric or its unit is. expected is the left value in the right's unit."""
+    side = lambda p: metrics.select(F.col("metric").alias(f"{p}_metric"), F.col("unit").alias(f"{p}_unit"), F.col("value").alias(f"{p}_value"))
+    j = pairs.join(side("left"), "left_metric", "left").join(side("right"), "right_metric", "left")
+    known = transforms.groupBy(F.col("source").alias("left_unit"), F.col("target").alias("right_unit")).agg(F.min("factor").alias("factor"))
+    factor = F.when(F.col("left_unit") == F.col("right_unit"), F.lit(1.0)).otherwise(F.col("factor"))
+    j = j.join(known, ["left_unit", "right_unit"], "left").withColumn("expected", F.col("left_value") * factor)
+    gone = F.col("left_unit").isNull() | F.col("right_unit").isNull()
+    verdict = F.when(gone, "missing").when(F.col("expected").isNull(), "unregistered").when(F.col("expected") == F.col("right_value"), "same").otherwise("differs")
+    return j.select("left_metric", "right_metric", "expected", "right_value", verdict.alias("verdict"))
+
+
 def ledger_counts(rows: DataFrame, reason: str, expected: DataFrame) -> DataFrame:
     """Q17: reasons with their counts against the expected ones (reason, expected); unknown reasons fail."""
     got = rows.groupBy(F.col(reason).alias("reason")).agg(F.count("*").alias("measured"))

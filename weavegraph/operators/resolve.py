@@ -36,16 +36,17 @@ def locate(refs: DataFrame, entities: DataFrame, on: list[str]) -> DataFrame:
     return resolve_ladder(refs, [("missing", entities, on)], resolved="located")
 
 
-def resolve_ladder(refs: DataFrame, steps: list[tuple[str, DataFrame, list[str]]], status: str = "status", resolved: str = "resolved") -> DataFrame:
+def resolve_ladder(refs: DataFrame, steps: list[tuple[str, DataFrame, list[str]]], status: str = "status", resolved: str = "resolved", unique: bool = False) -> DataFrame:
     """Refs against lookup tables in order. A step is (reason if missing, table, join columns); each table adds
     its other columns. status is the reason of the first step that misses, or resolved; later steps aren't tried then.
 
-    Of a table's rows with one key the smallest counts, so references are neither lost nor multiplied. A null key is a miss.
+    Of a table's rows with one key the smallest counts, so references are neither lost nor multiplied; unique says that no
+    table has any, as quality.unique() can check, which saves their grouping. A null key is a miss.
     """
     out, found = refs, []
     for i, (_, table, on) in enumerate(steps):
         mark = f"hit_{i}__"
-        out = out.join(one_each(table, on).withColumn(mark, F.lit(True)), on, "left")
+        out = out.join((table if unique else one_each(table, on)).withColumn(mark, F.lit(True)), on, "left")
         found.append(mark)
     case = reduce(lambda c, s: c.when(F.col(s[1]).isNull(), s[0][0]), list(zip(steps, found, strict=True))[1:], F.when(F.col(found[0]).isNull(), steps[0][0]))
     return out.withColumn(status, case.otherwise(resolved)).drop(*found)
@@ -151,6 +152,25 @@ def match_file_ref(refs: DataFrame, keys: DataFrame, ref: str, key: str) -> Data
     return out.withColumn("match", how).withColumn("key", F.coalesce("direct__", "suffix__")).drop("d__", "s__", "direct__", "suffix__")
 
 
+def key_dependencies(entries: DataFrame, files: DataFrame, file: str) -> DataFrame:
+    """The two passes over a catalogue. entries: key, reference, dependency (texts, nulls allowed); files: the roster.
+
+    First, references and dependencies in file form (ending in .bundle) meet the roster, directly or without their hash, which
+    gives each key its files. Then dependencies in other form name keys, and stand for the files of these, one level deep.
+    A row per key and what it leads to: key, target, via (file, hash-suffix, key, or for what leads nowhere dangling-file or
+    dangling-key, whose target is the name itself).
+    """
+    form = lambda c: F.coalesce(F.lower(c).endswith(".bundle"), F.lit(False))
+    named = entries.select("key", F.explode(F.array("reference", "dependency")).alias("name__"))
+    first = match_file_ref(named.filter(form(F.col("name__"))).distinct().withColumnRenamed("key", "from__"), files, "name__", file)
+    via = F.when(F.col("match") == "direct", "file").when(F.col("match") == "hash-suffix", "hash-suffix").otherwise("dangling-file")
+    first = first.select(F.col("from__").alias("key"), F.coalesce("key", normalize_ref("name__")).alias("target"), via.alias("via")).distinct()
+    held = first.filter(~F.col("via").startswith("dangling")).select(F.col("key").alias("name__"), "target").distinct()
+    asked = entries.filter(F.col("dependency").isNotNull() & ~form(F.col("dependency"))).select("key", F.col("dependency").alias("name__")).distinct()
+    second = asked.join(held, "name__", "left").select("key", F.coalesce("target", "name__").alias("target"), F.when(F.col("target").isNull(), "dangling-key").otherwise("key").alias("via"))
+    return first.unionByName(second.distinct())
+
+
 def reverse_lookup(refs: DataFrame, containers: DataFrame, on: list[str], address: str) -> DataFrame:
     """For each place the addresses that lead to it: how many, and the smallest; none is zero."""
     by = containers.groupBy(*on).agg(F.countDistinct(address).alias("addresses"), F.min(address).alias("first_address"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weavegraph.operators.graph import condition_counts
+from weavegraph.operators.walk import opened
 from weavegraph.sources.shared import stored
 
 
@@ -39,6 +40,23 @@ def rates_by_attribute(df: DataFrame, entity: str, rates: str) -> DataFrame:
     return df.select(entity, F.explode(rates).alias("attribute", "rate"))
 
 
+def need_rates(blocks: DataFrame, keep: list[str], sources: dict[str, tuple[str, str]]) -> DataFrame:
+    """Rates of typed blocks (class, data as VARIANT) as rows: keep, source, attribute, rate. A source is named by the class
+    of its blocks and the path of an object of attribute to rate, or of a list of objects {attribute, rate}, in their data;
+    other classes, members and rates that are no numbers give none. One scan."""
+
+    def of(cls: str, at: str, name: str) -> Column:
+        node = F.try_variant_get("data", at, "variant")
+        pair = F.struct(F.lit(name).alias("source"), F.lit(None).cast("string").alias("attribute"), F.lit(None).cast("double").alias("rate"))
+        members = F.transform(F.map_entries(F.try_variant_get(node, "$", "map<string,double>")), lambda e: F.struct(F.lit(name).alias("source"), e["key"].alias("attribute"), e["value"].alias("rate")))
+        listed = F.transform(F.try_variant_get(node, "$", "array<variant>"), lambda x: F.struct(F.lit(name).alias("source"), F.try_variant_get(x, "$.attribute", "string").alias("attribute"), F.try_variant_get(x, "$.rate", "double").alias("rate")))
+        return F.when(F.col("class") == cls, F.coalesce(members, listed, F.array(pair)))
+
+    none = F.array().cast("array<struct<source:string,attribute:string,rate:double>>")
+    every = F.concat(*[F.coalesce(of(cls, at, name), none) for name, (cls, at) in sources.items()])
+    return blocks.select(*keep, F.explode(every).alias("r")).select(*keep, "r.*").filter("attribute is not null and rate is not null")
+
+
 def terms_of_modules(df: DataFrame, keep: list[str], modules: str, labels: DataFrame) -> DataFrame:
     """Modules by ordinal with their labels and the number of modules; unknown ones keep a null label."""
     rows = df.select(*keep, F.size(modules).alias("n_modules"), F.posexplode(modules).alias("ordinal", "module"))
@@ -59,6 +77,32 @@ def absent_members(members: DataFrame, carriers: DataFrame, on: str) -> DataFram
     return members.join(carriers, on, "left_anti").withColumn("carrier", F.lit(None).cast("string")).withColumn("reason", F.lit("no carrier"))
 
 
+def block_census(blocks: DataFrame, carrier: list[str], types: DataFrame, wanted: str) -> DataFrame:
+    """Per class of typed blocks (class): member, whether the class is the wanted type or descends from it at once (P4),
+    blocks, carriers, and the most blocks that one carrier has. types: type, base, interfaces."""
+    members = ancestry_filter(types, wanted).select(F.col("type").alias("class")).distinct().withColumn("m__", F.lit(True))
+    each = blocks.groupBy("class", *carrier).agg(F.count("*").alias("n"))
+    by = each.groupBy("class").agg(F.sum("n").alias("blocks"), F.count("*").alias("carriers"), F.max("n").alias("most_in_one"))
+    return by.join(members, "class", "left").withColumn("member", F.coalesce("m__", F.col("class") == wanted)).drop("m__")
+
+
+def interaction_profile(rows: DataFrame, payload: str, key: str, fields: dict[str, str], modifiers: DataFrame, blocks: DataFrame, need: str, edges: DataFrame) -> DataFrame:
+    """Per interaction: the fields as they stand in the payload (name to path, VARIANT), its modifier's kind and id where
+    one resolved strictly (modifiers: key, status, kind, id), the classes of its typed blocks (blocks: key, block, class) by
+    block key, those of them that a pattern calls needs, and its graph targets (edges: key, target), both distinct and
+    sorted. An interaction's blocks and targets are few, and are gathered per interaction."""
+    body = opened(rows, payload)
+    out = rows.select(key, *[F.try_variant_get(body, at, "variant").alias(name) for name, at in fields.items()])
+    m = modifiers.filter("status = 'resolved'").groupBy(key).agg(F.min(F.struct("kind", "id")).alias("modifier"))
+    b = blocks.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("block", "class"))).alias("b__"))
+    t = edges.groupBy(key).agg(F.array_sort(F.collect_set("target")).alias("targets"))
+    classes = F.transform("b__", lambda x: x["class"])
+    none = F.array().cast("array<string>")
+    out = out.join(m, key, "left").join(b, key, "left").join(t, key, "left")
+    out = out.withColumn("blocks", F.coalesce(classes, none)).withColumn("targets", F.coalesce(F.col("targets").cast("array<string>"), none)).drop("b__")
+    return out.withColumn("needs", F.array_sort(F.array_distinct(F.filter("blocks", lambda c: c.rlike(need)))))
+
+
 def profile(df: DataFrame, by: list[str], flags: dict[str, Column]) -> DataFrame:
     """Per key the number of rows and of those under each flag."""
     return condition_counts(df, by, flags)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,16 @@ def grid_size(width: str, height: str, cells_per_unit: int) -> Column:
     return F.struct((F.col(width) * 2 * cells_per_unit).cast("int").alias("w"), (F.col(height) * 2 * cells_per_unit).cast("int").alias("h"))
 
 
+def variants_of_mode(rows: DataFrame, point: list[str]) -> DataFrame:
+    """Rows with variant, whether their point isn't the most frequent one (ties to the smallest). A point with a null is no
+    point, and no variant either. The mode is one row."""
+    whole = ~reduce(lambda a, b: a | b, [F.col(c).isNull() for c in point])
+    counts = rows.filter(whole).groupBy(F.struct(*point).alias("p__")).agg(F.count("*").alias("n__"))
+    mode = counts.agg(F.min(F.struct((-F.col("n__")).alias("n"), F.col("p__").alias("p"))).alias("m__"))
+    out = rows.crossJoin(F.broadcast(mode)).withColumn("variant", F.coalesce(whole & (F.struct(*point) != F.col("m__.p")), F.lit(False)))
+    return out.drop("m__")
+
+
 def derived_world(parent: str, local: str, axes: list[str]) -> Column:
     """Parent position and local position added by axis; null if either lacks an axis."""
     return F.struct(*[(F.col(f"{parent}.{a}") + F.col(f"{local}.{a}")).alias(a) for a in axes])

@@ -26,7 +26,7 @@ select case when hit then 'resolved' else 'unknown part' end as status, count(*)
 @plan(REFERENCE_EDGES)
 def reference_edges(t: Tables) -> DataFrame:
     """Flagship: line items as references to known parts, deduplicated into edges, counted by resolution."""
-    r = R.resolve_ladder(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), [("unknown part", _parts(t), ["l_partkey"])])
+    r = R.resolve_ladder(t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), [("unknown part", _parts(t), ["l_partkey"])], unique=True)
     e = G.edge_dedup(r, ["l_orderkey", "l_partkey", "status"], ["l_suppkey", "l_linenumber"])
     by_source = e.groupBy("status", "l_orderkey").agg(F.count("*").alias("edges"), F.sum("ref_count").alias("refs"))
     return by_source.groupBy("status").agg(F.sum("edges").alias("edges"), F.sum("refs").alias("refs"), F.count("*").alias("sources"))
@@ -47,7 +47,7 @@ def j2_resolve_pointer(t: Tables) -> DataFrame:
         ("no customer", t.customer.filter("c_custkey % 5 > 0").select(F.col("c_custkey").alias("cust"), F.col("c_nationkey").alias("nat")), ["cust"]),
         ("no nation", t.nation.filter("n_nationkey < 20").select(F.col("n_nationkey").alias("nat"), "n_name"), ["nat"]),
     ]
-    return R.resolve_ladder(t.lineitem.select("l_orderkey"), steps).groupBy("status").agg(F.count("*").alias("n"))
+    return R.resolve_ladder(t.lineitem.select("l_orderkey"), steps, unique=True).groupBy("status").agg(F.count("*").alias("n"))
 
 
 @plan(
@@ -567,3 +567,78 @@ def w9_running_any(t: Tables) -> DataFrame:
 @plan("select doc_id, ordinal, md5(lines[ordinal + 1]) as line from (select doc_id, lines, unnest(range(0, len(lines)))::int as ordinal from (select doc_id, string_split(text, chr(10)) as lines from documents))")
 def w10_ordinal_columns(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("ordinal", "line")).withColumn("line", F.md5("line"))
+
+
+@plan(
+    """with e as (select 'order' as sk, 'part' as dk, 'f' || l_linenumber as field, 1 + l_linenumber % 2 as n, case when l_partkey % 2 = 0 then 'ptr:same' else 'ptr:cross' end as m from lineitem where l_partkey % 3 > 0
+      union all select 'order', 'customer', 'owner', 1, 'guid' from orders union all select 'customer', 'nation', null, null, case when c_custkey % 5 = 0 then 'name:nation' else 'guid' end from customer),
+    f as (select *, row_number() over (partition by sk, dk order by refs desc, field) as rn from (select sk, dk, field, sum(coalesce(n, 1)) as refs from e where field is not null group by 1, 2, 3)),
+    t as (select sk, dk, string_agg(field || '=' || refs, ',' order by field) as top from f where rn <= 3 group by 1, 2), k as (select unnest(['order', 'part', 'customer', 'nation']) as kind),
+    c as (select sk, dk, count(*) as edges, bool_or(starts_with(m, 'ptr:')) as ptr, bool_or(m = 'guid') as guid, bool_or(starts_with(m, 'name:')) as named from e group by 1, 2)
+    select a.kind as src_kind, b.kind as dst_kind, coalesce(edges, 0) as edges, case when coalesce(edges, 0) = 0 then 'missing' when a.kind = 'order' and b.kind = 'part' then 'partial' else 'modeled' end as status, coalesce(top, '') as top_fields,
+    case when ptr then 'pointer' when guid then 'guid' when named then 'name' else 'none' end as join_key, case when edges > 0 and not named then 'hard' else 'inferred' end as mechanism from k a cross join k b left join c on c.sk = a.kind and c.dk = b.kind left join t on t.sk = a.kind and t.dk = b.kind"""
+)
+def a2_pair_profile(t: Tables) -> DataFrame:
+    edge = lambda df, s, sid, d, field, n, m: df.select(F.lit(s).alias("src_kind"), F.col(sid).cast("bigint").alias("src_id"), F.lit(d).alias("dst_kind"), field.cast("string").alias("field"), n.cast("int").alias("ref_count"), m.alias("method"))
+    line = F.col("l_linenumber")
+    edges = edge(t.lineitem.filter("l_partkey % 3 > 0"), "order", "l_orderkey", "part", F.concat(F.lit("f"), line.cast("string")), 1 + line % 2, F.when(F.col("l_partkey") % 2 == 0, "ptr:same").otherwise("ptr:cross"))
+    edges = edges.unionByName(edge(t.orders, "order", "o_orderkey", "customer", F.lit("owner"), F.lit(1), F.lit("guid")))
+    edges = edges.unionByName(edge(t.customer, "customer", "c_custkey", "nation", F.lit(None), F.lit(None), F.when(F.col("c_custkey") % 5 == 0, "name:nation").otherwise("guid")))
+    open_ = t.lineitem.filter("l_partkey % 3 = 0").agg(F.count("*").alias("n")).select(F.lit("order").alias("src_kind"), F.lit("part").alias("dst_kind"), "n")
+    kinds = t.region.limit(1).select(F.explode(F.array(*map(F.lit, ("order", "part", "customer", "nation")))).alias("kind"))
+    p = G.pair_profile(kinds, edges, open_, [("^ptr:", "pointer"), ("^guid$", "guid"), ("^name:", "name")], ["ptr:same", "ptr:cross", "guid"], 3)
+    top = F.coalesce(F.array_join(F.array_sort(F.transform(F.map_entries("top_fields"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))), ","), F.lit(""))
+    return p.select("src_kind", "dst_kind", "edges", "status", top.alias("top_fields"), "join_key", "mechanism")
+
+
+@plan("select p_brand, p_name, p_size, row_number() over (partition by p_brand order by p_name, p_size) as place from (select distinct p_brand, p_name, p_size from part)")
+def a4_usage_list(t: Tables) -> DataFrame:
+    return G.usage_list(t.part, "p_brand", ["p_name", "p_size"])
+
+
+@plan("with e as (select distinct p_partkey as k, unnest([p_partkey + p_size, p_partkey + p_size, p_size * 1000]) as d from part), x as (select d, count(*) as n, d in (select p_partkey from part) as known from e group by 1) select sum(n)::bigint as edges, coalesce(sum(n) filter (known), 0)::bigint as resolved, count(*) filter (not known) as open_targets from x")
+def a18_dependencies(t: Tables) -> DataFrame:
+    rows = t.part.select("p_partkey", F.array(F.col("p_partkey") + F.col("p_size"), F.col("p_partkey") + F.col("p_size"), F.col("p_size").cast("bigint") * 1000).alias("needs"))
+    return G.catalog_dependencies(rows, "p_partkey", "needs")
+
+
+@plan("select md5((o_custkey % 50)::varchar) as guid, count(*) as entries, count(distinct case when o_orderkey % 4 > 0 then o_orderpriority end) as addresses, min(case when o_orderkey % 4 > 0 then o_orderpriority end) as first_address, count(*) filter (o_orderkey % 4 = 0) as null_addresses from orders where o_custkey % 50 > 0 group by 1")
+def a18_guid_index(t: Tables) -> DataFrame:
+    c = F.col("o_custkey") % 50
+    rows = t.orders.select(F.when(c > 0, F.md5(c.cast("string"))).alias("guid"), F.when(F.col("o_orderkey") % 4 > 0, F.col("o_orderpriority")).alias("address"))
+    return G.guid_index(rows, "guid", "address")
+
+
+@plan("with n as (select l_orderkey, l_returnflag, count(*) as n, min(l_suppkey) as first from lineitem group by 1, 2) select l_orderkey, sum(n)::bigint as objects, coalesce(sum(n) filter (n > 1), 0)::bigint as sharing, min(first) as first_l_suppkey from n group by 1")
+def a33_shared_addresses(t: Tables) -> DataFrame:
+    return G.object_index(t.lineitem, ["l_orderkey"], ["l_suppkey"], "l_returnflag")
+
+
+@plan(
+    """with c as (select p_partkey as k, 'part' as sk, case when p_size % 3 = 0 then upper(p_name) when p_size % 3 = 1 then p_name else p_name || '?' end as sn, p_size % 3 as w, p_name, s_suppkey as d, s_name as dn from part join supplier on s_suppkey = p_partkey % 10 + 1),
+    t as (select p_name, min(p_partkey) as id from part group by 1), x as (select c.*, t.id from c left join t on c.p_name = t.p_name and w < 2)
+    select k, case when id is null then 'flags-missing' when id % 2 = 0 then 'confirms-hard' else 'adds-derived' end as effect, id is not null as ends_known, w = 0 and sn <> p_name as inferred from x"""
+)
+def j8_resolved_claims(t: Tables) -> DataFrame:
+    """Claims from parts to suppliers by names, some in capitals, some unknown; edges are measured for even parts."""
+    w = F.col("p_size") % 3
+    c = t.part.join(t.supplier, F.col("s_suppkey") == F.col("p_partkey") % 10 + 1)
+    claims = c.select(F.col("p_partkey").alias("k"), F.lit("part").alias("src_kind"), F.when(w == 0, F.upper("p_name")).when(w == 1, F.col("p_name")).otherwise(F.concat("p_name", F.lit("?"))).alias("src_name"), F.lit("supplier").alias("dst_kind"), F.col("s_name").alias("dst_name"))
+    targets = t.part.select(F.lit("part").alias("kind"), F.col("p_name").alias("name"), F.col("p_partkey").cast("bigint").alias("id")).unionByName(t.supplier.select(F.lit("supplier").alias("kind"), F.col("s_name").alias("name"), F.col("s_suppkey").cast("bigint").alias("id")))
+    edges = t.part.filter("p_partkey % 2 = 0").select(F.lit("part").alias("src_kind"), F.col("p_partkey").cast("bigint").alias("src_id"), F.lit("supplier").alias("dst_kind")).crossJoin(F.broadcast(t.spark.range(1, 11).select(F.col("id").alias("dst_id"))))  # ten suppliers
+    return G.resolved_claims(claims, targets, edges).select("k", "effect", "ends_known", "inferred")
+
+
+@plan(
+    """with e as (select 'k' || p_partkey as k, case when p_partkey % 3 = 0 then 'f' || (p_partkey % 9) when p_partkey % 3 = 1 then 'g' || (p_partkey % 4) end as f, p_partkey % 3 = 1 as hashed, case when p_partkey % 2 = 0 then 'k' || (p_partkey + 1) end as d from part),
+    r as (select unnest(['f0', 'f3', 'g1', 'g2']) as f), a as (select distinct k, e.f as target, case when r.f is null then 'dangling-file' when hashed then 'hash-suffix' else 'file' end as via, e.f || case when hashed then '_' || repeat('a', 32) else '' end as name from e left join r using (f) where e.f is not null)
+    select k as key, case when via = 'dangling-file' then name else target end as target, via from a union all select distinct e.k, coalesce(b.target, e.d), case when b.k is null then 'dangling-key' else 'key' end from e left join a b on b.k = e.d and b.via <> 'dangling-file' where e.d is not null"""
+)
+def j13_key_dependencies(t: Tables) -> DataFrame:
+    """Keys with files, some with a hash, some not in the roster, and with other keys, whose files they then need."""
+    p = F.col("p_partkey")
+    text = lambda c: c.cast("string")
+    reference = F.when(p % 3 == 0, F.concat(F.lit("x/f"), text(p % 9), F.lit(".bundle"))).when(p % 3 == 1, F.concat(F.lit("g"), text(p % 4), F.lit("_"), F.repeat(F.lit("a"), F.lit(32)), F.lit(".bundle")))
+    entries = t.part.select(F.concat(F.lit("k"), text(p)).alias("key"), reference.alias("reference"), F.when(p % 2 == 0, F.concat(F.lit("k"), text(p + 1))).alias("dependency"))
+    files = t.region.limit(1).select(F.explode(F.array(*map(F.lit, ("f0", "f3", "g1", "g2")))).alias("file"))
+    return R.key_dependencies(entries, files, "file")

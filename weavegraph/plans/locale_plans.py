@@ -232,3 +232,107 @@ def a17_duplicate_texts(t: Tables) -> DataFrame:
 @plan("""select lang as locale, '{"doc_id":' || doc_id || ',"source":"' || source || '"}' as line from documents""")
 def s10_shard_lines(t: Tables) -> DataFrame:
     return C.shard_lines(t.documents, "lang", ["source", "doc_id"])
+
+
+PLANTED_SQL = f"{TEXTS_SQL}, planted as (select locale, key, case when key like '%/2' then 'same' when key like '%/3' and locale <> 'de' then 'same3' when key like '%/4' and locale = 'fr' then '' else text end as text from texts)"
+FIELDS_SQL = "fields as (select distinct 'c' || (doc_id % 3)::varchar as kind, doc_id % 40 as id, source || '/' || (n_chars % 9)::varchar as key, 'f' || (doc_id % 4)::varchar as field from documents), names as (select kind, id, min(key) as key from fields where id % 3 > 0 group by 1, 2)"
+
+
+def planted(t: Tables) -> DataFrame:
+    """Texts of which some are the same in all locales, some in all but one, and some empty."""
+    k = F.col("key")
+    text = F.when(k.endswith("/2"), "same").when(k.endswith("/3") & (F.col("locale") != "de"), "same3").when(k.endswith("/4") & (F.col("locale") == "fr"), "").otherwise(F.col("text"))
+    return texts(t).select("locale", "key", text.alias("text"))
+
+
+def fields(t: Tables) -> DataFrame:
+    d = F.col("doc_id")
+    e = t.documents.select(F.concat(F.lit("c"), (d % 3).cast("string")).alias("kind"), (d % 40).alias("id"), F.concat("source", F.lit("/"), (F.col("n_chars") % 9).cast("string")).alias("key"), F.concat(F.lit("f"), (d % 4).cast("string")).alias("field")).distinct()
+    return e.withColumn("is_name", F.col("field") == "f0")
+
+
+def names(t: Tables) -> DataFrame:
+    return fields(t).filter("id % 3 > 0").groupBy("kind", "id").agg(F.min("key").alias("key"))
+
+
+@plan(
+    f"with {TEXTS_SQL}, k as (select distinct key from texts), l as (select distinct locale from texts), h as (select locale, key from k, l except select locale, key from texts) select h.locale, h.key, split_part(h.key, '/', 1) as namespace, coalesce((select string_agg(o.locale, ',' order by o.locale) from h o where o.key = h.key and o.locale <> h.locale), '') as also_missing_in from h"
+)
+def a9_hole_rows(t: Tables) -> DataFrame:
+    return L.hole_rows(texts(t)).withColumn("also_missing_in", F.array_join("also_missing_in", ","))
+
+
+PIVOT_SQL = "j as (select x.*, p.text as p, c.text as c, coalesce(x.text = p.text and p.text <> '', false) as same from planted x left join planted p on p.key = x.key and p.locale = 'en' left join planted c on c.key = x.key and c.locale = 'de')"
+
+
+@plan(
+    f"with {PLANTED_SQL}, {PIVOT_SQL}, e as (select key, bool_and(text is not distinct from p and p is not null) as everywhere from j group by 1) select locale, count(*) as held, count(*) filter (same) as same_text, count(*) filter (same and c is distinct from p) as comparator_differs, count(*) filter (everywhere) as same_everywhere from j join e using (key) group by 1"
+)
+def a10_identity_profile(t: Tables) -> DataFrame:
+    return L.identity_profile(planted(t), "en", "de")
+
+
+@plan(f"with {PLANTED_SQL}, {PIVOT_SQL} select locale, key from j where same and c is not distinct from p")
+def a10_identity_residual(t: Tables) -> DataFrame:
+    return L.identity_residual(planted(t), "en", "de")
+
+
+HELD_SQL = "held as (select * from planted where text <> '')"
+
+
+@plan(
+    f"""with {PLANTED_SQL}, {FIELDS_SQL}, {HELD_SQL}, e as (select distinct kind, id, key from fields), n as (select kind, id, count(*) as terms from e group by 1, 2), h as (select kind, id, locale, count(*) as present from e join held using (key) group by 1, 2, 3),
+    c as (select kind, locale, count(*) as any_present, count(*) filter (present = terms) as all_present from h join n using (kind, id) group by 1, 2), s as (select kind, x.locale, count(distinct id) as same from names join held x using (key) join held p on p.key = x.key and p.locale = 'en' where x.locale <> 'en' and x.text = p.text group by 1, 2),
+    k as (select kind, count(*) as entities from n group by 1), l as (select distinct locale from texts) select k.kind, l.locale, entities, coalesce(any_present, 0) as any_present, coalesce(all_present, 0) as all_present, coalesce(same, 0) as name_identical,
+    (200000 * coalesce(any_present, 0) + entities) // (2 * entities) as any_rate, (200000 * coalesce(all_present, 0) + entities) // (2 * entities) as all_rate from k cross join l left join c on c.kind = k.kind and c.locale = l.locale left join s on s.kind = k.kind and s.locale = l.locale"""
+)
+def a11_locale_profile(t: Tables) -> DataFrame:
+    return L.locale_profile(fields(t), planted(t), names(t), "en")
+
+
+@plan(
+    f"""with {PLANTED_SQL}, {FIELDS_SQL}, {HELD_SQL}, n as (select kind, id, count(distinct key) as terms from fields group by 1, 2), h as (select kind, id, locale, count(distinct key) as present, string_agg(distinct field, '+' order by field) as f, bool_or(field = 'f0') as named from fields join held using (key) group by 1, 2, 3),
+    g as (select kind, id, x.locale, bool_or(x.locale <> 'en' and x.text = p.text) as same, true as eff from names join held x using (key) left join held p on p.key = x.key and p.locale = 'en' group by 1, 2, 3), j as (select * from h full join g using (kind, id, locale))
+    select n.kind, n.id, coalesce(string_agg(locale, ',' order by locale) filter (present is not null), '') as available, coalesce(string_agg(locale, ',' order by locale) filter (present < terms), '') as partial, coalesce(string_agg(locale, ',' order by locale) filter (named or eff), '') as named,
+    coalesce(string_agg(locale, ',' order by locale) filter (same), '') as identity, coalesce(string_agg(locale || ':' || f, ',' order by locale) filter (present is not null), '') as fields from n left join j using (kind, id) group by 1, 2"""
+)
+def a12_availability_profile(t: Tables) -> DataFrame:
+    a = L.availability_profile(fields(t), planted(t), names(t), "en")
+    spelled = F.array_sort(F.transform(F.map_entries("fields"), lambda e: F.concat(e["key"], F.lit(":"), F.array_join(e["value"], "+"))))
+    return a.select("kind", "id", *[F.array_join(c, ",").alias(c) for c in ("available", "partial", "named", "identity")], F.array_join(spelled, ",").alias("fields"))
+
+
+@plan("select 'no order' as reason, 'gap' as severity, 'ask' as unblock, c_custkey::varchar as detail, 1::bigint as n from customer where c_custkey not in (select o_custkey from orders) union all select 'debt', 'info', '', null, count(*) from customer where c_acctbal < -900 union all select 'rich', 'gap', '', null, 0")
+def c8_ledger_of_items_and_populations(t: Tables) -> DataFrame:
+    none = t.customer.join(t.orders, F.col("o_custkey") == F.col("c_custkey"), "left_anti")
+    parts = {"no order": none, "debt": t.customer.filter("c_acctbal < -900"), "rich": t.customer.filter("c_acctbal > 1e9"), "nobody": t.customer.filter("c_custkey < -1")}
+    return C.open_item_ledger(parts, "c_custkey", {"debt": "info"}, {"no order": "ask"}, ("debt", "rich"))
+
+
+@plan(
+    """with d as (select c_custkey as id, n_name as kind from customer join nation on n_nationkey = c_nationkey), t as (select distinct o_custkey as id, o_orderpriority as key, '<b>' || o_orderstatus || '</b> ' as text from orders where o_orderstatus <> 'P'),
+    e as (select id, key, min(trim(regexp_replace(text, '<[^>]+>', '', 'g'))) as text from t group by 1, 2), l as (select id, string_agg(key || '=' || text, ',' order by key) as descriptions from e group by 1)
+    select c_custkey as id, c_name as name, coalesce(descriptions, '') as descriptions, case when c_custkey % 2 = 0 then 'icon' || (c_custkey % 5) end as sub_name, case when kind = 'FRANCE' then 3 when kind = 'CHINA' then 2 else 0 end as weight,
+    case when kind = 'FRANCE' and c_name < 'Customer#000000500' then 'internal' else 'public' end as visibility from customer join d on d.id = c_custkey left join l on l.id = c_custkey"""
+)
+def c3_search_documents(t: Tables) -> DataFrame:
+    kinds = t.customer.join(t.nation, F.col("n_nationkey") == F.col("c_nationkey")).select(F.col("n_name").alias("kind"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    o = t.orders.select(F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("key"), F.when(F.col("o_orderstatus") == "P", "<i></i> ").otherwise(F.concat(F.lit("<b>"), "o_orderstatus", F.lit("</b> "))).alias("text")).distinct()
+    told = o.join(kinds.select("kind", "id"), "id")
+    icons = kinds.filter("id % 2 = 0").select("kind", "id", F.concat(F.lit("icon"), (F.col("id") % 5).cast("string")).alias("sub_name"), F.lit(None).cast("string").alias("guid"))
+    aliases = told.limit(0).select("kind", "id", F.col("key").alias("class"), "text")
+    hidden = [f"Customer#{i:09}" for i in range(500)]
+    d = C.search_documents(kinds, aliases, told, icons, {"FRANCE": 3, "CHINA": 2}, {"FRANCE": hidden})
+    spelled = F.array_join(F.transform("descriptions", lambda x: F.concat(x["key"], F.lit("="), x["text"])), ",")
+    return d.select("id", "name", spelled.alias("descriptions"), "icon.sub_name", "weight", "visibility")
+
+
+@plan(
+    """with r as (select p_brand as kind, p_partkey as id, case when p_size % 4 = 0 then p_name when p_size % 4 = 1 then '<b></b>' end as literal, case when p_size % 3 = 0 then 'dev' end as dev, case when p_size % 5 > 0 then 't' || (p_size % 10) end as term, case when p_size > 40 then 'icon' when p_size < 3 then '' end as sub_name from part),
+    x as (select 't' || i as key from range(0, 7) g(i)) select kind, count(*) as n_rows, count(*) filter (term is not null or dev is not null) as carriers, count(*) filter (literal is not null and literal <> '<b></b>') as literals, count(dev) as dev_texts, count(term) as terms, count(key) as resolved, count(*) filter (term is not null and key is null) as open, count(*) filter (sub_name = 'icon') as sprites from r left join x on key = term group by 1"""
+)
+def c4_component_census(t: Tables) -> DataFrame:
+    s = F.col("p_size")
+    rows = t.part.select(F.col("p_brand").alias("kind"), F.col("p_partkey").alias("id"), F.when(s % 4 == 0, F.col("p_name")).when(s % 4 == 1, "<b></b>").alias("literal"), F.when(s % 3 == 0, "dev").alias("dev"), F.when(s % 5 > 0, F.concat(F.lit("t"), (s % 10).cast("string"))).alias("term"), F.when(s > 40, "icon").when(s < 3, "").alias("sub_name"))
+    keys = t.region.limit(1).select(F.explode(F.sequence(F.lit(0), F.lit(9))).alias("i")).select(F.concat(F.lit("t"), F.col("i").cast("string")).alias("key"), F.when(F.col("i") < 7, "text").otherwise("<b> </b>").alias("text"))
+    return C.component_census(rows, keys)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weavegraph.operators import audit as A
 from weavegraph.operators import drift as D
 from weavegraph.operators import quality as Q
-from weavegraph.operators.order import numbered
+from weavegraph.operators.order import numbered, quota_sample
 from weavegraph.operators.resolve import top_k
 from weavegraph.plans.registry import Plans, Tables
 from weavegraph.sources.shared import stored
@@ -313,3 +313,37 @@ def o5_quota_sample(t: Tables) -> DataFrame:
 @plan("select p_brand, p_partkey, rank::int as rank from (select p_brand, p_partkey, row_number() over (partition by p_brand order by p_retailprice desc, p_partkey) as rank from part) where rank <= 10")
 def w2_top10_by_price(t: Tables) -> DataFrame:
     return top_k(t.part.select("p_brand", "p_partkey", "p_retailprice"), ["p_brand"], [F.col("p_retailprice").desc(), F.col("p_partkey")], 10, "rank").select("p_brand", "p_partkey", "rank")
+
+
+@plan(
+    """with r as (select case o_orderkey % 4 when 0 then 'customer' when 1 then 'scene' when 2 then 'name' else 'ghost' end as kind, case when o_orderkey % 4 = 2 then (o_custkey % 2 = 0) else (o_custkey % 5 > 0) end as there from orders where o_orderkey % 9 > 0)
+    select 'closure' as check_id, 'orders:' || kind as dataset, case when n = 0 then 'PASS' else 'FAIL' end as status, 0::bigint as expected, n as measured from (select kind, case when kind = 'scene' then 0 when kind = 'ghost' then count(*) else count(*) filter (not there) end as n from r group by 1)"""
+)
+def q7_closure(t: Tables) -> DataFrame:
+    """References of four kinds: to a table, to one that is special, by names in other spellings, and to a kind without targets."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    kind = F.when(k % 4 == 0, "customer").when(k % 4 == 1, "scene").when(k % 4 == 2, "name").otherwise("ghost")
+    refs = t.orders.select(kind.alias("kind"), F.when(k % 9 > 0, F.when(k % 4 == 2, F.concat(F.lit("Name-"), c.cast("string"))).otherwise(c.cast("string"))).alias("ref"))
+    ids = t.orders.select("o_custkey").distinct()
+    targets = ids.filter("o_custkey % 5 > 0").select(F.lit("customer").alias("kind"), F.col("o_custkey").cast("string").alias("id")).unionByName(ids.filter("o_custkey % 2 = 0").select(F.lit("name").alias("kind"), F.concat(F.lit("name_"), F.col("o_custkey").cast("string")).alias("id")))
+    return Q.closure(refs, "kind", "ref", targets, "orders", ("scene",), ("name",))
+
+
+@plan(
+    """with m as (select s as metric, n::double as v from (select o_orderstatus as s, count(*) as n from orders group by 1))
+    select metric || '.rows' as left_metric, metric || x.side as right_metric, case x.side when '.dozens' then v / 4 when '.rows' then v when '.none' then null else null end as expected, case x.side when '.dozens' then v / 4 + (metric = 'F')::int when '.rows' then v when '.none' then null else v end as right_value,
+    case x.side when '.dozens' then case when metric = 'F' then 'differs' else 'same' end when '.rows' then 'same' when '.none' then 'missing' else 'unregistered' end as verdict from m, (values ('.dozens'), ('.rows'), ('.none'), ('.bytes')) x(side)"""
+)
+def q16_unit_comparisons(t: Tables) -> DataFrame:
+    by = t.orders.groupBy("o_orderstatus").agg(F.count("*").cast("double").alias("v"))
+    each = lambda name, unit, v: by.select(F.concat("o_orderstatus", F.lit(f".{name}")).alias("metric"), F.lit(unit).alias("unit"), v.alias("value"))
+    m = each("rows", "rows", F.col("v")).unionByName(each("dozens", "fours", F.col("v") / 4 + (F.col("o_orderstatus") == "F").cast("int"))).unionByName(each("bytes", "bytes", F.col("v")))
+    sides = F.explode(F.array(*map(F.lit, (".dozens", ".rows", ".none", ".bytes"))))
+    pairs = by.select("o_orderstatus", sides.alias("side")).select(F.concat("o_orderstatus", F.lit(".rows")).alias("left_metric"), F.concat("o_orderstatus", "side").alias("right_metric"))
+    transforms = by.limit(1).select(F.lit("rows").alias("source"), F.lit("fours").alias("target"), F.lit(0.25).alias("factor"))
+    return Q.unit_comparisons(pairs, m, transforms)
+
+
+@plan("with a as (select p_brand, p_partkey, p_name, row_number() over (partition by p_brand order by p_name, p_partkey) as rn from part), r as (select *, row_number() over (order by p_name, p_partkey) as place from a where rn > 3) select p_brand, p_partkey from a where rn <= 3 union all select p_brand, p_partkey from r where place % 7 = 1")
+def o5_stride_over_the_rest(t: Tables) -> DataFrame:
+    return quota_sample(t.part.select("p_brand", "p_name", "p_partkey"), "p_brand", ["p_name", "p_partkey"], 3, 7).select("p_brand", "p_partkey")

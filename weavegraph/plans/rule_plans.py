@@ -147,3 +147,35 @@ def f12_payload_hash(t: Tables) -> DataFrame:
 @plan("select lang, null as source, count(*) as n, sum(n_chars)::bigint as bytes from documents group by 1 union all select null, source, count(*), sum(n_chars)::bigint from documents group by 2")
 def s12_media_rollup(t: Tables) -> DataFrame:
     return io.media_rollup(t.documents, "lang", "source", "n_chars")
+
+
+@plan(
+    """with e as (select distinct p_partkey % 60 as g, case when p_size % 10 > 0 then 'a' || p_size end as a from part where p_partkey % 60 <> 7), c as (select distinct 'a' || (s_suppkey * 2 % 40) as a from supplier),
+    b as (select g, min(a) filter (a in (select a from c)) as held, min(a) as any_ from e group by 1) select o_orderkey, coalesce(held, any_) as address, case when b.g is null then 'guid' when any_ is null then 'address' when held is null then 'container' else 'none' end as chain from orders left join b on g = o_custkey % 60"""
+)
+def p6_chosen_address(t: Tables) -> DataFrame:
+    entries = t.part.filter("p_partkey % 60 <> 7").select((F.col("p_partkey") % 60).alias("guid"), F.when(F.col("p_size") % 10 > 0, F.concat(F.lit("a"), F.col("p_size").cast("string"))).alias("address"))
+    containers = t.supplier.select(F.concat(F.lit("a"), (F.col("s_suppkey") * 2 % 40).cast("string")).alias("address"))
+    return I.chosen_address(t.orders.select("o_orderkey", (F.col("o_custkey") % 60).alias("g")), "g", entries, containers).select("o_orderkey", "address", "chain")
+
+
+@plan(
+    """with p as (select p_partkey, p_size % 5 as x, case when p_size % 11 > 0 then p_size % 3 end as y from part), m as (select x, y from p where y is not null group by 1, 2 order by count(*) desc, x, y limit 1)
+    select p_partkey, coalesce(p.y is not null and (p.x <> m.x or p.y <> m.y), false) as variant from p, m"""
+)
+def p22_variants_of_mode(t: Tables) -> DataFrame:
+    d = t.part.select("p_partkey", (F.col("p_size") % 5).alias("x"), F.when(F.col("p_size") % 11 > 0, F.col("p_size") % 3).alias("y"))
+    return S.variants_of_mode(d, ["x", "y"]).select("p_partkey", "variant")
+
+
+@plan(
+    """with b as (select c_custkey as k, c_custkey % 3 as w from customer) select k as c_custkey, 'decay' as source, x.a as attribute, x.r * k as rate from b, (values ('food', 0.5), ('rest', 2.0)) x(a, r) where w = 0 union all
+    select k, 'room', 'noise', k::double from b where w = 1 union all select k, 'item', 'light', k + 0.25 from b where w = 1"""
+)
+def a24_rates_of_blocks(t: Tables) -> DataFrame:
+    """Three sources in blocks of two classes: an object of rates, a list of them, and members that aren't there."""
+    k = F.col("c_custkey").cast("double")
+    first = F.parse_json(F.to_json(F.struct(F.struct((k * 0.5).alias("food"), (k * 2).alias("rest")).alias("rates"))))
+    second = F.parse_json(F.to_json(F.struct(F.array(F.struct(F.lit("noise").alias("attribute"), k.alias("rate")), F.struct(F.lit("none").alias("attribute"), F.lit(None).cast("double").alias("rate"))).alias("list"), F.struct((k + 0.25).alias("light")).alias("item"))))
+    blocks = t.customer.select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, "Decay").when(F.col("c_custkey") % 3 == 1, "Room").otherwise("Other").alias("class"), F.when(F.col("c_custkey") % 3 == 0, first).otherwise(second).alias("data"))
+    return U.need_rates(blocks, ["c_custkey"], {"decay": ("Decay", "$.rates"), "room": ("Room", "$.list"), "item": ("Room", "$.item"), "gone": ("Room", "$.gone")})

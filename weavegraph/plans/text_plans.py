@@ -233,3 +233,25 @@ def p26_miss_excuse(t: Tables) -> DataFrame:
     d = t.pages.withColumn("key", X.normalize_ref("url"))
     j = d.join(keys, (d["key"] == keys["key"]) & (d["page_id"] == keys["known_id"]), "left")
     return j.select("page_id", F.when(F.col("url").rlike(r"\{[^}]*\}"), "braced").when(F.col("known_id").isNotNull(), "known key").alias("excuse"))
+
+
+@plan("select p_partkey, concat_ws(',', case when contains(p_name, 'red') then 'red' end, case when contains(lower(p_type), 'promo') then 'promo' end, case when p_size > 40 then 'large' end) as hits from part")
+def p15_predicate_hits(t: Tables) -> DataFrame:
+    tests = {"red": F.contains(F.col("p_name"), F.lit("red")), "promo": F.contains(F.lower("p_type"), F.lit("promo")), "large": F.col("p_size") > 40}
+    return P.predicate_hits(t.part, tests, ["p_partkey"]).select("p_partkey", F.array_join("hits", ",").alias("hits"))
+
+
+@plan("select o_orderstatus, case o_orderstatus when 'F' then 'done' when 'O' then 'open' else 'partial' end as label, count(*) as n from orders group by 1")
+def p14_closed_label(t: Tables) -> DataFrame:
+    return t.orders.withColumn("label", P.closed_label("o_orderstatus", {"F": "done", "O": "open", "P": "partial"})).groupBy("o_orderstatus", "label").agg(F.count("*").alias("n"))
+
+
+@plan(
+    """select doc_id, case lang when 'en' then 'base' when 'de' then 'de-DE' when 'fr' then 'fr-FR' when 'es' then 'unknown:es' end as locale, case when doc_id % 3 = 0 then source else 'b_' || doc_id end as stem, case when doc_id % 3 = 0 then 'address-basename' else 'bundle-pathid' end as named_by from documents where lang in ('en', 'de', 'fr', 'es')"""
+)
+def f4_f16_locale_and_standalone_name(t: Tables) -> DataFrame:
+    d = t.documents.filter("lang in ('en', 'de', 'fr', 'es')")
+    name = F.when(F.col("lang") == "en", "texts.bundle").when(F.col("lang") == "de", "texts_German.bundle").otherwise(F.concat(F.lit("texts"), "lang", F.lit(".bundle")))
+    address = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("a/b/"), "source", F.lit(".png"))).when(F.col("doc_id") % 3 == 1, F.lit("a/.png"))
+    named = X.standalone_name(address, F.lit("b"), F.col("doc_id"))
+    return d.select("doc_id", X.locale_of(name, "texts", {"german": "de-DE", "fr": "fr-FR"}).alias("locale"), named.alias("s")).select("doc_id", "locale", "s.*")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weavegraph.operators import rules as U
 from weavegraph.operators import walk as K
 from weavegraph.plans.registry import Plans, Tables
 
@@ -247,3 +248,26 @@ def n1_broken_payloads(t: Tables) -> DataFrame:
     deep = F.concat(F.repeat(F.lit('{"a":'), F.lit(3000)), F.lit("1"), F.repeat(F.lit("}"), F.lit(3000)))
     text = F.when(k % 7 == 0, F.lit(None)).when(k % 5 == 0, F.lit('{"a":')).when(k % 11 == 0, deep).otherwise(F.lit('{"a": [1]}'))
     return K.broken_payloads(t.customer.select(text.alias("payload")), "payload")
+
+
+@plan(
+    """select class, case when class = 'Unlock' then true else false end as member, n as blocks, n as carriers, 1::bigint as most_in_one from (select unnest(['Unlock', 'Other']) as class, count(*) as n from orders)"""
+)
+def a36_block_census(t: Tables) -> DataFrame:
+    """Blocks of a class that descends from the wanted one, and of one that only names it without its namespace."""
+    types = t.spark.createDataFrame([("Unlock", "N.Wanted", []), ("Other", "Wanted", ["M.Wanted"])], "type string, base string, interfaces array<string>")
+    return U.block_census(K.typed_blocks(block_payloads(t), "payload", ["o_orderkey"]), ["o_orderkey"], types, "N.Wanted")
+
+
+@plan(
+    """with u as (select o_orderkey, count(*) filter (l_linenumber > 2) as n, string_agg(distinct l_suppkey::varchar, ',' order by l_suppkey::varchar) filter (l_linenumber > 2) as targets from orders left join lineitem on l_orderkey = o_orderkey group by 1)
+    select o_orderkey, o_custkey as cool, case when o_orderkey % 3 = 0 and not (o_orderkey % 5 = 0 and o_custkey = 0) then 'mod' || o_custkey end as modifier, 'Unlock,Other' as blocks, 'Unlock' as needs, coalesce(targets, '') as targets from orders join u using (o_orderkey)"""
+)
+def a38_profile_in_full(t: Tables) -> DataFrame:
+    p = block_payloads(t)
+    pointers = K.block_pointers(p, "payload", ["o_orderkey"]).filter("class = 'Unlock'")
+    modifiers = pointers.select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, "resolved").otherwise("missing").alias("status"), F.lit("config").alias("kind"), F.concat(F.lit("mod"), F.col("path_id").cast("string")).alias("id"))
+    edges = t.lineitem.filter("l_linenumber > 2").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").cast("string").alias("target"))
+    blocks = K.typed_blocks(p, "payload", ["o_orderkey"])
+    d = U.interaction_profile(p, "payload", "o_orderkey", {"cool": "$.references['1f'].data.n"}, modifiers, blocks, "^Un", edges)
+    return d.select("o_orderkey", F.try_variant_get("cool", "$", "bigint").alias("cool"), F.col("modifier.id").alias("modifier"), F.array_join("blocks", ",").alias("blocks"), F.array_join("needs", ",").alias("needs"), F.array_join("targets", ",").alias("targets"))
