@@ -170,6 +170,12 @@ def test_names_are_unique(spark):
     assert {r["at"]: r.file_name for r in got} == one_by_one(rows)
 
 
+def test_demoted_keys_are_unique(spark):
+    df = spark.createDataFrame([("a", 1, 10), ("a", 2, 11), ("a@r1", 5, 12), ("b", 3, 13), ("b", 3, 14), ("b@p13", 1, 15), (None, 1, 16)], "k string, r int, p int")
+    got = {r.p: r.unique_key for r in resolve.demote_collisions(df, "k", "r", "p").collect()}
+    assert got == {10: "a@r1", 11: "a@r2", 12: "a@r1@p12", 13: "b@p13", 14: "b@p14", 15: "b@p13@p15", 16: None}
+
+
 def test_points_in_boxes_of_all_sizes(spark):
     rng = random.Random(4)
     points = [(i, i % 2, rng.uniform(-5, 5), rng.choice([None, rng.uniform(-5, 5), 1e300])) for i in range(300)]

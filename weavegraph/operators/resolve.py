@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -252,31 +253,43 @@ def in_bounds(points: DataFrame, bounds: DataFrame, on: list[str], axes: list[st
     return mine.join(hits, "point__").drop("point__", "one__")
 
 
-def demote_collisions(df: DataFrame, key: str, ordinal: str, path_id: str) -> DataFrame:
-    """Keys that several rows have get @r<ordinal>, and @p<path_id> where that isn't unique either."""
-    several = F.count("*").over(Window.partitionBy(key)) > 1
-    by_ordinal = F.concat(F.col(key), F.lit("@r"), F.col(ordinal).cast("string"))
-    again = F.count("*").over(Window.partitionBy(key, ordinal)) > 1
-    return df.withColumn("unique_key", F.when(~several, F.col(key)).when(~again, by_ordinal).otherwise(F.concat(F.col(key), F.lit("@p"), F.col(path_id).cast("string"))))
-
-
-def assign_unique_name(df: DataFrame, stem: str, order: str, priority: list[str] | None = None) -> DataFrame:
-    """file_name, of which no two rows have the same: the stem, else <stem>_<order>, else <stem>_<order>_2, _3 and so on,
-    the first that no row before it in the order of `priority` (by default stem and order) has. priority must tell rows apart.
+def claimed(df: DataFrame, name_of: Callable[[Column], Column], priority: list[str], into: str) -> DataFrame:
+    """Every row with the first of its names (name_of() of 0, 1, 2, ..) that no row before it, by priority, has. priority
+    must tell rows apart; a row whose name is null has none.
 
     All rows claim their next name at once, a name goes to the first of those that claim or hold it, and the others claim
-    again, until none is turned down: which gives what going through the rows one by one would. A null stem has no name.
+    again, until none is turned down: which gives what going through the rows one by one would.
     """
-    by = priority or [stem, order]
-    tried = F.when(F.col("try__") == 0, F.col(stem).cast("string")).otherwise(F.concat(F.col(stem).cast("string"), F.lit("_"), F.col(order).cast("string"), F.when(F.col("try__") > 1, F.concat(F.lit("_"), F.col("try__").cast("string"))).otherwise("")))
     t = stored(df.withColumn("row__", F.monotonically_increasing_id()).withColumn("try__", F.lit(0)), "names")
     while True:
-        t = t.withColumn("file_name", tried)
-        holder = t.filter("file_name is not null").groupBy("file_name").agg(F.min(F.struct(*by, "row__")).alias("holder__"))
-        t = stored(t.join(holder, "file_name", "left").withColumn("lost__", F.coalesce(F.col("holder__.row__") != F.col("row__"), F.lit(False))).drop("holder__"), "names")
+        t = t.withColumn(into, name_of(F.col("try__")))
+        holder = t.filter(F.col(into).isNotNull()).groupBy(into).agg(F.min(F.struct(*priority, "row__")).alias("holder__"))
+        t = stored(t.join(holder, into, "left").withColumn("lost__", F.coalesce(F.col("holder__.row__") != F.col("row__"), F.lit(False))).drop("holder__"), "names")
         if t.filter("lost__").isEmpty():
             return t.drop("row__", "try__", "lost__")
-        t = t.withColumn("try__", F.col("try__") + F.col("lost__").cast("int")).drop("lost__", "file_name")
+        t = t.withColumn("try__", F.col("try__") + F.col("lost__").cast("int")).drop("lost__", into)
+
+
+def _numbered(first: Column, second: Column) -> Callable[[Column], Column]:
+    """first, then second, then <second>_2, _3 and so on."""
+    return lambda n: F.when(n == 0, first).otherwise(F.concat(second, F.when(n > 1, F.concat(F.lit("_"), n.cast("string"))).otherwise("")))
+
+
+def demote_collisions(df: DataFrame, key: str, ordinal: str, path_id: str) -> DataFrame:
+    """Keys that several rows have get @r<ordinal>, and @p<path_id> where that isn't unique either. Where such a key is
+    another row's already, the later one, by key, ordinal and path_id, gets @p<path_id> behind it, and then _2, _3 and so on."""
+    several = F.count("*").over(Window.partitionBy(key)) > 1
+    by_ordinal, by_path = F.concat(F.col(key), F.lit("@r"), F.col(ordinal).cast("string")), F.concat(F.lit("@p"), F.col(path_id).cast("string"))
+    again = F.count("*").over(Window.partitionBy(key, ordinal)) > 1
+    demoted = df.withColumn("demoted__", F.when(~several, F.col(key)).when(~again, by_ordinal).otherwise(F.concat(F.col(key), by_path)))
+    return claimed(demoted, _numbered(F.col("demoted__"), F.concat("demoted__", by_path)), [key, ordinal, path_id], "unique_key").drop("demoted__")
+
+
+def assign_unique_name(df: DataFrame, stem: str, order: str, priority: list[str] | None = None) -> DataFrame:
+    """file_name, of which no two rows have the same: the stem, else <stem>_<order>, else <stem>_<order>_2, _3 and so on,
+    the first that no row before it in the order of `priority` (by default stem and order) has. A null stem has no name."""
+    first = F.col(stem).cast("string")
+    return claimed(df, _numbered(first, F.concat(first, F.lit("_"), F.col(order).cast("string"))), priority or [stem, order], "file_name")
 
 
 def modal_value(df: DataFrame, key: str, value: str) -> DataFrame:
