@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from weavegraph.plans import source_plans
 from weavegraph.sources import io
 
 
@@ -38,3 +39,15 @@ def test_optional_and_curated(spark, tmp_path):
     for broken in ([("a", "t"), ("a", "t")], [("a", None)], [("a", "u")]):
         with pytest.raises(ValueError):
             io.scan_curated(make(broken), "k", ["t"], "t", targets, "name")
+
+
+def test_places_of_lines_when_files_are_read_in_blocks(spark, tmp_path):
+    io.sink_jsonl_sorted(spark.range(3000).repartition(3), str(tmp_path / "lines"), ["id"])
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        blocks = spark.read.text(str(tmp_path / "lines")).rdd.getNumPartitions()
+        got = source_plans.places_in_files(spark, str(tmp_path / "lines")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert blocks > 4 and sorted((r.place, r.value) for r in got) == [(i + 1, f'{{"id":{i}}}') for i in range(3000)]

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weavegraph.plans.registry import Plans, Tables
 from weavegraph.sources import io
 from weavegraph.sources.json_elements import scan_json_elements
-from weavegraph.sources.shared import scratch
+from weavegraph.sources.shared import scratch, stored
 
 plan = Plans()
 ORDER_LINES = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double"
@@ -83,16 +83,22 @@ def s7_scan_curated(t: Tables) -> DataFrame:
     return io.scan_curated(t.nation, "n_nationkey", ["n_name", "n_regionkey"], "n_regionkey", t.region, "r_regionkey").select("n_nationkey", "n_name", "n_regionkey")
 
 
+def places_in_files(spark: SparkSession, path: str) -> DataFrame:
+    """value and place, from 1, of every line in the order of the files' names. Spark reads a file in blocks, which several
+    tasks may share out in any order, so a line's place is that in its block after the lines of the blocks before."""
+    made = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    lines = stored(made, "lines")
+    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("row").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per block
+    return lines.join(blocks.withColumn("before", before), ["file", "block"]).select("value", (F.col("before") + F.col("row") - F.col("first") + 1).alias("place"))
+
+
 @plan("""with l as (select row_number() over (order by c_custkey)::bigint as place, '{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '"}' as line from customer) select * from l""")
 def s8_sink_jsonl_sorted(t: Tables) -> DataFrame:
     """The lines in the order of the files and of each file: their places are those of the total order."""
     path = scratch(t.spark, "s8")
     io.sink_jsonl_sorted(t.customer.select("c_mktsegment", "c_custkey"), path, ["c_custkey"])
-    lines = t.spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("row"))
-    sizes = lines.groupBy("file").agg(F.count("*").alias("n"))  # a row per file
-    before = sizes.alias("a").join(sizes.alias("b"), F.col("b.file") < F.col("a.file"), "left").groupBy("a.file").agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
-    first = lines.groupBy("file").agg(F.min("row").alias("first"))
-    return lines.join(before, "file").join(first, "file").select((F.col("before") + F.col("row") - F.col("first") + 1).alias("place"), F.col("value").alias("line"))
+    return places_in_files(t.spark, path).select("place", F.col("value").alias("line"))
 
 
 @plan("select lang, doc_id, n_chars from documents")
