@@ -68,6 +68,12 @@ def test_query_equals_sql(spark):
     assert len(got) and sorted(map(tuple, got)) == sorted(want.fetchall())
 
 
+def test_query_has_the_columns_of_its_sql(spark):
+    con = duckdb.connect()
+    con.sql("create view embeddings as select * from '/root/testdata/sf0.001/embeddings.parquet'")
+    assert catalog.op12_hard_negatives(spark, "/root/testdata/sf0.001").columns == con.sql(negatives.NEGATIVES_SQL).columns
+
+
 def test_intervals_hold_every_score():
     rng = np.random.default_rng(1)
     x, q = rng.integers(-300, 300, (500, 40)), rng.integers(-300, 300, 40)
