@@ -3,6 +3,7 @@ import json
 import pytest
 
 from weavegraph.plans import source_plans
+from weavegraph.plans.registry import Tables
 from weavegraph.sources import io
 
 
@@ -51,3 +52,11 @@ def test_places_of_lines_when_files_are_read_in_blocks(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
     assert blocks > 4 and sorted((r.place, r.value) for r in got) == [(i + 1, f'{{"id":{i}}}') for i in range(3000)]
+
+
+def test_tree_is_written_by_more_tasks_than_its_folders_give(spark, tmp_path):
+    """Supplier rows of one folder are no single task's: each file's name holds its task."""
+    spark.range(60).selectExpr("id as s_suppkey", "'n' as s_name", "0 as s_nationkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    tree = source_plans.payload_tree(Tables(spark, str(tmp_path)))
+    files = [f for f in spark.read.format("binaryFile").option("recursiveFileLookup", True).load(tree).select("path").toPandas()["path"] if f.endswith(".txt")]
+    assert len(files) == 60 and len({f.rsplit("/", 1)[1].split("-")[1] for f in files}) > 4

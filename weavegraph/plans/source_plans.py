@@ -22,11 +22,12 @@ def s1_scan_jsonl(t: Tables) -> DataFrame:
 
 
 def payload_tree(t: Tables) -> str:
-    """A JSON file per supplier, in the folders of its family and class."""
+    """A JSON file per supplier, in the folders of its family and class. A file costs more than its row, and its folder has
+    thousands, so rows are dealt over all cores and not by folders."""
     path = scratch(t.spark, "tree")
     body = F.to_json(F.struct("s_suppkey", F.struct("s_name").alias("deep")))
     rows = t.supplier.select(body.alias("value"), (F.col("s_nationkey") % 3).alias("family"), F.concat(F.lit("C"), (F.col("s_suppkey") % 4).cast("string")).alias("class"))
-    rows.repartition(4, "family", "class").write.option("maxRecordsPerFile", 1).partitionBy("family", "class").text(path)
+    rows.repartition(4 * t.spark.sparkContext.defaultParallelism).write.option("maxRecordsPerFile", 1).partitionBy("family", "class").text(path)
     return path
 
 
