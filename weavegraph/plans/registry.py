@@ -19,6 +19,11 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
 
+def over_cores(df: DataFrame, each: int = 4) -> DataFrame:
+    """df over all cores, `each` tasks a core: a small file is one task otherwise, however much work its rows make."""
+    return df.repartition(each * df.sparkSession.sparkContext.defaultParallelism)
+
+
 class Plans:
     """Queries and their SQL; used as a decorator with the SQL, or None where SQL has no like."""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weavegraph.plans.registry import Plans, Tables
+from weavegraph.plans.registry import Plans, Tables, over_cores
 from weavegraph.sources import io
 from weavegraph.sources.json_elements import scan_json_elements
 from weavegraph.sources.shared import scratch, stored
@@ -27,7 +27,7 @@ def payload_tree(t: Tables) -> str:
     path = scratch(t.spark, "tree")
     body = F.to_json(F.struct("s_suppkey", F.struct("s_name").alias("deep")))
     rows = t.supplier.select(body.alias("value"), (F.col("s_nationkey") % 3).alias("family"), F.concat(F.lit("C"), (F.col("s_suppkey") % 4).cast("string")).alias("class"))
-    rows.repartition(4 * t.spark.sparkContext.defaultParallelism).write.option("maxRecordsPerFile", 1).partitionBy("family", "class").text(path)
+    over_cores(rows).write.option("maxRecordsPerFile", 1).partitionBy("family", "class").text(path)
     return path
 
 
