@@ -37,12 +37,12 @@ def _whole(node: Column, at: str) -> Column:
     return F.coalesce(F.try_variant_get(node, at, "bigint").isNotNull() & _is(member, "BIGINT"), F.lit(False))
 
 
-def walk(df: DataFrame, payload: str, keep: list[str], hit: Column | None, values: dict[str, Column], blocked: tuple[str, ...] = (), again: bool = False, beside: bool = False) -> DataFrame:
+def walk(df: DataFrame, payload: str, keep: list[str], hit: Column | None, values: dict[str, Column], blocked: tuple[str, ...] = (), again: bool = False, beside: bool = False, under: str = "") -> DataFrame:
     """The nodes that are hits, to any depth that Spark parses: keep, path, key, pos and the values.
 
     hit and values are columns over node__ (VARIANT), key__, pos__ and, if asked for, beside__, the asset of the reference
     that stands beside a key in its object (<key>Reference). An element of a list has the key of its list. A hit isn't
-    opened, unless `again`; blocked keys aren't either. Without a hit, the scalar nodes are found: what can't be opened
+    opened, unless `again`; blocked keys aren't either, nor is what can't lead to a path that begins with `under`. Without a hit, the scalar nodes are found: what can't be opened
     and is no empty object or list.
 
     Every level is one variant_explode: found nodes ride along, open ones give their members. After LEVELS of them the rows
@@ -98,6 +98,8 @@ def walk(df: DataFrame, payload: str, keep: list[str], hit: Column | None, value
             F.col("value").alias("node__"),
             "found__",
         )
+        if under:
+            out = out.filter(F.startswith("path__", F.lit(under)) | F.startswith(F.lit(under), "path__"))
         return judged(out, F.col("node__").isNotNull())
 
     pieces, levels = [], LEVELS
@@ -111,15 +113,16 @@ def walk(df: DataFrame, payload: str, keep: list[str], hit: Column | None, value
             break
         levels = min(MOST_LEVELS, 2 * levels)
     whole = reduce(DataFrame.unionByName, pieces)
+    whole = whole.filter(F.startswith("path__", F.lit(under))) if under else whole
     return whole.select(*[F.col(f"keep__.`{c}`").alias(c) for c in keep], F.col("path__").alias("path"), F.col("key__").alias("key"), F.col("pos__").alias("pos"), *[F.col(f"found__.`{n}`").alias(n) for n in values])
 
 
-def leaves(df: DataFrame, payload: str, keep: list[str], blocked: tuple[str, ...] = ()) -> DataFrame:
+def leaves(df: DataFrame, payload: str, keep: list[str], blocked: tuple[str, ...] = (), under: str = "") -> DataFrame:
     """The scalar nodes: kind (VOID, BOOLEAN, STRING, BIGINT, DOUBLE) and value as text; a fraction is DOUBLE, and its text has
-    no zeros at its end."""
+    no zeros at its end. With `under`, those whose path begins with it; nothing else is opened."""
     kind = F.schema_of_variant("node__")
     number = F.when(kind.rlike(r"^DECIMAL\(\d+,0\)$"), "BIGINT").when(kind.startswith("DECIMAL"), "DOUBLE").otherwise(kind)
-    return walk(df, payload, keep, None, {"kind": number, "text": F.try_variant_get("node__", "$", "string")}, blocked)
+    return walk(df, payload, keep, None, {"kind": number, "text": F.try_variant_get("node__", "$", "string")}, blocked, under=under)
 
 
 POINTER = "OBJECT<m_FileID: BIGINT, m_PathID: BIGINT>"
@@ -291,7 +294,8 @@ def explode_records(df: DataFrame, payload: str, keep: list[str], families: dict
         return F.transform(F.col(f"{name}__"), lambda r: F.struct(F.lit(name).alias("record_family"), r["ordinals"].alias("ordinals"), r["record"].alias("record")))
 
     every = F.concat(*map(named, families))
-    return wide.select(*keep, F.explode(every).alias("r")).select(*keep, "r.record_family", "r.ordinals", "r.record")
+    # explode() would have Spark build all arrays once more, as a filter below, to leave out the empty ones.
+    return wide.select(*keep, F.explode_outer(every).alias("r")).filter("r is not null").select(*keep, "r.record_family", "r.ordinals", "r.record")
 
 
 def level_headers(df: DataFrame, payload: str, keep: list[str], families: dict[str, tuple[str | None, str]], fields: dict[str, str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weavegraph.operators import rules as U
 from weavegraph.operators import walk as K
-from weavegraph.plans.registry import Plans, Tables
+from weavegraph.plans.registry import Plans, Tables, over_cores
 
 plan = Plans()
 
@@ -115,7 +115,7 @@ def n15_grid_histogram(t: Tables) -> DataFrame:
 @plan("select o_orderkey, o_orderstatus as text, true as inferred from orders where o_orderstatus in ('F', 'P')")
 def j19_value_reference_probe(t: Tables) -> DataFrame:
     known = t.orders.filter("o_orderstatus <> 'O'").select(F.col("o_orderstatus").alias("known_id")).distinct()
-    return K.value_references(K.leaves(payloads(t), "payload", ["o_orderkey"]), known, r"^main\.Status$").select("o_orderkey", "text", "inferred")
+    return K.value_references(K.leaves(payloads(t), "payload", ["o_orderkey"], under="main.Status"), known, r"^main\.Status$").select("o_orderkey", "text", "inferred")
 
 
 def icon_payloads(t: Tables) -> DataFrame:
@@ -212,7 +212,7 @@ def scenario_payloads(t: Tables) -> DataFrame:
     plot = lambda p: F.struct((k + p).alias("uid"), upto(k % 3, item(p * 10)).alias("Layers"), upto((k + p) % 2, item(p * 100)).alias("Activation"))
     room = lambda r: F.struct(r.alias("uid"), upto((k + r) % 4, lambda i: F.struct((r * 10 + i).alias("id"), upto(i % 2, item(r * 1000)).alias("Parts"))).alias("Items"))
     body = F.struct(F.col("c_name").alias("Name"), F.struct(upto(k % 3 + 1, plot).alias("Plots"), upto(k % 4, room).alias("Rooms"), upto(k % 2, item(k)).alias("Arrivals")).alias("Level"))
-    return t.customer.select("c_custkey", F.to_json(body).alias("payload"))
+    return over_cores(t.customer.select("c_custkey", "c_name")).select("c_custkey", F.to_json(body).alias("payload"))
 
 
 SCENARIO = {
@@ -239,7 +239,8 @@ def n14_nested_records(t: Tables) -> DataFrame:
 @plan(f"with {SCENARIO_SQL} select c_custkey, c_name as name, f.record_family, (select count(*) from e where e.c = c_custkey and e.record_family = f.record_family) as n from customer, (values ('plot'), ('layer'), ('plot-activation'), ('room'), ('item'), ('part'), ('arrival')) f(record_family)")
 def n14_level_headers(t: Tables) -> DataFrame:
     h = K.level_headers(scenario_payloads(t), "payload", ["c_custkey"], SCENARIO, {"name": "$.Name"})
-    return h.select("c_custkey", "name", F.explode("counts").alias("record_family", "n")).select("c_custkey", "name", "record_family", F.col("n").cast("bigint").alias("n"))
+    # explode() would first ask below the shuffle, for all rows again, whether a map is empty; none is.
+    return h.select("c_custkey", "name", F.explode_outer("counts").alias("record_family", "n")).select("c_custkey", "name", "record_family", F.col("n").cast("bigint").alias("n"))
 
 
 @plan("select count(*) as payloads, count(*) filter (c_custkey % 7 = 0) as nulls, count(*) filter (c_custkey % 7 > 0 and (c_custkey % 5 = 0 or c_custkey % 11 = 0)) as broken from customer")
