@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ast
+import functools
 import re
 from collections.abc import Iterator
 
@@ -20,6 +21,37 @@ OPERATORS = {ast.Add: "+", ast.Sub: "-", ast.Mult: "*", ast.Div: "/"}
 EXPRESSION = "artifact string, path string, node int, parent int, side int, level int, op string, number double, source string, source_path string"
 
 
+#: Shapes of formulas whose trees a worker keeps.
+SHAPES = 4096
+
+
+@functools.lru_cache(maxsize=SHAPES)
+def _shape(text: str, n_cited: int) -> list[tuple] | None:
+    """A formula with cited__0, cited__1, .. for its n_cited citations as rows: node, parent, side, level, op, number, and
+    which citation. None for what isn't arithmetic. Formulas of one shape are parsed once."""
+    try:
+        tree, out = ast.parse(text, mode="eval").body, []
+        waiting = [(tree, None, 0, 0)]
+        while waiting:
+            at, parent, side, level = waiting.pop()
+            me = len(out)
+            if isinstance(at, ast.BinOp) and type(at.op) in OPERATORS:
+                out.append((me, parent, side, level, OPERATORS[type(at.op)], None, None))
+                waiting += [(at.left, me, 0, level + 1), (at.right, me, 1, level + 1)]
+            elif isinstance(at, ast.UnaryOp) and isinstance(at.op, ast.USub):
+                out.append((me, parent, side, level, "neg", None, None))
+                waiting.append((at.operand, me, 0, level + 1))
+            elif isinstance(at, ast.Constant) and type(at.value) in (int, float):
+                out.append((me, parent, side, level, "number", float(at.value), None))
+            elif isinstance(at, ast.Name) and re.fullmatch(r"cited__\d+", at.id) and int(at.id[7:]) < n_cited:
+                out.append((me, parent, side, level, "cited", None, int(at.id[7:])))
+            else:
+                return None
+    except (SyntaxError, ValueError, RecursionError, MemoryError, OverflowError):
+        return None
+    return out
+
+
 def _nodes(formula: str) -> list[tuple]:
     """A formula as rows: node, parent, side, level, op, number, source, source_path. ValueError for what isn't arithmetic."""
     cited: list[tuple[str, str]] = []
@@ -28,24 +60,10 @@ def _nodes(formula: str) -> list[tuple]:
         cited.append((m.group(1), m.group(2)))
         return f"cited__{len(cited) - 1}"
 
-    tree, out = ast.parse(CITED.sub(named, formula).strip(), mode="eval").body, []
-    waiting = [(tree, None, 0, 0)]
-    while waiting:
-        at, parent, side, level = waiting.pop()
-        me = len(out)
-        if isinstance(at, ast.BinOp) and type(at.op) in OPERATORS:
-            out.append((me, parent, side, level, OPERATORS[type(at.op)], None, None, None))
-            waiting += [(at.left, me, 0, level + 1), (at.right, me, 1, level + 1)]
-        elif isinstance(at, ast.UnaryOp) and isinstance(at.op, ast.USub):
-            out.append((me, parent, side, level, "neg", None, None, None))
-            waiting.append((at.operand, me, 0, level + 1))
-        elif isinstance(at, ast.Constant) and type(at.value) in (int, float):
-            out.append((me, parent, side, level, "number", float(at.value), None, None))
-        elif isinstance(at, ast.Name) and re.fullmatch(r"cited__\d+", at.id) and int(at.id[7:]) < len(cited):
-            out.append((me, parent, side, level, "cited", None, *cited[int(at.id[7:])]))
-        else:
-            raise ValueError(formula)
-    return out
+    shape = _shape(CITED.sub(named, formula).strip(), len(cited))
+    if shape is None:
+        raise ValueError(formula)
+    return [(*row, *(cited[i] if i is not None else (None, None))) for *row, i in shape]
 
 
 def expressions(formulas: DataFrame) -> DataFrame:
@@ -58,7 +76,7 @@ def expressions(formulas: DataFrame) -> DataFrame:
             for artifact, path, formula in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 try:
                     made = _nodes(formula or "")
-                except (SyntaxError, ValueError, RecursionError, MemoryError, OverflowError):
+                except ValueError:
                     made = [(0, None, 0, 0, "bad", None, None, None)]
                 rows += [(artifact, path, *r) for r in made]
             names = [c.split()[0] for c in EXPRESSION.split(", ")]
@@ -73,8 +91,11 @@ def evaluate(nodes: DataFrame, values: DataFrame) -> DataFrame:
     """artifact, path and result of every formula. values: source, path, value (double). Nodes are settled level by level,
     the deepest first; a node takes its operands by one grouping. A missing number, a division by zero or a bad formula
     has a null result."""
-    known = values.select("source", F.col("path").alias("source_path"), "value")
-    n = stored(nodes.join(known, ["source", "source_path"], "left").withColumn("value", F.coalesce("number", "value")), "expressions")
+    # Nodes that cite nothing, most of them, would all be one task's by their null key.
+    uncited = lambda otherwise: F.when(F.col("source").isNull(), otherwise).otherwise(F.lit(0).cast("bigint")).alias("dealt__")
+    known = values.select("source", F.col("path").alias("source_path"), "value", uncited(F.lit(-1).cast("bigint")))
+    dealt = nodes.select("*", uncited(F.pmod(F.xxhash64("artifact", "path", "node"), F.lit(1 << 20))))
+    n = stored(dealt.join(known, ["source", "source_path", "dealt__"], "left").drop("dealt__").withColumn("value", F.coalesce("number", "value")), "expressions")
     deepest = n.agg(F.coalesce(F.max("level"), F.lit(0))).first()[0]
     here = ["artifact", "path"]
     settled = n.filter(F.col("level") == deepest).select(*here, "node", "parent", "side", "value")

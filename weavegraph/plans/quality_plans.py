@@ -10,7 +10,7 @@ from weavegraph.operators import drift as D
 from weavegraph.operators import quality as Q
 from weavegraph.operators.order import numbered, quota_sample
 from weavegraph.operators.resolve import top_k
-from weavegraph.plans.registry import Plans, Tables
+from weavegraph.plans.registry import Plans, Tables, over_cores
 from weavegraph.sources.shared import stored
 
 plan = Plans()
@@ -200,13 +200,14 @@ def q19_audit(t: Tables) -> DataFrame:
         F.struct(F.struct(c.alias("n")).alias("depth"), k.alias("m")).alias("code"),
         F.when(k % 3 == 0, c).alias("free"),
     )
-    outputs = t.orders.select(artifact, F.regexp_replace(F.to_json(body), r"\}$", ',"none":null,"flag":true,"name":"7"}').alias("payload"))
-    sources = t.orders.filter("o_orderkey % 11 <> 0").select(source.alias("source"), F.to_json(F.struct(F.struct(p.alias("price")).alias("in"), F.array(c, c).alias("keys"))).alias("payload"))
+    orders = over_cores(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"))
+    outputs = orders.select(artifact, F.regexp_replace(F.to_json(body), r"\}$", ',"none":null,"flag":true,"name":"7"}').alias("payload"))
+    sources = orders.filter("o_orderkey % 11 <> 0").select(source.alias("source"), F.to_json(F.struct(F.struct(p.alias("price")).alias("in"), F.array(c, c).alias("keys"))).alias("payload"))
     copies = t.orders.select(artifact, F.lit("copied").alias("path"), source.alias("source"), F.lit("in.price").alias("source_path"))
     cited = lambda at: F.concat(F.lit("{"), source, F.lit(f"#{at}}}"))
     first = F.concat(cited("in.price"), F.lit(" * 2 - ("), cited("keys[1]"), F.lit(" + 3) / 4"))
     second = F.concat(F.lit("-"), cited("in.price"), F.when(k % 13 == 0, F.lit(" / (1 - 1)")).otherwise(F.lit("")))
-    formulas = t.orders.select(artifact, F.lit("sums[0]").alias("path"), first.alias("formula")).unionByName(t.orders.select(artifact, F.lit("sums[1]").alias("path"), second.alias("formula")))
+    formulas = orders.select(artifact, F.lit("sums[0]").alias("path"), first.alias("formula")).unionByName(orders.select(artifact, F.lit("sums[1]").alias("path"), second.alias("formula")))
     labelled = t.orders.select(artifact, F.lit("code.").alias("prefix"))
     return A.audit(outputs, sources, copies, formulas, labelled).groupBy("path", "verdict").agg(F.count("*").alias("n"), F.countDistinct("artifact").alias("artifacts"))
 
