@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from weavegraph.operators import audit, walk
+from weavegraph.operators import audit, resolve, walk
 from weavegraph.plans import walk_plans
 from weavegraph.plans.registry import Tables, over_cores
 
@@ -41,3 +41,11 @@ def test_records_are_not_made_once_more_below_the_shuffle(spark, sf_dir, name):
     plan = walk_plans.plan.queries[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("Repartition") :]
     assert "variant" not in below and "json" not in below.lower()
+
+
+def test_inherited_names_meet_in_one_grouping(spark):
+    pools = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (2, "a"), (2, "b"), (2, None), (3, "c"), (None, "d")], "k int, n string")
+    twins = spark.createDataFrame([(1, 2), (1, 3), (2, 1), (3, 9), (4, None), (5, 1), (5, 1)], "k int, t int")
+    more = resolve.inherit_pool(pools, twins, "k", "n", "t")
+    assert sorted(map(tuple, more.collect()), key=str) == sorted([(1, "b"), (1, None), (1, "c"), (2, None), (5, "a"), (5, None)], key=str)
+    assert "LeftAnti" not in more._jdf.queryExecution().optimizedPlan().toString()

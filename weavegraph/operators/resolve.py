@@ -207,10 +207,18 @@ def text_coincidence(rows: DataFrame, text: str, pivot: DataFrame, pivot_text: s
 
 
 def inherit_pool(pools: DataFrame, twins: DataFrame, key: str, name: str, twin: str) -> DataFrame:
-    """(key, name) that a twin has and its own pool lacks. pools: key, name; twins: key, twin."""
+    """(key, name) that a twin has and its own pool lacks. pools: key, name; twins: key, twin.
+
+    Both meet in one grouping, dealt to a fixed number of tasks: Spark would merge them to what is small when packed, and a
+    task's pairs are many times as large in memory.
+    """
+    conf = pools.sparkSession
+    tasks = max(int(conf.conf.get("spark.sql.shuffle.partitions")), 8 * conf.sparkContext.defaultParallelism)
     own = pools.select(key, name).distinct()
-    theirs = twins.join(own.select(F.col(key).alias(twin), name), twin).select(key, name).distinct()
-    return theirs.join(own, [key, name], "left_anti")
+    theirs = twins.join(own.select(F.col(key).alias(twin), name), twin).select(key, name, F.lit(False).alias("own__"))
+    held = own.filter(F.col(key).isNotNull() & F.col(name).isNotNull()).withColumn("own__", F.lit(True))  # a null is like none
+    both = theirs.unionByName(held).repartition(tasks, key, name)
+    return both.groupBy(key, name).agg(F.bool_or("own__").alias("own__")).filter(~F.col("own__")).select(key, name)
 
 
 #: A box wider than the smallest cell doubled so often, or without finite ends, lies in one cell with everything of its key.
