@@ -127,3 +127,14 @@ def test_repeated_ids_of_different_texts_keep_their_own_copies(spark):
     rows = [(1, "w " * 300, "a"), (1, "x", "b"), (2, "", "b"), (None, "y z", None), (None, "y z", None)]
     kept = mixing.repeat_by_mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
     assert {r.text for r in kept} == {"w " * 300, "x", "y z"} and sum(r.text == "x" for r in kept) == 3
+
+
+@pytest.mark.parametrize("mix", [mixing.repeat_by_mix, mixing.mix_sources])
+def test_no_plan_of_the_mix_is_long(spark, monkeypatch, mix):
+    """What is read more than once is written, not planned again: the driver's memory goes with the longest plan."""
+    plans, write = [], mixing.stored
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+    monkeypatch.setattr(mixing, "stored", lambda df, *a, **b: (plans.append(exchanges(df)), write(df, *a, **b))[1])
+    docs = spark.createDataFrame([(i, "w " * (i % 37), f"s{i % 5}") for i in range(400)], "doc_id bigint, text string, source string")
+    plans.append(exchanges(mix(docs)))
+    assert max(plans) <= 14

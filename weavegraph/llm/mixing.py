@@ -11,6 +11,8 @@ target. repeat_by_mix() delivers whole documents in the order of the slots that
 
 Scale: running sums never run over a whole source. A source's documents fall into about the square root of their
 number of hash ranges, sums run inside the ranges, and the ranges' totals are summed next; slots are ranked likewise.
+What is read more than once (sources, schedule, streams) is written first, so no plan holds it twice: the driver plans
+each step anew as its parts end, and its memory grows with the length of the plan.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weavegraph.llm.common import free_name, stored
+from weavegraph.llm.common import forget, free_name, stored
 
 #: 2**32 divided by the golden ratio: the step of the schedule's points.
 GOLDEN = 2654435769
@@ -104,7 +106,7 @@ def whole_schedule(sources: DataFrame, total: int, slot_words: int) -> DataFrame
 
     sources has takes and per_slot beside sid and target.
     """
-    slots = source_schedule(sources, total, slot_words)
+    slots = stored(source_schedule(sources, total, slot_words), "mix-slots")
     needed = F.call_function("div", F.col("takes") + F.col("per_slot") - 1, F.col("per_slot"))
     held = slots.groupBy("sid").agg(F.count(F.lit(1)).alias("held"))
     wanted = sources.select("sid", needed.alias("needed"))
@@ -114,7 +116,9 @@ def whole_schedule(sources: DataFrame, total: int, slot_words: int) -> DataFrame
     last = -(-total // slot_words) if total else 0
     more = lacking.withColumn("before", before).withColumn("rank", F.explode(F.sequence(F.col("held"), F.col("needed") - 1)))
     more = more.select((F.lit(last) + F.col("before") + F.col("rank") - F.col("held")).alias("slot"), "sid", "rank")
-    return slots.join(wanted, "sid").filter("rank < needed").select("slot", "sid", "rank").unionByName(more)
+    schedule = stored(slots.join(wanted, "sid").filter("rank < needed").select("slot", "sid", "rank").unionByName(more), "mix-schedule")
+    forget(slots)
+    return schedule
 
 
 def _plan(sized: DataFrame, slots: int, most_slot: int, most_repeats: int, least_blocks: int, seed: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -122,7 +126,7 @@ def _plan(sized: DataFrame, slots: int, most_slot: int, most_repeats: int, least
     total = sized.agg(F.sum("size")).first()[0] or 0
     words = max(1, min(most_slot, total // slots))
     sources = stored(with_blocks(source_targets(sized, most_repeats), words, least_blocks), "mix-sources")
-    return sources, whole_schedule(sources, total, words), document_streams(sized, sources, seed)
+    return sources, whole_schedule(sources, total, words), stored(document_streams(sized, sources, seed), "mix-streams")
 
 
 def _sized(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
@@ -181,6 +185,8 @@ def repeat_by_mix(
     key, name, size, at = (free_name(docs, f"mix_{x}") for x in ("key", "source", "size", "slot"))
     # A copy that was rounded up has no slot; it goes behind the others.
     placed = placed.select(F.col("doc_id").alias(key), F.col("source").alias(name), F.col("size").alias(size), F.coalesce("slot", F.lit((1 << 62) - 1)).alias(at))
+    placed = stored(placed, "mix-placed")
+    forget(sized, sources, schedule, streams)
     given = docs.withColumn(f"{size}_", count_words(F.col(f"`{text}`")))
     same = given[f"`{doc_id}`"].eqNullSafe(placed[key]) & given[f"`{source}`"].eqNullSafe(placed[name]) & (given[f"{size}_"] == placed[size])
     rows = given.join(placed, same).select(*[given[f"`{c}`"] for c in docs.columns], at)
